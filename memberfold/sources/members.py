@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -28,25 +30,34 @@ def collect_locations(located: DataFrame) -> list[tuple[str, str]]:
 
 
 def _qualified(spark: SparkSession, path: str) -> str:
-    """The path as ``_metadata.file_path`` spells it, without a trailing slash."""
+    """The path as a listing spells it, which is how ``_metadata.file_path`` does."""
     context = spark.sparkContext
     hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
     system = hadoop_path.getFileSystem(context._jsc.hadoopConfiguration())
-    return system.makeQualified(hadoop_path).toUri().toString()
+    return system.getFileStatus(hadoop_path).getPath().toUri().toString()
+
+
+@contextmanager
+def _reading(category_id: str, path: str) -> Iterator[None]:
+    try:
+        yield
+    except Exception as error:
+        raise RuntimeError(f"cannot read category {category_id} at {path}") from error
 
 
 def _scan_each(spark: SparkSession, locations: list[tuple[str, str]]) -> DataFrame:
     scans = []
     for category_id, path in locations:
-        try:
+        with _reading(category_id, path):
             scans.append(tag(read_members(spark, path), category_id))
-        except Exception as error:
-            raise RuntimeError(f"cannot read category {category_id} at {path}") from error
     return union_all(scans)
 
 
 def _scan_together(spark: SparkSession, locations: list[tuple[str, str]]) -> DataFrame:
-    rows = [(id_, _qualified(spark, path)) for id_, path in locations]
+    rows = []
+    for category_id, path in locations:
+        with _reading(category_id, path):
+            rows.append((category_id, _qualified(spark, path)))
     directories = spark.createDataFrame(rows, "categoryId string, directory string")
     paths = sorted({path for _, path in locations})
     file = F.col("_metadata.file_path")
