@@ -16,6 +16,7 @@ from memberfold.sources.avro import read_members
 # that the plan does not grow with the category list.
 UNION_SCANS = 100
 _GLOB = re.compile(r"[*?\[{]")
+_NO_AUTHORITY = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*):///")
 
 
 def collect_locations(located: DataFrame) -> list[tuple[str, str]]:
@@ -29,12 +30,14 @@ def collect_locations(located: DataFrame) -> list[tuple[str, str]]:
     return sorted((row.category_id, row.location) for row in rows)
 
 
-def _qualified(spark: SparkSession, path: str) -> str:
-    """The path as a listing spells it, which is how ``_metadata.file_path`` does."""
+def _spellings(spark: SparkSession, path: str) -> set[str]:
+    """The directory as ``_metadata.file_path`` may spell it; raises if it does not exist."""
     context = spark.sparkContext
     hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
     system = hadoop_path.getFileSystem(context._jsc.hadoopConfiguration())
-    return system.getFileStatus(hadoop_path).getPath().toUri().toString()
+    uri = system.getFileStatus(hadoop_path).getPath().toUri().toString()
+    # without an authority, "file:/x" and "file:///x" are the same
+    return {uri, _NO_AUTHORITY.sub(r"\1:/", uri)}
 
 
 @contextmanager
@@ -57,7 +60,7 @@ def _scan_together(spark: SparkSession, locations: list[tuple[str, str]]) -> Dat
     rows = []
     for category_id, path in locations:
         with _reading(category_id, path):
-            rows.append((category_id, _qualified(spark, path)))
+            rows += [(category_id, spelling) for spelling in _spellings(spark, path)]
     directories = spark.createDataFrame(rows, "categoryId string, directory string")
     paths = sorted({path for _, path in locations})
     file = F.col("_metadata.file_path")
@@ -65,8 +68,8 @@ def _scan_together(spark: SparkSession, locations: list[tuple[str, str]]) -> Dat
     members = read_members(spark, *paths).select(
         "empid", F.left(file, F.length(file) - F.length(name) - 1).alias("directory")
     )
-    # The broadcast side has at most MAX_CATEGORIES rows. A category sharing its
-    # directory with another matches every row of it, like two scans would.
+    # The broadcast side has at most two rows per category, so its size is bounded by
+    # MAX_CATEGORIES. Categories that share a directory each get all of its rows.
     located = members.join(F.broadcast(directories), "directory", "left")
     unknown = F.raise_error(F.concat(F.lit("file outside every location: "), F.col("directory")))
     return tag(located, F.coalesce(F.col("categoryId"), unknown.cast("string")))

@@ -1,0 +1,209 @@
+"""Sinks and the two jobs, end to end."""
+
+import json
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from memberfold.operators.envelope import envelope, publish_outcome
+from memberfold.operators.invert import employee_categories
+from memberfold.plans import invert_job, publish_job
+from memberfold.plans.invert_job import run_inversion, write_inversion
+from memberfold.plans.publish_job import run_publish
+from memberfold.schemas import EMPLOYEE
+from memberfold.sinks.avro import write_key_values
+from memberfold.sinks.kafka import producer_options
+from memberfold.sources.avro import avro_format, read_key_values
+
+PAIRS = "empId string, categoryId string"
+BROKERS = {"bootstrap.servers": "localhost:1"}
+
+
+def stored(spark, path):
+    found = {}
+    for row in read_key_values(spark, str(path)).collect():
+        assert row.key == row.empId
+        found.setdefault(row.key, []).extend(info.categoryId for info in row.categoryInfoList)
+    return {key: sorted(ids) for key, ids in found.items()}
+
+
+def records(spark, rows, ids=("a", "b")):
+    return employee_categories(spark.createDataFrame(rows, PAIRS), list(ids))
+
+
+# --- key/value Avro -----------------------------------------------------------
+
+
+def test_round_trip_and_schema(spark, tmp_path):
+    frame = records(spark, [("e", "a"), ("e", "a"), ("f", "b")])
+    write_key_values(frame, str(tmp_path / "out"))
+    assert stored(spark, tmp_path / "out") == {"e": ["a", "a"], "f": ["b"]}
+    raw = spark.read.format(avro_format(spark)).load(str(tmp_path / "out"))
+    assert raw.schema.simpleString() == (
+        "struct<key:string,value:struct<empId:string,categoryInfoList:array<struct<categoryId:string>>>>"
+    )
+
+
+def test_existing_output(spark, tmp_path):
+    path = str(tmp_path / "out")
+    write_key_values(records(spark, [("e", "a")]), path)
+    with pytest.raises(PySparkException, match="PATH_ALREADY_EXISTS"):
+        write_key_values(records(spark, [("f", "a")]), path)
+    write_key_values(records(spark, [("f", "a")]), path, mode="overwrite")
+    assert stored(spark, path) == {"f": ["a"]}
+
+
+def test_null_key(spark, tmp_path):
+    frame = records(spark, [(None, "a"), ("e", "b")])
+    with pytest.raises(PySparkException, match="null employee"):
+        write_key_values(frame, str(tmp_path / "raises"))
+    write_key_values(frame, str(tmp_path / "dropped"), drop_null_keys=True)
+    assert stored(spark, tmp_path / "dropped") == {"e": ["b"]}
+
+
+# --- the inversion job --------------------------------------------------------
+
+
+@pytest.mark.parametrize("max_list", [1_000_000, 4])
+def test_counters_come_with_the_write(spark, tmp_path, max_list):
+    rows = [("hot", "ab"[i % 2]) for i in range(50)] + [("e", "a"), ("f", "b"), ("f", "b")]
+    counters = write_inversion(
+        spark.createDataFrame(rows, PAIRS), ["a", "b", "unused"], str(tmp_path / "out"), max_list=max_list
+    )
+    assert counters == {
+        "EMPLOYEE_CATEGORY_PAIRS": 53,
+        "NUMBER_OF_EMPLOYEE": 3,
+        "NUMBER_OF_CATEGORY": 3,
+        "ONE_CATEGORY": 1,
+        "TWO_CATEGORIES": 1,
+        "THREE_CATEGORIES": 0,
+        "FOUR_CATEGORIES": 0,
+        "FIVE_CATEGORIES": 0,
+        "MORE_THAN_FIVE_CATEGORIES": 1,
+    }
+    assert stored(spark, tmp_path / "out") == {
+        "hot": ["a"] * 25 + ["b"] * 25, "e": ["a"], "f": ["b", "b"]
+    }
+
+
+def test_counters_count_the_null_employee_that_is_dropped(spark, tmp_path):
+    pairs = spark.createDataFrame([(None, "a"), ("e", "a")], PAIRS)
+    counters = write_inversion(pairs, ["a"], str(tmp_path / "out"), drop_null_keys=True)
+    assert counters["NUMBER_OF_EMPLOYEE"] == 2
+    assert stored(spark, tmp_path / "out") == {"e": ["a"]}
+
+
+@pytest.fixture
+def job_inputs(spark, tmp_path):
+    members = {"1": ["e", "f", "f"], "2": ["e"], "3": []}
+    bodies = []
+    for id_, employees in members.items():
+        path = str(tmp_path / f"category {id_}")
+        rows = [(employee, None, None, None, None) for employee in employees]
+        spark.createDataFrame(rows, EMPLOYEE).write.format(avro_format(spark)).save(path)
+        bodies.append((id_, json.dumps({"owner": "x", "location": path})))
+    frame = spark.createDataFrame(bodies, "category_id string, body string")
+    frame.write.parquet(str(tmp_path / "bodies"))
+    return tmp_path
+
+
+def test_inversion_job(spark, job_inputs):
+    bodies = spark.read.parquet(str(job_inputs / "bodies"))
+    out = str(job_inputs / "out")
+    counters = run_inversion(spark, "1#one_2#two_3#three_1#uno", bodies, out)
+    assert counters["NUMBER_OF_CATEGORY"] == 3
+    assert counters["EMPLOYEE_CATEGORY_PAIRS"] == 4
+    assert stored(spark, out) == {"e": ["1", "2"], "f": ["1", "1"]}
+
+
+def test_category_without_location_stops_the_job(spark, job_inputs):
+    bodies = spark.read.parquet(str(job_inputs / "bodies"))
+    with pytest.raises(PySparkException, match="no location for category 4"):
+        run_inversion(spark, "1#one_4#four", bodies, str(job_inputs / "out"))
+    assert not (job_inputs / "out").exists()
+
+
+def test_command_lines(spark, job_inputs, capsys):
+    out, sent = str(job_inputs / "out"), str(job_inputs / "sent")
+    arguments = ["--spec", "1#one_2#two", "--locations", str(job_inputs / "bodies"), "--output", out]
+    invert_job.main(arguments)
+    assert json.loads(capsys.readouterr().out)["NUMBER_OF_EMPLOYEE"] == 2
+    invert_job.main([*arguments, "--overwrite"])
+    capsys.readouterr()
+    publish_job.main(
+        ["--input", out, "--topic", "t", "--producer", "bootstrap.servers=h:1", "--partitions", "1",
+         "--format", "parquet", "--sink", f"path={sent}"]
+    )
+    assert json.loads(capsys.readouterr().out) == {"KAFKA_SUCCESS": 2, "KAFKA_FAILURES": 0}
+    assert spark.read.parquet(sent).count() == 2
+
+
+# --- publishing ---------------------------------------------------------------
+
+
+def test_envelope(spark):
+    frame = records(spark, [("e", "b"), ("e", "a"), (None, "a")])
+    keyed = {row.key: (row.topic, row.value) for row in envelope(frame, "t").collect()}
+    assert keyed == {
+        "e": ("t", '{"empId":"e","categoryInfoList":[{"categoryId":"a"},{"categoryId":"b"}]}'),
+        None: ("t", '{"empId":null,"categoryInfoList":[{"categoryId":"a"}]}'),
+    }
+    assert {row.key for row in envelope(frame, "t", keyed=False).collect()} == {None}
+
+
+def test_outcome(spark):
+    frame = records(spark, [("e", "a"), (None, "a"), *[("big", "b")] * 50])
+    def counted(**options):
+        keyed = options.get("keyed", True)
+        rows = publish_outcome(envelope(frame, "t", keyed), **options).collect()
+        return {row.counter: row.value for row in rows}
+    assert counted() == {"KAFKA_SUCCESS": 2, "KAFKA_FAILURES": 1}
+    assert counted(max_bytes=200) == {"KAFKA_SUCCESS": 1, "KAFKA_FAILURES": 2}
+    assert counted(keyed=False) == {"KAFKA_SUCCESS": 3, "KAFKA_FAILURES": 0}
+
+
+def test_size_limit_is_in_bytes(spark):
+    frame = records(spark, [("é", "a")])
+    size = len('{"empId":"é","categoryInfoList":[{"categoryId":"a"}]}'.encode())
+    for limit, expected in [(size, 1), (size - 1, 0)]:
+        rows = publish_outcome(envelope(frame, "t"), max_bytes=limit).collect()
+        assert {r.counter: r.value for r in rows}["KAFKA_SUCCESS"] == expected
+
+
+@pytest.mark.parametrize("keyed", [True, False])
+def test_publish_job(spark, tmp_path, keyed):
+    rows = [(f"e{i}", "a") for i in range(40)] + [("big", "b")] * 100
+    write_key_values(records(spark, rows), str(tmp_path / "kv"))
+    counters = run_publish(
+        spark, str(tmp_path / "kv"), "t", {**BROKERS, "max.request.size": 500}, partitions=2,
+        keyed=keyed, format="parquet", path=str(tmp_path / "sent"),
+    )
+    assert counters == {"KAFKA_SUCCESS": 40, "KAFKA_FAILURES": 1}
+    sent = spark.read.parquet(str(tmp_path / "sent"))
+    assert sent.columns == ["topic", "key", "value"]
+    assert sent.count() == 40
+    assert sent.where(F.col("key").isNotNull()).count() == (40 if keyed else 0)
+    assert len(list((tmp_path / "sent").glob("*.parquet"))) <= 2
+
+
+def test_producer_defaults():
+    options = producer_options({**BROKERS, "acks": "all"})
+    assert options == {
+        "kafka.bootstrap.servers": "localhost:1",
+        "kafka.buffer.memory": "33554432",
+        "kafka.batch.size": "16384",
+        "kafka.acks": "all",
+        "kafka.retries": "2",
+        "kafka.client.id": "client",
+        "kafka.linger.ms": "0",
+        "kafka.compression.type": "none",
+        "kafka.request.timeout.ms": "30000",
+        "kafka.retry.backoff.ms": "100",
+    }
+
+
+@pytest.mark.parametrize("config", [None, {}, {"acks": "all"}])
+def test_brokers_are_required(config):
+    with pytest.raises(ValueError):
+        producer_options(config)
