@@ -8,47 +8,50 @@ from pyspark.sql import Column, functions as F
 ENTRY_DELIMITER = "_"
 FIELD_DELIMITER = "#"
 
-
-def _split_without_trailing_empties(text: Column, delimiter: str) -> Column:
-    kept = F.rtrim(text, F.lit(delimiter))
-    only_delimiters = (kept == "") & (text != "")
-    return F.when(only_delimiters, F.array().cast("array<string>")).otherwise(
-        F.split(kept, delimiter, -1)
+# An entry with nothing, or only further delimiters, after its id.
+_MALFORMED = "(^|_)[^_#]*#*(_|$)"
+
+
+def _checked(spec: Column) -> Column:
+    """The spec without trailing delimiters; null if it has nothing else."""
+    kept = F.rtrim(spec, F.lit(ENTRY_DELIMITER))
+    problem = F.concat(F.lit("malformed category spec: "), F.coalesce(spec, F.lit("null")))
+    return (
+        F.when((kept == "") & (spec != ""), F.lit(None))
+        .when(spec.isNull() | kept.rlike(_MALFORMED), F.raise_error(problem).cast("string"))
+        .otherwise(kept)
     )
 
 
-def _entry(element: Column) -> Column:
-    fields = _split_without_trailing_empties(element, FIELD_DELIMITER)
-    malformed = F.raise_error(F.concat(F.lit("malformed category entry: '"), element, F.lit("'")))
-    return F.when(
-        F.size(fields) >= 2, F.struct(fields[0].alias("id"), fields[1].alias("name"))
-    ).otherwise(malformed.cast("struct<id:string,name:string>"))
-
-
-def spec_entries(spec: Column) -> Column:
-    """``array<struct<id, name>>`` of the entries of a spec, one per id.
+def ranked_entries(spec: Column) -> Column:
+    """``array<struct<id, rank, entry>>``, by id and falling position within an id.
 
-    The last entry of a repeated id wins. Fields after the second are ignored, and
-    so are trailing delimiters; any other malformed entry, or a null spec, raises.
-    The work stays within the row: sorting by id and descending position puts the
-    winning entry of every id first.
+    Trailing delimiters are ignored; any malformed entry raises, and so does a null
+    spec.
     """
-    text = F.coalesce(spec, F.raise_error(F.lit("category spec is null")).cast("string"))
-    ranked = F.array_sort(
+    return F.sort_array(
         F.transform(
-            _split_without_trailing_empties(text, ENTRY_DELIMITER),
-            lambda element, position: F.struct(
-                _entry(element)["id"].alias("id"),
+            F.split(_checked(spec), ENTRY_DELIMITER),
+            lambda entry, position: F.struct(
+                F.substring_index(entry, FIELD_DELIMITER, 1).alias("id"),
                 (-position).alias("rank"),
-                _entry(element)["name"].alias("name"),
+                entry.alias("entry"),
             ),
         )
     )
-    empty = F.array().cast("array<struct<id:string,name:string>>")
-    return F.aggregate(
-        ranked,
-        empty,
-        lambda kept, entry: F.when(
-            (F.size(kept) > 0) & (F.try_element_at(kept, F.lit(-1))["id"] == entry["id"]), kept
-        ).otherwise(F.concat(kept, F.array(F.struct(entry["id"].alias("id"), entry["name"].alias("name"))))),
-    )
+
+
+def winning_entries(ranked: str) -> Column:
+    """The first of every id in a column of ranked entries: the last one in its spec."""
+
+    def starts_an_id(entry: Column, index: Column) -> Column:
+        # positions in element_at start at 1, so this is the entry before
+        before = F.try_element_at(F.col(ranked), F.greatest(index, F.lit(1)))
+        return (index == 0) | (before["id"] != entry["id"])
+
+    return F.filter(F.col(ranked), starts_an_id)
+
+
+def entry_name(entry: Column) -> Column:
+    """The field after the id; what follows it is ignored."""
+    return F.split(entry, FIELD_DELIMITER)[1]

@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from memberfold.functions.locations import LOCATION_FIELD, location_of
-from memberfold.functions.spec import spec_entries
+from memberfold.functions.spec import entry_name, ranked_entries, winning_entries
 
 
 def parse_specs(specs: DataFrame, spec: str | Column, *keys: str) -> DataFrame:
-    """``keys..., category_id, category_name`` for every row of ``specs``."""
+    """``keys..., category_id, category_name`` for every row of ``specs``.
+
+    The last entry of a repeated id wins. All of it happens within the row.
+    """
     column = F.col(spec) if isinstance(spec, str) else spec
-    return specs.select(*keys, F.inline(spec_entries(column))).select(
-        *keys, F.col("id").alias("category_id"), F.col("name").alias("category_name")
+    ranked = specs.select(*keys, ranked_entries(column).alias("ranked"))
+    return ranked.select(*keys, F.inline(winning_entries("ranked"))).select(
+        *keys, F.col("id").alias("category_id"), entry_name(F.col("entry")).alias("category_name")
     )
 
 

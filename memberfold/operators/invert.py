@@ -25,11 +25,27 @@ def _unlisted(category: Column) -> Column:
     )
 
 
+def _position(category: Column, ids: list[str]) -> Column:
+    """Number of a category in the list, so that counting compares integers.
+
+    It is a constant where the category is one, as in a union of tagged sources.
+    """
+    return reduce(
+        lambda chain, item: chain.when(category == item[1], item[0]),
+        enumerate(ids[1:], start=1),
+        F.when(category == ids[0], 0),
+    )
+
+
 def _wide_counts(pairs: DataFrame, ids: list[str]) -> DataFrame:
     """One shuffle, on the employee: fixed-width count columns, combined map-side."""
-    counted = pairs.groupBy("empId").agg(
-        F.count(F.lit(1)).alias("n_categories"),
-        *[F.count_if(F.col("categoryId") == id_).alias(f"n{i}") for i, id_ in enumerate(ids)],
+    counted = (
+        pairs.select("empId", _position(F.col("categoryId"), ids).alias("position"))
+        .groupBy("empId")
+        .agg(
+            F.count(F.lit(1)).alias("n_categories"),
+            *[F.count_if(F.col("position") == i).alias(f"n{i}") for i in range(len(ids))],
+        )
     )
     listed = reduce(add, [F.col(f"n{i}") for i in range(len(ids))])
     every = F.array(

@@ -17,6 +17,7 @@ from memberfold.sources.avro import read_members
 UNION_SCANS = 100
 _GLOB = re.compile(r"[*?\[{]")
 _NO_AUTHORITY = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*):///")
+_ONE_SLASH = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*):/(?!/)")
 
 
 def collect_locations(located: DataFrame) -> list[tuple[str, str]]:
@@ -30,14 +31,13 @@ def collect_locations(located: DataFrame) -> list[tuple[str, str]]:
     return sorted((row.category_id, row.location) for row in rows)
 
 
-def _spellings(spark: SparkSession, path: str) -> set[str]:
-    """The directory as ``_metadata.file_path`` may spell it; raises if it does not exist."""
+def _directory(spark: SparkSession, path: str) -> str:
+    """The full URI of an existing directory, in one spelling for all ways to write it."""
     context = spark.sparkContext
     hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
     system = hadoop_path.getFileSystem(context._jsc.hadoopConfiguration())
     uri = system.getFileStatus(hadoop_path).getPath().toUri().toString()
-    # without an authority, "file:/x" and "file:///x" are the same
-    return {uri, _NO_AUTHORITY.sub(r"\1:/", uri)}
+    return _NO_AUTHORITY.sub(r"\1:/", uri)
 
 
 @contextmanager
@@ -57,15 +57,19 @@ def _scan_each(spark: SparkSession, locations: list[tuple[str, str]]) -> DataFra
 
 
 def _scan_together(spark: SparkSession, locations: list[tuple[str, str]]) -> DataFrame:
+    found: dict[str, str] = {}
     rows = []
     for category_id, path in locations:
         with _reading(category_id, path):
-            rows += [(category_id, spelling) for spelling in _spellings(spark, path)]
+            directory = _directory(spark, path)
+        found.setdefault(directory, path)
+        # both spellings that _metadata.file_path may use where there is no authority
+        spellings = {directory, _ONE_SLASH.sub(r"\1:///", directory)}
+        rows += [(category_id, spelling) for spelling in spellings]
     directories = spark.createDataFrame(rows, "categoryId string, directory string")
-    paths = sorted({path for _, path in locations})
     file = F.col("_metadata.file_path")
     name = F.substring_index(file, "/", -1)
-    members = read_members(spark, *paths).select(
+    members = read_members(spark, *found.values()).select(
         "empid", F.left(file, F.length(file) - F.length(name) - 1).alias("directory")
     )
     # The broadcast side has at most two rows per category, so its size is bounded by

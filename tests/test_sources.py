@@ -101,6 +101,8 @@ def parse(spark, spec):
         ("1#a#z", {"1": "a"}),
         ("#a", {"": "a"}),
         ("1##z", {"1": ""}),
+        ("1#a##_2#b#", {"1": "a", "2": "b"}),
+        ("a1#x_a#y_a1#z", {"a1": "z", "a": "y"}),
         ("_", {}),
     ],
 )
@@ -108,9 +110,9 @@ def test_spec(spark, spec, expected):
     assert parse(spark, spec) == expected
 
 
-@pytest.mark.parametrize("spec", ["1", "1#", "_1#a", "1#a__2#b", "", "#", "1##", None])
+@pytest.mark.parametrize("spec", ["1", "1#", "_1#a", "1#a__2#b", "", "#", "1##", "1_1#a", "1#a_2_3#c", "1#a_#_", None])
 def test_malformed_spec_raises(spark, spec):
-    with pytest.raises(PySparkException, match="malformed category|spec is null"):
+    with pytest.raises(PySparkException, match="malformed category spec"):
         parse(spark, spec)
 
 
