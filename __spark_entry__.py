@@ -65,7 +65,7 @@ def _write_members(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     folder = shared_folder(spark, "members")
     orders = _table(spark, sf_dir, "orders").select(
         F.col("o_custkey").cast("string").alias("empid"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("empdate"),
+        F.col("o_orderdate").cast("date").cast("string").alias("empdate"),
         F.lit(None).cast("string").alias("email"),
         F.lit(None).cast("string").alias("phone"),
         F.col("o_orderstatus").alias("empdata"),
@@ -171,7 +171,7 @@ def latest_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     roots = _table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("root"))
     listing = _table(spark, sf_dir, "orders").select(
         F.col("o_custkey").cast("string").alias("root"),
-        F.concat(F.lit("/snapshots/"), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("path"),
+        F.concat(F.lit("/snapshots/"), F.col("o_orderdate").cast("date").cast("string")).alias("path"),
     )
     return latest_snapshot(roots, listing)
 

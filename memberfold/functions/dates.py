@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Local time is UTC + 5 h 30 min; runs started by hand carry this
-# word in their id; dates are written in this form.
+# word in their id. A date cast to a string has the form yyyy-MM-dd.
 LOCAL_OFFSET = "INTERVAL '05:30' HOUR TO MINUTE"
 MANUAL_MARK = "manual"
-DATE_FORMAT = "yyyy-MM-dd"
 
 
 def _local_day(utc: Column) -> Column:
@@ -17,7 +16,7 @@ def _local_day(utc: Column) -> Column:
 
 def local_date(utc: Column) -> Column:
     """Local calendar date of a UTC timestamp, as ``yyyy-MM-dd``."""
-    return F.date_format(_local_day(utc), DATE_FORMAT)
+    return _local_day(utc).cast("string")
 
 
 def _compute_day(run_id: Column, utc: Column, configured: Column, run_interval: int) -> Column:
@@ -33,10 +32,10 @@ def _compute_day(run_id: Column, utc: Column, configured: Column, run_interval:
 def compute_date(run_id: Column, utc: Column, configured: Column, run_interval: int = 0) -> Column:
     """Manual run: the day before. Else the configured date, unless null or empty.
     Else the local date plus ``run_interval`` days."""
-    return F.date_format(_compute_day(run_id, utc, configured, run_interval), DATE_FORMAT)
+    return _compute_day(run_id, utc, configured, run_interval).cast("string")
 
 
 def input_date(run_id: Column, utc: Column, configured: Column, run_interval: int = 0) -> Column:
     """The day before the compute date."""
     day = _compute_day(run_id, utc, configured, run_interval)
-    return F.date_format(F.date_sub(day, 1), DATE_FORMAT)
+    return F.date_sub(day, 1).cast("string")

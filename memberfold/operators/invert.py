@@ -128,18 +128,26 @@ def oversized_records(counts: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
     )
 
 
-def employee_categories(pairs: DataFrame, ids: list[str], max_list: int = MAX_LIST) -> DataFrame:
-    """The inversion as ``empId, categoryInfoList array<struct<categoryId>>``, lists sorted.
+def employee_records(
+    counts: DataFrame, max_list: int = MAX_LIST, observed: DataFrame | None = None
+) -> DataFrame:
+    """All employees as ``empId, categoryInfoList array<struct<categoryId>>``, lists sorted.
 
     Both halves read the same shuffle; adaptive execution drops the second when it
-    turns out to be empty.
+    turns out to be empty. ``observed`` is ``counts`` with metrics attached, which are
+    to be collected once although ``counts`` is used twice.
     """
-    counts = membership_counts(pairs, ids)
-    return ordinary_records(counts, max_list).unionByName(oversized_records(counts, max_list))
+    ordinary = ordinary_records(counts if observed is None else observed, max_list)
+    return ordinary.unionByName(oversized_records(counts, max_list))
+
+
+def employee_categories(pairs: DataFrame, ids: list[str], max_list: int = MAX_LIST) -> DataFrame:
+    """The inversion: ``employee_records`` of pairs with the complete category list ``ids``."""
+    return employee_records(membership_counts(pairs, ids), max_list)
 
 
 def as_text(records: DataFrame) -> DataFrame:
-    """Flat form: ``empId, n_categories, categories`` (ids joined by commas)."""
+    """Flat form of each record: ``empId, n_categories, categories`` (ids joined by commas)."""
     ids = F.transform("categoryInfoList", lambda info: info["categoryId"])
     return records.select(
         "empId",

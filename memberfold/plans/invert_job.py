@@ -9,18 +9,16 @@ from __future__ import annotations
 import argparse
 import json
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from memberfold.functions.locations import LOCATION_FIELD
 from memberfold.operators.categories import parse_specs, resolve_locations
 from memberfold.operators.counters import inversion_counters
-from memberfold.operators.invert import membership_counts, ordinary_records, oversized_records
+from memberfold.operators.invert import employee_records, membership_counts
 from memberfold.schemas import MAX_LIST, NUMBER_OF_CATEGORY
 from memberfold.sinks.avro import write_key_values
 from memberfold.sources.members import collect_locations, scan_categories
 
-_OVERSIZED = "oversized"
-
 
 def write_inversion(
     pairs: DataFrame,
@@ -30,24 +28,16 @@ def write_inversion(
     drop_null_keys: bool = False,
     max_list: int = MAX_LIST,
 ) -> dict[str, int]:
-    """Write the inversion of ``pairs`` and return its counters, in one pass.
+    """Write the inversion of ``pairs`` and return its counters, in one job.
 
-    The counters are observed on the grouped rows in the stage that writes them.
-    Only if an employee turns out to be too large for one record does a second job
-    add that employee's records.
+    The counters are observed on the grouped rows, in the stage that writes them, so
+    a task that is run again does not count twice.
     """
     counts = membership_counts(pairs, ids)
     seen = Observation()
-    observed = counts.observe(
-        seen,
-        *inversion_counters(),
-        F.count_if(F.col("n_categories") > max_list).alias(_OVERSIZED),
-    )
-    write_key_values(ordinary_records(observed, max_list), output, mode, drop_null_keys)
-    counters = dict(seen.get)
-    if counters.pop(_OVERSIZED):
-        write_key_values(oversized_records(counts, max_list), output, "append", drop_null_keys)
-    return {**counters, NUMBER_OF_CATEGORY: len(set(ids))}
+    records = employee_records(counts, max_list, counts.observe(seen, *inversion_counters()))
+    write_key_values(records, output, mode, drop_null_keys)
+    return {**seen.get, NUMBER_OF_CATEGORY: len(set(ids))}
 
 
 def run_inversion(

@@ -87,6 +87,21 @@ def test_counters_come_with_the_write(spark, tmp_path, max_list):
     }
 
 
+@pytest.mark.parametrize("max_list", [1_000_000, 1])
+def test_counters_when_one_half_is_empty(spark, tmp_path, max_list):
+    pairs = spark.createDataFrame([("e", "a"), ("e", "a")], PAIRS)
+    counters = write_inversion(pairs, ["a"], str(tmp_path / "out"), max_list=max_list)
+    assert counters["NUMBER_OF_EMPLOYEE"] == counters["TWO_CATEGORIES"] == 1
+    assert stored(spark, tmp_path / "out") == {"e": ["a", "a"]}
+
+
+def test_counters_of_no_rows(spark, tmp_path):
+    pairs = spark.createDataFrame([], PAIRS)
+    counters = write_inversion(pairs, ["a", "b"], str(tmp_path / "out"))
+    assert counters.pop("NUMBER_OF_CATEGORY") == 2
+    assert set(counters.values()) == {0} and len(counters) == 8
+
+
 def test_counters_count_the_null_employee_that_is_dropped(spark, tmp_path):
     pairs = spark.createDataFrame([(None, "a"), ("e", "a")], PAIRS)
     counters = write_inversion(pairs, ["a"], str(tmp_path / "out"), drop_null_keys=True)
