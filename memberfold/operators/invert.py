@@ -8,10 +8,11 @@ the number of runs is bounded by the category list, whatever the number of pairs
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from memberfold.schemas import MAX_CATEGORIES, MAX_LIST
 
@@ -19,12 +20,38 @@ from memberfold.schemas import MAX_CATEGORIES, MAX_LIST
 WIDE_CATEGORIES = 32
 
 
+@dataclass(frozen=True)
+class MembershipCounts:
+    """Counted pairs: ``frame`` has one row per employee.
+
+    Its columns ``empId`` and ``n_categories`` (every pair counts, repeated ones too)
+    are for use; the others depend on how the counting was done. ``runs`` and
+    ``whole_list`` are expressions over them: ``array<struct<categoryId, n>>``, and
+    the list written out, both sorted by category id.
+    """
+
+    frame: DataFrame
+    runs: Column
+    whole_list: Column
+
+    def table(self) -> DataFrame:
+        """``empId, n_categories, runs``"""
+        return self.frame.select("empId", "n_categories", self.runs.alias("runs"))
+
+    def observe(self, seen: Observation, *metrics: Column) -> MembershipCounts:
+        return replace(self, frame=self.frame.observe(seen, *metrics))
+
+
 def _unlisted(category: Column) -> Column:
     return F.raise_error(
         F.concat(F.lit("category not in the list: "), F.coalesce(category, F.lit("null")))
     )
 
 
+def _repeated(category: Column, n: Column) -> Column:
+    return F.array_repeat(F.struct(category.alias("categoryId")), n.cast("int"))
+
+
 def _position(category: Column, ids: list[str]) -> Column:
     """Number of a category in the list, so that counting compares integers.
 
@@ -37,54 +64,52 @@ def _position(category: Column, ids: list[str]) -> Column:
     )
 
 
-def _wide_counts(pairs: DataFrame, ids: list[str]) -> DataFrame:
+def _wide_counts(pairs: DataFrame, ids: list[str]) -> MembershipCounts:
     """One shuffle, on the employee: fixed-width count columns, combined map-side."""
     counted = (
         pairs.select("empId", _position(F.col("categoryId"), ids).alias("position"))
         .groupBy("empId")
         .agg(
-            F.count(F.lit(1)).alias("n_categories"),
+            F.count(F.lit(1)).alias("n_pairs"),
             *[F.count_if(F.col("position") == i).alias(f"n{i}") for i in range(len(ids))],
         )
     )
-    listed = reduce(add, [F.col(f"n{i}") for i in range(len(ids))])
-    every = F.array(
-        *[
-            F.struct(F.lit(id_).alias("categoryId"), F.col(f"n{i}").alias("n"))
-            for i, id_ in enumerate(ids)
-        ]
+    columns = [(F.lit(id_), F.col(f"n{i}")) for i, id_ in enumerate(ids)]
+    listed = reduce(add, [n for _, n in columns])
+    every = F.array(*[F.struct(id_.alias("categoryId"), n.alias("n")) for id_, n in columns])
+    checked = F.when(F.col("n_pairs") == listed, F.col("n_pairs")).otherwise(
+        _unlisted(F.lit("(some)")).cast("bigint")
     )
-    return counted.select(
-        "empId",
-        F.when(F.col("n_categories") == listed, F.col("n_categories"))
-        .otherwise(_unlisted(F.lit("(some)")).cast("bigint"))
-        .alias("n_categories"),
-        F.filter(every, lambda run: run["n"] > 0).alias("runs"),
+    return MembershipCounts(
+        counted.withColumn("n_categories", checked).drop("n_pairs"),
+        F.filter(every, lambda run: run["n"] > 0),
+        F.concat(*[_repeated(id_, n) for id_, n in columns]),
     )
 
 
-def _long_counts(pairs: DataFrame, ids: list[str]) -> DataFrame:
+def _long_counts(pairs: DataFrame, ids: list[str]) -> MembershipCounts:
     """Two shuffles: counts per (employee, category), then at most one run per category."""
     checked = F.when(F.col("categoryId").isin(ids), F.col("categoryId")).otherwise(
         _unlisted(F.col("categoryId")).cast("string")
     )
-    return (
+    counted = (
         pairs.select("empId", checked.alias("categoryId"))
         .groupBy("empId", "categoryId")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("empId")
         .agg(
             F.sum("n").alias("n_categories"),
-            F.array_sort(F.collect_list(F.struct("categoryId", "n"))).alias("runs"),
+            F.sort_array(F.collect_list(F.struct("categoryId", "n"))).alias("runs"),
         )
     )
+    written_out = F.transform("runs", lambda run: _repeated(run["categoryId"], run["n"]))
+    return MembershipCounts(counted, F.col("runs"), F.flatten(written_out))
 
 
-def membership_counts(pairs: DataFrame, ids: list[str]) -> DataFrame:
-    """One row per employee: ``empId, n_categories, runs array<struct<categoryId, n>>``.
+def membership_counts(pairs: DataFrame, ids: list[str]) -> MembershipCounts:
+    """Count the pairs of every employee by category.
 
-    ``n_categories`` counts every pair, repeated ones too. ``ids`` is the complete
-    category list; a pair outside it raises.
+    ``ids`` is the complete category list; a pair outside it raises.
     """
     ids = sorted(set(ids))
     if not ids:
@@ -94,19 +119,14 @@ def membership_counts(pairs: DataFrame, ids: list[str]) -> DataFrame:
     return (_wide_counts if len(ids) <= WIDE_CATEGORIES else _long_counts)(pairs, ids)
 
 
-def _repeated(category: Column, n: Column) -> Column:
-    return F.array_repeat(F.struct(category.alias("categoryId")), n.cast("int"))
-
-
-def ordinary_records(counts: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
+def ordinary_records(counts: MembershipCounts, max_list: int = MAX_LIST) -> DataFrame:
     """``empId, categoryInfoList`` of the employees whose list fits in one record."""
-    whole = F.flatten(F.transform("runs", lambda run: _repeated(run["categoryId"], run["n"])))
-    return counts.where(F.col("n_categories") <= max_list).select(
-        "empId", whole.alias("categoryInfoList")
+    return counts.frame.where(F.col("n_categories") <= max_list).select(
+        "empId", counts.whole_list.alias("categoryInfoList")
     )
 
 
-def oversized_records(counts: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
+def oversized_records(counts: MembershipCounts, max_list: int = MAX_LIST) -> DataFrame:
     """The other employees, whole: several records each, none longer than ``max_list``.
 
     Every run is cut into numbered parts while it is still a count, and the parts
@@ -114,7 +134,8 @@ def oversized_records(counts: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
     """
     parts = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(n - 1) div {max_list}"))
     return (
-        counts.where(F.col("n_categories") > max_list)
+        counts.table()
+        .where(F.col("n_categories") > max_list)
         .select("empId", F.inline("runs"))
         .select("empId", "categoryId", "n", F.explode(parts).alias("part"))
         .repartition("empId", "categoryId", "part")
@@ -129,7 +150,9 @@ def oversized_records(counts: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
 
 
 def employee_records(
-    counts: DataFrame, max_list: int = MAX_LIST, observed: DataFrame | None = None
+    counts: MembershipCounts,
+    max_list: int = MAX_LIST,
+    observed: MembershipCounts | None = None,
 ) -> DataFrame:
     """All employees as ``empId, categoryInfoList array<struct<categoryId>>``, lists sorted.
 
@@ -137,7 +160,7 @@ def employee_records(
     turns out to be empty. ``observed`` is ``counts`` with metrics attached, which are
     to be collected once although ``counts`` is used twice.
     """
-    ordinary = ordinary_records(counts if observed is None else observed, max_list)
+    ordinary = ordinary_records(observed or counts, max_list)
     return ordinary.unionByName(oversized_records(counts, max_list))
 
 

@@ -97,6 +97,13 @@ def test_null_category_raises(spark, strategy):
         category_ids(pairs)
 
 
+def test_runs(spark, strategy):
+    rows = [("e", "b"), ("e", "a"), ("e", "b"), (None, "a")]
+    table = membership_counts(spark.createDataFrame(rows, PAIRS), ["a", "b", "c"]).table()
+    found = {row.empId: (row.n_categories, [tuple(run) for run in row.runs]) for row in table.collect()}
+    assert found == {"e": (3, [("a", 1), ("b", 2)]), None: (1, [("a", 1)])}
+
+
 def test_no_rows(spark, strategy):
     pairs = spark.createDataFrame([], PAIRS)
     assert employee_categories(pairs, ["a"]).collect() == []

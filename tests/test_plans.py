@@ -38,7 +38,7 @@ def test_no_python_workers_and_no_cross_joins(spark, name):
 
 
 def test_counting_needs_one_combined_shuffle(order_pairs):
-    text = plan(invert.membership_counts(order_pairs, category_ids(order_pairs)))
+    text = plan(invert.membership_counts(order_pairs, category_ids(order_pairs)).table())
     assert re.findall(r"Exchange (\w+)\((\w+)#", text) == [("hashpartitioning", "empId")]
     assert "partial_count" in text
     assert "ObjectHashAggregate" not in text and "SortAggregate" not in text
@@ -76,7 +76,7 @@ def test_source_tags_become_constants(spark):
     pairs = union_tagged(
         {name: (registered._table(spark, SF_DIR, name), key) for name, key in tables.items()}
     )
-    text = plan(invert.membership_counts(pairs, sorted(tables)))
+    text = plan(invert.membership_counts(pairs, sorted(tables)).table())
     assert "true AS" in text and "false AS" in text
     assert text.count("Exchange hashpartitioning") == 1
 
