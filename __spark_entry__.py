@@ -23,10 +23,10 @@ from memberfold.operators.invert import as_text, employee_categories
 from memberfold.operators.pairs import category_ids, tag, union_tagged
 from memberfold.operators.snapshots import latest_snapshot
 from memberfold.plans.invert_job import run_inversion, write_inversion
+from memberfold.schemas import EMPLOYEE_AVRO
 from memberfold.session import shared_folder
 from memberfold.sources.avro import avro_format, read_key_values, read_members
-from memberfold.sources.members import scan_categories
-from memberfold.schemas import EMPLOYEE_AVRO
+from memberfold.sources.members import collect_locations, scan_categories
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 TOPIC = "employee-categories"
@@ -61,7 +61,10 @@ def _order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _write_members(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
-    """Orders as Employee records in Avro, one folder per priority; and the priorities."""
+    """Orders as Employee records in Avro, one folder per priority.
+
+    Returns the folder and ``category_id, location`` of every priority.
+    """
     folder = shared_folder(spark, "members")
     orders = _table(spark, sf_dir, "orders").select(
         F.col("o_custkey").cast("string").alias("empid"),
@@ -69,15 +72,16 @@ def _write_members(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
         F.lit(None).cast("string").alias("email"),
         F.lit(None).cast("string").alias("phone"),
         F.col("o_orderstatus").alias("empdata"),
-        F.col("o_orderpriority").alias("priority"),
+        F.col("o_orderpriority").alias("category_id"),
     )
     (
         orders.write.format(avro_format(spark))
         .option("avroSchema", EMPLOYEE_AVRO)
-        .partitionBy("priority")
+        .partitionBy("category_id")
         .save(folder)
     )
-    return folder, orders.select("priority").distinct()
+    location = F.concat(F.lit(f"{folder}/category_id="), "category_id").alias("location")
+    return folder, orders.select("category_id").distinct().select("category_id", location)
 
 
 def scan_members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,9 +94,8 @@ def scan_members_avro(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_many_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, priorities = _write_members(spark, sf_dir)
-    locations = [(row.priority, f"{folder}/priority={row.priority}") for row in priorities.collect()]
-    return scan_categories(spark, locations, union_scans=0)
+    _, located = _write_members(spark, sf_dir)
+    return scan_categories(spark, collect_locations(located), union_scans=0)
 
 
 def employee_categories_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,15 +131,9 @@ def kv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def inversion_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job: spec, locations, Avro scans, inversion, key/value output."""
-    folder, priorities = _write_members(spark, sf_dir)
-    ids = sorted(row.priority for row in priorities.collect())
-    spec = "_".join(f"{id_}#{id_.lower()}" for id_ in ids)
-    bodies = priorities.select(
-        F.col("priority").alias("category_id"),
-        F.to_json(F.struct(F.concat(F.lit(f"{folder}/priority="), "priority").alias("location"))).alias(
-            "body"
-        ),
-    )
+    _, located = _write_members(spark, sf_dir)
+    spec = "_".join(f"{id_}#{id_.lower()}" for id_ in category_ids(_order_pairs(spark, sf_dir)))
+    bodies = located.select("category_id", F.to_json(F.struct("location")).alias("body"))
     output = shared_folder(spark, "inversion")
     run_inversion(spark, spec, bodies, output)
     return as_text(read_key_values(spark, output))
@@ -147,13 +144,16 @@ def category_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = F.concat_ws(
         "_",
         F.concat_ws("#", F.col("l_suppkey").cast("string"), "l_returnflag"),
-        F.concat_ws("#", F.concat(F.lit("p"), F.col("l_partkey").cast("string")), "l_linestatus", "l_returnflag"),
+        F.concat_ws(
+            "#",
+            F.concat(F.lit("p"), F.col("l_partkey").cast("string")),
+            "l_linestatus",
+            "l_returnflag",
+        ),
         F.concat_ws("#", F.col("l_suppkey").cast("string"), "l_linestatus"),
         F.lit(""),
     )
-    return parse_specs(
-        _table(spark, sf_dir, "lineitem"), entries, "l_orderkey", "l_linenumber"
-    )
+    return parse_specs(_table(spark, sf_dir, "lineitem"), entries, "l_orderkey", "l_linenumber")
 
 
 def resolve_location(spark: SparkSession, sf_dir: str) -> DataFrame:
