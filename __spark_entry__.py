@@ -168,17 +168,20 @@ def resolve_location(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    roots = _table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("root"))
-    listing = _table(spark, sf_dir, "orders").select(
+    customers, orders = _table(spark, sf_dir, "customer"), _table(spark, sf_dir, "orders")
+    day = F.col("o_orderdate").cast("date").cast("string")
+    roots = customers.select(F.col("c_custkey").cast("string").alias("root"))
+    listing = orders.select(
         F.col("o_custkey").cast("string").alias("root"),
-        F.concat(F.lit("/snapshots/"), F.col("o_orderdate").cast("date").cast("string")).alias("path"),
+        F.concat(F.lit("/snapshots/"), day).alias("path"),
     )
     return latest_snapshot(roots, listing)
 
 
 def run_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind, ts = F.col("event_type"), F.col("ts")
-    run_id = F.concat(F.when(kind == "error", "manual__").otherwise("scheduled__"), F.col("event_id"))
+    origin = F.when(kind == "error", "manual__").otherwise("scheduled__")
+    run_id = F.concat(origin, F.col("event_id"))
     configured = F.when(kind == "view", "2023-05-05").when(kind == "click", "")
     return _table(spark, sf_dir, "events").select(
         "event_id",

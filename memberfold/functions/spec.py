@@ -12,14 +12,28 @@ FIELD_DELIMITER = "#"
 _MALFORMED = "(^|_)[^_#]*#*(_|$)"
 
 
+def _without_trailing(spec: Column) -> Column:
+    return F.rtrim(spec, F.lit(ENTRY_DELIMITER))
+
+
+def _has_no_entries(spec: Column) -> Column:
+    return (_without_trailing(spec) == "") & (spec != "")
+
+
+def is_malformed(spec: Column) -> Column:
+    """True for a null spec or one with an entry that lacks a name."""
+    return spec.isNull() | (
+        ~_has_no_entries(spec) & _without_trailing(spec).rlike(_MALFORMED)
+    )
+
+
 def _checked(spec: Column) -> Column:
     """The spec without trailing delimiters; null if it has nothing else."""
-    kept = F.rtrim(spec, F.lit(ENTRY_DELIMITER))
     problem = F.concat(F.lit("malformed category spec: "), F.coalesce(spec, F.lit("null")))
     return (
-        F.when((kept == "") & (spec != ""), F.lit(None))
-        .when(spec.isNull() | kept.rlike(_MALFORMED), F.raise_error(problem).cast("string"))
-        .otherwise(kept)
+        F.when(is_malformed(spec), F.raise_error(problem).cast("string"))
+        .when(_has_no_entries(spec), F.lit(None))
+        .otherwise(_without_trailing(spec))
     )
 
 

@@ -15,6 +15,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from memberfold.schemas import MAX_CATEGORIES, MAX_LIST
+from memberfold.session import shuffle_partitions
 
 # Up to this many categories each gets a count column of its own; see README.
 WIDE_CATEGORIES = 32
@@ -130,15 +131,18 @@ def oversized_records(counts: MembershipCounts, max_list: int = MAX_LIST) -> Dat
     """The other employees, whole: several records each, none longer than ``max_list``.
 
     Every run is cut into numbered parts while it is still a count, and the parts
-    are spread over the cluster before they are written out.
+    are spread over the cluster before they are written out. Their number of partitions
+    is given, because adaptive execution would judge by the size of the counts and put
+    all parts into a few tasks.
     """
+    tasks = shuffle_partitions(counts.frame.sparkSession)
     parts = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(n - 1) div {max_list}"))
     return (
         counts.table()
         .where(F.col("n_categories") > max_list)
         .select("empId", F.inline("runs"))
         .select("empId", "categoryId", "n", F.explode(parts).alias("part"))
-        .repartition("empId", "categoryId", "part")
+        .repartition(tasks, "empId", "categoryId", "part")
         .select(
             "empId",
             _repeated(

@@ -10,12 +10,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from memberfold.schemas import MAX_CATEGORIES
 
 
-def tag(members: DataFrame, category_id: Column | str, employee: Column | str = "empid") -> DataFrame:
+def tag(members: DataFrame, category_id: Column | str, employee: str = "empid") -> DataFrame:
     """Keep the employee id and attach the category id: a plain string is a constant."""
     category = F.lit(category_id) if isinstance(category_id, str) else category_id
     return members.select(
-        (F.col(employee) if isinstance(employee, str) else employee).cast("string").alias("empId"),
-        category.alias("categoryId"),
+        F.col(employee).cast("string").alias("empId"), category.alias("categoryId")
     )
 
 

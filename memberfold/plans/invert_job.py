@@ -1,6 +1,6 @@
 """The inversion job: category spec -> datasets -> employee records -> key/value Avro.
 
-    spark-submit -m memberfold.plans.invert_job --spec '1#home_2#toys' \
+    spark-submit --py-files memberfold.zip memberfold/plans/invert_job.py --spec '1#home_2#toys' \
         --locations <table of category_id, body> --output <folder>
 """
 

@@ -1,6 +1,6 @@
 """The publish job: key/value Avro -> messages. Separate, so that it can run narrower.
 
-    spark-submit -m memberfold.plans.publish_job --input <folder> --topic <topic> \
+    spark-submit --py-files memberfold.zip memberfold/plans/publish_job.py --input <folder> --topic <topic> \
         --producer bootstrap.servers=host:9092 --partitions 20
 """
 

@@ -22,3 +22,10 @@ def shared_folder(spark: SparkSession, name: str) -> str:
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="memberfold-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """How many partitions a shuffle of this session starts with."""
+    fixed = spark.conf.get("spark.sql.shuffle.partitions")
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return max(int(fixed), int(initial or 0))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from memberfold.operators.snapshots import latest_snapshot
+
 LISTING = "root string, path string"
 
 
@@ -20,3 +22,10 @@ def list_snapshots(spark: SparkSession, *roots: str) -> DataFrame:
         if system.exists(root_path):
             rows += [(root, str(status.getPath())) for status in system.listStatus(root_path)]
     return spark.createDataFrame(rows, LISTING)
+
+
+def latest_paths(spark: SparkSession, *roots: str) -> dict[str, str]:
+    """The latest snapshot of each root, independently; "" for a root that has none."""
+    named = spark.createDataFrame([(root,) for root in dict.fromkeys(roots)], "root string")
+    rows = latest_snapshot(named, list_snapshots(spark, *dict.fromkeys(roots))).collect()
+    return {row.root: row.latest for row in rows}

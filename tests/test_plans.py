@@ -68,7 +68,14 @@ def test_both_halves_share_one_scan_and_shuffle(order_pairs, monkeypatch, wide):
 
 def test_empty_half_is_dropped(order_pairs):
     text = final_plan(invert.employee_categories(order_pairs, category_ids(order_pairs)))
-    assert "REPARTITION_BY_COL" not in text and "Union" not in text
+    assert "REPARTITION_BY" not in text and "Union" not in text
+
+
+def test_parts_of_large_lists_are_spread(spark):
+    rows = spark.range(5000).selectExpr("'hot' AS empId", "concat('c', id % 2) AS categoryId")
+    records = invert.employee_categories(rows, ["c0", "c1"], max_list=10)
+    filled = records.select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    assert len(filled) == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def test_source_tags_become_constants(spark):

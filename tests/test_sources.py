@@ -1,5 +1,6 @@
 """Avro files, category specs, locations, snapshots and dates."""
 
+import random
 from types import SimpleNamespace
 
 import pytest
@@ -8,13 +9,14 @@ from pyspark.sql import functions as F
 
 from memberfold.functions.dates import compute_date, input_date, local_date
 from memberfold.functions.locations import lookup_address
+from memberfold.functions.spec import is_malformed
 from memberfold.operators.categories import parse_specs, resolve_locations
 from memberfold.operators.snapshots import latest_snapshot
 from memberfold.schemas import EMPLOYEE
 from memberfold.session import shared_folder
 from memberfold.sources.avro import avro_format, read_members
 from memberfold.sources.members import collect_locations, scan_categories
-from memberfold.sources.snapshots import list_snapshots
+from memberfold.sources.snapshots import latest_paths
 
 
 def write_members(spark, path, *ids, **options):
@@ -121,6 +123,45 @@ def test_long_spec_keeps_the_last_of_every_id(spark):
     assert parse(spark, "_".join(f"{id_}#{name}" for id_, name in entries)) == dict(entries)
 
 
+def split_like_the_format(text, delimiter):
+    """Pieces of a text, without trailing empty ones; an empty text is one empty piece."""
+    pieces = text.split(delimiter)
+    while len(pieces) > 1 and not pieces[-1]:
+        pieces.pop()
+    return [] if pieces == [""] and text else pieces
+
+
+def model(spec):
+    """What a spec means, or None if it is malformed."""
+    found = {}
+    for entry in split_like_the_format(spec, "_"):
+        fields = split_like_the_format(entry, "#")
+        if len(fields) < 2:
+            return None
+        found[fields[0]] = fields[1]
+    return found
+
+
+def test_random_specs(spark):
+    rng = random.Random(5)
+    specs = {"".join(rng.choices("ab1#_", k=rng.randint(0, 12))) for _ in range(20_000)}
+    expected = {text: model(text) for text in specs}
+    valid = [(text,) for text, meaning in expected.items() if meaning is not None]
+    assert len(valid) > 500
+    rows = parse_specs(spark.createDataFrame(valid, "spec string"), "spec", "spec").collect()
+    found = {text: {} for (text,) in valid}
+    for row in rows:
+        assert row.category_id not in found[row.spec]
+        found[row.spec][row.category_id] = row.category_name
+    assert found == {text: expected[text] for (text,) in valid}
+
+    # the malformed ones, all at once: each must be caught by the check
+    malformed = [(text,) for text, meaning in expected.items() if meaning is None]
+    frame = spark.createDataFrame(malformed, "spec string")
+    caught = frame.where(is_malformed(F.col("spec"))).count()
+    assert caught == len(malformed) > 500
+
+
 # --- locations ----------------------------------------------------------------
 
 BODIES = "category_id string, body string"
@@ -171,16 +212,15 @@ def test_latest_by_string_order(spark):
     assert found == {"/d": "/d/9", "/none": ""}
 
 
-def test_listing(spark, tmp_path):
-    for day in ["2024-01-02", "2024-01-10"]:
-        (tmp_path / "d" / day).mkdir(parents=True)
+def test_latest_of_each_root_can_be_read(spark, tmp_path):
+    write_members(spark, tmp_path / "d" / "2024-01-02", "old")
+    write_members(spark, tmp_path / "d" / "2024-01-10", "new")
     (tmp_path / "empty").mkdir()
     roots = [str(tmp_path / name) for name in ["d", "empty", "absent"]]
-    frame = spark.createDataFrame([(root,) for root in roots], "root string")
-    rows = latest_snapshot(frame, list_snapshots(spark, *roots)).collect()
-    found = {row.root: row.latest for row in rows}
+    found = latest_paths(spark, *roots, roots[0])
     assert found[roots[0]].endswith("/d/2024-01-10")
     assert found[roots[1]] == found[roots[2]] == ""
+    assert [row.empid for row in read_members(spark, found[roots[0]]).collect()] == ["new"]
 
 
 # --- dates --------------------------------------------------------------------
