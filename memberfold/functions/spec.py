@@ -8,33 +8,21 @@ from pyspark.sql import Column, functions as F
 ENTRY_DELIMITER = "_"
 FIELD_DELIMITER = "#"
 
-# An entry with nothing, or only further delimiters, after its id.
-_MALFORMED = "(^|_)[^_#]*#*(_|$)"
-
-
-def _without_trailing(spec: Column) -> Column:
-    return F.rtrim(spec, F.lit(ENTRY_DELIMITER))
-
-
-def _has_no_entries(spec: Column) -> Column:
-    return (_without_trailing(spec) == "") & (spec != "")
+# What makes a spec malformed: an entry with nothing but further delimiters after its
+# id, an empty entry with another one after it, or nothing at all.
+_MALFORMED = "(^|_)([^_#]+#*|#+)(_|$)|(^|_)_+[^_]|^$"
 
 
 def is_malformed(spec: Column) -> Column:
     """True for a null spec or one with an entry that lacks a name."""
-    return spec.isNull() | (
-        ~_has_no_entries(spec) & _without_trailing(spec).rlike(_MALFORMED)
-    )
+    return spec.isNull() | spec.rlike(_MALFORMED)
 
 
-def _checked(spec: Column) -> Column:
-    """The spec without trailing delimiters; null if it has nothing else."""
+def _entries(spec: Column) -> Column:
+    """The entries of a spec that is well formed, where only trailing ones can be empty."""
     problem = F.concat(F.lit("malformed category spec: "), F.coalesce(spec, F.lit("null")))
-    return (
-        F.when(is_malformed(spec), F.raise_error(problem).cast("string"))
-        .when(_has_no_entries(spec), F.lit(None))
-        .otherwise(_without_trailing(spec))
-    )
+    checked = F.when(is_malformed(spec), F.raise_error(problem).cast("string")).otherwise(spec)
+    return F.array_remove(F.split(checked, ENTRY_DELIMITER), "")
 
 
 def ranked_entries(spec: Column) -> Column:
@@ -45,7 +33,7 @@ def ranked_entries(spec: Column) -> Column:
     """
     return F.sort_array(
         F.transform(
-            F.split(_checked(spec), ENTRY_DELIMITER),
+            _entries(spec),
             lambda entry, position: F.struct(
                 F.substring_index(entry, FIELD_DELIMITER, 1).alias("id"),
                 (-position).alias("rank"),

@@ -11,10 +11,12 @@ from memberfold.functions.spec import entry_name, ranked_entries, winning_entrie
 def parse_specs(specs: DataFrame, spec: str | Column, *keys: str) -> DataFrame:
     """``keys..., category_id, category_name`` for every row of ``specs``.
 
-    The last entry of a repeated id wins. All of it happens within the row.
+    The last entry of a repeated id wins. All of it happens within the row, in steps,
+    as the optimizer keeps a column that is used more than once.
     """
     column = F.col(spec) if isinstance(spec, str) else spec
-    ranked = specs.select(*keys, ranked_entries(column).alias("ranked"))
+    text = specs.select(*[F.col(key) for key in keys], column.alias("_spec"))
+    ranked = text.select(*keys, ranked_entries(F.col("_spec")).alias("ranked"))
     return ranked.select(*keys, F.inline(winning_entries("ranked"))).select(
         *keys, F.col("id").alias("category_id"), entry_name(F.col("entry")).alias("category_name")
     )
