@@ -28,6 +28,15 @@ from memberfold.session import shared_folder
 from memberfold.sources.avro import avro_format, read_key_values, read_members
 from memberfold.sources.members import collect_locations, scan_categories
 
+try:  # the subpackage and its pipeline are optional
+    from memberfold.llm import queries as text_queries
+except ImportError:
+    text_queries = None
+try:
+    import corpus_pipeline
+except ImportError:
+    corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 TOPIC = "employee-categories"
 # Splits the messages of the small test tables about evenly.
@@ -228,9 +237,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "publish_envelope": publish_envelope,
         "publish_envelope_unkeyed": publish_envelope_unkeyed,
         "publish_outcome": outcome,
+        **_text_queries(),
     }
 
 
+def _text_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = {} if text_queries is None else text_queries.queries()
+    return found if corpus_pipeline is None else {**found, "pipeline": corpus_pipeline.run}
+
+
+def _text_sql() -> dict[str, str]:
+    found = {} if text_queries is None else text_queries.oracle_sql()
+    if corpus_pipeline is None or corpus_pipeline.ORACLE_SQL is None:
+        return found
+    return {**found, "pipeline": corpus_pipeline.ORACLE_SQL}
+
+
 _SOURCE_PAIRS_SQL = " UNION ALL ".join(
     f"SELECT CAST({key} AS VARCHAR) AS \"empId\", '{name}' AS \"categoryId\" FROM {name}"
     for name, key in SOURCES.items()
@@ -334,4 +356,5 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL
             SELECT 'KAFKA_FAILURES', CAST(count(*) FILTER (bytes > {SMALL_MESSAGE}) AS BIGINT)
             FROM sizes""",
+        **_text_sql(),
     }
