@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from memberfold.llm import decontaminate, fingerprints, language_id, mixture, quality_crf
-from memberfold.llm import token_counts, token_file, url_reputation
+from memberfold.llm import decontaminate, fingerprints, language_id, mixture, ngram_join, quality_crf
+from memberfold.llm import substring_dedup, token_counts, token_file, url_reputation
 from memberfold.llm.common import table
 
 ALLOW = ("example.net/en/", "org/fr/")
@@ -69,6 +69,15 @@ def op7_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return substring_dedup.without_repeats(documents, digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return language_id.identify(documents, table(spark, sf_dir, "pages")).select(
@@ -85,6 +94,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op5_url_reputation,
         op6_quality_crf,
         op7_benchmark_containment,
+        op8_repeated_passages,
+        op9_ngram_join,
         op10_language_id,
     ]
     return {f.__name__: f for f in found}
