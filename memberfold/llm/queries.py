@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from memberfold.llm import decontaminate, fingerprints, language_id, mixture, ngram_join, quality_crf
-from memberfold.llm import substring_dedup, token_counts, token_file, url_reputation
+from memberfold.llm import decontaminate, fingerprints, language_id, mixture, ngram_join, oracles
+from memberfold.llm import quality_crf, substring_dedup, token_counts, token_file, url_reputation
 from memberfold.llm.common import table
 
 ALLOW = ("example.net/en/", "org/fr/")
@@ -47,7 +47,8 @@ def op5_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     labels = table(spark, sf_dir, "labels")
     outcomes = labels.select(F.col("doc_id").alias("page_id"), (F.col("quality") == 1).alias("good"))
-    return url_reputation.judge_urls(pages, outcomes, BLOCK, ALLOW)
+    judged = url_reputation.judge_urls(pages, outcomes, BLOCK, ALLOW)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -102,4 +103,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        op5_url_reputation.__name__: oracles.url_reputation(BLOCK, ALLOW),
+        op7_benchmark_containment.__name__: oracles.BENCHMARK_CONTAINMENT,
+        op8_repeated_passages.__name__: oracles.REPEATED_PASSAGES,
+        op9_ngram_join.__name__: oracles.NGRAM_JOIN,
+    }
