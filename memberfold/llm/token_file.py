@@ -10,8 +10,10 @@ at which every STRIDE-th code of the block starts, from where decoding can begin
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,6 +32,8 @@ BLOCK = 1 << 19
 # Distinct ids that a code book may have: the vocabulary's size bounds it.
 MAX_IDS = 1 << 20
 END = 0
+# Bytes of text that are encoded at a time.
+ENCODED_BYTES = 1 << 20
 
 # A space between two characters that are not white space always starts a new piece of
 # text for the tokenizer, so what follows from it can be encoded by itself.
@@ -39,9 +43,11 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 class Encoder:
     """Encodes whole texts piece by piece and remembers the ids of pieces it has met."""
 
-    LIMIT = 300_000
+    LIMIT = 100_000  # pieces kept between texts
+    AT_ONCE = 10_000  # pieces the tokenizer is given at a time
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -50,8 +56,10 @@ class Encoder:
 
     def _learn(self, known: dict[str, bytes], pieces: set[str], before: str) -> None:
         new = list(pieces.difference(known))
-        found = self.tokenizer.encode_batch_fast([before + p for p in new], add_special_tokens=False)
-        known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(new, found))
+        for start in range(0, len(new), self.AT_ONCE):
+            part = new[start : start + self.AT_ONCE]
+            found = self.tokenizer.encode_batch_fast([before + p for p in part], add_special_tokens=False)
+            known.update((p, array("I", e.ids).tobytes()) for p, e in zip(part, found))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
@@ -77,7 +85,7 @@ def encode_documents(documents: DataFrame, tokenizer: str, end: int = END) -> Da
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer)
-        for batch in sliced(batches):
+        for batch in sliced(batches, limit=ENCODED_BYTES):
             texts = [x.decode() for x in as_bytes(batch.column("text"))]
             ids = [np.frombuffer(x + end.to_bytes(4, "little"), "<u4") for x in encoder.encode(texts)]
             yield pa.RecordBatch.from_arrays(
