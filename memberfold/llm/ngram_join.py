@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from memberfold.llm.common import WordHashes, as_bytes, run_hashes, sliced, written
+from memberfold.llm.common import WordHashes, as_bytes, run_hashes, sliced, small, written
 from memberfold.llm.components import components
 
 WORDS = 5
@@ -35,16 +35,27 @@ SALTS = 32
 _LOW = np.uint64(CELLS - 1)
 
 
-def ngram_set(text: bytes, hashes: WordHashes, k: int = WORDS) -> np.ndarray:
-    """Hashes of the distinct k-word n-grams; with fewer words, of the whole sequence."""
-    words = text.lower().split()
-    return np.unique(run_hashes(hashes.array(words), min(k, len(words)))) if words else np.zeros(0, np.uint64)
+def _grams(texts: list[bytes], hashes: WordHashes, k: int = WORDS) -> list[np.ndarray]:
+    """Hashes of each text's k-word n-grams; with fewer words, of the whole sequence."""
+    words = [t.lower().split() for t in texts]
+    sizes = np.array([len(w) for w in words], np.int64)
+    coded = hashes.array([w for one in words for w in one])
+    ends = np.cumsum(sizes)
+    runs = run_hashes(coded, k)  # those that reach over the end of a text are left out
+    found = []
+    for size, end in zip(sizes.tolist(), ends.tolist()):
+        if size >= k:
+            found.append(runs[end - size : end - k + 1])
+        else:
+            found.append(run_hashes(coded[end - size : end], size) if size else coded[:0])
+    return found
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Batches with the set of n-grams of each text, sorted by hash."""
     hashes = WordHashes()
     for batch in sliced(batches):
-        yield batch, [ngram_set(t, hashes) for t in as_bytes(batch.column("text"))]
+        yield batch, [np.unique(g) for g in _grams(as_bytes(batch.column("text")), hashes)]
 
 
 def _set_id(grams: np.ndarray) -> int | None:
@@ -62,14 +73,19 @@ def _set_id(grams: np.ndarray) -> int | None:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    total = np.zeros(CELLS, np.int64)
-    for _, sets in _sets(batches):
-        total += np.bincount((np.concatenate([*sets, np.zeros(0, np.uint64)]) & _LOW).astype(np.int64), minlength=CELLS)
+    total, hashes = np.zeros(CELLS, np.int64), WordHashes()
+    for batch in sliced(batches):
+        grams = np.concatenate([*_grams(as_bytes(batch.column("text")), hashes), np.zeros(0, np.uint64)])
+        total += np.bincount((grams & _LOW).astype(np.int64), minlength=CELLS)
     if total.any():
         n = CELLS // ROW
         salt = TaskContext.get().partitionId() % SALTS
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(n), pa.int32()), pa.array(np.full(n, salt), pa.int32()), pa.array(list(total.reshape(n, ROW)), pa.list_(pa.int64()))],
+            [
+                pa.array(np.arange(n), pa.int32()),
+                pa.array(np.full(n, salt), pa.int32()),
+                pa.array(list(total.reshape(n, ROW)), pa.list_(pa.int64())),
+            ],
             names=["row", "salt", "counts"],
         )
 
@@ -117,30 +133,30 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
 # --- Sets, candidates, fragments.
 
 
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, sets in _sets(batches):
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([_set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())],
-            names=["doc_id", "sid", "n"],
-        )
-
-
-def _prefixes(order: Broadcast):
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()  # equal sets of a task count once
-        for _, sets in _sets(batches):
-            keys, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for grams in sets:
-                sid = _set_id(grams)
-                if sid is None or sid in done:
-                    continue
-                if len(done) < 200_000:
+def _describe(order: Broadcast):
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each set's identity, size and prefix; equal sets of a task give it once."""
+        done: set[int | None] = {None}
+        for batch, sets in _sets(batches):
+            sids = [_set_id(s) for s in sets]
+            prefixes = []
+            for sid, grams in zip(sids, sets):
+                new = sid not in done
+                if new and len(done) < 200_000:
                     done.add(sid)
-                keys.append(_ordered(grams, order.value[0])[: prefix_length(len(grams))])
-                owners.append(np.full(len(keys[-1]), sid))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(owners))], names=["gram", "sid"])
+                keys = _ordered(grams, order.value[0])[: prefix_length(len(grams))] if new else None
+                prefixes.append(keys)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    pa.array(sids, pa.int64()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(prefixes, pa.list_(pa.int64())),
+                ],
+                names=["doc_id", "sid", "n", "prefix"],
+            )
 
-    return prefixes
+    return describe
 
 
 def _fragments(order: Broadcast):
@@ -169,10 +185,6 @@ def _alike(overlap, n, m):
     return overlap * 100 >= (n + m - overlap) * PERCENT
 
 
-def _near_sizes(n, m):
-    return F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
-
-
 def _compare(group: pa.Table) -> pa.Table:
     """Links between two blocks, as many as join what is not joined yet."""
     sides: list[dict[int, list]] = [{}, {}]
@@ -180,7 +192,7 @@ def _compare(group: pa.Table) -> pa.Table:
         group.column("side").to_pylist(), group.column("sid").to_pylist(), group.column("label").to_pylist(), group.column("grams").combine_chunks()
     ):
         sides[side].setdefault(sid, [label]).append(grams.values.to_numpy())
-    mine, theirs = ([(sid, x[0], np.concatenate(x[1:])) for sid, x in side.items()] for side in sides)
+    mine, theirs = ([(sid, x[0], np.unique(np.concatenate(x[1:]))) for sid, x in side.items()] for side in sides)
     found: list[tuple[int, int]] = []
     if mine and theirs:
         common = np.intersect1d(np.concatenate([x[2] for x in mine]), np.concatenate([x[2] for x in theirs]))
@@ -214,55 +226,107 @@ def _incidence(side: list[tuple], columns: np.ndarray) -> np.ndarray:
     return out
 
 
-def _first_links(members: DataFrame, fragments: DataFrame) -> DataFrame:
-    """Links of members with their pivots: partial overlaps by fragment, summed."""
-    pairs = members.where((F.col("sid") != F.col("pivot")) & _near_sizes(F.col("n"), F.col("pivot_n")))
-    left = pairs.join(fragments, "sid")
-    right = fragments.select(F.col("sid").alias("pivot"), "fragment", F.col("grams").alias("pivot_grams"))
-    shared = F.size(F.array_intersect("grams", "pivot_grams"))
-    return (
-        left.join(right, ["pivot", "fragment"])
-        .groupBy("sid", "pivot", "n", "pivot_n")
-        .agg(F.sum(shared).alias("overlap"))
-        .where(_alike(F.col("overlap"), F.col("n"), F.col("pivot_n")))
-        .select(F.col("sid").alias("a"), F.col("pivot").alias("b"))
+def _first_links(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
+    """Links of documents with their pivots: partial overlaps by fragment, summed."""
+    pivots = fragments.join(small(pairs.select(F.col("pivot").alias("sid")).distinct()), "sid", "left_semi")
+    right = pivots.select(F.col("sid").alias("pivot"), "fragment", F.col("grams").alias("pivot_grams"))
+    left = fragments.join(small(pairs), "sid")
+    shared = F.size(F.array_intersect("grams", "pivot_grams")).alias("shared")
+    overlaps = left.join(right, ["pivot", "fragment"]).select("sid", "pivot", "n", "pivot_n", "fragment", shared)
+    # A text that comes twice under one doc_id has its fragments twice.
+    overlaps = overlaps.groupBy("sid", "pivot", "n", "pivot_n", "fragment").agg(F.max("shared").alias("shared"))
+    overlaps = overlaps.groupBy("sid", "pivot", "n", "pivot_n").agg(F.sum("shared").alias("overlap"))
+    return overlaps.where(_alike(F.col("overlap"), F.col("n"), F.col("pivot_n"))).select(
+        F.col("sid").alias("a"), F.col("pivot").alias("b")
     )
 
 
-def _rest_links(members: DataFrame, fragments: DataFrame, labels: DataFrame) -> DataFrame:
-    """Links between members of a pivot that the first links leave in different groups.
+def _rest_cells(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of block pairs that may link what the first links leave in different groups.
 
-    The members outside the pivot's own group are cut into blocks, and so is the group;
-    the former are compared with both, block by block.
+    The members of a pivot outside the pivot's own group are cut into blocks, and so is
+    the group; the former meet both, block by block.
     """
     labels = labels.select(F.col("node").alias("sid"), F.col("component").alias("label"))
-    named = members.join(labels, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    named = members.select("pivot", "sid", "size.*").join(labels, "sid", "left")
     own = labels.select(F.col("sid").alias("pivot"), F.col("label").alias("own"))
-    named = named.join(own, "pivot", "left").withColumn("own", F.coalesce("own", "pivot"))
-    named = written(named.select("pivot", "sid", "n", "label", (F.col("label") == F.col("own")).alias("inside")), "members")
+    named = named.join(own, "pivot", "left").withColumn("label", F.coalesce("label", "sid"))
+    inside = F.col("label") == F.coalesce("own", "pivot")
+    named = written(named.select("pivot", "sid", "n", "alone", "last", "label", inside.alias("inside")), "members")
 
-    def blocks(inside):
-        one = F.when(F.col("inside") == inside, F.lit(1)).otherwise(F.lit(0))
-        n = F.when(F.col("inside") == inside, F.col("n")).otherwise(F.lit(0))
+    def blocks(wanted):
+        one = F.when(wanted, F.lit(1)).otherwise(F.lit(0))
+        n = F.when(wanted, F.col("n")).otherwise(F.lit(0))
         return F.ceil(F.greatest(F.sum(one) / BLOCK_DOCUMENTS, F.sum(n) / BLOCK_NGRAMS)).cast("int")
 
-    sizes = named.groupBy("pivot").agg(blocks(True).alias("n_in"), blocks(False).alias("n_out"))
+    sizes = named.groupBy("pivot").agg(blocks(F.col("inside")).alias("n_in"), blocks(~F.col("inside")).alias("n_out"))
     placed = named.join(sizes.where("n_out > 0"), "pivot")
-    upto = lambda n: F.sequence(F.lit(0), n - 1)
     spread = F.abs(F.xxhash64("sid") % 1_000_003)
-    mine_in, mine_out = spread % F.col("n_in"), spread % F.col("n_out")
-    cell = lambda side, kind, i, j: F.struct(
-        F.lit(side).alias("side"), F.lit(kind).alias("kind"), i.cast("int").alias("i"), j.cast("int").alias("j")
-    )
-    from_in = F.transform(upto(F.col("n_out")), lambda i: cell(1, 0, i, mine_in))
+    mine_in, mine_out = (spread % F.col("n_in")).cast("int"), (spread % F.col("n_out")).cast("int")
+
+    def cells(side, kind, first, last, cell):
+        made = F.transform(F.sequence(first, last), cell)
+        return F.transform(made, lambda c: F.struct(F.lit(side).alias("side"), F.lit(kind).alias("kind"), c["i"].alias("i"), c["j"].alias("j")))
+
+    at = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    zero = F.lit(0)
+    from_in = cells(1, 0, zero, F.col("n_out") - 1, lambda i: at(i, mine_in))
     from_out = F.concat(
-        F.transform(upto(F.col("n_in")), lambda j: cell(0, 0, mine_out, j)),
-        F.transform(F.sequence(mine_out.cast("int"), F.col("n_out") - 1), lambda k: cell(0, 1, mine_out, k)),
-        F.transform(F.sequence(F.lit(0), mine_out.cast("int")), lambda k: cell(1, 1, k, mine_out)),
+        F.when(F.col("n_in") > 0, cells(0, 0, zero, F.greatest(F.col("n_in") - 1, zero), lambda j: at(mine_out, j))).otherwise(F.array()),
+        cells(0, 1, mine_out, F.col("n_out") - 1, lambda k: at(mine_out, k)),
+        cells(1, 1, zero, mine_out, lambda k: at(k, mine_out)),
+    )
+    spots = F.explode(F.when(F.col("inside"), from_in).otherwise(from_out)).alias("c")
+    rows = placed.select("pivot", "sid", "label", "n", "alone", "last", spots)
+    rows = rows.select("pivot", "c.kind", "c.i", "c.j", "c.side", "sid", "label", "n", "alone", "last")
+    kind = "pivot long, kind int, i int, j int, side int, sid long, label long"
+    return rows.groupBy("pivot", "kind", "i", "j").applyInArrow(_screen, kind)
+
+
+def _members(buckets: DataFrame, sets: DataFrame) -> DataFrame:
+    """What shares a prefix n-gram with a pivot, with ``size`` and bounds of both.
+
+    The pivot of an n-gram is the document with the greatest share of shared ones.
+    ``alone`` counts the prefix n-grams that no other prefix has, ``last`` is the
+    prefix's last n-gram in the global order.
+    """
+    n = F.col("n")
+    prefix = n - F.ceil(n * PERCENT / 100) + 1
+    shared = buckets.groupBy("sid").agg(F.count("*").alias("shared")).join(sets, "sid")
+    central = shared.select(
+        "sid", F.struct("n", (prefix - F.col("shared")).alias("alone"), "last").alias("size"), (F.col("shared") / n).alias("share")
     )
-    cells = placed.select("pivot", "sid", "label", F.explode(F.when(F.col("inside"), from_in).otherwise(from_out)).alias("c"))
-    rows = cells.select("pivot", "sid", "label", "c.*").join(fragments.select("sid", "grams"), "sid")
-    return rows.groupBy("pivot", "kind", "i", "j").applyInArrow(_compare, "a long, b long")
+    ranked = buckets.join(central, "sid")
+    pivots = ranked.groupBy("gram").agg(F.max(F.struct("share", "sid", "size")).alias("best"))
+    pivots = pivots.select("gram", F.col("best.sid").alias("pivot"), F.col("best.size").alias("pivot_size"))
+    return ranked.join(pivots, "gram").select("sid", "size", "pivot", "pivot_size").distinct()
+
+
+def _possible(a, b):
+    """Whether two documents may link, by their sizes and prefixes alone.
+
+    Of two documents, that whose prefix ends first has all its common prefix n-grams in
+    the other one's prefix as well; those that no other prefix has are not common.
+    """
+    held = lambda x: x["n"] - x["alone"]
+    most = F.when(a["last"] < b["last"], held(a)).when(a["last"] > b["last"], held(b))
+    most = most.otherwise(F.least(held(a), held(b)))
+    near = F.least(a["n"], b["n"]) * 100 >= F.greatest(a["n"], b["n"]) * PERCENT
+    return near & (most * (100 + PERCENT) >= (a["n"] + b["n"]) * PERCENT)
+
+
+def _screen(group: pa.Table) -> pa.Table:
+    """The rows of two blocks that may link to one of another label across them."""
+    side = group.column("side").to_numpy()
+    n, alone, last, label = (group.column(c).to_numpy() for c in ("n", "alone", "last", "label"))
+    a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    x, y = a[:, None], b[None, :]
+    most = np.where(last[x] < last[y], n[x] - alone[x], n[y] - alone[y])
+    most = np.where(last[x] == last[y], np.minimum(n[x] - alone[x], n[y] - alone[y]), most)
+    may = (most * (100 + PERCENT) >= (n[x] + n[y]) * PERCENT) & (label[x] != label[y])
+    may &= np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * PERCENT
+    rows = np.concatenate([a[may.any(axis=1)], b[may.any(axis=0)]])
+    return group.select(["pivot", "kind", "i", "j", "side", "sid", "label"]).take(pa.array(rows))
 
 
 def near_groups(documents: DataFrame) -> DataFrame:
@@ -277,34 +341,41 @@ def near_groups(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     documents = documents.select("doc_id", "text")
     order = spark.sparkContext.broadcast(global_order(documents))
-    described = written(documents.mapInArrow(_describe, "doc_id long, sid long, n long"), "sets")
-    sets = described.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
-    sets = written(sets, "distinct")
+    kind = "doc_id long, sid long, n long, prefix array<long>"
+    described = written(documents.mapInArrow(_describe(order), kind), "sets")
+    sets = described.where("sid IS NOT NULL").groupBy("sid")
+    of_set = (
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.max(F.array_max("prefix")).alias("last")
+    )
+    sets = written(sets.agg(*of_set), "distinct")
 
-    rows = documents.mapInArrow(_prefixes(order), "gram long, sid long")
-    shared = rows.groupBy("gram").agg(F.min("sid").alias("x"), F.max("sid").alias("y")).where("x <> y").select("gram")
+    rows = described.select(F.explode("prefix").alias("gram"), "sid")
+    shared = rows.groupBy("gram").agg(F.min("sid").alias("x"), F.max("sid").alias("y"))
+    shared = shared.where("x <> y").select("gram")
     buckets = written(rows.join(shared, "gram").distinct(), "buckets")
-    central = buckets.groupBy("sid").agg(F.count("*").alias("shared")).join(sets.select("sid", "n"), "sid")
-    central = central.select("sid", "n", (F.col("shared") / F.col("n")).alias("share"))
-    ranked = buckets.join(central, "sid")
-    best = F.max(F.struct("share", "sid", "n"))
-    pivots = ranked.groupBy("gram").agg(best.alias("best"))
-    pivots = pivots.select("gram", F.col("best.sid").alias("pivot"), F.col("best.n").alias("pivot_n"))
-    members = ranked.join(pivots, "gram").select("pivot", "pivot_n", "sid", "n").distinct()
-    members = written(members, "candidates")
-
-    wanted = members.select("sid").distinct().join(sets.select("sid", F.col("doc_id").alias("of")), "sid")
-    texts = documents.join(wanted, documents["doc_id"].eqNullSafe(F.col("of"))).select("sid", "text")
-    parts = texts.mapInArrow(_fragments(order), "sid long, fragment int, grams array<long>")
-    fragments = written(parts.dropDuplicates(["sid", "fragment"]), "fragments")
-
-    links = written(_first_links(members, fragments), "links")
-    rest = written(_rest_links(members, fragments, components(links)), "links")
+    members = written(_members(buckets, sets), "candidates")
+
+    def fragments(sids: DataFrame) -> DataFrame:
+        wanted = sids.select("sid").distinct().join(sets.select("sid", F.col("doc_id").alias("of")), "sid")
+        wanted = small(written(wanted, "wanted"))
+        texts = documents.join(wanted, documents["doc_id"].eqNullSafe(F.col("of"))).select("sid", "text")
+        kind = "sid long, fragment int, grams array<long>"
+        return written(texts.mapInArrow(_fragments(order), kind), "fragments")
+
+    pairs = members.where((F.col("sid") != F.col("pivot")) & _possible(F.col("size"), F.col("pivot_size")))
+    pairs = pairs.select("sid", "size.n", "pivot", F.col("pivot_size.n").alias("pivot_n"))
+    ends = pairs.select(F.explode(F.array("sid", "pivot")).alias("sid"))
+    links = written(_first_links(pairs, fragments(ends)), "links")
+    cells = written(_rest_cells(members, components(links)), "cells")
+    rows = fragments(cells).select("sid", "grams").join(small(cells), "sid")
+    rest = rows.groupBy("pivot", "kind", "i", "j").applyInArrow(_compare, "a long, b long")
+    rest = written(rest, "links")
     labels = components(links.unionAll(rest))
     label = F.coalesce("component", "sid")
     joined = sets.join(labels, sets["sid"] == labels["node"], "left").select("sid", "doc_id", label.alias("label"))
     names = joined.groupBy("label").agg(F.min("doc_id").alias("name"))
     named = joined.join(names, "label").select(F.col("sid").alias("of"), "name")
+    described = described.select("doc_id", "sid", "n")
     return described.join(named, described["sid"] == F.col("of"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("name", "doc_id").alias("component_id")
     )
