@@ -80,10 +80,11 @@ class Counter:
         return count[n]
 
     def text(self, text: str) -> int:
-        """Pieces of a text: every space becomes the mark, and one is put before the text."""
+        """Pieces of a text: spaces become the mark, and a text that does not start with it gets one."""
         if not text:
             return 0
-        words = (SPACE + text.replace(" ", SPACE)).split(SPACE)
+        marked = text.replace(" ", SPACE)
+        words = (marked if marked.startswith(SPACE) else SPACE + marked).split(SPACE)
         # Marks that follow one another belong to the word after them.
         total, known, marks = 0, self.known, 0
         last = len(words) - 1
