@@ -1,0 +1,76 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from memberfold.llm import decontaminate, oracles
+from memberfold.llm.decontaminate import contained_items, without_items
+
+ALPHABET = [f"w{k}" for k in range(400)]
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)} - {()}
+
+
+def brute(rows, items):
+    docs, named = {}, {}
+    for d, t in rows:
+        docs.setdefault(d, set()).update(shingles(t))
+    for i, t in items:
+        named.setdefault(i, set()).update(shingles(t))
+    return {
+        (d, i, len(s), len(s & docs[d]))
+        for d in docs for i, s in named.items()
+        if None not in (d, i) and s & docs[d] and len(s & docs[d]) * 100 >= len(s) * 80
+    }
+
+
+@pytest.fixture
+def fixture(spark, documents):
+    rng = random.Random(4)
+    text = lambda n: " ".join(rng.choices(ALPHABET, k=n))
+    items = [(k, text(rng.choice([4, 5, 6, 9, 17, 40, 60]))) for k in range(60)]
+    items += [(70, None), (71, ""), (72, "Only Three Words"), (None, text(30)), (5, text(12)), (6, items[6][1])]
+    rows = []
+    for k in range(300):
+        words = text(rng.choice([3, 60, 900])).split()
+        passage = (items[k % 60][1] or "").split()
+        for _ in range(k % 5):  # some words of the passage are changed
+            passage[rng.randrange(len(passage))] = "changed"
+        at = rng.randrange(len(words))
+        rows.append((k, " ".join(words[:at] + passage + words[at:]).upper() if k % 3 else " ".join(words)))
+    rows += [(900, None), (901, " "), (902, "only three words"), (None, items[9][1]), (3, items[8][1]), (3, items[8][1])]
+    return rows, items, documents(rows), spark.createDataFrame([(*i, "x") for i in items], "item_id long, text string, doc_id string")
+
+
+def test_every_contained_item_is_found(fixture, sql):
+    rows, items, documents, benchmark = fixture
+    want = brute(rows, items)
+    got = [tuple(r) for r in contained_items(documents, benchmark).collect()]
+    assert len(want) > 50 and sorted(got) == sorted(want)
+    named = lambda f, c: f.where(F.col(c).isNotNull())
+    found = sql(oracles.BENCHMARK_CONTAINMENT, documents=named(documents, "doc_id"), benchmark=named(benchmark, "item_id"))
+    assert {tuple(r[c] for c in ("doc_id", "item_id", "item_size", "n_found")) for r in found} >= {w for w in want if w[0] != 3 and w[1] not in (5, 6)}
+
+
+def test_large_benchmarks_are_not_broadcast(fixture, monkeypatch):
+    rows, items, documents, benchmark = fixture
+    monkeypatch.setattr(decontaminate, "small", lambda frame: frame)
+    assert sorted(tuple(r) for r in contained_items(documents, benchmark).collect()) == sorted(brute(rows, items))
+
+
+def test_documents_without_items_stay_whole(fixture):
+    rows, items, documents, benchmark = fixture
+    bad = {d for d, *_ in brute(rows, items)}
+    kept = without_items(documents.withColumn("hash", F.lit(1)), benchmark)
+    assert kept.columns == [*documents.columns, "hash"]
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in kept.collect()) == sorted((str(d), str(t)) for d, t in rows if d not in bad)
+
+
+def test_empty_tables(spark, documents):
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert contained_items(documents([(1, "a b c d e f")]), none).count() == 0
+    assert without_items(documents([(1, "a"), (None, "b")]), none).count() == 2
+    assert contained_items(documents([]), spark.createDataFrame([(1, "a b c d e")], none.schema)).count() == 0
