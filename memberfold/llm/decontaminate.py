@@ -23,12 +23,17 @@ def runs(text: Column, k: int = WORDS) -> Column:
 
     Fewer words: the whole sequence as one. No words or a null text: an empty array.
     """
+    none = F.array().cast("array<string>")
+
+    def of(words: Column) -> Column:
+        n = F.size(words)
+        starts = F.sequence(F.lit(1), F.greatest(n - (k - 1), F.lit(1)))
+        each = F.transform(starts, lambda i: F.array_join(F.slice(words, i, k), " "))
+        return F.when(n > 0, each).otherwise(none)
+
     words = F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))
-    words = F.coalesce(words, F.array().cast("array<string>"))
-    n = F.size(words)
-    starts = F.sequence(F.lit(1), F.greatest(n - (k - 1), F.lit(1)))
-    each = F.transform(starts, lambda i: F.array_join(F.slice(words, i, k), " "))
-    return F.when(n > 0, each).otherwise(F.array().cast("array<string>"))
+    # Bound by an outer lambda, so that the text is cut once and not for every shingle.
+    return F.element_at(F.transform(F.array(F.coalesce(words, none)), of), 1)
 
 
 def sketch_length(size: Column, percent: int = CONTAINED) -> Column:
