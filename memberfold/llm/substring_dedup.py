@@ -4,28 +4,30 @@ A passage is at least WINDOW words long. Recurring passages are confirmed first:
 anchors (the least hash of the word runs in each window) point to the parts of documents
 that can recur at all, and the hashes of these parts' windows tell which do, and in
 which document first. The passages each document is first to hold are then compiled
-into Aho-Corasick automata, in shards of bounded size. Documents are streamed through
-the automata of the shards whose anchors they hold, and every occurrence is extended
-from the phrase found to the words around it, compared word by word.
+into Aho-Corasick automata, in shards of bounded size. A window's own words name its
+shard, so each is streamed through one automaton; what its phrases point to is compared
+word by word.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from memberfold.llm.common import WordHashes, as_bytes, run_hashes, sliced, written
+from memberfold.llm.common import WordHashes, as_bytes, mixed, run_hashes, sliced, small, written
 
 WINDOW = 50
 # Length of the runs from which anchors are chosen, and of the automata's phrases. Any
 # window holds a whole phrase of a passage cut every PHRASE words.
 PHRASE = 25
-# Words of passages in a shard, and words streamed through one copy of its automaton.
-SHARD_WORDS, STREAM_WORDS = 400_000, 1_500_000
+# The least hash of the runs of so many words in a window names its shard.
+ROUTE = 5
+# Words of recurring parts for a shard, and words streamed through one copy of its automaton.
+SHARD_WORDS, STREAM_WORDS = 100_000, 1_000_000
 _SYMBOLS = 1_100_000
 
 
@@ -37,11 +39,20 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(least[: len(values) - width + 1], least[width - have :])
 
 
-def window_anchors(words: np.ndarray) -> np.ndarray:
-    """For each window, the least hash of the runs of PHRASE words in it."""
+def window_least(words: np.ndarray, k: int) -> np.ndarray:
+    """For each window, the least hash of the runs of k words in it."""
     if len(words) < WINDOW:
-        return np.zeros(0, np.int64)
-    return _sliding_least(run_hashes(words, PHRASE), WINDOW - PHRASE + 1).view(np.int64)
+        return np.zeros(0, np.uint64)
+    return _sliding_least(run_hashes(words, k), WINDOW - k + 1)
+
+
+def window_anchors(words: np.ndarray) -> np.ndarray:
+    return window_least(words, PHRASE).view(np.int64)
+
+
+def window_shards(words: np.ndarray, shards: int) -> np.ndarray:
+    """Equal windows are in the same shard; neighbouring ones mostly are."""
+    return (mixed(window_least(words, ROUTE)) % np.uint64(shards)).astype(np.int64)
 
 
 def _text_id(text: bytes) -> int:
@@ -51,14 +62,34 @@ def _text_id(text: bytes) -> int:
     return int.from_bytes(xxhash.xxh3_64_digest(text), "big", signed=True)
 
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
-    for batch in sliced(batches):
-        found = [np.unique(window_anchors(hashes.array(t.split()))) for t in as_bytes(batch.column("text"))]
-        owners = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), [len(x) for x in found])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([*found, np.zeros(0, np.int64)])), pa.array(owners, pa.int64())], names=["anchor", "doc_id"]
-        )
+def _each_window(name: str, of: Callable[[np.ndarray], np.ndarray]):
+    """A row for each window's value and document; equal neighbours in a text give one."""
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in sliced(batches):
+            texts = [t.split() for t in as_bytes(batch.column("text"))]
+            coded = hashes.array([w for words in texts for w in words])
+            values, owners = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            if len(coded) >= WINDOW:
+                # All texts end to end: windows that reach over the end of one are left out.
+                text = np.repeat(np.arange(len(texts)), [len(words) for words in texts])
+                starts = text[: len(coded) - WINDOW + 1]
+                inside = starts == text[WINDOW - 1 :]
+                values, text = of(coded)[inside], starts[inside]
+                new = np.ones(len(values), bool)
+                new[1:] = (values[1:] != values[:-1]) | (text[1:] != text[:-1])
+                owners = batch.column("doc_id").to_numpy(zero_copy_only=False)[text[new]]
+                values = values[new]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values), pa.array(owners, pa.int64())], names=[name, "doc_id"]
+            )
+
+    return windows
+
+
+def _window_hashes(words: np.ndarray) -> np.ndarray:
+    return run_hashes(words, WINDOW).view(np.int64)
 
 
 def _runs(inside: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -94,89 +125,124 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     )
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
-    for batch in sliced(batches):
-        found = [np.unique(run_hashes(hashes.array(t.split()), WINDOW)).view(np.int64) for t in as_bytes(batch.column("text"))]
-        owners = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), [len(x) for x in found])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([*found, np.zeros(0, np.int64)])), pa.array(owners, pa.int64())], names=["window", "doc_id"]
-        )
+def _split(marked: np.ndarray, shards: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Shard and word range of each run of marked windows that go to one shard."""
+    turns = np.flatnonzero(np.diff(np.where(marked, shards, -1), prepend=-1, append=-1))
+    for start, stop in zip(turns, turns[1:]):
+        if marked[start]:
+            yield int(shards[start]), int(start), int(stop) - 1 + WINDOW
 
 
-_PASSAGE = "owner long, n long, text string, anchors array<long>"
+_PASSAGE = "shard long, owner long, text string"
 
 
-def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The runs of windows that a document is the first to hold and another holds too."""
-    hashes = WordHashes()
-    for batch in sliced(batches):
-        out = []
-        for owner, text, owned in zip(batch.column("doc_id").to_pylist(), as_bytes(batch.column("text")), batch.column("windows")):
-            words = text.split()
-            coded = hashes.array(words)
-            marked = np.isin(run_hashes(coded, WINDOW).view(np.int64), owned.values.to_numpy())
-            for start, end in _runs(marked):
-                anchors = np.unique(window_anchors(coded[start:end])).tolist()
-                out.append((owner, end - start, b" ".join(words[start:end]).decode(), anchors))
-        yield _batch(out, _PASSAGE)
+def _passages(shards: int):
+    def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The runs of windows that a document is the first to hold and another holds too."""
+        hashes = WordHashes()
+        for batch in sliced(batches):
+            out = []
+            for owner, text, owned in zip(
+                batch.column("doc_id").to_pylist(), as_bytes(batch.column("text")), batch.column("windows")
+            ):
+                words = text.split()
+                coded = hashes.array(words)
+                marked = np.isin(_window_hashes(coded), owned.values.to_numpy())
+                for shard, start, end in _split(marked, window_shards(coded, shards)):
+                    out.append((shard, owner, b" ".join(words[start:end]).decode()))
+            yield _batch(out, _PASSAGE)
+
+    return passages
+
+
+_STREAM = "shard long, doc_id long, text_id long, at long, n long, text string"
+
+
+def _streams(shards: int):
+    def streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Segments, cut into what each shard has to look at."""
+        hashes = WordHashes()
+        for batch in sliced(batches):
+            out = []
+            for doc_id, text_id, at, text in zip(
+                *(batch.column(c).to_pylist() for c in ("doc_id", "text_id", "at")),
+                as_bytes(batch.column("text")),
+            ):
+                words = text.split()
+                routed = window_shards(hashes.array(words), shards)
+                for shard, start, end in _split(np.ones(len(routed), bool), routed):
+                    part = b" ".join(words[start:end]).decode()
+                    out.append((shard, doc_id, text_id, at + start, end - start, part))
+            yield _batch(out, _STREAM)
+
+    return streams
 
 
 class Automaton:
-    """Finds where given passages occur, in windows of WINDOW words or more."""
+    """Finds where windows of given passages occur.
+
+    The automaton's phrases point to the windows that can match; a window is then looked
+    up by its hash among the passages' and compared word by word, once for each place,
+    however many passages hold the phrase.
+    """
 
     def __init__(self, passages: list[tuple[int, bytes]]):
         import ahocorasick
 
         self.codes: dict[bytes, int] = {}
-        self.passages: list[tuple[int, np.ndarray]] = []
-        phrases: dict[str, list[tuple[int, int]]] = {}
+        self.automaton = ahocorasick.Automaton()
+        words, hashes, owners, places, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [], [], 0
         for owner, text in passages:
-            words = text.split()
-            coded = np.array([self.codes.setdefault(w, len(self.codes) + 1) for w in words], np.int64)
+            coded = np.array([self.codes.setdefault(w, len(self.codes) + 1) for w in text.split()], np.uint64)
             line = self._symbols(coded)
-            for at in range(0, len(words) - PHRASE + 1, PHRASE):
-                phrases.setdefault(line[at : at + PHRASE], []).append((len(self.passages), at))
-            self.passages.append((owner, coded))
-        self.automaton = ahocorasick.Automaton()
-        for phrase, places in phrases.items():
-            self.automaton.add_word(phrase, places)
+            for at in range(0, len(coded) - PHRASE + 1, PHRASE):
+                self.automaton.add_word(line[at : at + PHRASE], PHRASE)
+            found = run_hashes(mixed(coded), WINDOW)
+            words.append(coded)
+            hashes.append(found)
+            owners += [owner] * len(found)
+            places += range(n, n + len(found))
+            n += len(coded)
         self.automaton.make_automaton()
+        self.words = np.concatenate(words)
+        hashes = np.concatenate(hashes)
+        # Of equal windows the one of the smallest owner is found.
+        order = np.lexsort((np.array(owners, np.int64), hashes))
+        self.hashes = hashes[order]
+        self.owners, self.places = np.array(owners, np.int64)[order], np.array(places, np.int64)[order]
 
     @staticmethod
     def _symbols(coded: np.ndarray) -> str:
         """A character a word; words that share one are told apart when compared."""
-        points = coded % _SYMBOLS
-        points = np.where(points >= 0xD800, points + 0x800, points)  # no surrogates
+        points = coded % np.uint64(_SYMBOLS)
+        points = np.where(points >= 0xD800, points + np.uint64(0x800), points)  # no surrogates
         return points.astype("<u4").tobytes().decode("utf-32-le")
 
     def covered(self, doc_id: int, text: bytes) -> np.ndarray:
         """Marks the words in windows that a passage of a smaller owner holds."""
         get = self.codes.get
-        words = text.split()
-        coded = np.array([get(w, 0) for w in words], np.int64)
-        marked = np.zeros(len(words), bool)
-        if not self.passages:
-            return marked
-        done: dict[tuple[int, int], int] = {}
-        for last, places in self.automaton.iter(self._symbols(coded)):
-            start = last - PHRASE + 1
-            for number, at in places:
-                owner, passage = self.passages[number]
-                key = (number, start - at)
-                if owner >= doc_id or done.get(key, -1) > start:
-                    continue
-                back = min(start, at)
-                ahead = min(len(coded) - start, len(passage) - at)
-                same = coded[start - back : start + ahead] == passage[at - back : at + ahead]
-                differs = np.flatnonzero(~same)
-                k = int(np.searchsorted(differs, back))
-                low = int(differs[k - 1]) + 1 if k else 0
-                high = int(differs[k]) if k < len(differs) else len(same)
-                done[key] = start - back + max(high, back + 1)
-                if high - low >= WINDOW:
-                    marked[start - back + low : start - back + high] = True
-        return marked
+        coded = np.array([get(w, 0) for w in text.split()], np.uint64)
+        n = len(coded) - WINDOW + 1
+        if n <= 0 or not len(self.hashes):
+            return np.zeros(len(coded), bool)
+        ends = np.array([last for last, _ in self.automaton.iter(self._symbols(coded))], np.int64)
+        # A phrase that ends at a word lies in the windows from that word's last possible
+        # start back to where a window ends with it.
+        turns = np.zeros(n + 1, np.int64)
+        np.add.at(turns, np.clip(ends - WINDOW + 1, 0, n), 1)
+        np.add.at(turns, np.clip(ends - PHRASE + 2, 0, n), -1)
+        starts = np.flatnonzero(np.cumsum(turns[:n]) > 0)
+        hashes = run_hashes(mixed(coded), WINDOW)[starts]
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        same = (self.hashes[at] == hashes) & (self.owners[at] < doc_id)
+        starts, at = starts[same], self.places[at[same]]
+        for k in range(WINDOW):
+            equal = coded[starts + k] == self.words[at + k]
+            starts, at = starts[equal], at[equal]
+        turns = np.zeros(len(coded) + 1, np.int64)
+        turns[starts] += 1
+        np.add.at(turns, starts + WINDOW, -1)
+        return np.cumsum(turns[:-1]) > 0
 
 
 _SPAN = "doc_id long, text_id long, start long, stop long"
@@ -202,30 +268,30 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     Rows with a null doc_id neither lose words nor are anyone's source.
     """
     documents = documents.select("doc_id", "text").where("doc_id IS NOT NULL")
-    anchors = documents.mapInArrow(_anchors, "anchor long, doc_id long")
+    each = _each_window("anchor", window_anchors)
+    anchors = written(documents.mapInArrow(each, "anchor long, doc_id long"), "anchors")
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"))
-    shared = shared.where("x < y").select("anchor")
-    held = written(anchors.join(shared, "anchor"), "anchors")
-
-    listed = held.groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"))
+    held = anchors.join(shared.where("x < y").select("anchor"), "anchor")
+    listed = held.groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
     segments = written(documents.join(listed, "doc_id").mapInArrow(_segments, _SEGMENT), "segments")
-    first = segments.select("doc_id", "text").mapInArrow(_windows, "window long, doc_id long")
+
+    each = _each_window("window", _window_hashes)
+    first = segments.select("doc_id", "text").mapInArrow(each, "window long, doc_id long")
     first = first.groupBy("window").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"))
-    owned = first.where("doc_id < last").groupBy("doc_id").agg(F.collect_list("window").alias("windows"))
-    passages = segments.select("doc_id", "text").join(owned, "doc_id").mapInArrow(_passages, _PASSAGE)
-    passages = written(passages.distinct(), "passages")
-
-    shards = max(1, -(-(passages.agg(F.sum("n")).first()[0] or 0) // SHARD_WORDS))
-    shard = F.pmod(F.xxhash64(F.array_min("anchors")), F.lit(shards))
-    passages = passages.withColumn("shard", shard)
-    where = passages.select("shard", F.explode("anchors").alias("anchor")).distinct()
-    routes = held.join(where, "anchor").select("doc_id", "shard").distinct()
-    routed = written(segments.join(routes, "doc_id"), "routed")
-    copies = F.greatest(F.lit(1), F.ceil(F.sum("n") / STREAM_WORDS)).cast("int").alias("copies")
-    sizes = routed.groupBy("shard").agg(copies)
-    streams = routed.join(F.broadcast(sizes) if shards <= 10_000 else sizes, "shard")
-    streams = streams.withColumn("copy", F.pmod(F.xxhash64("doc_id"), F.col("copies")).cast("int"))
-    compiled = passages.join(sizes, "shard").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    owned = first.where("doc_id < last").groupBy("doc_id")
+    owned = owned.agg(F.collect_list("window").alias("windows"))
+    shards = max(1, -(-(segments.agg(F.sum("n")).first()[0] or 0) // SHARD_WORDS))
+    passages = segments.select("doc_id", "text").join(owned, "doc_id")
+    passages = written(passages.mapInArrow(_passages(shards), _PASSAGE).distinct(), "passages")
+
+    streams = written(segments.mapInArrow(_streams(shards), _STREAM), "streams")
+    # A shard whose windows very many documents hold gets several copies of its automaton.
+    copies = F.ceil(F.sum("n") / STREAM_WORDS).cast("int").alias("copies")
+    load = small(written(streams.groupBy("shard").agg(copies), "load"))
+    copy = F.pmod(F.xxhash64("doc_id"), F.col("copies")).cast("int")
+    streams = streams.join(load, "shard").withColumn("copy", copy)
+    every = F.explode(F.sequence(F.lit(0), F.col("copies") - 1))
+    compiled = passages.join(load, "shard").withColumn("copy", every)
     return (
         compiled.select("shard", "copy", "owner", "text")
         .groupBy("shard", "copy")

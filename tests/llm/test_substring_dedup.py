@@ -53,7 +53,7 @@ def rows():
 @pytest.mark.parametrize("shard", [substring_dedup.SHARD_WORDS, 300])
 def test_matches_every_window_of_the_input(documents, rows, shard, monkeypatch):
     monkeypatch.setattr(substring_dedup, "SHARD_WORDS", shard)
-    monkeypatch.setattr(substring_dedup, "STREAM_WORDS", shard * 4)
+    monkeypatch.setattr(substring_dedup, "STREAM_WORDS", shard * 40)
     frame = documents(rows).withColumnRenamed("lang", "anchors").withColumnRenamed("source", "n")
     got = sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept"]) for r in without_repeats(frame).collect())
     assert got == brute(rows)
