@@ -9,31 +9,60 @@ length; the pairs found are then verified by the exact share of the item's shing
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from memberfold.llm.common import WORD, ascii_lower, small, written
+from memberfold.llm.common import small, written
 
 WORDS = 5
+# The white space between words.
+SPACES = " \t\n\x0b\x0c\r"
 # Hundredths of an item's shingles that a document must hold.
 CONTAINED = 80
 
 
+def _with_words(text: Column, of: Callable[[Column], Column], kind: str) -> Column:
+    """An array made from the lower-cased words of a text; empty without words.
+
+    The words are bound by an outer lambda, so that a text is cut once, however often
+    its words are used.
+    """
+    trimmed = F.btrim(F.lower(text), F.lit(SPACES))
+    cut = F.transform(F.array(F.split(trimmed, f"[{SPACES}]+")), of)
+    return F.when(trimmed != "", F.element_at(cut, 1)).otherwise(F.array().cast(kind))
+
+
+def _starts(words: Column, k: int) -> Column:
+    return F.sequence(F.lit(0), F.greatest(F.size(words) - k, F.lit(0)))
+
+
 def runs(text: Column, k: int = WORDS) -> Column:
-    """The k-word shingles of a text as often as they come, A-Z lowered, as text.
+    """The k-word shingles of a text as often as they come, lower-cased, as text.
 
     Fewer words: the whole sequence as one. No words or a null text: an empty array.
     """
-    none = F.array().cast("array<string>")
 
     def of(words: Column) -> Column:
-        n = F.size(words)
-        starts = F.sequence(F.lit(1), F.greatest(n - (k - 1), F.lit(1)))
-        each = F.transform(starts, lambda i: F.array_join(F.slice(words, i, k), " "))
-        return F.when(n > 0, each).otherwise(none)
+        return F.transform(_starts(words, k), lambda i: F.array_join(F.slice(words, i + 1, k), " "))
+
+    return _with_words(text, of, "array<string>")
 
-    words = F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))
-    # Bound by an outer lambda, so that the text is cut once and not for every shingle.
-    return F.element_at(F.transform(F.array(F.coalesce(words, none)), of), 1)
+
+def run_hashes(text: Column, k: int = WORDS) -> Column:
+    """A 64-bit hash for each of ``runs``, from hashes of the words."""
+
+    def of(words: Column) -> Column:
+        coded = F.transform(words, lambda w: F.xxhash64(w))
+
+        def each(codes: Column) -> Column:
+            whole = F.array(F.xxhash64(F.size(codes), codes))
+            run = F.transform(_starts(codes, k), lambda i: F.xxhash64(*[F.get(codes, i + j) for j in range(k)]))
+            return F.when(F.size(codes) >= k, run).otherwise(whole)
+
+        return F.element_at(F.transform(F.array(coded), each), 1)
+
+    return _with_words(text, of, "array<bigint>")
 
 
 def sketch_length(size: Column, percent: int = CONTAINED) -> Column:
@@ -51,9 +80,11 @@ def item_shingles(items: DataFrame, percent: int = CONTAINED) -> DataFrame:
 
     Rows that repeat an id are put together: the item is the union of their shingles.
     """
-    parts = items.select("item_id", F.explode(runs(F.col("text"))).alias("shingle")).distinct()
-    hashed = F.struct(F.xxhash64("shingle").alias("hash"), "shingle")
-    sets = parts.groupBy("item_id").agg(F.sort_array(F.collect_list(hashed)).alias("shingles"))
+    both = F.arrays_zip(run_hashes(F.col("text")).alias("hash"), runs(F.col("text")).alias("shingle"))
+    parts = items.select("item_id", F.inline(both)).distinct()
+    sets = parts.groupBy("item_id").agg(
+        F.sort_array(F.collect_list(F.struct("hash", "shingle"))).alias("shingles")
+    )
     each = sets.select(
         "item_id", F.size("shingles").alias("size"), F.posexplode("shingles").alias("at", "one")
     )
@@ -74,15 +105,15 @@ def contained_items(documents: DataFrame, items: DataFrame, percent: int = CONTA
     items = items.select("item_id", "text").where("item_id IS NOT NULL")
     items = written(item_shingles(items, percent), "items")
     sketches = items.where("sketched").select("item_id", F.col("hash").alias("sketch"))
-    hashes = F.transform(runs(F.col("text")), lambda shingle: F.xxhash64(shingle))
     found = (
-        documents.select("doc_id", F.explode(hashes).alias("hash"))
+        documents.select("doc_id", F.explode(run_hashes(F.col("text"))).alias("hash"))
         .join(small(sketches), F.col("hash") == F.col("sketch"))
         .select("doc_id", "item_id")
         .distinct()
     )
     candidates = written(found, "candidates")
-    texts = documents.join(candidates.select("doc_id").distinct(), "doc_id", "left_semi")
+    wanted = small(candidates.select("doc_id").distinct())
+    texts = documents.join(wanted, "doc_id", "left_semi")
     held = texts.select("doc_id", F.explode(runs(F.col("text"))).alias("shingle"))
     exact = (
         held.join(small(items.select("item_id", "size", "shingle")), "shingle")
@@ -99,6 +130,7 @@ def contained_items(documents: DataFrame, items: DataFrame, percent: int = CONTA
 def without_items(documents: DataFrame, items: DataFrame, percent: int = CONTAINED) -> DataFrame:
     """The documents, whole rows, that contain none of the items; a null doc_id stays."""
     found = contained_items(documents, items, percent).select("doc_id").distinct()
-    return documents.join(written(found, "contaminated"), "doc_id", "left_anti").select(
+    found = small(written(found, "contaminated"))
+    return documents.join(found, "doc_id", "left_anti").select(
         *documents.columns
     )

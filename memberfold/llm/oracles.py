@@ -14,10 +14,10 @@ _SHINGLES = """CASE WHEN len(w) >= 5
 BENCHMARK_CONTAINMENT = f"""
     WITH d AS (
         SELECT DISTINCT doc_id, unnest({_SHINGLES}) AS s
-        FROM (SELECT doc_id, {_LOWERED} AS w FROM documents)),
+        FROM (SELECT doc_id, coalesce(regexp_extract_all(lower(text), '{WORD}'), []) AS w FROM documents)),
     b AS (
         SELECT DISTINCT item_id, unnest({_SHINGLES}) AS s
-        FROM (SELECT item_id, {_LOWERED} AS w FROM benchmark)),
+        FROM (SELECT item_id, coalesce(regexp_extract_all(lower(text), '{WORD}'), []) AS w FROM benchmark)),
     sizes AS (SELECT item_id, count(*) AS n FROM b GROUP BY item_id)
     SELECT doc_id, item_id, CAST(any_value(n) AS INTEGER) AS item_size,
            CAST(count(*) AS BIGINT) AS n_found
