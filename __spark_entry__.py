@@ -18,15 +18,20 @@ from memberfold.operators.counters import (
     category_sizes,
     counters_report,
 )
-from memberfold.operators.envelope import envelope, publish_outcome
+from memberfold.operators.envelope import (
+    MESSAGE_OVERHEAD,
+    envelope,
+    publish_outcome,
+    rejected_messages,
+)
 from memberfold.operators.invert import as_text, employee_categories
-from memberfold.operators.pairs import category_ids, tag, union_tagged
+from memberfold.operators.pairs import tag, union_tagged
 from memberfold.operators.snapshots import latest_snapshot
 from memberfold.plans.invert_job import run_inversion, write_inversion
 from memberfold.schemas import EMPLOYEE_AVRO
 from memberfold.session import shared_folder
 from memberfold.sources.avro import avro_format, read_key_values, read_members
-from memberfold.sources.members import collect_locations, scan_categories
+from memberfold.sources.members import scan_categories
 
 try:  # the subpackage and its pipeline are optional
     from memberfold.llm import queries as text_queries
@@ -40,7 +45,10 @@ except ImportError:
 SMOKE_DIR = "/root/testdata/sf0.001"
 TOPIC = "employee-categories"
 # Splits the messages of the small test tables about evenly.
-SMALL_MESSAGE = 300
+SMALL_MESSAGE = 400
+# The category list that comes with the orders, and a category that has no members.
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+EMPTY_CATEGORY = "6-UNUSED"
 # Category id -> table and the key that plays the employee.
 SOURCES = {
     "customer": "c_custkey",
@@ -65,14 +73,15 @@ def _source_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = _order_pairs(spark, sf_dir)
-    return employee_categories(pairs, category_ids(pairs))
+    return employee_categories(_order_pairs(spark, sf_dir), PRIORITIES)
 
 
-def _write_members(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+def _write_members(
+    spark: SparkSession, sf_dir: str, *subfolders: str
+) -> tuple[str, list[tuple[str, str]]]:
     """Orders as Employee records in Avro, one folder per priority.
 
-    Returns the folder and ``category_id, location`` of every priority.
+    Returns the folder and ``(category id, location)`` of every priority.
     """
     folder = shared_folder(spark, "members")
     orders = _table(spark, sf_dir, "orders").select(
@@ -82,15 +91,16 @@ def _write_members(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
         F.lit(None).cast("string").alias("phone"),
         F.col("o_orderstatus").alias("empdata"),
         F.col("o_orderpriority").alias("category_id"),
+        F.col("o_orderstatus").alias("status"),
     )
     (
-        orders.write.format(avro_format(spark))
+        orders.drop(*({"status"} - set(subfolders)))
+        .write.format(avro_format(spark))
         .option("avroSchema", EMPLOYEE_AVRO)
-        .partitionBy("category_id")
+        .partitionBy("category_id", *subfolders)
         .save(folder)
     )
-    location = F.concat(F.lit(f"{folder}/category_id="), "category_id").alias("location")
-    return folder, orders.select("category_id").distinct().select("category_id", location)
+    return folder, [(id_, f"{folder}/category_id={id_}") for id_ in PRIORITIES]
 
 
 def scan_members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,8 +113,14 @@ def scan_members_avro(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_many_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, located = _write_members(spark, sf_dir)
-    return scan_categories(spark, collect_locations(located), union_scans=0)
+    _, locations = _write_members(spark, sf_dir)
+    return scan_categories(spark, locations)
+
+
+def scan_nested_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every priority's folder has a subfolder for each order status."""
+    _, locations = _write_members(spark, sf_dir, "status")
+    return scan_categories(spark, locations)
 
 
 def employee_categories_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,21 +143,23 @@ def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = _order_pairs(spark, sf_dir)
-    return counters_report(pairs, pairs.select("categoryId").distinct())
+    ids = [(id_,) for id_ in (*PRIORITIES, EMPTY_CATEGORY)]
+    return counters_report(
+        _order_pairs(spark, sf_dir), spark.createDataFrame(ids, "category_id string")
+    )
 
 
 def kv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = _order_pairs(spark, sf_dir)
     folder = shared_folder(spark, "kv")
-    write_inversion(pairs, category_ids(pairs), folder)
+    write_inversion(_order_pairs(spark, sf_dir), list(PRIORITIES), folder)
     return as_text(read_key_values(spark, folder))
 
 
 def inversion_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job: spec, locations, Avro scans, inversion, key/value output."""
-    _, located = _write_members(spark, sf_dir)
-    spec = "_".join(f"{id_}#{id_.lower()}" for id_ in category_ids(_order_pairs(spark, sf_dir)))
+    _, locations = _write_members(spark, sf_dir)
+    spec = "_".join(f"{id_}#{id_.lower()}" for id_ in PRIORITIES)
+    located = spark.createDataFrame(locations, "category_id string, location string")
     bodies = located.select("category_id", F.to_json(F.struct("location")).alias("body"))
     output = shared_folder(spark, "inversion")
     run_inversion(spark, spec, bodies, output)
@@ -212,6 +230,23 @@ def outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish_outcome(publish_envelope(spark, sf_dir), max_bytes=SMALL_MESSAGE)
 
 
+def publish_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rejected_messages(publish_envelope(spark, sf_dir), max_bytes=SMALL_MESSAGE)
+
+
+def run_dates_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dates of events whose time is a ``timestamp``, a point in time."""
+    events = _table(spark, sf_dir, "events")
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    at = F.timestamp_micros(micros)
+    run_id = F.concat(F.lit("manual__"), F.col("event_id"))
+    return events.select(
+        "event_id",
+        local_date(at).alias("local_date"),
+        compute_date(run_id, at, F.lit("")).alias("compute_date"),
+    )
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The inversion, on the smallest tables."""
     return employee_categories_text(spark, SMOKE_DIR)
@@ -222,6 +257,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scan_members": scan_members,
         "scan_members_avro": scan_members_avro,
         "scan_many_sources": scan_many_sources,
+        "scan_nested_sources": scan_nested_sources,
         "union_tagged": _source_pairs,
         "employee_categories": employee_categories_text,
         "employee_categories_nested": employee_categories_nested,
@@ -237,6 +273,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "publish_envelope": publish_envelope,
         "publish_envelope_unkeyed": publish_envelope_unkeyed,
         "publish_outcome": outcome,
+        "publish_rejected": publish_rejected,
+        "run_dates_zoned": run_dates_zoned,
         **_text_queries(),
     }
 
@@ -287,6 +325,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT CAST(o_custkey AS VARCHAR) AS "empId", o_orderstatus AS "categoryId" FROM orders""",
         "scan_many_sources": """
             SELECT CAST(o_custkey AS VARCHAR) AS "empId", o_orderpriority AS "categoryId" FROM orders""",
+        "scan_nested_sources": """
+            SELECT CAST(o_custkey AS VARCHAR) AS "empId", o_orderpriority AS "categoryId" FROM orders""",
         "union_tagged": _SOURCE_PAIRS_SQL,
         "employee_categories": _ORDER_LISTS_SQL,
         "employee_categories_nested": """
@@ -305,8 +345,10 @@ def oracle_sql() -> dict[str, str]:
             WITH sizes AS ({_ORDER_SIZES_SQL})
             SELECT 'EMPLOYEE_CATEGORY_PAIRS' AS counter, CAST(sum(n) AS BIGINT) AS value FROM sizes
             UNION ALL SELECT 'NUMBER_OF_EMPLOYEE', CAST(count(*) AS BIGINT) FROM sizes
+            UNION ALL SELECT 'NULL_EMPLOYEE_PAIRS',
+                             CAST(coalesce(sum(n) FILTER (o_custkey IS NULL), 0) AS BIGINT) FROM sizes
             UNION ALL SELECT 'NUMBER_OF_CATEGORY',
-                             CAST(count(DISTINCT o_orderpriority) AS BIGINT) FROM orders
+                             CAST(count(DISTINCT o_orderpriority) + 1 AS BIGINT) FROM orders
             UNION ALL SELECT 'ONE_CATEGORY', CAST(count(*) FILTER (n = 1) AS BIGINT) FROM sizes
             UNION ALL SELECT 'TWO_CATEGORIES', CAST(count(*) FILTER (n = 2) AS BIGINT) FROM sizes
             UNION ALL SELECT 'THREE_CATEGORIES', CAST(count(*) FILTER (n = 3) AS BIGINT) FROM sizes
@@ -350,11 +392,18 @@ def oracle_sql() -> dict[str, str]:
             SELECT '{TOPIC}' AS topic, CAST(NULL AS VARCHAR) AS key, value
             FROM ({_RECORD_VALUE_SQL})""",
         "publish_outcome": f"""
-            WITH sizes AS (SELECT strlen(value) AS bytes FROM ({_RECORD_VALUE_SQL}))
+            WITH sizes AS (SELECT strlen(value) + strlen(emp) + {MESSAGE_OVERHEAD} AS bytes FROM ({_RECORD_VALUE_SQL}))
             SELECT 'KAFKA_SUCCESS' AS counter,
                    CAST(count(*) FILTER (bytes <= {SMALL_MESSAGE}) AS BIGINT) AS value FROM sizes
             UNION ALL
             SELECT 'KAFKA_FAILURES', CAST(count(*) FILTER (bytes > {SMALL_MESSAGE}) AS BIGINT)
             FROM sizes""",
+        "publish_rejected": f"""
+            SELECT '{TOPIC}' AS topic, emp AS key, value FROM ({_RECORD_VALUE_SQL})
+            WHERE strlen(value) + strlen(emp) + {MESSAGE_OVERHEAD} > {SMALL_MESSAGE}""",
+        "run_dates_zoned": """
+            SELECT event_id, strftime(day, '%Y-%m-%d') AS local_date,
+                   strftime(day - 1, '%Y-%m-%d') AS compute_date
+            FROM (SELECT event_id, CAST(ts + INTERVAL '5 hours 30 minutes' AS DATE) AS day FROM events)""",
         **_text_sql(),
     }

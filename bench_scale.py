@@ -10,12 +10,12 @@ lists, for comparison: it takes a group whole into one task.
 import json
 import os
 import sys
-import tempfile
 import time
 
 from pyspark.sql import SparkSession, functions as F
 
 from memberfold.operators.invert import employee_categories
+from memberfold.session import shared_folder
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -55,7 +55,7 @@ def main():
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    root = shared_folder(spark, "bench")
     for hot in sorted({0, hot_percent}):
         folder = f"{root}/hot-{hot}"
         write_pairs(spark, folder, copies, hot)

@@ -8,14 +8,16 @@ from pyspark.sql import Column, functions as F
 ENTRY_DELIMITER = "_"
 FIELD_DELIMITER = "#"
 
-# What makes a spec malformed: an entry with nothing but further delimiters after its
-# id, an empty entry with another one after it, or nothing at all.
-_MALFORMED = "(^|_)([^_#]+#*|#+)(_|$)|(^|_)_+[^_]|^$"
+# A whole spec that is well formed: nothing but delimiters, or entries with an id and a
+# name, of which only the last may be followed by more delimiters. One anchored pattern
+# whose groups never give back what they took, so that a text is read once.
+_ENTRY = "[^_#]*+#++[^_#][^_]*+"
+_WELL_FORMED = rf"\A(?:_++|{_ENTRY}(?:_{_ENTRY})*+_*+)\z"
 
 
 def is_malformed(spec: Column) -> Column:
     """True for a null spec or one with an entry that lacks a name."""
-    return spec.isNull() | spec.rlike(_MALFORMED)
+    return spec.isNull() | ~spec.rlike(_WELL_FORMED)
 
 
 def _entries(spec: Column) -> Column:

@@ -12,6 +12,7 @@ from memberfold.functions.buckets import size_bucket
 from memberfold.schemas import (
     EMPLOYEE_CATEGORY_PAIRS,
     LAST_BUCKET,
+    NULL_EMPLOYEE_PAIRS,
     NUMBER_OF_CATEGORY,
     NUMBER_OF_EMPLOYEE,
     SIZE_BUCKETS,
@@ -36,6 +37,9 @@ def inversion_counters(size: str = "n_categories") -> list[Column]:
     return [
         F.coalesce(F.sum(size), F.lit(0)).cast("bigint").alias(EMPLOYEE_CATEGORY_PAIRS),
         F.count(F.lit(1)).alias(NUMBER_OF_EMPLOYEE),
+        F.coalesce(F.sum(F.when(F.col("empId").isNull(), F.col(size))), F.lit(0))
+        .cast("bigint")
+        .alias(NULL_EMPLOYEE_PAIRS),
         *[F.count_if(bucket == name).alias(name) for name in [*SIZE_BUCKETS, LAST_BUCKET]],
     ]
 
@@ -46,7 +50,7 @@ def as_report(counters: DataFrame) -> DataFrame:
 
 
 def counters_report(pairs: DataFrame, categories: DataFrame) -> DataFrame:
-    """``counter, value`` for the nine inversion counters.
+    """``counter, value`` for the inversion counters.
 
     ``categories`` is the category table: a category without members counts too.
     """

@@ -8,17 +8,17 @@ the number of runs is bounded by the category list, whatever the number of pairs
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from memberfold.schemas import MAX_CATEGORIES, MAX_LIST
-from memberfold.session import shuffle_partitions
-
 # Up to this many categories each gets a count column of its own; see README.
 WIDE_CATEGORIES = 32
+# A row of Spark holds less than 2 GiB; an entry of a list takes these bytes and its id's.
+ROW_BYTES = (1 << 31) - (1 << 20)
+ENTRY_BYTES = 32
 
 
 @dataclass(frozen=True)
@@ -42,6 +42,14 @@ class MembershipCounts:
     def observe(self, seen: Observation, *metrics: Column) -> MembershipCounts:
         return replace(self, frame=self.frame.observe(seen, *metrics))
 
+    def named(self, drop_null: bool) -> MembershipCounts:
+        """Without the null employee, or raising for it, before any list is written out."""
+        if drop_null:
+            return replace(self, frame=self.frame.where(F.col("empId").isNotNull()))
+        null_key = F.raise_error(F.lit("the null employee cannot be written as a key"))
+        known = F.coalesce(F.col("empId"), null_key.cast("string"))
+        return replace(self, frame=self.frame.withColumn("empId", known))
+
 
 def _unlisted(category: Column) -> Column:
     return F.raise_error(
@@ -49,6 +57,19 @@ def _unlisted(category: Column) -> Column:
     )
 
 
+def _fitting(n: Column, longest: Column) -> Column:
+    """The list's length, if a row can hold the list; otherwise this raises."""
+    problem = F.concat(
+        F.lit("list too long for one record: employee "),
+        F.coalesce(F.col("empId"), F.lit("null")),
+        F.lit(" has "),
+        n.cast("string"),
+        F.lit(" entries"),
+    )
+    fits = n * (longest + ENTRY_BYTES) <= ROW_BYTES
+    return F.when(fits, n).otherwise(F.raise_error(problem).cast("bigint"))
+
+
 def _repeated(category: Column, n: Column) -> Column:
     return F.array_repeat(F.struct(category.alias("categoryId")), n.cast("int"))
 
@@ -56,13 +77,15 @@ def _repeated(category: Column, n: Column) -> Column:
 def _position(category: Column, ids: list[str]) -> Column:
     """Number of a category in the list, so that counting compares integers.
 
-    It is a constant where the category is one, as in a union of tagged sources.
+    It is a constant where the category is one, as in a union of tagged sources. A
+    category outside the list raises.
     """
-    return reduce(
+    listed = reduce(
         lambda chain, item: chain.when(category == item[1], item[0]),
         enumerate(ids[1:], start=1),
         F.when(category == ids[0], 0),
     )
+    return listed.otherwise(_unlisted(category).cast("int"))
 
 
 def _wide_counts(pairs: DataFrame, ids: list[str]) -> MembershipCounts:
@@ -76,101 +99,64 @@ def _wide_counts(pairs: DataFrame, ids: list[str]) -> MembershipCounts:
         )
     )
     columns = [(F.lit(id_), F.col(f"n{i}")) for i, id_ in enumerate(ids)]
-    listed = reduce(add, [n for _, n in columns])
     every = F.array(*[F.struct(id_.alias("categoryId"), n.alias("n")) for id_, n in columns])
-    checked = F.when(F.col("n_pairs") == listed, F.col("n_pairs")).otherwise(
-        _unlisted(F.lit("(some)")).cast("bigint")
-    )
+    longest = F.lit(max(len(id_.encode()) for id_ in ids))
     return MembershipCounts(
-        counted.withColumn("n_categories", checked).drop("n_pairs"),
+        counted.withColumn("n_categories", _fitting(F.col("n_pairs"), longest)).drop("n_pairs"),
         F.filter(every, lambda run: run["n"] > 0),
         F.concat(*[_repeated(id_, n) for id_, n in columns]),
     )
 
 
-def _long_counts(pairs: DataFrame, ids: list[str]) -> MembershipCounts:
+def _long_counts(pairs: DataFrame, ids: list[str] | None) -> MembershipCounts:
     """Two shuffles: counts per (employee, category), then at most one run per category."""
-    checked = F.when(F.col("categoryId").isin(ids), F.col("categoryId")).otherwise(
-        _unlisted(F.col("categoryId")).cast("string")
-    )
-    counted = (
-        pairs.select("empId", checked.alias("categoryId"))
-        .groupBy("empId", "categoryId")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("empId")
-        .agg(
-            F.sum("n").alias("n_categories"),
-            F.sort_array(F.collect_list(F.struct("categoryId", "n"))).alias("runs"),
-        )
+    counted = pairs.groupBy("empId", "categoryId").agg(F.count(F.lit(1)).alias("n"))
+    if ids is not None:
+        listed = pairs.sparkSession.createDataFrame([(id_,) for id_ in ids], "listed string")
+        joined = counted.join(listed, F.col("categoryId") == F.col("listed"), "left")
+        checked = F.coalesce(F.col("listed"), _unlisted(F.col("categoryId")).cast("string"))
+        counted = joined.select("empId", checked.alias("categoryId"), "n")
+    listed = counted.groupBy("empId").agg(
+        F.sum("n").alias("n_pairs"),
+        F.max(F.octet_length("categoryId")).alias("longest"),
+        F.sort_array(F.collect_list(F.struct("categoryId", "n"))).alias("runs"),
     )
+    fitting = _fitting(F.col("n_pairs"), F.coalesce("longest", F.lit(0)))
     written_out = F.transform("runs", lambda run: _repeated(run["categoryId"], run["n"]))
-    return MembershipCounts(counted, F.col("runs"), F.flatten(written_out))
+    return MembershipCounts(
+        listed.select("empId", fitting.alias("n_categories"), "runs"),
+        F.col("runs"),
+        F.flatten(written_out),
+    )
 
 
-def membership_counts(pairs: DataFrame, ids: list[str]) -> MembershipCounts:
+def membership_counts(pairs: DataFrame, ids: Sequence[str] | None = None) -> MembershipCounts:
     """Count the pairs of every employee by category.
 
-    ``ids`` is the complete category list; a pair outside it raises.
+    ``ids`` is the complete category list; a pair outside it raises. Without it any
+    category is taken as it comes, a null one too.
     """
+    if ids is None:
+        return _long_counts(pairs, None)
     ids = sorted(set(ids))
     if not ids:
         raise ValueError("no categories")
-    if len(ids) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories")
     return (_wide_counts if len(ids) <= WIDE_CATEGORIES else _long_counts)(pairs, ids)
 
 
-def ordinary_records(counts: MembershipCounts, max_list: int = MAX_LIST) -> DataFrame:
-    """``empId, categoryInfoList`` of the employees whose list fits in one record."""
-    return counts.frame.where(F.col("n_categories") <= max_list).select(
-        "empId", counts.whole_list.alias("categoryInfoList")
-    )
-
-
-def oversized_records(counts: MembershipCounts, max_list: int = MAX_LIST) -> DataFrame:
-    """The other employees, whole: several records each, none longer than ``max_list``.
-
-    Every run is cut into numbered parts while it is still a count, and the parts
-    are spread over the cluster before they are written out. Their number of partitions
-    is given, because adaptive execution would judge by the size of the counts and put
-    all parts into a few tasks.
-    """
-    tasks = shuffle_partitions(counts.frame.sparkSession)
-    parts = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(n - 1) div {max_list}"))
-    return (
-        counts.table()
-        .where(F.col("n_categories") > max_list)
-        .select("empId", F.inline("runs"))
-        .select("empId", "categoryId", "n", F.explode(parts).alias("part"))
-        .repartition(tasks, "empId", "categoryId", "part")
-        .select(
-            "empId",
-            _repeated(
-                F.col("categoryId"),
-                F.least(F.lit(max_list), F.col("n") - F.col("part") * max_list),
-            ).alias("categoryInfoList"),
-        )
-    )
-
-
-def employee_records(
-    counts: MembershipCounts,
-    max_list: int = MAX_LIST,
-    observed: MembershipCounts | None = None,
-) -> DataFrame:
-    """All employees as ``empId, categoryInfoList array<struct<categoryId>>``, lists sorted.
+def employee_records(counts: MembershipCounts) -> DataFrame:
+    """``empId, categoryInfoList array<struct<categoryId>>``: one record an employee, lists sorted.
 
-    Both halves read the same shuffle; adaptive execution drops the second when it
-    turns out to be empty. ``observed`` is ``counts`` with metrics attached, which are
-    to be collected once although ``counts`` is used twice.
+    A list that one row cannot hold raises, with the employee and the length.
     """
-    ordinary = ordinary_records(observed or counts, max_list)
-    return ordinary.unionByName(oversized_records(counts, max_list))
+    whole = counts.whole_list.alias("categoryInfoList")
+    # The length is checked first; every length passes the filter.
+    return counts.frame.where(F.col("n_categories") >= 0).select("empId", whole)
 
 
-def employee_categories(pairs: DataFrame, ids: list[str], max_list: int = MAX_LIST) -> DataFrame:
+def employee_categories(pairs: DataFrame, ids: Sequence[str] | None = None) -> DataFrame:
     """The inversion: ``employee_records`` of pairs with the complete category list ``ids``."""
-    return employee_records(membership_counts(pairs, ids), max_list)
+    return employee_records(membership_counts(pairs, ids))
 
 
 def as_text(records: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import argparse
 import json
 from collections.abc import Mapping
 
-from pyspark.sql import Observation, SparkSession, functions as F
+from pyspark.sql import SparkSession
 
 from memberfold.operators.envelope import (
     MAX_MESSAGE_BYTES,
@@ -18,7 +18,9 @@ from memberfold.operators.envelope import (
     envelope,
     publish_counters,
     publish_status,
+    rejected_messages,
 )
+from memberfold.schemas import KAFKA_FAILURES
 from memberfold.sinks.kafka import write_messages
 from memberfold.sources.avro import read_key_values
 
@@ -33,21 +35,29 @@ def run_publish(
     partitions: int | None = None,
     keyed: bool = True,
     format: str = "kafka",
+    rejected: str | None = None,
     **sink_options: str,
 ) -> dict[str, int]:
-    """Publish every record that can be sent and count both kinds, in one pass.
+    """Publish all records and return how many employees could be sent and could not.
 
-    There is no shuffle: ``partitions`` only limits how many tasks send at a time.
+    A record that cannot be sent stops the job before anything is sent, unless
+    ``rejected`` names a new folder: such messages are then written there, whole, and the
+    others are sent. There is no shuffle: ``partitions`` only limits how many tasks send.
     """
     max_bytes = int(producer.get(MAX_REQUEST, MAX_MESSAGE_BYTES))
     messages = envelope(read_key_values(spark, input), topic, keyed)
-    checked = messages.withColumn("status", publish_status(keyed, max_bytes))
-    seen = Observation()
-    sendable = checked.observe(seen, *publish_counters()).where(F.col("status") == SUCCESS)
+    status = publish_status(keyed, max_bytes)
+    counters = messages.select(status.alias("status")).agg(*publish_counters()).first().asDict()
+    failures = counters[KAFKA_FAILURES]
+    if failures and rejected is None:
+        raise ValueError(f"{failures} messages cannot be sent; name a folder for rejected ones")
+    if rejected is not None:
+        rejected_messages(messages, keyed, max_bytes).write.parquet(rejected)
+    sendable = messages.where(status == SUCCESS) if failures else messages
     if partitions:
         sendable = sendable.coalesce(partitions)
-    write_messages(sendable.drop("status"), producer, format, **sink_options)
-    return dict(seen.get)
+    write_messages(sendable, producer, format, **sink_options)
+    return counters
 
 
 def _setting(text: str) -> tuple[str, str]:
@@ -65,6 +75,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--partitions", type=int)
     parser.add_argument("--unkeyed", action="store_true")
     parser.add_argument("--format", default="kafka")
+    parser.add_argument("--rejected", help="new folder for messages that cannot be sent")
     parser.add_argument("--sink", type=_setting, action="append", default=[])
     options = parser.parse_args(arguments)
 
@@ -77,6 +88,7 @@ def main(arguments: list[str] | None = None) -> None:
         options.partitions,
         keyed=not options.unkeyed,
         format=options.format,
+        rejected=options.rejected,
         **dict(options.sink),
     )
     print(json.dumps(counters))

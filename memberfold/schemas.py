@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import types as T
 
@@ -20,14 +21,19 @@ def _optional_string(name: str) -> dict:
     return {"name": name, "type": ["null", "string"], "default": None}
 
 
-EMPLOYEE_AVRO = json.dumps(
-    {
-        "type": "record",
-        "name": "Employee",
-        "namespace": RECORD_NAMESPACE,
-        "fields": [_optional_string(name) for name in EMPLOYEE_FIELDS],
-    }
-)
+def employee_avro(fields: Sequence[str] = EMPLOYEE_FIELDS) -> str:
+    """The schema of Employee records, or a reader's schema for some of their fields."""
+    return json.dumps(
+        {
+            "type": "record",
+            "name": "Employee",
+            "namespace": RECORD_NAMESPACE,
+            "fields": [_optional_string(name) for name in fields],
+        }
+    )
+
+
+EMPLOYEE_AVRO = employee_avro()
 
 _CATEGORY_INFO = {
     "type": "record",
@@ -74,14 +80,14 @@ SIZE_BUCKETS = [
     "FIVE_CATEGORIES",
 ]
 LAST_BUCKET = "MORE_THAN_FIVE_CATEGORIES"
+# A counter of this library: pairs of the null employee, which no key/value file can hold.
+NULL_EMPLOYEE_PAIRS = "NULL_EMPLOYEE_PAIRS"
 KAFKA_SUCCESS = "KAFKA_SUCCESS"
 KAFKA_FAILURES = "KAFKA_FAILURES"
 
 # ---------------------------------------------------------------------------
 # Limits of this library.
 # ---------------------------------------------------------------------------
-# Category ids and their locations pass through the driver and are broadcast, so
-# their number is checked; a longer list is refused, never cut.
+# Locations of categories pass through the driver and are broadcast, so their number
+# is checked; a longer list is refused, never cut.
 MAX_CATEGORIES = 10_000
-# Longest list held in one record; a longer one is written as several records.
-MAX_LIST = 1_000_000

@@ -8,16 +8,13 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from memberfold.operators.pairs import tag, union_all
+from memberfold.operators.pairs import tag
 from memberfold.schemas import MAX_CATEGORIES
 from memberfold.sources.avro import read_members
 
-# Above this many datasets, one scan over all paths replaces a union of scans, so
-# that the plan does not grow with the category list.
-UNION_SCANS = 100
 _GLOB = re.compile(r"[*?\[{]")
-_NO_AUTHORITY = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*):///")
-_ONE_SLASH = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*):/(?!/)")
+# A URI without authority may be spelled with one slash or three.
+_NO_AUTHORITY = r"^([A-Za-z][A-Za-z0-9+.-]*):///"
 
 
 def collect_locations(located: DataFrame) -> list[tuple[str, str]]:
@@ -31,13 +28,21 @@ def collect_locations(located: DataFrame) -> list[tuple[str, str]]:
     return sorted((row.category_id, row.location) for row in rows)
 
 
-def _directory(spark: SparkSession, path: str) -> str:
-    """The full URI of an existing directory, in one spelling for all ways to write it."""
+def _existing(spark: SparkSession, path: str) -> list[str]:
+    """Full URIs of the folder or file at a path, or of all that a glob names.
+
+    Each has one spelling, whatever way the location was written.
+    """
     context = spark.sparkContext
     hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
     system = hadoop_path.getFileSystem(context._jsc.hadoopConfiguration())
-    uri = system.getFileStatus(hadoop_path).getPath().toUri().toString()
-    return _NO_AUTHORITY.sub(r"\1:/", uri)
+    if _GLOB.search(path):
+        found = list(system.globStatus(hadoop_path) or [])
+        if not found:
+            raise FileNotFoundError(f"nothing matches {path}")
+    else:
+        found = [system.getFileStatus(hadoop_path)]
+    return [re.sub(_NO_AUTHORITY, r"\1:/", x.getPath().toUri().toString()) for x in found]
 
 
 @contextmanager
@@ -48,49 +53,43 @@ def _reading(category_id: str, path: str) -> Iterator[None]:
         raise RuntimeError(f"cannot read category {category_id} at {path}") from error
 
 
-def _scan_each(spark: SparkSession, locations: list[tuple[str, str]]) -> DataFrame:
-    scans = []
-    for category_id, path in locations:
-        with _reading(category_id, path):
-            scans.append(tag(read_members(spark, path), category_id))
-    return union_all(scans)
-
-
-def _scan_together(spark: SparkSession, locations: list[tuple[str, str]]) -> DataFrame:
-    found: dict[str, str] = {}
-    rows = []
-    for category_id, path in locations:
-        with _reading(category_id, path):
-            directory = _directory(spark, path)
-        found.setdefault(directory, path)
-        # both spellings that _metadata.file_path may use where there is no authority
-        spellings = {directory, _ONE_SLASH.sub(r"\1:///", directory)}
-        rows += [(category_id, spelling) for spelling in spellings]
-    directories = spark.createDataFrame(rows, "categoryId string, directory string")
-    file = F.col("_metadata.file_path")
-    name = F.substring_index(file, "/", -1)
-    members = read_members(spark, *found.values()).select(
-        "empid", F.left(file, F.length(file) - F.length(name) - 1).alias("directory")
-    )
-    # The broadcast side has at most two rows per category, so its size is bounded by
-    # MAX_CATEGORIES. Categories that share a directory each get all of its rows.
-    located = members.join(F.broadcast(directories), "directory", "left")
-    unknown = F.raise_error(F.concat(F.lit("file outside every location: "), F.col("directory")))
-    return tag(located, F.coalesce(F.col("categoryId"), unknown.cast("string")))
-
-
-def scan_categories(
-    spark: SparkSession, locations: list[tuple[str, str]], union_scans: int = UNION_SCANS
-) -> DataFrame:
+def scan_categories(spark: SparkSession, locations: list[tuple[str, str]]) -> DataFrame:
     """``empId, categoryId`` pairs of all categories; one that cannot be read raises.
 
-    The single scan needs locations that are flat directories. Globs go through the
-    union, and a file in a subdirectory raises rather than being missed.
+    A location is a folder, read with all its subfolders (plain or ``k=v``), a file, or a
+    glob of these. One scan reads all of them. A row belongs to every category whose
+    location its file lies in, so locations may be shared or lie inside one another.
+    A file that belongs to none raises. An existing empty folder has no rows.
     """
     if not locations:
         raise ValueError("no categories")
     if len(locations) > MAX_CATEGORIES:
         raise ValueError(f"more than {MAX_CATEGORIES} categories")
-    if len(locations) <= union_scans or any(_GLOB.search(path) for _, path in locations):
-        return _scan_each(spark, locations)
-    return _scan_together(spark, locations)
+    owners: dict[str, list[str]] = {}
+    paths: dict[str, str] = {}
+    for category_id, path in locations:
+        with _reading(category_id, path):
+            for place in _existing(spark, path):
+                owners.setdefault(place, []).append(category_id)
+                paths[place] = place if _GLOB.search(path) else path
+    if len(owners) > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} places")
+    members = read_members(
+        spark, *paths.values(), fields=["empid"], recursiveFileLookup="true"
+    ).select("empid", F.regexp_replace("_metadata.file_path", _NO_AUTHORITY, "$1:/").alias("file"))
+    # One join for each depth of a location; its table has one row a place, at most
+    # MAX_CATEGORIES in all, so it is broadcast.
+    by_depth: dict[int, list[tuple[str, list[str]]]] = {}
+    for place, ids in owners.items():
+        by_depth.setdefault(place.count("/") + 1, []).append((place, ids))
+    found = []
+    for depth, rows in sorted(by_depth.items()):
+        places = spark.createDataFrame(rows, f"place{depth} string, ids{depth} array<string>")
+        prefix = F.substring_index("file", "/", depth)
+        members = members.join(F.broadcast(places), prefix == F.col(f"place{depth}"), "left")
+        found.append(F.coalesce(f"ids{depth}", F.array().cast("array<string>")))
+    ids = F.concat(*found)
+    unknown = F.raise_error(F.concat(F.lit("file outside every location: "), F.col("file")))
+    # The check decides how many rows there are, so that counting cannot leave it out.
+    checked = F.when(F.size(ids) > 0, ids).otherwise(unknown.cast("array<string>"))
+    return tag(members.select("empid", F.explode(checked).alias("id")), F.col("id"))

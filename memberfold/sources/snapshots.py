@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from memberfold.operators.snapshots import latest_snapshot
@@ -9,10 +11,15 @@ from memberfold.operators.snapshots import latest_snapshot
 LISTING = "root string, path string"
 
 
-def list_snapshots(spark: SparkSession, *roots: str) -> DataFrame:
+# Names that count as snapshots unless told otherwise: all but hidden and marker files,
+# which would sort after digits.
+SNAPSHOT_NAMES = r"[^_.].*"
+
+
+def list_snapshots(spark: SparkSession, *roots: str, names: str = ".*") -> DataFrame:
     """``root, path`` for the direct children of every root; a missing root has none.
 
-    One listing call per root, names only: no file is opened.
+    Only children whose whole name matches the pattern are listed. One listing call per root, names only: no file is opened.
     """
     context = spark.sparkContext
     rows = []
@@ -20,12 +27,13 @@ def list_snapshots(spark: SparkSession, *roots: str) -> DataFrame:
         root_path = context._jvm.org.apache.hadoop.fs.Path(root)
         system = root_path.getFileSystem(context._jsc.hadoopConfiguration())
         if system.exists(root_path):
-            rows += [(root, str(status.getPath())) for status in system.listStatus(root_path)]
+            children = [status.getPath() for status in system.listStatus(root_path)]
+            rows += [(root, str(p)) for p in children if re.fullmatch(names, p.getName())]
     return spark.createDataFrame(rows, LISTING)
 
 
-def latest_paths(spark: SparkSession, *roots: str) -> dict[str, str]:
+def latest_paths(spark: SparkSession, *roots: str, names: str = ".*") -> dict[str, str]:
     """The latest snapshot of each root, independently; "" for a root that has none."""
     named = spark.createDataFrame([(root,) for root in dict.fromkeys(roots)], "root string")
-    rows = latest_snapshot(named, list_snapshots(spark, *dict.fromkeys(roots))).collect()
+    rows = latest_snapshot(named, list_snapshots(spark, *dict.fromkeys(roots), names=names)).collect()
     return {row.root: row.latest for row in rows}

@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from memberfold.operators.envelope import envelope, publish_outcome
+from memberfold.operators.envelope import MESSAGE_OVERHEAD, envelope, publish_outcome
 from memberfold.operators.invert import employee_categories
 from memberfold.plans import invert_job, publish_job
 from memberfold.plans.invert_job import run_inversion, write_inversion
@@ -65,15 +65,15 @@ def test_null_key(spark, tmp_path):
 # --- the inversion job --------------------------------------------------------
 
 
-@pytest.mark.parametrize("max_list", [1_000_000, 4])
-def test_counters_come_with_the_write(spark, tmp_path, max_list):
+def test_counters_come_with_the_write(spark, tmp_path):
     rows = [("hot", "ab"[i % 2]) for i in range(50)] + [("e", "a"), ("f", "b"), ("f", "b")]
     counters = write_inversion(
-        spark.createDataFrame(rows, PAIRS), ["a", "b", "unused"], str(tmp_path / "out"), max_list=max_list
+        spark.createDataFrame(rows, PAIRS), ["a", "b", "unused"], str(tmp_path / "out")
     )
     assert counters == {
         "EMPLOYEE_CATEGORY_PAIRS": 53,
         "NUMBER_OF_EMPLOYEE": 3,
+        "NULL_EMPLOYEE_PAIRS": 0,
         "NUMBER_OF_CATEGORY": 3,
         "ONE_CATEGORY": 1,
         "TWO_CATEGORIES": 1,
@@ -87,28 +87,26 @@ def test_counters_come_with_the_write(spark, tmp_path, max_list):
     }
 
 
-@pytest.mark.parametrize("max_list", [1_000_000, 1])
-def test_counters_when_one_half_is_empty(spark, tmp_path, max_list):
-    pairs = spark.createDataFrame([("e", "a"), ("e", "a")], PAIRS)
-    counters = write_inversion(pairs, ["a"], str(tmp_path / "out"), max_list=max_list)
-    assert counters["NUMBER_OF_EMPLOYEE"] == counters["TWO_CATEGORIES"] == 1
-    assert stored(spark, tmp_path / "out") == {"e": ["a", "a"]}
-
-
 def test_counters_of_no_rows(spark, tmp_path):
     pairs = spark.createDataFrame([], PAIRS)
     counters = write_inversion(pairs, ["a", "b"], str(tmp_path / "out"))
     assert counters.pop("NUMBER_OF_CATEGORY") == 2
-    assert set(counters.values()) == {0} and len(counters) == 8
+    assert set(counters.values()) == {0} and len(counters) == 9
 
 
 def test_counters_count_the_null_employee_that_is_dropped(spark, tmp_path):
     pairs = spark.createDataFrame([(None, "a"), ("e", "a")], PAIRS)
     counters = write_inversion(pairs, ["a"], str(tmp_path / "out"), drop_null_keys=True)
-    assert counters["NUMBER_OF_EMPLOYEE"] == 2
+    assert counters["NUMBER_OF_EMPLOYEE"] == 2 and counters["NULL_EMPLOYEE_PAIRS"] == 1
     assert stored(spark, tmp_path / "out") == {"e": ["a"]}
 
 
+def test_null_employee_stops_the_write(spark, tmp_path):
+    pairs = spark.createDataFrame([(None, "a"), ("e", "a")], PAIRS)
+    with pytest.raises(PySparkException, match="null employee"):
+        write_inversion(pairs, ["a"], str(tmp_path / "out"))
+
+
 @pytest.fixture
 def job_inputs(spark, tmp_path):
     members = {"1": ["e", "f", "f"], "2": ["e"], "3": []}
@@ -154,6 +152,30 @@ def test_command_lines(spark, job_inputs, capsys):
     assert spark.read.parquet(sent).count() == 2
 
 
+def test_latest_snapshots_and_run_dates(spark, tmp_path, capsys):
+    for day, employee in [("2024-01-01", "old"), ("2024-01-02", "new"), ("_SUCCESS", "marker")]:
+        rows = [(employee, None, None, None, None)]
+        spark.createDataFrame(rows, EMPLOYEE).write.format(avro_format(spark)).save(str(tmp_path / "root" / day))
+
+    def run(location, *more):
+        bodies = [("1", json.dumps({"location": location}))]
+        folder = str(tmp_path / f"bodies-{len(list(tmp_path.iterdir()))}")
+        spark.createDataFrame(bodies, "category_id string, body string").write.parquet(folder)
+        out = folder.replace("bodies", "out")
+        invert_job.main(["--spec", "1#one", "--locations", folder, "--output", out, *more])
+        capsys.readouterr()
+        return stored(spark, out)
+
+    assert run(str(tmp_path / "root"), "--latest") == {"new": ["1"]}
+    assert run(str(tmp_path / "root"), "--latest", "--snapshot-names", ".*01") == {"old": ["1"]}
+    dated = str(tmp_path / "root" / "{input_date}")
+    scheduled = ["--run-id", "scheduled__1", "--run-at", "2024-01-02T20:00:00+00:00"]
+    assert run(dated, *scheduled) == {"new": ["1"]}
+    assert run(dated, *scheduled, "--configured-date", "2024-1-2") == {"old": ["1"]}
+    with pytest.raises(ValueError, match="no snapshot of category 1"):
+        run(str(tmp_path / "nowhere"), "--latest")
+
+
 # --- publishing ---------------------------------------------------------------
 
 
@@ -174,32 +196,43 @@ def test_outcome(spark):
         rows = publish_outcome(envelope(frame, "t", keyed), **options).collect()
         return {row.counter: row.value for row in rows}
     assert counted() == {"KAFKA_SUCCESS": 2, "KAFKA_FAILURES": 1}
-    assert counted(max_bytes=200) == {"KAFKA_SUCCESS": 1, "KAFKA_FAILURES": 2}
+    assert counted(max_bytes=300) == {"KAFKA_SUCCESS": 1, "KAFKA_FAILURES": 2}
     assert counted(keyed=False) == {"KAFKA_SUCCESS": 3, "KAFKA_FAILURES": 0}
 
 
-def test_size_limit_is_in_bytes(spark):
-    frame = records(spark, [("é", "a")])
-    size = len('{"empId":"é","categoryInfoList":[{"categoryId":"a"}]}'.encode())
-    for limit, expected in [(size, 1), (size - 1, 0)]:
-        rows = publish_outcome(envelope(frame, "t"), max_bytes=limit).collect()
-        assert {r.counter: r.value for r in rows}["KAFKA_SUCCESS"] == expected
+def test_size_limit_counts_key_value_and_framing(spark):
+    for employee in ("é", "k" * 500):
+        frame = records(spark, [(employee, "a")])
+        value = f'{{"empId":"{employee}","categoryInfoList":[{{"categoryId":"a"}}]}}'
+        size = len(value.encode()) + len(employee.encode()) + MESSAGE_OVERHEAD
+        for limit, expected in [(size, 1), (size - 1, 0)]:
+            rows = publish_outcome(envelope(frame, "t"), max_bytes=limit).collect()
+            assert {r.counter: r.value for r in rows}["KAFKA_SUCCESS"] == expected
 
 
 @pytest.mark.parametrize("keyed", [True, False])
 def test_publish_job(spark, tmp_path, keyed):
     rows = [(f"e{i}", "a") for i in range(40)] + [("big", "b")] * 100
     write_key_values(records(spark, rows), str(tmp_path / "kv"))
+    options = dict(partitions=2, keyed=keyed, format="parquet")
+    limited = {**BROKERS, "max.request.size": 500}
+    with pytest.raises(ValueError, match="1 messages cannot be sent"):
+        run_publish(spark, str(tmp_path / "kv"), "t", limited, path=str(tmp_path / "none"), **options)
+    assert not (tmp_path / "none").exists()
     counters = run_publish(
-        spark, str(tmp_path / "kv"), "t", {**BROKERS, "max.request.size": 500}, partitions=2,
-        keyed=keyed, format="parquet", path=str(tmp_path / "sent"),
+        spark, str(tmp_path / "kv"), "t", limited, rejected=str(tmp_path / "rejected"),
+        path=str(tmp_path / "sent"), **options,
     )
     assert counters == {"KAFKA_SUCCESS": 40, "KAFKA_FAILURES": 1}
     sent = spark.read.parquet(str(tmp_path / "sent"))
-    assert sent.columns == ["topic", "key", "value"]
+    rejected = spark.read.parquet(str(tmp_path / "rejected"))
+    assert sent.columns == rejected.columns == ["topic", "key", "value"]
     assert sent.count() == 40
+    assert [len(json.loads(r.value)["categoryInfoList"]) for r in rejected.collect()] == [100]
     assert sent.where(F.col("key").isNotNull()).count() == (40 if keyed else 0)
     assert len(list((tmp_path / "sent").glob("*.parquet"))) <= 2
+    counters = run_publish(spark, str(tmp_path / "kv"), "t", BROKERS, path=str(tmp_path / "all"), **options)
+    assert counters == {"KAFKA_SUCCESS": 41, "KAFKA_FAILURES": 0}
 
 
 def test_producer_defaults():

@@ -9,11 +9,12 @@ import __spark_entry__ as registered
 from memberfold.operators import invert
 from memberfold.operators.counters import category_count_histogram, category_sizes, inversion_counters
 from memberfold.operators.envelope import envelope
-from memberfold.operators.pairs import category_ids, union_tagged
+from memberfold.operators.pairs import union_tagged
 from memberfold.sinks.avro import write_key_values
 from memberfold.sources.avro import read_key_values
 
 SF_DIR = "/root/testdata/sf0.001"
+IDS = registered.PRIORITIES
 
 
 def plan(frame):
@@ -30,7 +31,12 @@ def order_pairs(spark):
     return registered._order_pairs(spark, SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+OWN = set(registered.queries()) - {"pipeline"} - set(
+    registered.text_queries.queries() if registered.text_queries else ()
+)
+
+
+@pytest.mark.parametrize("name", sorted(OWN))
 def test_no_python_workers_and_no_cross_joins(spark, name):
     text = plan(registered.queries()[name](spark, SF_DIR))
     assert not re.search("EvalPython|InPandas|InArrow|PythonRDD", text)
@@ -38,7 +44,7 @@ def test_no_python_workers_and_no_cross_joins(spark, name):
 
 
 def test_counting_needs_one_combined_shuffle(order_pairs):
-    text = plan(invert.membership_counts(order_pairs, category_ids(order_pairs)).table())
+    text = plan(invert.membership_counts(order_pairs, IDS).table())
     assert re.findall(r"Exchange (\w+)\((\w+)#", text) == [("hashpartitioning", "empId")]
     assert "partial_count" in text
     assert "ObjectHashAggregate" not in text and "SortAggregate" not in text
@@ -54,28 +60,27 @@ def test_histogram_combines_before_both_shuffles(order_pairs):
     assert text.count("Exchange hashpartitioning") == 2 and text.count("partial_count") == 2
 
 
-@pytest.mark.parametrize("wide", [True, False])
-def test_both_halves_share_one_scan_and_shuffle(order_pairs, monkeypatch, wide):
-    ids = category_ids(order_pairs)
-    if not wide:
-        monkeypatch.setattr(invert, "WIDE_CATEGORIES", 0)
+@pytest.mark.parametrize("ids, exchanges", [(IDS, ["empId"]), (None, ["empId, categoryId", "empId"])])
+def test_records_come_from_one_scan_and_one_last_aggregation(order_pairs, ids, exchanges):
     counts = invert.membership_counts(order_pairs, ids)
     observed = counts.observe(Observation(), *inversion_counters())
-    for first in (None, observed):
-        text = final_plan(invert.employee_records(counts, 12, first))
-        assert text.count("FileScan") == 1 and text.count("ReusedExchange") == 1
-
-
-def test_empty_half_is_dropped(order_pairs):
-    text = final_plan(invert.employee_categories(order_pairs, category_ids(order_pairs)))
-    assert "REPARTITION_BY" not in text and "Union" not in text
+    for each in (counts, observed):
+        text = final_plan(invert.employee_records(each))
+        assert text.count("FileScan") == 1 and "Union" not in text and "REPARTITION_BY" not in text
+        found = [re.sub(r"#\d+L?", "", x) for x in re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", text)]
+        assert sorted(found) == sorted(exchanges)
+        assert text.count("keys=[empId") == 2 * len(exchanges)  # partial and final
 
 
-def test_parts_of_large_lists_are_spread(spark):
-    rows = spark.range(5000).selectExpr("'hot' AS empId", "concat('c', id % 2) AS categoryId")
-    records = invert.employee_categories(rows, ["c0", "c1"], max_list=10)
-    filled = records.select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
-    assert len(filled) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+def test_building_a_query_runs_no_job_for_ids(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("ids", "building queries")
+    for name in ("employee_categories", "employee_categories_nested", "publish_envelope", "publish_outcome"):
+        registered.queries()[name](spark, SF_DIR)
+    jobs = tracker.getJobIdsForGroup("ids")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # Reading a table's schema may take a job; none has the shuffle of distinct ids.
+    assert all(len(tracker.getJobInfo(j).stageIds) == 1 for j in jobs)
 
 
 def test_source_tags_become_constants(spark):
@@ -95,7 +100,7 @@ def test_many_sources_are_one_scan(spark):
 
 
 def test_publishing_does_not_shuffle(spark, order_pairs, tmp_path):
-    records = invert.employee_categories(order_pairs, category_ids(order_pairs))
+    records = invert.employee_categories(order_pairs, IDS)
     write_key_values(records, str(tmp_path / "kv"))
     messages = envelope(read_key_values(spark, str(tmp_path / "kv")), "t").coalesce(2)
     text = plan(messages.where(F.col("key").isNotNull()))

@@ -14,6 +14,7 @@ from memberfold.operators.categories import parse_specs, resolve_locations
 from memberfold.operators.snapshots import latest_snapshot
 from memberfold.schemas import EMPLOYEE
 from memberfold.session import shared_folder
+from memberfold.sources import members
 from memberfold.sources.avro import avro_format, read_members
 from memberfold.sources.members import collect_locations, scan_categories
 from memberfold.sources.snapshots import latest_paths
@@ -51,32 +52,64 @@ def test_reader_schema(spark, tmp_path):
     }
 
 
-@pytest.mark.parametrize("union_scans", [100, 0])
-def test_many_categories(spark, tmp_path, union_scans):
+def test_many_categories(spark, tmp_path):
     first = write_members(spark, tmp_path / "with space", "e", "e", None)
     second = write_members(spark, tmp_path / "b,c:d", "e", "f")
     empty = write_members(spark, tmp_path / "empty")
-    locations = [("1", first), ("2", second), ("3", empty), ("4", second + "/")]
-    pairs = scan_categories(spark, locations, union_scans)
+    (tmp_path / "nothing").mkdir()
+    locations = [("1", first), ("2", second), ("3", empty), ("4", second + "/"), ("5", str(tmp_path / "nothing"))]
+    pairs = scan_categories(spark, locations)
     assert pairs_of(pairs) == sorted(
         [("e", "1"), ("e", "1"), (None, "1"), ("e", "2"), ("f", "2"), ("e", "4"), ("f", "4")],
         key=str,
     )
 
 
-@pytest.mark.parametrize("union_scans", [100, 0])
-def test_missing_input_names_the_category_and_keeps_the_cause(spark, tmp_path, union_scans):
+@pytest.mark.parametrize("more", [0, 99, 100, 400])
+def test_one_rule_for_all_layouts(spark, tmp_path, more):
+    write_members(spark, tmp_path / "flat", "a")
+    write_members(spark, tmp_path / "plain" / "2024-01-02", "b")
+    write_members(spark, tmp_path / "plain" / "2024-01-03" / "deep", "c")
+    write_members(spark, tmp_path / "keyed" / "day=1", "d")
+    write_members(spark, tmp_path / "keyed" / "day=2", "e")
+    file = max((tmp_path / "flat").glob("part-*.avro"), key=lambda part: part.stat().st_size)
+    root = str(tmp_path)
+    locations = [
+        ("flat", f"{root}/flat"), ("plain", f"{root}/plain"), ("keyed", f"{root}/keyed"), ("file", str(file)),
+        ("glob", f"{root}/keyed/day=*"), ("inside", f"{root}/plain/2024-01-03"), ("shared", f"file:{root}/keyed/"),
+        *[(f"more{k}", f"{root}/flat") for k in range(more)],
+    ]
+    want = {
+        "flat": "a", "plain": "bc", "keyed": "de", "file": "a", "glob": "de", "inside": "c", "shared": "de",
+        **{f"more{k}": "a" for k in range(more)},
+    }
+    pairs = scan_categories(spark, locations)
+    expected = sorted((e, id_) for id_, employees in want.items() for e in employees)
+    assert sorted(map(tuple, pairs.collect())) == expected
+    assert pairs.count() == len(expected)
+
+
+@pytest.mark.parametrize("path", ["absent", "absent/*"])
+def test_missing_input_names_the_category_and_keeps_the_cause(spark, tmp_path, path):
     good = write_members(spark, tmp_path / "good", "e")
-    locations = [("1", good), ("2", str(tmp_path / "absent"))]
     with pytest.raises(RuntimeError, match="category 2") as caught:
-        scan_categories(spark, locations, union_scans)
+        scan_categories(spark, [("1", good), ("2", str(tmp_path / path))])
     assert caught.value.__cause__ is not None
 
 
-def test_single_scan_refuses_files_it_cannot_place(spark, tmp_path):
-    write_members(spark, tmp_path / "root" / "day=1", "e")
+def test_a_file_that_belongs_to_no_location_raises_even_when_counted(spark, tmp_path, monkeypatch):
+    good = write_members(spark, tmp_path / "good", "e")
+    monkeypatch.setattr(members, "_existing", lambda spark, path: [f"file:{path}/elsewhere"])
     with pytest.raises(PySparkException, match="outside every location"):
-        scan_categories(spark, [("1", str(tmp_path / "root"))], union_scans=0).collect()
+        scan_categories(spark, [("1", good)]).count()
+
+
+def test_only_the_fields_wanted_are_built(spark, tmp_path):
+    path = write_members(spark, tmp_path / "m", "e")
+    assert read_members(spark, path, fields=["empid"]).columns == ["empid"]
+    pairs = scan_categories(spark, [("1", path)])
+    text = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<empid:string>" in text
 
 
 def test_no_categories(spark):
@@ -247,10 +280,33 @@ def test_dates(spark, run_id, ts, configured, interval, expected):
     assert tuple(row) == expected
 
 
-def test_malformed_configured_date_raises(spark):
-    frame = spark.createDataFrame([("s", "2024-01-01", "soon")], "run string, ts string, conf string")
-    with pytest.raises(PySparkException):
-        frame.select(compute_date(F.col("run"), F.col("ts").cast("timestamp_ntz"), F.col("conf"))).collect()
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("configured", ["soon", "2024-13-01", "2023-05-05x"])
+def test_malformed_configured_date_raises(spark, ansi, configured):
+    frame = spark.createDataFrame([("scheduled__1", "2024-01-01 00:00:00", configured)], "run string, ts string, conf string")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(PySparkException, match="malformed configured date"):
+            frame.select(compute_date(F.col("run"), F.col("ts").cast("timestamp_ntz"), F.col("conf"))).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata", "America/Los_Angeles"])
+def test_dates_do_not_depend_on_the_session_zone(spark, zone):
+    texts = ["2024-01-01 13:00:00", "2024-01-01 18:29:59", "2024-01-01 18:30:00", "2024-03-10 10:30:00", "1969-12-31 20:00:00"]
+    wants = ["2024-01-01", "2024-01-01", "2024-01-02", "2024-03-10", "1970-01-01"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        frame = spark.createDataFrame([(t,) for t in texts], "text string").select(
+            F.col("text").cast("timestamp_ntz").alias("plain"),
+            F.concat("text", F.lit("Z")).cast("timestamp").alias("point"),
+        )
+        rows = frame.select(local_date(F.col("plain")), local_date(F.col("point"))).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [tuple(r) for r in rows] == [(w, w) for w in wants]
 
 
 # --- shared folder ------------------------------------------------------------
