@@ -18,7 +18,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Rows that may be broadcast; a longer table is joined by a shuffle.
 BROADCAST_ROWS = 200_000
 # Bytes of text that a Python worker handles at a time (a longer text comes alone).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
