@@ -13,7 +13,6 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,42 +34,101 @@ END = 0
 # Bytes of text that are encoded at a time.
 ENCODED_BYTES = 1 << 20
 
-# A space between two characters that are not white space always starts a new piece of
-# text for the tokenizer, so what follows from it can be encoded by itself.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+# Where a single space or line feed stands between two characters that are not white
+# space, the tokenizer starts a new piece of text: a space goes with what follows it, a
+# line feed is a piece by itself. A full stop or comma after a letter starts one, too.
+# What lies between can be encoded by itself.
+_LINES = re.compile(r"(?<=\S)\n(?=\S)")
+_WORDS = re.compile(r"(?<=\S) (?=\S)")
+_PARTS = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,])")
+# White space that is not of this kind; a text without it can be cut without patterns.
+_ODD = re.compile(r"[^\S \n]|\s\s|\A\s|\s\Z")
 
 
 class Encoder:
-    """Encodes whole texts piece by piece and remembers the ids of pieces it has met."""
+    """Encodes whole texts piece by piece and remembers the ids of pieces it has met.
 
-    LIMIT = 100_000  # pieces kept between texts
-    AT_ONCE = 10_000  # pieces the tokenizer is given at a time
+    Two generations are kept: when the younger one is full it becomes the older one, and
+    what is met again moves on, so that memory is bounded and frequent pieces stay.
+    """
+
+    LIMIT = 300_000  # words of a generation
+    AT_ONCE = 20_000  # parts the tokenizer is given at a time
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-
-    def _learn(self, known: dict[str, bytes], pieces: set[str], before: str) -> None:
-        new = list(pieces.difference(known))
-        for start in range(0, len(new), self.AT_ONCE):
-            part = new[start : start + self.AT_ONCE]
-            found = self.tokenizer.encode_batch_fast([before + p for p in part], add_special_tokens=False)
-            known.update((p, array("I", e.ids).tobytes()) for p, e in zip(part, found))
+        self.line_feed = self._ids("\n")
+        # First words of lines, later ones (after a space), and parts of words.
+        self.known: tuple[dict[str, bytes], ...] = ({}, {}, {})
+        self.older: tuple[dict[str, bytes], ...] = ({}, {}, {})
+
+    def _ids(self, text: str) -> np.ndarray:
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found[0].ids, "<u4")
+
+    def _unknown(self, kind: int, wanted: set[str]) -> set[str]:
+        """What is in neither generation; what is in the older one moves on."""
+        known, older = self.known[kind], self.older[kind]
+        new = wanted.difference(known)
+        again = new.intersection(older)
+        known.update((p, older[p]) for p in again)
+        return new - again
+
+    def _learn_words(self, kind: int, words: set[str], before: str) -> None:
+        new = [(w, _PARTS.split(before + w)) for w in self._unknown(kind, words)]
+        self._learn_parts({p for _, parts in new for p in parts})
+        get = self.known[2].__getitem__
+        self.known[kind].update((w, b"".join(map(get, parts))) for w, parts in new)
+
+    def _learn_parts(self, parts: set[str]) -> None:
+        new, known = self._unknown(2, parts), self.known[2]
+        plain = [p for p in new if _is_plain(p)]
+        for start in range(0, len(plain), self.AT_ONCE):
+            part = plain[start : start + self.AT_ONCE]
+            # Line feeds keep the parts of one call apart, in the text and in its ids.
+            ids = self._ids("\n".join(part))
+            ends = np.flatnonzero(ids == self.line_feed[0]) if len(self.line_feed) == 1 else ids[:0]
+            if len(ends) == len(part) - 1:
+                data, bounds = ids.tobytes(), [-1, *ends.tolist(), len(ids)]
+                known.update((p, data[4 * a + 4 : 4 * b]) for p, a, b in zip(part, bounds, bounds[1:]))
+        known.update((p, self._ids(p).tobytes()) for p in new if p not in known)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        if len(self.first) + len(self.later) > self.LIMIT:
-            self.first.clear()
-            self.later.clear()
-        cut = [_CUT.split(t) for t in texts]
-        self._learn(self.first, {c[0] for c in cut}, "")
-        self._learn(self.later, {p for c in cut for p in c[1:]}, " ")
-        first, later = self.first, self.later.__getitem__
-        return [first[c[0]] + b"".join(map(later, c[1:])) for c in cut]
+        if max(map(len, self.known)) > self.LIMIT:
+            self.known, self.older = ({}, {}, {}), self.known
+        cut = [
+            [_WORDS.split(line) for line in _LINES.split(t)]
+            if _ODD.search(t)
+            else [line.split(" ") for line in t.split("\n")]
+            for t in texts
+        ]
+        self._learn_words(0, {line[0] for lines in cut for line in lines}, "")
+        self._learn_words(1, {w for lines in cut for line in lines for w in line[1:]}, " ")
+        first, later, line_feed = self.known[0], self.known[1].__getitem__, self.line_feed.tobytes()
+        return [
+            line_feed.join([first[line[0]] + b"".join(map(later, line[1:])) for line in lines])
+            for lines in cut
+        ]
+
+
+def _is_plain(part: str) -> bool:
+    """No white space but one space before the first character."""
+    bare = part[1:] if part[:1] == " " else part
+    return bool(bare) and bare == bare.strip() and "\n" not in bare
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def _encoder(path: str) -> Encoder:
+    """One for all tasks of a Python worker."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def encode_documents(documents: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
@@ -84,7 +142,7 @@ def encode_documents(documents: DataFrame, tokenizer: str, end: int = END) -> Da
     width = "<u2" if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else "<u4"
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = _encoder(tokenizer)
         for batch in sliced(batches, limit=ENCODED_BYTES):
             texts = [x.decode() for x in as_bytes(batch.column("text"))]
             ids = [np.frombuffer(x + end.to_bytes(4, "little"), "<u4") for x in encoder.encode(texts)]
