@@ -26,25 +26,45 @@ DICTIONARY = 1 << 20
 _STEP, _WRAP = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 
+class Parser:
+    """Parses bytes into phrases, part by part; a copy goes on from where it was made."""
+
+    def __init__(self) -> None:
+        self.found = np.zeros(0, np.uint32)
+        self.hashes, self.children, self.node = [0], {}, 0
+
+    def copy(self) -> Parser:
+        twin = Parser()
+        twin.found, twin.node = self.found, self.node
+        twin.hashes, twin.children = self.hashes.copy(), self.children.copy()
+        return twin
+
+    def feed(self, part: bytes) -> Parser:
+        hashes, children, node = self.hashes, self.children, self.node
+        get = children.get
+        for byte in part:
+            key = node << 8 | byte
+            child = get(key)
+            if child is not None:
+                node = child
+                continue
+            children[key] = len(hashes)
+            hashes.append(((hashes[node] + byte + 1) * _STEP) & _WRAP)
+            node = 0
+            if len(hashes) > DICTIONARY:
+                self.found = _smallest(self.found, hashes)
+                del hashes[1:]
+                children.clear()
+        self.node = node
+        return self
+
+    def smallest(self) -> np.ndarray:
+        return _smallest(self.found, self.hashes)
+
+
 def phrase_hashes(text: bytes) -> np.ndarray:
     """The smallest 32-bit hashes of the phrases of a text, in order."""
-    found = np.zeros(0, np.uint32)
-    hashes, children, node = [0], {}, 0
-    get = children.get
-    for byte in text:
-        key = node << 8 | byte
-        child = get(key)
-        if child is not None:
-            node = child
-            continue
-        children[key] = len(hashes)
-        hashes.append(((hashes[node] + byte + 1) * _STEP) & _WRAP)
-        node = 0
-        if len(hashes) > DICTIONARY:
-            found = _smallest(found, hashes)
-            hashes, node = [0], 0
-            children.clear()
-    return _smallest(found, hashes)
+    return Parser().feed(text).smallest()
 
 
 def _smallest(found: np.ndarray, hashes: list[int]) -> np.ndarray:
@@ -98,9 +118,17 @@ _EDITED = (
 )
 
 
-def _edited(text: str, following: str) -> str:
+def _parsed(part: int, doc_id: int | None, data: bytes, alone: bool) -> dict:
+    """A document's own hashes, and the parser as it was before its last quarter."""
+    text = data.decode()
     cut = len(text) // 4
-    return text[: len(text) - cut] + following[:cut]
+    kept = text[: len(text) - cut].encode()
+    parser = Parser().feed(kept)
+    before = None if alone else parser.copy()
+    hashes = parser.feed(data[len(kept) :]).smallest()
+    return {
+        "part": part, "doc_id": doc_id, "text": text, "cut": cut, "kept": kept, "before": before, "hashes": hashes
+    }
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,12 +136,10 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = None
     for batch in sliced(batches):
         out = []
-        texts = as_bytes(batch.column("text"))
-        for part, borrowed, doc_id, text in zip(
-            batch.column("part").to_pylist(), batch.column("borrowed").to_pylist(), batch.column("doc_id").to_pylist(), texts
-        ):
-            row = (part, doc_id, text, phrase_hashes(text))
-            if held is not None and held[0] == part:
+        columns = [batch.column(c).to_pylist() for c in ("part", "doc_id", "borrowed")]
+        for part, doc_id, borrowed, text in zip(*columns, as_bytes(batch.column("text"))):
+            row = _parsed(part, doc_id, text, bool(borrowed))
+            if held is not None and held["part"] == part:
                 out.append(_pair(held, row))
             held = None if borrowed else row
         if out:
@@ -129,19 +155,17 @@ _ARROW = pa.schema(
 )
 
 
-def _pair(row: tuple, following: tuple) -> dict:
-    _, doc_id, data, hashes = row
-    text = data.decode()
-    edited = _edited(text, following[2].decode()).encode()
-    edited_hashes = phrase_hashes(edited)
+def _pair(row: dict, following: dict) -> dict:
+    head = following["text"][: row["cut"]].encode()
+    edited_hashes = row["before"].feed(head).smallest()
     return {
-        "doc_id": doc_id,
-        "n_chars": len(text),
-        "edited_sha256": hashlib.sha256(edited).hexdigest(),
-        "fingerprint": packed(hashes),
+        "doc_id": row["doc_id"],
+        "n_chars": len(row["text"]),
+        "edited_sha256": hashlib.sha256(row["kept"] + head).hexdigest(),
+        "fingerprint": packed(row["hashes"]),
         "edited_fingerprint": packed(edited_hashes),
-        "near_edited": likeness(hashes, edited_hashes),
-        "near_next": likeness(hashes, following[3]),
+        "near_edited": likeness(row["hashes"], edited_hashes),
+        "near_next": likeness(row["hashes"], following["hashes"]),
     }
 
 
