@@ -241,7 +241,7 @@ def _first_links(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
     )
 
 
-def _rest_cells(members: DataFrame, labels: DataFrame) -> DataFrame:
+def _rest_cells(members: DataFrame, buckets: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of block pairs that may link what the first links leave in different groups.
 
     The members of a pivot outside the pivot's own group are cut into blocks, and so is
@@ -279,8 +279,10 @@ def _rest_cells(members: DataFrame, labels: DataFrame) -> DataFrame:
     spots = F.explode(F.when(F.col("inside"), from_in).otherwise(from_out)).alias("c")
     rows = placed.select("pivot", "sid", "label", "n", "alone", "last", spots)
     rows = rows.select("pivot", "c.kind", "c.i", "c.j", "c.side", "sid", "label", "n", "alone", "last")
-    kind = "pivot long, kind int, i int, j int, side int, sid long, label long"
-    return rows.groupBy("pivot", "kind", "i", "j").applyInArrow(_screen, kind)
+    cells = written(rows.groupBy("pivot", "kind", "i", "j").applyInArrow(_screen, _CELL), "cells")
+    heads = buckets.join(small(cells.select("sid").distinct()), "sid").groupBy("sid")
+    rows = cells.join(heads.agg(F.collect_list("gram").alias("head")), "sid")
+    return rows.groupBy("pivot", "kind", "i", "j").applyInArrow(_screen_exactly, _CELL)
 
 
 def _members(buckets: DataFrame, sets: DataFrame) -> DataFrame:
@@ -315,6 +317,10 @@ def _possible(a, b):
     return near & (most * (100 + PERCENT) >= (a["n"] + b["n"]) * PERCENT)
 
 
+_CELL_NAMES = ["pivot", "kind", "i", "j", "side", "sid", "label", "n", "last"]
+_CELL = "pivot long, kind int, i int, j int, side int, sid long, label long, n long, last long"
+
+
 def _screen(group: pa.Table) -> pa.Table:
     """The rows of two blocks that may link to one of another label across them."""
     side = group.column("side").to_numpy()
@@ -326,7 +332,29 @@ def _screen(group: pa.Table) -> pa.Table:
     may = (most * (100 + PERCENT) >= (n[x] + n[y]) * PERCENT) & (label[x] != label[y])
     may &= np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * PERCENT
     rows = np.concatenate([a[may.any(axis=1)], b[may.any(axis=0)]])
-    return group.select(["pivot", "kind", "i", "j", "side", "sid", "label"]).take(pa.array(rows))
+    return group.select(_CELL_NAMES).take(pa.array(rows))
+
+
+def _screen_exactly(group: pa.Table) -> pa.Table:
+    """As ``_screen``, by the prefix n-grams that two documents have in common."""
+    side = group.column("side").to_numpy()
+    n, last, label = (group.column(c).to_numpy() for c in ("n", "last", "label"))
+    heads = [(None, None, x.values.to_numpy()) for x in group.column("head").combine_chunks()]
+    a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    common = [np.concatenate([*[heads[k][2] for k in rows], np.zeros(0, np.int64)]) for rows in (a, b)]
+    common = np.intersect1d(*common)
+    shared = np.zeros((len(a), len(b)))
+    for start in range(0, len(common), 4096):
+        columns = common[start : start + 4096]
+        shared += _incidence([heads[k] for k in a], columns) @ _incidence([heads[k] for k in b], columns).T
+    x, y = a[:, None], b[None, :]
+    rest = -(-n * PERCENT // 100) - 1  # n-grams after the prefix
+    most = np.where(last[x] < last[y], rest[x], rest[y])
+    most = np.where(last[x] == last[y], np.minimum(rest[x], rest[y]), most) + shared
+    may = (most * (100 + PERCENT) >= (n[x] + n[y]) * PERCENT) & (label[x] != label[y])
+    may &= np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * PERCENT
+    rows = np.concatenate([a[may.any(axis=1)], b[may.any(axis=0)]])
+    return group.select(_CELL_NAMES).take(pa.array(rows))
 
 
 def near_groups(documents: DataFrame) -> DataFrame:
@@ -366,8 +394,8 @@ def near_groups(documents: DataFrame) -> DataFrame:
     pairs = pairs.select("sid", "size.n", "pivot", F.col("pivot_size.n").alias("pivot_n"))
     ends = pairs.select(F.explode(F.array("sid", "pivot")).alias("sid"))
     links = written(_first_links(pairs, fragments(ends)), "links")
-    cells = written(_rest_cells(members, components(links)), "cells")
-    rows = fragments(cells).select("sid", "grams").join(small(cells), "sid")
+    cells = written(_rest_cells(members, buckets, components(links)), "cells")
+    rows = fragments(cells).select("sid", "grams").join(small(cells.drop("n", "last")), "sid")
     rest = rows.groupBy("pivot", "kind", "i", "j").applyInArrow(_compare, "a long, b long")
     rest = written(rest, "links")
     labels = components(links.unionAll(rest))
