@@ -29,6 +29,8 @@ ROUTE = 5
 # Words of recurring parts for a shard, and words streamed through one copy of its automaton.
 SHARD_WORDS, STREAM_WORDS = 100_000, 1_000_000
 _SYMBOLS = 1_100_000
+# Windows that are compared at a time.
+COMPARED = 20_000
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -226,6 +228,8 @@ class Automaton:
         if n <= 0 or not len(self.hashes):
             return np.zeros(len(coded), bool)
         ends = np.array([last for last, _ in self.automaton.iter(self._symbols(coded))], np.int64)
+        if not len(ends):
+            return np.zeros(len(coded), bool)
         # A phrase that ends at a word lies in the windows from that word's last possible
         # start back to where a window ends with it.
         turns = np.zeros(n + 1, np.int64)
@@ -236,9 +240,12 @@ class Automaton:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         same = (self.hashes[at] == hashes) & (self.owners[at] < doc_id)
         starts, at = starts[same], self.places[at[same]]
-        for k in range(WINDOW):
-            equal = coded[starts + k] == self.words[at + k]
-            starts, at = starts[equal], at[equal]
+        span = np.arange(WINDOW)
+        for k in range(0, len(starts), COMPARED):  # word by word
+            part = slice(k, k + COMPARED)
+            same = coded[starts[part, None] + span] == self.words[at[part, None] + span]
+            starts[part] = np.where(same.all(axis=1), starts[part], -1)
+        starts = starts[starts >= 0]
         turns = np.zeros(len(coded) + 1, np.int64)
         turns[starts] += 1
         np.add.at(turns, starts + WINDOW, -1)
