@@ -27,7 +27,7 @@ MAX_LANGUAGES = 200
 PRIOR_PAGES = 20.0
 # A document is kept if its language's posterior is at least this.
 SURE = 0.5
-# Hosts in which counts are kept apart while summing (a hot host's rows combine first).
+# Multiplier that spreads trigrams over the cells.
 _TRIGRAM = np.uint32(0x9E3779B1)
 
 
@@ -234,8 +234,9 @@ def identify(documents: DataFrame, pages: DataFrame, sure: float = SURE) -> Data
     best = F.array_max(both)
     posterior = 1 / F.aggregate(both, F.lit(0.0), lambda s, x: s + F.exp(x - best))
     language = F.element_at(F.array(*map(F.lit, languages)), F.array_position(both, best).cast("int"))
+    language = F.when(both.isNotNull(), language)
     posterior = F.coalesce(posterior, F.lit(0.0))
-    return joined.withColumn("__lid_both", both).select(
+    return joined.select(
         *[scored[c] for c in own],
         language.alias("language"),
         posterior.alias("posterior"),
