@@ -38,8 +38,10 @@ def op3_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = token_counts.vocabulary(tokenizer_path("piece_bpe_32k.model"))
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # The model is of BPE: its pieces are used, its ranks are not.
+    names = [piece for piece, _ in token_counts.vocabulary(tokenizer_path("piece_bpe_32k.model"))]
+    pieces = token_counts.saved(spark, token_counts.estimated(documents, names))
     return token_counts.count_tokens(documents, pieces).select("doc_id", "n_tokens")
 
 

@@ -1,5 +1,10 @@
 """Token counts of a unigram tokenizer without making the tokens.
 
+No unigram model is dealt, so one is estimated: the pieces of a sentencepiece model (whose
+own scores, if it is a BPE model, are ranks) and 256 byte pieces get log probabilities by
+expectation maximization over the word counts of all documents. The model is saved as a
+file that the tokenizers library reads.
+
 An Aho-Corasick automaton of the vocabulary lists the pieces that end at each character;
 dynamic programming carries the best score and its number of pieces. Of equal scores the
 first found stands, pieces being tried by their start from the left, as unigram tokenizers do.
@@ -7,21 +12,32 @@ first found stands, pieces being tried by their start from the left, as unigram
 
 from __future__ import annotations
 
+import collections
+import json
 import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from memberfold.llm.common import as_bytes, sliced
+from memberfold.llm.common import as_bytes, sliced, written
+from memberfold.session import shared_folder
 
 SPACE = "▁"
 # An unknown character scores this much below the least piece.
 UNKNOWN_PENALTY = 10.0
 # Words whose counts a task remembers.
 KNOWN_WORDS = 500_000
+UNKNOWN = "<unk>"
+BYTES = [f"<0x{k:02X}>" for k in range(256)]
+# Rounds of estimation at most, and the gain of log likelihood, as a share, that ends them.
+ROUNDS, GAIN = 6, 0.002
+# Added to the expected count of every piece.
+SMOOTHING = 0.5
+# Expected counts are summed in whole numbers of this part, so that their order has no effect.
+PART = 1024
 
 
 def vocabulary(path: str) -> list[tuple[str, float]]:
@@ -36,11 +52,31 @@ def vocabulary(path: str) -> list[tuple[str, float]]:
     ]
 
 
+def words(text: str) -> list[str]:
+    """Words of a text without the mark before each: spaces become marks, and a text that
+    does not start with one gets one. Marks that follow one another belong to the word after them."""
+    if not text:
+        return []
+    marked = text.replace(" ", SPACE)
+    parts = (marked if marked.startswith(SPACE) else SPACE + marked).split(SPACE)[1:]
+    if "" not in parts:
+        return parts
+    found, marks, last = [], 0, len(parts) - 1
+    for k, word in enumerate(parts):
+        if word or k == last:
+            found.append(SPACE * marks + word)
+            marks = 0
+        else:
+            marks += 1
+    return found
+
+
 class Counter:
     """Counts pieces of words; ``pieces`` must not have a space mark after another character.
 
     With this condition no piece reaches over the start of a word, so the best
-    segmentation of a text is made of those of its words.
+    segmentation of a text is made of those of its words. If all byte pieces are among
+    the pieces, an unknown character counts as its bytes.
     """
 
     def __init__(self, pieces: Sequence[tuple[str, float]]):
@@ -55,9 +91,10 @@ class Counter:
         self.automaton.make_automaton()
         self.unknown = min((s for _, s in pieces), default=0.0) - UNKNOWN_PENALTY
         self.known: dict[str, int] = {}
+        self.bytes = {p for p, _ in pieces}.issuperset(BYTES)
 
     def word(self, text: str) -> int:
-        """Pieces of the best segmentation; a run of unknown characters is one piece."""
+        """Pieces of the best segmentation; without byte pieces, a run of unknown characters is one."""
         n = len(text)
         ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
         for last, (length, score) in self.automaton.iter(text):
@@ -74,34 +111,197 @@ class Counter:
                 total = best[end - 1] + self.unknown
                 if found is None or total > found:
                     found = total
-                    count[end] = count[end - 1] + (not unknown[end - 1])
+                    more = len(text[end - 1].encode()) if self.bytes else not unknown[end - 1]
+                    count[end] = count[end - 1] + more
                     unknown[end] = True
             best[end] = found
         return count[n]
 
     def text(self, text: str) -> int:
-        """Pieces of a text: spaces become the mark, and a text that does not start with it gets one."""
-        if not text:
-            return 0
-        marked = text.replace(" ", SPACE)
-        words = (marked if marked.startswith(SPACE) else SPACE + marked).split(SPACE)
-        # Marks that follow one another belong to the word after them.
-        total, known, marks = 0, self.known, 0
-        last = len(words) - 1
-        for k, word in enumerate(words[1:], 1):
-            marks += 1
-            if word or k == last:
-                key = word if marks == 1 else SPACE * (marks - 1) + word
-                value = known.get(key)
-                if value is None:
-                    if len(known) >= KNOWN_WORDS:
-                        known.clear()
-                    value = known[key] = self.word(SPACE + key)
-                total += value
-                marks = 0
+        """Pieces of a text."""
+        total, known = 0, self.known
+        for key in words(text):
+            value = known.get(key)
+            if value is None:
+                if len(known) >= KNOWN_WORDS:
+                    known.clear()
+                value = known[key] = self.word(SPACE + key)
+            total += value
         return total
 
 
+# --- Estimation.
+
+
+def _chunks(pieces: Sequence[str]):
+    pairs = {p[k : k + 2] for p in pieces for k in range(len(p) - 1)}
+
+    def cut(word: str) -> Iterator[str]:
+        """Parts that every segmentation has bounds between: no piece holds these two characters."""
+        start = 0
+        for at in range(1, len(word)):
+            if word[at - 1 : at + 1] not in pairs:
+                yield word[start:at]
+                start = at
+        yield word[start:]
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: collections.Counter[str] = collections.Counter()
+
+        def counted() -> pa.RecordBatch:
+            found: collections.Counter[str] = collections.Counter()
+            for word, n in seen.items():
+                for part in cut(SPACE + word):
+                    found[part] += n
+            seen.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], names=["chunk", "n"]
+            )
+
+        for batch in sliced(batches):
+            for text in as_bytes(batch.column("text")):
+                seen.update(words(text.decode()))
+            if len(seen) >= KNOWN_WORDS:
+                yield counted()
+        yield counted()
+
+    return chunks
+
+
+class Lattices:
+    """Expected counts of pieces over all segmentations of many chunks at once."""
+
+    def __init__(self, pieces: Sequence[str], scores: np.ndarray):
+        children: dict[tuple[int, int], int] = {}
+        final = {}
+        for k, piece in enumerate(pieces):
+            node = 0
+            for c in piece:
+                node = children.setdefault((node, ord(c)), len(children) + 1)
+            final[node] = k
+        steps = sorted(((node << 21) | c, to) for (node, c), to in children.items())
+        self.steps, self.to = np.array(steps, np.int64).reshape(-1, 2).T.copy()
+        self.piece = np.full(len(children) + 1, -1, np.int64)
+        self.piece[list(final)] = list(final.values())
+        self.scores = np.append(scores, scores.min() - UNKNOWN_PENALTY)  # the last: unknown
+
+    def edges(self, codes: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, length and piece of every match; ``left`` is what a chunk has from each place on."""
+        at, node, length = np.arange(len(codes)), np.zeros(len(codes), np.int64), 0
+        single = np.zeros(len(codes), bool)
+        found = []
+        while len(at):
+            key = (node << 21) | codes[at + length]
+            step = np.minimum(np.searchsorted(self.steps, key), len(self.steps) - 1)
+            alive = self.steps[step] == key
+            at, node, length = at[alive], self.to[step[alive]], length + 1
+            piece = self.piece[node]
+            ends = piece >= 0
+            found.append((at[ends], np.full(ends.sum(), length), piece[ends]))
+            if length == 1:
+                single[at[ends]] = True
+            more = left[at] > length
+            at, node = at[more], node[more]
+        at = np.flatnonzero(~single)
+        found.append((at, np.ones(len(at), np.int64), np.full(len(at), len(self.scores) - 1)))
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def expected(self, chunks: list[str], n: np.ndarray) -> tuple[np.ndarray, int]:
+        """Expected counts, in parts, of the pieces (an unknown character's go to its bytes,
+        the first 256 after piece 0), and the log likelihood, in parts."""
+        sizes = np.array([len(c) for c in chunks], np.int64)
+        codes = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32).astype(np.int64)
+        first = np.cumsum(sizes) - sizes
+        owner = np.repeat(np.arange(len(chunks)), sizes)
+        place = np.arange(len(codes)) - first[owner]
+        start, length, piece = self.edges(codes, sizes[owner] - place)
+        # A chunk of n characters has n + 1 nodes.
+        low, own = place[start], owner[start]
+        score = self.scores[piece]
+        begin = start + own
+        end = begin + length
+        forward, backward = (np.zeros(len(codes) + len(chunks)) for _ in range(2))
+
+        def spread(level: np.ndarray, source: np.ndarray, target: np.ndarray, values: np.ndarray, down: bool) -> None:
+            order = np.lexsort((source, target, -level if down else level))
+            level, source, target, score_ = level[order], source[order], target[order], score[order]
+            cuts = np.flatnonzero(np.diff(level)) + 1
+            for a, b in zip(np.append(0, cuts), np.append(cuts, len(level))):
+                to = target[a:b]
+                heads = np.append(0, np.flatnonzero(np.diff(to)) + 1)
+                sums = values[source[a:b]] + score_[a:b]
+                most = np.maximum.reduceat(sums, heads)
+                group = np.repeat(most, np.diff(np.append(heads, b - a)))
+                values[to[heads]] = most + np.log(np.add.reduceat(np.exp(sums - group), heads))
+
+        spread(low + length, begin, end, forward, False)
+        spread(low, end, begin, backward, True)
+        whole = forward[first + np.arange(len(chunks)) + sizes]
+        share = np.exp(forward[begin] + score + backward[end] - whole[own])
+        weight = np.rint(n[own] * share * PART).astype(np.int64)
+        total = np.zeros(len(self.scores), np.int64)
+        np.add.at(total, piece, weight)
+        alone = np.flatnonzero(piece == len(self.scores) - 1)
+        chars, at = np.unique(codes[start[alone]], return_inverse=True)
+        counts = np.zeros(len(chars), np.int64)
+        np.add.at(counts, at, weight[alone])
+        for c, count in zip(chars.tolist(), counts.tolist()):
+            for byte in chr(c).encode():
+                total[1 + byte] += count
+        return total[:-1], int(np.rint(n * whole * PART).astype(np.int64).sum())
+
+
+def estimated(documents: DataFrame, pieces: Sequence[str]) -> str:
+    """A unigram model of the pieces and byte pieces, saved in a shared folder; its path.
+
+    Log probabilities are fitted to the words of all documents. The driver sees one
+    number a piece and round.
+    """
+    import tokenizers
+
+    spark = documents.sparkSession
+    pieces = list(dict.fromkeys([UNKNOWN, *BYTES, *pieces]))
+    chunks = documents.select("text").mapInArrow(_chunks(pieces), "chunk string, n long")
+    chunks = written(chunks.groupBy("chunk").agg(F.sum("n").alias("n")), "chunks")
+    scores, before = np.full(len(pieces), -np.log(len(pieces))), None
+    for _ in range(ROUNDS):
+        given = spark.sparkContext.broadcast((pieces, scores))
+
+        def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            lattices = Lattices(*given.value)
+            total, likelihood = np.zeros(len(given.value[0]), np.int64), 0
+            for batch in sliced(batches, "chunk"):
+                more, also = lattices.expected(batch.column("chunk").to_pylist(), batch.column("n").to_numpy())
+                total += more
+                likelihood += also
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.append(at, -1), pa.int32()), pa.array(np.append(total[at], likelihood), pa.int64())],
+                names=["piece", "n"],
+            )
+
+        sums = chunks.mapInArrow(expect, "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+        found = {r["piece"]: r["n"] for r in sums.collect()}
+        likelihood = found.pop(-1, 0)
+        expected = np.full(len(pieces), SMOOTHING)
+        expected[list(found)] += np.array(list(found.values())) / PART
+        scores = np.log(expected / expected.sum())
+        if before is not None and likelihood - before <= GAIN * abs(before):
+            break
+        before = likelihood
+    tokenizer = tokenizers.Tokenizer(tokenizers.models.Unigram(list(zip(pieces, scores.tolist())), 0, True))
+    tokenizer.pre_tokenizer = tokenizers.pre_tokenizers.Metaspace(split=False)
+    path = shared_folder(spark, "unigram")
+    spark.createDataFrame([(tokenizer.to_str(),)], "value string").coalesce(1).write.text(path)
+    return path
+
+
+def saved(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """Pieces and scores of a model that ``estimated`` has saved."""
+    vocab = json.loads(spark.read.text(path).first()[0])["model"]["vocab"]
+    return [(piece, score) for piece, score in vocab]
+
+
 def count_tokens(documents: DataFrame, pieces: Sequence[tuple[str, float]], out: str = "n_tokens") -> DataFrame:
     """The documents, whole rows, with the number of pieces of each whole text.
 

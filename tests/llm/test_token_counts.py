@@ -1,8 +1,13 @@
+import glob
+import math
+import random
+
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
 from memberfold.llm.queries import tokenizer_path
-from memberfold.llm.token_counts import Counter, count_tokens, vocabulary
+from memberfold.llm.token_counts import BYTES, UNKNOWN, Counter, Lattices, count_tokens, estimated, saved, vocabulary
 
 
 def library_counts(pieces):
@@ -46,3 +51,65 @@ def test_column(documents):
     want = [(1, 0), (2, 0), (3, 2), (3, 2), (4, Counter(pieces).text("ab" * 5000))]
     assert got == want
     assert count_tokens(documents([]), pieces).count() == 0
+
+
+def brute_expected(pieces, scores, text):
+    """Expected counts of pieces by listing all segmentations."""
+    score, low = dict(zip(pieces, scores)), min(scores) - 10
+
+    def ways(rest):
+        if not rest:
+            yield 0.0, []
+        for k in range(1, len(rest) + 1):
+            head = rest[:k]
+            if head in score:
+                for s, more in ways(rest[k:]):
+                    yield s + score[head], [head, *more]
+            elif k == 1:
+                for s, more in ways(rest[1:]):
+                    yield s + low, [*(f"<0x{b:02X}>" for b in head.encode()), *more]
+
+    found = [(math.exp(s), names) for s, names in ways(text)]
+    total = sum(s for s, _ in found)
+    return {p: sum(s * names.count(p) for s, names in found) / total for p in {x for _, n in found for x in n}}, math.log(total)
+
+
+def test_expected_counts_match_all_segmentations():
+    rng = random.Random(1)
+    pieces = [UNKNOWN, *BYTES, "▁", "a", "b", "ab", "▁a", "bab", "aba", "日本"]
+    scores = np.array([-rng.uniform(1, 6) for _ in pieces])
+    texts = ["▁abab", "▁a☃ba", "日本a日", "b", "▁ababbab"]
+    for text in texts:
+        got, likelihood = Lattices(pieces, scores).expected([text], np.array([1000]))
+        want, total = brute_expected(pieces, scores.tolist(), text)
+        assert likelihood / 1024 / 1000 == pytest.approx(total, abs=1e-5)
+        assert {p: n / 1024 / 1000 for p, n in zip(pieces, got) if n} == pytest.approx({p: n for p, n in want.items() if n > 1e-6}, abs=1e-4)
+    n = np.arange(1, 6)
+    several = Lattices(pieces, scores).expected(texts, n)
+    single = [Lattices(pieces, scores).expected([t], np.array([k])) for t, k in zip(texts, n)]
+    assert (several[0] == sum(s[0] for s in single)).all()
+
+
+def test_counts_are_those_of_the_saved_model(spark, documents):
+    from tokenizers import Tokenizer
+
+    texts = ["international development of nations", "nation  and development ", "☃𓀀𓀁 snow\nman 日本語", None, "", "a<0x41>b <unk>"] * 3
+    names = [p for p, _ in vocabulary(tokenizer_path("piece_bpe_32k.model"))]
+    rows = documents(list(enumerate(texts)))
+    path = estimated(rows, names)
+    pieces = saved(spark, path)
+    assert sum(math.exp(score) for _, score in pieces) == pytest.approx(1)
+    (part,) = glob.glob(f"{path}/part-*")
+    model = Tokenizer.from_file(part)
+    got = {r["doc_id"]: r["n_tokens"] for r in count_tokens(rows, pieces).collect()}
+    assert got == {k: len(model.encode(t or "", add_special_tokens=False).ids) for k, t in enumerate(texts)}
+    assert Counter(pieces).text("𓀀𓀁𓀀") == 13  # the mark and the bytes
+    assert Counter(pieces).text("international development") < 10  # by ranks as scores it is 10
+    counter, library = Counter(pieces), lambda t: len(model.encode(t, add_special_tokens=False).ids)
+    for text in ["x\n\ny", "☃a𓀀𓀀 b", "  nations", "developmental ré日"]:
+        assert counter.text(text) == library(text)
+
+
+def test_a_model_of_no_documents(spark, documents):
+    pieces = saved(spark, estimated(documents([]), ["▁a", "b"]))
+    assert len(pieces) == 259 and len({score for _, score in pieces}) == 1
