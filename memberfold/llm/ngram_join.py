@@ -16,9 +16,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from memberfold.llm.common import WordHashes, as_bytes, run_hashes, sliced, small, written
 from memberfold.llm.components import components
@@ -366,6 +367,16 @@ def near_groups(documents: DataFrame) -> DataFrame:
     and stays alone, under its own doc_id; one of fewer than five words has one shingle.
     A null doc_id is never a component's name unless the component has no other.
     """
+    return _labelled(documents).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("name", "doc_id").alias("component_id")
+    )
+
+
+def _labelled(documents: DataFrame) -> DataFrame:
+    """``doc_id, sid, n, label, name`` of every row: its set, the set's component and its name.
+
+    Labels tell components apart that go by one doc_id, where it comes with unlike texts.
+    """
     spark = documents.sparkSession
     documents = documents.select("doc_id", "text")
     order = spark.sparkContext.broadcast(global_order(documents))
@@ -402,22 +413,39 @@ def near_groups(documents: DataFrame) -> DataFrame:
     label = F.coalesce("component", "sid")
     joined = sets.join(labels, sets["sid"] == labels["node"], "left").select("sid", "doc_id", label.alias("label"))
     names = joined.groupBy("label").agg(F.min("doc_id").alias("name"))
-    named = joined.join(names, "label").select(F.col("sid").alias("of"), "name")
+    named = joined.join(names, "label").select(F.col("sid").alias("of"), "label", "name")
     described = described.select("doc_id", "sid", "n")
-    return described.join(named, described["sid"] == F.col("of"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("name", "doc_id").alias("component_id")
-    )
+    return described.join(named, described["sid"] == F.col("of"), "left").select("doc_id", "sid", "n", "label", "name")
+
+
+@F.pandas_udf(T.LongType())
+def _identity(texts: pd.Series) -> pd.Series:
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    return pd.Series([_set_id(s) for _, sets in _sets([batch]) for s in sets], dtype="Int64")
 
 
 def representatives(documents: DataFrame) -> DataFrame:
     """The documents, whole rows, one of each group: that of the least doc_id.
 
-    Of rows that repeat a doc_id within a group one stays. Rows without a doc_id stay,
-    as groups cannot name them.
+    Of rows that repeat a doc_id within a group one stays, that of the least text. A doc_id
+    whose texts belong to several groups stays once for each group that it names. Rows
+    without a doc_id stay, as groups cannot name them.
     """
-    groups = near_groups(documents)
-    kept = written(groups.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct(), "kept")
+    groups = written(_labelled(documents).where("doc_id IS NOT NULL"), "groups")
+    times = groups.groupBy(F.col("doc_id").alias("__kept")).agg(F.count("*").alias("times"))
+    kept = groups.where(F.col("doc_id") == F.coalesce("name", "doc_id"))
+    kept = kept.select(F.col("doc_id").alias("__kept"), F.col("sid").alias("__sid"), F.col("label").alias("__label"))
+    kept = written(kept.distinct().join(times, "__kept"), "kept")
     own = documents.columns
-    known = documents.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("__kept"))
-    first = known.dropDuplicates(["doc_id"]).select(*own)
-    return first.unionByName(documents.where("doc_id IS NULL"))
+    one = documents.join(kept.where("times = 1").select("__kept"), F.col("doc_id") == F.col("__kept"))
+    several = small(kept.where("times > 1").drop("times"))
+    # What may share a doc_id with another text is told apart by its set of n-grams.
+    ids = several.select("__kept").distinct()
+    rows = documents.join(small(ids), documents["doc_id"] == ids["__kept"], "left_semi")
+    rows = rows.withColumn("__set", _identity("text"))
+    rows = rows.join(several, (F.col("doc_id") == F.col("__kept")) & F.col("__set").eqNullSafe(F.col("__sid")))
+    # A text without words has no label: its group is its doc_id.
+    order = F.struct(F.col("text").isNotNull(), "text", F.xxhash64(*[c for c, kind in documents.dtypes if "map<" not in kind]))
+    first = rows.groupBy("__label", "__kept").agg(F.min_by(F.struct(*own), order).alias("__row"))
+    found = one.select(*own).unionByName(first.select("__row.*"))
+    return found.unionByName(documents.where("doc_id IS NULL"))

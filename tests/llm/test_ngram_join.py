@@ -85,6 +85,16 @@ def test_one_of_each_group_stays(documents):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["2", "4", "5", "9", "None"]
 
 
+def test_unlike_texts_of_one_id_stay_for_each_group(documents):
+    near, other = " ".join(f"w{k}" for k in range(100)), " ".join(f"v{k}" for k in range(50))
+    third = " ".join(f"u{k}" for k in range(50))
+    rows = [(3, near), (5, near + " more"), (5, other), (5, other.upper()), (5, third), (5, None), (5, ""), (7, third + " x"), (8, "a b c")]
+    for given in (rows, rows[::-1]):
+        kept = representatives(documents(given)).collect()
+        want = [(3, near), (5, None), (5, other.upper()), (5, third), (8, "a b c")]
+        assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted(want, key=str)
+
+
 def test_components(spark):
     rng = random.Random(5)
     links = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 140)] + [(7, 7), (500, 500)]
