@@ -153,29 +153,27 @@ def host_priors(labelled: DataFrame, languages: list[str]) -> DataFrame:
     return hosts.groupBy("host").agg(prior.alias("prior"))
 
 
-def declared_likelihoods(labelled: DataFrame, languages: list[str], column: str) -> dict[str, list[float]]:
-    """Log probability of a declared value under each language, shrunk to the value's rate.
+def declared_likelihoods(labelled: DataFrame, languages: list[str], column: str) -> DataFrame:
+    """``column, heard``: log probabilities of every declared value under each language, in
+    order, shrunk to the value's rate.
 
-    ``column`` holds few values (language tags); at most a thousand frequent ones are
-    told apart, and any other has no effect on the posterior.
+    A value without a document of known language has no row.
     """
-    counts = labelled.groupBy(column, "language").agg(F.count("*").alias("n"))
-    values = counts.groupBy(column).agg(F.sum("n").alias("total")).orderBy(F.desc("total"), column).limit(1000)
-    rows = counts.join(F.broadcast(values), column).where(F.col("language").isin(languages)).collect()
-    total = dict.fromkeys(languages, 0)
-    rate: dict[str, int] = {}
-    for row in rows:
-        total[row["language"]] += row["n"]
-        rate[row[column]] = rate.get(row[column], 0) + row["n"]
-    every = sum(rate.values())
-    found = {(row[column], row["language"]): row["n"] for row in rows}
-    return {
-        value: [
-            float(np.log((found.get((value, l), 0) + PRIOR_PAGES * n / every) / (total[l] + PRIOR_PAGES)))
-            for l in languages
-        ]
-        for value, n in rate.items()
-    }
+    counts = labelled.where(F.col("language").isin(languages)).groupBy(column, "language").agg(F.count("*").alias("n"))
+    counts = written(counts, "declared")
+    sums = {r[0]: r[1] for r in counts.groupBy("language").agg(F.sum("n")).collect()}
+    every = max(sum(sums.values()), 1)
+    listed = F.array(
+        *[F.struct(F.lit(l).alias("language"), F.lit(sums.get(l, 0) + PRIOR_PAGES).alias("total")) for l in languages]
+    )
+    values = counts.groupBy(column).agg(
+        F.map_from_entries(F.collect_list(F.struct("language", "n"))).alias("of"), F.sum("n").alias("rate")
+    )
+    expected = F.col("rate") * F.lit(PRIOR_PAGES / every)
+    heard = F.transform(
+        listed, lambda x: F.log((F.coalesce(F.try_element_at("of", x["language"]), F.lit(0)) + expected) / x["total"])
+    )
+    return values.select(column, heard.alias("heard"))
 
 
 def identify(documents: DataFrame, pages: DataFrame, sure: float = SURE) -> DataFrame:
@@ -215,12 +213,11 @@ def identify(documents: DataFrame, pages: DataFrame, sure: float = SURE) -> Data
     # A document that comes more than once counts once; its least language stands.
     of = of.where("page IS NOT NULL").groupBy("page").agg(F.min("language").alias("language"))
     labelled = written(evidence.join(of, "page"), "labelled")
-    said = declared_likelihoods(labelled, languages, "declared")
+    said = small(written(declared_likelihoods(labelled, languages, "declared"), "heard"))
     prior = host_priors(labelled, languages)
     fused = evidence.join(prior, "host").select("page", "declared", F.transform("prior", lambda p: F.log(p)).alias("prior"))
-    flat = [0.0] * len(languages)
-    spoken = F.create_map(*[x for v, l in said.items() for x in (F.lit(v), F.array(*map(F.lit, l)))]) if said else None
-    heard = F.coalesce(spoken[F.col("declared")], F.array(*map(F.lit, flat))) if said else F.array(*map(F.lit, flat))
+    heard = F.coalesce("heard", F.array(*[F.lit(0.0)] * len(languages)))
+    fused = fused.join(said, "declared", "left")
     fused = fused.select(
         F.col("page").alias("__lid_page"), F.zip_with("prior", heard, lambda a, b: a + b).alias("__lid_more")
     )

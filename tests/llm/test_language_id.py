@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from memberfold.llm import language_id
-from memberfold.llm.language_id import PRIOR_PAGES, host_priors, identify, page_evidence, text_model
+from memberfold.llm.language_id import PRIOR_PAGES, declared_likelihoods, host_priors, identify, page_evidence, text_model
 
 SYLLABLES = {"de": ["sch", "ung", "ein", "ä"], "en": ["the", "ing", "wh", "ly"], "fr": ["eau", "ou", "é", "que"]}
 
@@ -90,3 +90,20 @@ def test_empty_tables(spark, documents):
     assert (row["language"], row["accepted"]) == (None, False)
     assert identify(documents([(1, "text", "s", "en")]), pages).first()["language"] == "en"
     assert page_evidence(pages).count() == 0
+
+
+def test_rare_declared_values_keep_their_evidence(spark):
+    languages = ["de", "en"]
+    rows = [(f"v{k}", languages[k % 2]) for k in range(1500) for _ in range(2)]
+    rows += [("v0", "en"), ("v1", None), ("unlabelled", None)]
+    found = declared_likelihoods(spark.createDataFrame(rows, "declared string, language string"), languages, "declared")
+    found = {r["declared"]: r["heard"] for r in found.collect()}
+    known = [r for r in rows if r[1]]
+    assert found.keys() == {v for v, _ in known}
+    for value in ("v0", "v1", "v1498", "v1499"):
+        rate = sum(v == value for v, _ in known) / len(known)
+        want = [
+            math.log((known.count((value, l)) + PRIOR_PAGES * rate) / (sum(x == l for _, x in known) + PRIOR_PAGES))
+            for l in languages
+        ]
+        assert found[value] == pytest.approx(want)
