@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from memberfold.llm import decontaminate, fingerprints, language_id, mixture, ngram_join, oracles
-from memberfold.llm import quality_crf, substring_dedup, token_counts, token_file, url_reputation
+from memberfold.llm import conversation_repair, decontaminate, fill_middle, fingerprints, language_id
+from memberfold.llm import mixture, ngram_join, oracles, quality_crf, substring_dedup, token_counts
+from memberfold.llm import token_file, top_products, url_reputation
 from memberfold.llm.common import table
 
 ALLOW = ("example.net/en/", "org/fr/")
 BLOCK = ("net/", "example.com/de/")
+# Fill in the middle: seed of the cuts, percent of plain texts and of suffix-first ones among the others.
+SEED, PLAIN_PERCENT, SPM_PERCENT = 1, 10, 20
+# Search: results of a query, and the divisor of the ids that are queries.
+TOP, EVERY = 5, 50
 
 
 def tokenizer_path(name: str) -> str:
@@ -88,6 +93,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair_report(conversation_repair.damaged(conversations))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return fill_middle.fill_in_middle(documents, SEED, PLAIN_PERCENT, SPM_PERCENT, digest=True)
+
+
+def op13_largest_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products.largest_products(table(spark, sf_dir, "embeddings"), TOP, EVERY, "embedding")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_source_mixture,
@@ -100,6 +119,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_repeated_passages,
         op9_ngram_join,
         op10_language_id,
+        op11_conversation_repair,
+        op12_fill_in_middle,
+        op13_largest_products,
     ]
     return {f.__name__: f for f in found}
 
@@ -110,4 +132,7 @@ def oracle_sql() -> dict[str, str]:
         op7_benchmark_containment.__name__: oracles.BENCHMARK_CONTAINMENT,
         op8_repeated_passages.__name__: oracles.REPEATED_PASSAGES,
         op9_ngram_join.__name__: oracles.NGRAM_JOIN,
+        op11_conversation_repair.__name__: oracles.CONVERSATION_REPAIR,
+        op12_fill_in_middle.__name__: oracles.fill_in_middle(SEED, PLAIN_PERCENT, SPM_PERCENT),
+        op13_largest_products.__name__: oracles.largest_products(TOP, EVERY, "embedding"),
     }

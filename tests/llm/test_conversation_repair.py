@@ -1,0 +1,213 @@
+import hashlib
+import itertools
+import random
+import zlib
+
+import pytest
+
+from memberfold.llm import conversation_repair, oracles
+from memberfold.llm.conversation_repair import (
+    END,
+    applied,
+    behind,
+    damaged,
+    edits,
+    power,
+    product,
+    repair_report,
+    repaired_turns,
+    summary,
+    transition,
+)
+
+COLUMNS = "conv_id long, turn long, role string, text string"
+ASCII_SPACE = " \t\n\x0b\x0c\r"
+
+
+def order(value):
+    return (value is not None, value or 0)
+
+
+def brute_damage(rows):
+    out = []
+    for conv_id, turn, role, text in rows:
+        key = ":".join(" " if v is None else str(v) for v in (conv_id, turn))
+        kind = zlib.crc32(key.encode()) % 20
+        role, text = (" " if v is None else v for v in (role, text))
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = "".join(c for c in text if c not in ".!?")
+        if kind == 4:
+            role = "user"
+        out += [(conv_id, turn, role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    return out
+
+
+def brute_edits(faults, roles):
+    """Cheapest edits by trying them turn after turn, keeping one best for each state."""
+    best = {"": (0, "", ())}
+
+    def better(found, state, value):
+        if state not in found or value < found[state]:
+            found[state] = value
+
+    def inserted(found):
+        for _ in range(3):
+            for state, (cost, audit, out) in list(found.items()):
+                role = "assistant" if state == "u" else "user"
+                better(found, role[0], (cost + 2, audit + "I", (*out, (role, None))))
+        return found
+
+    for fault, role in zip(faults, roles):
+        after = {}
+        for state, (cost, audit, out) in inserted(best).items():
+            better(after, state, (cost + 3, audit + "D", out))
+            if fault in ("blank", "duplicate"):
+                continue
+            more = fault == "truncated"
+            new = "assistant" if state == "u" else "user"
+            at = len([e for e in audit if e != "I"])
+            better(after, new[0], (cost + 2 + more, audit + "R", (*out, (new, at))))
+            if role and state + role[:1] in ("s", "u", "su", "ua", "au"):
+                better(after, role[:1], (cost + more, audit + "K", (*out, (None, at))))
+        best = after
+    return min(v for state, v in inserted(best).items() if state in ("", "a"))
+
+
+def brute(rows):
+    out = []
+    live = brute_damage(rows)
+    for conv_id in {r[0] for r in rows}:
+        mine = sorted((r[1:] for r in live if r[0] == conv_id), key=lambda r: (order(r[0]), r[1].encode(), r[2].encode()))
+        turns = [t for t, _, _ in mine if t is not None]
+        seen, faults = set(), []
+        for _, role, text in mine:
+            bare = text.rstrip(ASCII_SPACE)
+            fault = "blank" if not bare else "duplicate" if (role, text) in seen else ""
+            faults.append(fault or ("" if bare[-1] in ".!?" else "truncated"))
+            seen.add((role, text))
+        roles = [role for _, role, _ in mine]
+        pairs = [a[:1] + b[:1] for a, b in itertools.pairwise(roles)]
+        cost, audit, kept = brute_edits(faults, roles)
+        lines = [f"{role or roles[at]}:{'' if at is None else mine[at][2]}" for role, at in kept]
+        out.append(
+            {
+                "conv_id": conv_id,
+                "gaps": max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0,
+                **{name: faults.count(name) for name in ("blank", "duplicate", "truncated")},
+                "illegal": sum(p not in ("su", "ua", "au") for p in pairs),
+                "cost": cost,
+                "audit": audit,
+                "repaired_sha256": hashlib.sha256("\n".join(lines).encode()).hexdigest(),
+            }
+        )
+    return out
+
+
+def by_id(rows):
+    return sorted(rows, key=lambda r: order(r["conv_id"]))
+
+
+@pytest.fixture
+def rows():
+    rng = random.Random(11)
+    texts = ["Yes.", "No!", "Why?", "cut off", "", " \t\n", "\xa0", None, "One. Two", "Ends so. \n", "x" * 300 + "."]
+    roles = ["user"] * 6 + ["assistant"] * 6 + ["system", "tool", "User", "", None, "unknown"]
+    out = []
+    for conv_id in [*range(150), None, -3]:
+        for turn in range(rng.randrange(1, 12)):
+            turn = None if rng.random() < 0.05 else turn + rng.randrange(3)
+            out.append((conv_id, turn, rng.choice(roles), rng.choice(texts)))
+    # One conversation with a third of all rows, long stretches of the same, and repeated rows.
+    for turn in range(700):
+        role = "user" if turn // 100 % 2 else rng.choice(roles)
+        out.append((7, turn, role, "same." if turn % 200 > 150 else f"turn {turn}" + rng.choice([".", "", "!"])))
+    return out + out[:40]
+
+
+@pytest.mark.parametrize("piece", [(4096, 1 << 20), (3, 1 << 20), (50, 400)])
+def test_report_equals_brute_force(spark, monkeypatch, rows, piece):
+    monkeypatch.setattr(conversation_repair, "PIECE_TURNS", piece[0])
+    monkeypatch.setattr(conversation_repair, "PIECE_CHARS", piece[1])
+    got = repair_report(damaged(spark.createDataFrame(rows, COLUMNS).repartition(3))).collect()
+    assert by_id(r.asDict() for r in got) == by_id(brute(rows))
+
+
+def test_report_equals_sql(spark, sql, rows):
+    table = spark.createDataFrame(rows, COLUMNS)
+    got = by_id(r.asDict() for r in repair_report(damaged(table)).collect())
+    assert got == by_id(sql(oracles.CONVERSATION_REPAIR, conversations=table))
+
+
+def test_repaired_turns_give_the_hash(spark, rows):
+    live = damaged(spark.createDataFrame(rows, COLUMNS))
+    turns = sorted(repaired_turns(live).collect(), key=lambda r: (order(r.conv_id), r.part, r.at, r.turn))
+    want = {r.conv_id: r.repaired_sha256 for r in repair_report(live).collect()}
+    for conv_id, group in itertools.groupby(turns, key=lambda r: r.conv_id):
+        lines = "\n".join(f"{r.role}:{r.text}" for r in group)
+        assert hashlib.sha256(lines.encode()).hexdigest() == want.pop(conv_id)
+    assert set(want.values()) <= {hashlib.sha256(b"").hexdigest()}
+
+
+def test_all_edit_sequences(spark):
+    """Edits against every sequence of edits of a few turns, insertions between them included."""
+
+    def cheapest(symbols):
+        found = []
+
+        def walk(at, state, audit, cost):
+            if cost > 12:
+                return
+            if at == len(symbols) and state in ("", "a"):
+                found.append((cost, audit))
+            spoken = "a" if state == "u" else "u"
+            if len(audit) < len(symbols) + 4:
+                walk(at, spoken, audit + "I", cost + 2)
+            if at < len(symbols):
+                symbol = symbols[at]
+                walk(at + 1, state, audit + "D", cost + 3)
+                if symbol != "x":
+                    more = symbol.isupper()
+                    walk(at + 1, spoken, audit + "R", cost + 2 + more)
+                    if state + symbol.lower() in ("s", "u", "su", "ua", "au"):
+                        walk(at + 1, symbol.lower(), audit + "K", cost + more)
+
+        walk(0, "", "", 0)
+        return min(found)
+
+    for n in range(4):
+        for symbols in itertools.product("suaoUAx", repeat=n):
+            symbols = "".join(symbols)
+            assert (behind(symbols, END)[0][0], edits(symbols)[0]) == cheapest(symbols), symbols
+
+
+def test_powers_are_repeated_transitions():
+    for symbol in "suaoSUAOx":
+        stepped = transition(symbol)
+        for _ in range(7):
+            stepped = product(stepped, transition(symbol))
+        assert power(symbol, 3) == stepped
+    symbols = "u" * 1000 + "x" * 77 + "A" * 513
+    ahead = END
+    for symbol in reversed(symbols):
+        ahead = applied(transition(symbol), ahead)
+    assert applied(summary(symbols), END) == ahead == behind(symbols, END)[0]
+
+
+def test_defined_cases(spark, sql):
+    none = spark.createDataFrame([], COLUMNS)
+    assert repair_report(damaged(none)).collect() == []
+    # A conversation of which damage drops every row.
+    dropped = next(k for k in range(1000) if zlib.crc32(f"{k}:0".encode()) % 20 == 0)
+    row = repair_report(damaged(spark.createDataFrame([(dropped, 0, "user", "a.")], COLUMNS))).collect()
+    empty = hashlib.sha256(b"").hexdigest()
+    assert [tuple(r) for r in row] == [(dropped, 0, 0, 0, 0, 0, 0, "", empty)]
+
+
+def test_long_text_and_other_columns(spark):
+    rows = [(1, k, role, "é" * 2_000_000 + ".") for k, role in enumerate(["user", "assistant", "user"])]
+    rows += [(None, None, None, None)] * 5
+    table = spark.createDataFrame([(*r, 1, "x", True) for r in rows], COLUMNS + ", part long, flaws string, whole boolean")
+    got = repair_report(damaged(table)).collect()
+    assert by_id(r.asDict() for r in got) == by_id(brute(rows))
