@@ -7,6 +7,7 @@ another key) is the employee, a priority (or the table itself) is the category.
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,7 +20,9 @@ from memberfold.operators.counters import (
     counters_report,
 )
 from memberfold.operators.envelope import (
+    FAILURE,
     MESSAGE_OVERHEAD,
+    SUCCESS,
     envelope,
     publish_outcome,
     rejected_messages,
@@ -30,17 +33,16 @@ from memberfold.operators.snapshots import latest_snapshot
 from memberfold.plans.invert_job import run_inversion, write_inversion
 from memberfold.schemas import EMPLOYEE_AVRO
 from memberfold.session import shared_folder
+from memberfold.sinks.delivery import Delivery, deliver
 from memberfold.sources.avro import avro_format, read_key_values, read_members
 from memberfold.sources.members import scan_categories
 
-try:  # the subpackage and its pipeline are optional
+# The subpackage and its pipeline are optional; one that is there but does not import raises.
+text_queries = corpus_pipeline = None
+if find_spec("memberfold.llm.queries" if find_spec("memberfold.llm") else "memberfold.llm"):
     from memberfold.llm import queries as text_queries
-except ImportError:
-    text_queries = None
-try:
+if find_spec("corpus_pipeline") and text_queries is not None:
     import corpus_pipeline
-except ImportError:
-    corpus_pipeline = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 TOPIC = "employee-categories"
@@ -155,6 +157,17 @@ def kv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(read_key_values(spark, folder))
 
 
+def kv_named_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in progress have no employee; the output replaces one of all orders."""
+    folder = shared_folder(spark, "kv")
+    orders = _table(spark, sf_dir, "orders")
+    write_inversion(_order_pairs(spark, sf_dir), list(PRIORITIES), folder)
+    employee = F.when(F.col("o_orderstatus") != "P", F.col("o_custkey"))
+    pairs = tag(orders.withColumn("employee", employee), F.col("o_orderpriority"), "employee")
+    write_inversion(pairs, list(PRIORITIES), folder, mode="overwrite", drop_null_keys=True)
+    return as_text(read_key_values(spark, folder))
+
+
 def inversion_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job: spec, locations, Avro scans, inversion, key/value output."""
     _, locations = _write_members(spark, sf_dir)
@@ -234,6 +247,30 @@ def publish_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected_messages(publish_envelope(spark, sf_dir), max_bytes=SMALL_MESSAGE)
 
 
+def _delivered(spark: SparkSession, sf_dir: str) -> tuple[Delivery, str]:
+    """Messages sent to files; those that are too large are left to the log."""
+    folder = shared_folder(spark, "sent")
+    client, settings = "memberfold.sinks.clients:FolderClient", {"path": folder}
+    messages = publish_envelope(spark, sf_dir)
+    log = shared_folder(spark, "delivery")
+    return deliver(messages, client, settings, log, True, SMALL_MESSAGE, MESSAGE_OVERHEAD), folder
+
+
+def publish_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of each message; a repeated task may have sent one more than once."""
+    delivery, folder = _delivered(spark, sf_dir)
+    sent = spark.read.schema("topic string, key string, value string").json(folder).distinct()
+    rejected = delivery.rejected(spark).drop("reason")
+    status = lambda frame, name: frame.withColumn("status", F.lit(name))
+    return status(sent, SUCCESS).unionByName(status(rejected, FAILURE))
+
+
+def publish_delivery_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters that the sink's tasks committed."""
+    counters = _delivered(spark, sf_dir)[0].counters()
+    return spark.createDataFrame(list(counters.items()), "counter string, value long")
+
+
 def run_dates_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dates of events whose time is a ``timestamp``, a point in time."""
     events = _table(spark, sf_dir, "events")
@@ -265,6 +302,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "category_count_histogram": histogram,
         "counters_report": counters,
         "kv_roundtrip": kv_roundtrip,
+        "kv_named_employees": kv_named_employees,
         "inversion_job": inversion_job,
         "category_spec": category_spec,
         "resolve_location": resolve_location,
@@ -274,6 +312,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "publish_envelope_unkeyed": publish_envelope_unkeyed,
         "publish_outcome": outcome,
         "publish_rejected": publish_rejected,
+        "publish_delivered": publish_delivered,
+        "publish_delivery_counters": publish_delivery_counters,
         "run_dates_zoned": run_dates_zoned,
         **_text_queries(),
     }
@@ -312,6 +352,14 @@ _RECORD_VALUE_SQL = """
 
 _ORDER_SIZES_SQL = "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey"
 
+_OUTCOME_SQL = f"""
+    WITH sizes AS (SELECT strlen(value) + strlen(emp) + {MESSAGE_OVERHEAD} AS bytes FROM ({_RECORD_VALUE_SQL}))
+    SELECT 'KAFKA_SUCCESS' AS counter,
+           CAST(count(*) FILTER (bytes <= {SMALL_MESSAGE}) AS BIGINT) AS value FROM sizes
+    UNION ALL
+    SELECT 'KAFKA_FAILURES', CAST(count(*) FILTER (bytes > {SMALL_MESSAGE}) AS BIGINT)
+    FROM sizes"""
+
 _BUCKET_SQL = """CASE n WHEN 1 THEN 'ONE_CATEGORY' WHEN 2 THEN 'TWO_CATEGORIES'
     WHEN 3 THEN 'THREE_CATEGORIES' WHEN 4 THEN 'FOUR_CATEGORIES' WHEN 5 THEN 'FIVE_CATEGORIES'
     ELSE 'MORE_THAN_FIVE_CATEGORIES' END"""
@@ -357,6 +405,7 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'MORE_THAN_FIVE_CATEGORIES',
                              CAST(count(*) FILTER (n > 5) AS BIGINT) FROM sizes""",
         "kv_roundtrip": _ORDER_LISTS_SQL,
+        "kv_named_employees": _ORDER_LISTS_SQL.replace("FROM orders", "FROM orders WHERE o_orderstatus <> 'P'"),
         "inversion_job": _ORDER_LISTS_SQL,
         "category_spec": """
             SELECT l_orderkey, l_linenumber, CAST(l_suppkey AS VARCHAR) AS category_id,
@@ -391,13 +440,13 @@ def oracle_sql() -> dict[str, str]:
         "publish_envelope_unkeyed": f"""
             SELECT '{TOPIC}' AS topic, CAST(NULL AS VARCHAR) AS key, value
             FROM ({_RECORD_VALUE_SQL})""",
-        "publish_outcome": f"""
-            WITH sizes AS (SELECT strlen(value) + strlen(emp) + {MESSAGE_OVERHEAD} AS bytes FROM ({_RECORD_VALUE_SQL}))
-            SELECT 'KAFKA_SUCCESS' AS counter,
-                   CAST(count(*) FILTER (bytes <= {SMALL_MESSAGE}) AS BIGINT) AS value FROM sizes
-            UNION ALL
-            SELECT 'KAFKA_FAILURES', CAST(count(*) FILTER (bytes > {SMALL_MESSAGE}) AS BIGINT)
-            FROM sizes""",
+        "publish_outcome": _OUTCOME_SQL,
+        "publish_delivery_counters": _OUTCOME_SQL,
+        "publish_delivered": f"""
+            SELECT '{TOPIC}' AS topic, emp AS key, value,
+                   CASE WHEN strlen(value) + strlen(emp) + {MESSAGE_OVERHEAD} <= {SMALL_MESSAGE}
+                        THEN 'SUCCESS' ELSE 'FAILURE' END AS status
+            FROM ({_RECORD_VALUE_SQL})""",
         "publish_rejected": f"""
             SELECT '{TOPIC}' AS topic, emp AS key, value FROM ({_RECORD_VALUE_SQL})
             WHERE strlen(value) + strlen(emp) + {MESSAGE_OVERHEAD} > {SMALL_MESSAGE}""",

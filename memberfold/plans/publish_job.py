@@ -1,7 +1,7 @@
 """The publish job: key/value Avro -> messages. Separate, so that it can run narrower.
 
     spark-submit --py-files memberfold.zip memberfold/plans/publish_job.py --input <folder> --topic <topic> \
-        --producer bootstrap.servers=host:9092 --partitions 20
+        --producer bootstrap.servers=host:9092 --partitions 20 [--client module:name --log <folder>]
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 
 from memberfold.operators.envelope import (
     MAX_MESSAGE_BYTES,
+    MESSAGE_OVERHEAD,
     SUCCESS,
     envelope,
     publish_counters,
@@ -21,7 +22,8 @@ from memberfold.operators.envelope import (
     rejected_messages,
 )
 from memberfold.schemas import KAFKA_FAILURES
-from memberfold.sinks.kafka import write_messages
+from memberfold.sinks.delivery import deliver
+from memberfold.sinks.kafka import producer_settings, write_messages
 from memberfold.sources.avro import read_key_values
 
 MAX_REQUEST = "max.request.size"
@@ -36,16 +38,32 @@ def run_publish(
     keyed: bool = True,
     format: str = "kafka",
     rejected: str | None = None,
+    client: str | None = None,
+    log: str | None = None,
     **sink_options: str,
 ) -> dict[str, int]:
     """Publish all records and return how many employees could be sent and could not.
 
-    A record that cannot be sent stops the job before anything is sent, unless
-    ``rejected`` names a new folder: such messages are then written there, whole, and the
-    others are sent. There is no shuffle: ``partitions`` only limits how many tasks send.
+    With a ``client`` (``module:name``, see ``sinks.clients``) messages are sent one by one,
+    in one pass, and the counts are those that its tasks committed to the new folder
+    ``log``. Without one, the connector ``format`` takes them: what cannot be sent is told
+    by a check before, and stops the job before anything is sent, unless ``rejected`` names
+    a new folder.
+
+    Messages that are not sent are written to ``rejected``, whole. There is no shuffle:
+    ``partitions`` only limits how many tasks send.
     """
     max_bytes = int(producer.get(MAX_REQUEST, MAX_MESSAGE_BYTES))
     messages = envelope(read_key_values(spark, input), topic, keyed)
+    if client is not None:
+        if log is None:
+            raise ValueError("name a new folder for the log of the delivery")
+        settings = {**producer_settings(producer), **sink_options}
+        narrow = messages.coalesce(partitions) if partitions else messages
+        delivery = deliver(narrow, client, settings, log, keyed, max_bytes, MESSAGE_OVERHEAD)
+        if rejected is not None:
+            delivery.rejected(spark).drop("reason").write.parquet(rejected)
+        return delivery.counters()
     status = publish_status(keyed, max_bytes)
     counters = messages.select(status.alias("status")).agg(*publish_counters()).first().asDict()
     failures = counters[KAFKA_FAILURES]
@@ -76,6 +94,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--unkeyed", action="store_true")
     parser.add_argument("--format", default="kafka")
     parser.add_argument("--rejected", help="new folder for messages that cannot be sent")
+    parser.add_argument("--client", help="module:name of a client that sends one by one")
+    parser.add_argument("--log", help="new folder for the client's delivery log")
     parser.add_argument("--sink", type=_setting, action="append", default=[])
     options = parser.parse_args(arguments)
 
@@ -89,6 +109,8 @@ def main(arguments: list[str] | None = None) -> None:
         keyed=not options.unkeyed,
         format=options.format,
         rejected=options.rejected,
+        client=options.client,
+        log=options.log,
         **dict(options.sink),
     )
     print(json.dumps(counters))

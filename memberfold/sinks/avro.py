@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from memberfold.schemas import KEY_VALUE_AVRO
+from memberfold.sinks.replace import replacing
 from memberfold.sources.avro import avro_format
 
 
@@ -25,10 +26,17 @@ def key_values(records: DataFrame, drop_null_keys: bool = False) -> DataFrame:
 def write_key_values(
     records: DataFrame, path: str, mode: str = "errorifexists", drop_null_keys: bool = False
 ) -> None:
-    """``mode`` is that of Spark's writer; ``overwrite`` replaces an older output."""
+    """``mode`` is that of Spark's writer, but that ``overwrite`` replaces an older output only
+    once the new one is written: a write that fails leaves the older one readable.
+    """
+    spark = records.sparkSession
+    if mode == "overwrite":
+        with replacing(spark, path) as staged:
+            write_key_values(records, staged, drop_null_keys=drop_null_keys)
+        return
     (
         key_values(records, drop_null_keys)
-        .write.format(avro_format(records.sparkSession))
+        .write.format(avro_format(spark))
         .option("avroSchema", KEY_VALUE_AVRO)
         .mode(mode)
         .save(path)

@@ -22,13 +22,18 @@ PRODUCER_DEFAULTS = {
 }
 
 
-def producer_options(config: Mapping[str, object] | None) -> dict[str, str]:
-    """Writer options for a producer configuration; the caller's values win."""
+def producer_settings(config: Mapping[str, object] | None) -> dict[str, str]:
+    """A producer configuration with defaults where it gives none; brokers are required."""
     if config is None:
         raise ValueError("producer configuration is missing")
     if not config.get(BROKERS):
         raise ValueError(f"{BROKERS} is missing from the producer configuration")
-    return {f"kafka.{name}": str(value) for name, value in {**PRODUCER_DEFAULTS, **config}.items()}
+    return {name: str(value) for name, value in {**PRODUCER_DEFAULTS, **config}.items()}
+
+
+def producer_options(config: Mapping[str, object] | None) -> dict[str, str]:
+    """Writer options of the connector for a producer configuration."""
+    return {f"kafka.{name}": value for name, value in producer_settings(config).items()}
 
 
 def write_messages(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -11,10 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from memberfold.operators.pairs import tag
 from memberfold.schemas import MAX_CATEGORIES
 from memberfold.sources.avro import read_members
-
-_GLOB = re.compile(r"[*?\[{]")
-# A URI without authority may be spelled with one slash or three.
-_NO_AUTHORITY = r"^([A-Za-z][A-Za-z0-9+.-]*):///"
+from memberfold.sources.files import NO_AUTHORITY, Files, is_glob, side_by_side
 
 
 def collect_locations(located: DataFrame) -> list[tuple[str, str]]:
@@ -28,23 +24,6 @@ def collect_locations(located: DataFrame) -> list[tuple[str, str]]:
     return sorted((row.category_id, row.location) for row in rows)
 
 
-def _existing(spark: SparkSession, path: str) -> list[str]:
-    """Full URIs of the folder or file at a path, or of all that a glob names.
-
-    Each has one spelling, whatever way the location was written.
-    """
-    context = spark.sparkContext
-    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
-    system = hadoop_path.getFileSystem(context._jsc.hadoopConfiguration())
-    if _GLOB.search(path):
-        found = list(system.globStatus(hadoop_path) or [])
-        if not found:
-            raise FileNotFoundError(f"nothing matches {path}")
-    else:
-        found = [system.getFileStatus(hadoop_path)]
-    return [re.sub(_NO_AUTHORITY, r"\1:/", x.getPath().toUri().toString()) for x in found]
-
-
 @contextmanager
 def _reading(category_id: str, path: str) -> Iterator[None]:
     try:
@@ -53,6 +32,24 @@ def _reading(category_id: str, path: str) -> Iterator[None]:
         raise RuntimeError(f"cannot read category {category_id} at {path}") from error
 
 
+# Tasks that list folders, for each core, where the session does not say otherwise.
+LISTING_TASKS = 4
+_LISTING_PARALLELISM = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def _listing_in_few_tasks(spark: SparkSession) -> Iterator[None]:
+    """The scan's listing of many folders takes a task each by default, mostly overhead."""
+    if spark.conf.get(_LISTING_PARALLELISM) != "10000":
+        yield
+        return
+    spark.conf.set(_LISTING_PARALLELISM, LISTING_TASKS * spark.sparkContext.defaultParallelism)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_LISTING_PARALLELISM)
+
+
 def scan_categories(spark: SparkSession, locations: list[tuple[str, str]]) -> DataFrame:
     """``empId, categoryId`` pairs of all categories; one that cannot be read raises.
 
@@ -65,18 +62,24 @@ def scan_categories(spark: SparkSession, locations: list[tuple[str, str]]) -> Da
         raise ValueError("no categories")
     if len(locations) > MAX_CATEGORIES:
         raise ValueError(f"more than {MAX_CATEGORIES} categories")
+    files = Files(spark)
+
+    def places(location: tuple[str, str]) -> list[str]:
+        with _reading(*location):
+            return files.existing(location[1])
+
     owners: dict[str, list[str]] = {}
     paths: dict[str, str] = {}
-    for category_id, path in locations:
-        with _reading(category_id, path):
-            for place in _existing(spark, path):
-                owners.setdefault(place, []).append(category_id)
-                paths[place] = place if _GLOB.search(path) else path
+    for (category_id, path), found in zip(locations, side_by_side(places, locations)):
+        for place in found:
+            owners.setdefault(place, []).append(category_id)
+            paths[place] = place if is_glob(path) else path
     if len(owners) > MAX_CATEGORIES:
         raise ValueError(f"more than {MAX_CATEGORIES} places")
-    members = read_members(
-        spark, *paths.values(), fields=["empid"], recursiveFileLookup="true"
-    ).select("empid", F.regexp_replace("_metadata.file_path", _NO_AUTHORITY, "$1:/").alias("file"))
+    with _listing_in_few_tasks(spark):
+        members = read_members(spark, *paths.values(), fields=["empid"], recursiveFileLookup="true")
+    file = F.regexp_replace("_metadata.file_path", NO_AUTHORITY, "$1:/")
+    members = members.select("empid", file.alias("file"))
     # One join for each depth of a location; its table has one row a place, at most
     # MAX_CATEGORIES in all, so it is broadcast.
     by_depth: dict[int, list[tuple[str, list[str]]]] = {}

@@ -7,10 +7,9 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from memberfold.operators.snapshots import latest_snapshot
+from memberfold.sources.files import Files, side_by_side
 
 LISTING = "root string, path string"
-
-
 # Names that count as snapshots unless told otherwise: all but hidden and marker files,
 # which would sort after digits.
 SNAPSHOT_NAMES = r"[^_.].*"
@@ -19,16 +18,16 @@ SNAPSHOT_NAMES = r"[^_.].*"
 def list_snapshots(spark: SparkSession, *roots: str, names: str = ".*") -> DataFrame:
     """``root, path`` for the direct children of every root; a missing root has none.
 
-    Only children whose whole name matches the pattern are listed. One listing call per root, names only: no file is opened.
+    Only children whose whole name matches the pattern are listed. One listing call per root,
+    several at a time, names only: no file is opened.
     """
-    context = spark.sparkContext
-    rows = []
-    for root in roots:
-        root_path = context._jvm.org.apache.hadoop.fs.Path(root)
-        system = root_path.getFileSystem(context._jsc.hadoopConfiguration())
-        if system.exists(root_path):
-            children = [status.getPath() for status in system.listStatus(root_path)]
-            rows += [(root, str(p)) for p in children if re.fullmatch(names, p.getName())]
+    files = Files(spark)
+    rows = [
+        (root, path)
+        for root, found in zip(roots, side_by_side(files.children, roots))
+        for name, path in found
+        if re.fullmatch(names, name)
+    ]
     return spark.createDataFrame(rows, LISTING)
 
 

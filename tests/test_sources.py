@@ -1,6 +1,10 @@
 """Avro files, category specs, locations, snapshots and dates."""
 
 import random
+import shutil
+import threading
+import time
+from glob import glob
 from types import SimpleNamespace
 
 import pytest
@@ -99,11 +103,45 @@ def test_missing_input_names_the_category_and_keeps_the_cause(spark, tmp_path, p
 
 def test_a_file_that_belongs_to_no_location_raises_even_when_counted(spark, tmp_path, monkeypatch):
     good = write_members(spark, tmp_path / "good", "e")
-    monkeypatch.setattr(members, "_existing", lambda spark, path: [f"file:{path}/elsewhere"])
+    monkeypatch.setattr(members.Files, "existing", lambda files, path: [f"file:{path}/elsewhere"])
     with pytest.raises(PySparkException, match="outside every location"):
         scan_categories(spark, [("1", good)]).count()
 
 
+def test_listing_asks_for_several_locations_at_a_time(spark, tmp_path, monkeypatch):
+    waiting, most, lock = [0], [0], threading.Lock()
+    existing = members.Files.existing
+
+    def slow(files, path):
+        with lock:
+            waiting[0] += 1
+            most[0] = max(most[0], waiting[0])
+        time.sleep(0.05)
+        with lock:
+            waiting[0] -= 1
+        return existing(files, path)
+
+    monkeypatch.setattr(members.Files, "existing", slow)
+    locations = [(str(k), write_members(spark, tmp_path / f"m{k}", f"e{k}")) for k in range(12)]
+    before = spark.conf.get(members._LISTING_PARALLELISM)
+    pairs = scan_categories(spark, locations)
+    assert sorted(map(tuple, pairs.collect())) == sorted((f"e{k}", str(k)) for k in range(12))
+    assert most[0] >= 6
+    assert spark.conf.get(members._LISTING_PARALLELISM) == before
+
+
+def test_two_thousand_locations_are_listed_in_seconds(spark, tmp_path):
+    one = glob(write_members(spark, tmp_path / "one", "e") + "/*.avro")[0]
+    for k in range(2000):
+        (tmp_path / f"c{k}").mkdir()
+        shutil.copy(one, tmp_path / f"c{k}" / "a.avro")
+    start = time.perf_counter()
+    pairs = scan_categories(spark, [(str(k), str(tmp_path / f"c{k}")) for k in range(2000)])
+    # About four seconds on eight cores; one call after the other took more than twenty.
+    assert time.perf_counter() - start < 15
+    assert pairs.count() == 2000
+
+
 def test_only_the_fields_wanted_are_built(spark, tmp_path):
     path = write_members(spark, tmp_path / "m", "e")
     assert read_members(spark, path, fields=["empid"]).columns == ["empid"]
