@@ -13,23 +13,29 @@ first found stands, pieces being tried by their start from the left, as unigram
 from __future__ import annotations
 
 import collections
+import itertools
 import json
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from memberfold.llm.common import as_bytes, sliced, written
+from memberfold.llm.common import sliced, written
 from memberfold.session import shared_folder
 
 SPACE = "▁"
 # An unknown character scores this much below the least piece.
 UNKNOWN_PENALTY = 10.0
-# Words whose counts a task remembers.
-KNOWN_WORDS = 500_000
+# Bytes of words whose counts a task remembers, what an entry takes beside its text, and the
+# characters of the longest word that is remembered.
+KNOWN_BYTES, ENTRY_BYTES, LONGEST_KNOWN = 150 << 20, 130, 64
+# Words that are counted at once.
+AT_ONCE = 20_000
+# Places of a word whose scores are held beyond those that the longest piece reaches.
+KEPT_PLACES = 4096
 UNKNOWN = "<unk>"
 BYTES = [f"<0x{k:02X}>" for k in range(256)]
 # Rounds of estimation at most, and the gain of log likelihood, as a share, that ends them.
@@ -86,48 +92,138 @@ class Counter:
         if crossing:
             raise ValueError(f"pieces reach over the start of a word: {crossing[:3]}")
         self.automaton = ahocorasick.Automaton()
-        for piece, score in pieces:
-            self.automaton.add_word(piece, (len(piece), score))
+        last = dict(pieces)  # of a piece that comes twice the last score counts
+        for k, piece in enumerate(last):
+            self.automaton.add_word(piece, k)
         self.automaton.make_automaton()
+        self.lengths = np.array([len(p) for p in last], np.int64)
+        self.scores = np.array(list(last.values()), np.float64)
+        self.matches = list(zip(self.lengths.tolist(), self.scores.tolist()))
         self.unknown = min((s for _, s in pieces), default=0.0) - UNKNOWN_PENALTY
+        self.longest = max((len(p) for p, _ in pieces), default=1)
         self.known: dict[str, int] = {}
+        self.kept = 0
         self.bytes = {p for p, _ in pieces}.issuperset(BYTES)
 
     def word(self, text: str) -> int:
-        """Pieces of the best segmentation; without byte pieces, a run of unknown characters is one."""
-        n = len(text)
-        ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-        for last, (length, score) in self.automaton.iter(text):
-            ends[last + 1].append((last + 1 - length, score))
-        best, count, unknown = [0.0] * (n + 1), [0] * (n + 1), [False] * (n + 1)
-        for end in range(1, n + 1):
-            found, single = None, False
-            for start, score in sorted(ends[end]):  # the longest first
-                single = single or start == end - 1
-                total = best[start] + score
-                if found is None or total > found:
-                    found, count[end], unknown[end] = total, count[start] + 1, False
-            if not single:  # no piece is this character: it may stand as unknown
-                total = best[end - 1] + self.unknown
-                if found is None or total > found:
-                    found = total
-                    more = len(text[end - 1].encode()) if self.bytes else not unknown[end - 1]
-                    count[end] = count[end - 1] + more
-                    unknown[end] = True
-            best[end] = found
-        return count[n]
+        """Pieces of the best segmentation; without byte pieces, a run of unknown characters is one.
+
+        Scores are kept for the places that the longest piece can reach back to, and at
+        most as many more before they are dropped.
+        """
+        best, count, unknown, base = [0.0], [0], [False], 0
+        found = self.automaton.iter(text)
+        last, match = next(found, (len(text), None))
+        for end in range(1, len(text) + 1):
+            pieces = []
+            while last == end - 1:
+                pieces.append(self.matches[match])
+                last, match = next(found, (len(text), None))
+            top, pieces_of, none = None, 0, False
+            for length, score in sorted(pieces, reverse=True):  # the longest first
+                total = best[end - length - base] + score
+                if top is None or total > top:
+                    top, pieces_of = total, count[end - length - base] + 1
+            if all(length > 1 for length, _ in pieces):
+                # No piece is this character: it may stand as unknown.
+                total = best[-1] + self.unknown
+                if top is None or total > top:
+                    more = len(text[end - 1].encode()) if self.bytes else not unknown[-1]
+                    top, pieces_of, none = total, count[-1] + more, True
+            best.append(top)
+            count.append(pieces_of)
+            unknown.append(none)
+            if len(best) > 2 * self.longest + KEPT_PLACES:
+                drop = len(best) - self.longest - 1
+                del best[:drop], count[:drop], unknown[:drop]
+                base += drop
+        return count[-1]
+
+    def short_words(self, words: list[str]) -> list[int]:
+        """As ``word`` of each word after its mark, place after place for all of them at once."""
+        text = SPACE + SPACE.join(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        first = np.cumsum(sizes) - sizes
+        owner = np.repeat(np.arange(len(words)), sizes)
+        found = itertools.chain.from_iterable(self.automaton.iter(text))
+        last, piece = np.fromiter(found, np.int64).reshape(-1, 2).T
+        length = self.lengths[piece]
+        inside = last + 1 - length >= first[owner[last]]
+        last, piece, length = last[inside], piece[inside], length[inside]
+        alone = np.ones(len(text), bool)
+        alone[last[length == 1]] = False
+        alone = np.flatnonzero(alone)  # no piece is this character: it may stand as unknown
+        last, length = np.concatenate([last, alone]), np.concatenate([length, np.ones_like(alone)])
+        score = np.concatenate([self.scores[piece], np.full(len(alone), self.unknown)])
+        strange = np.arange(len(last)) >= len(piece)
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)[last]
+        as_bytes = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
+        own = owner[last]
+        place = last + 1 - first[own]
+        # By place, word and falling length, in which order the first of the best counts.
+        order = np.argsort((place << 40 | own) << 16 | (LONGEST_KNOWN + 1 - length))
+        own, length, score, strange, as_bytes, place = (x[order] for x in (own, length, score, strange, as_bytes, place))
+        end = first[own] + own + place  # a word of n characters has n + 1 places
+        start = end - length
+        best, count, unknown = np.zeros(len(text) + len(words)), np.zeros(len(text) + len(words), np.int64), np.zeros(len(text) + len(words), bool)
+        cuts = np.flatnonzero(np.diff(place)) + 1
+        for a, b in zip(np.append(0, cuts), np.append(cuts, len(place))):
+            heads = np.append(0, np.flatnonzero(np.diff(own[a:b])) + 1)
+            total = best[start[a:b]] + score[a:b]
+            top = np.maximum.reduceat(total, heads)
+            at = np.flatnonzero(total == np.repeat(top, np.diff(np.append(heads, b - a))))
+            at = at[np.append(True, np.diff(own[a:b][at]) > 0)] + a
+            before, odd = start[at], strange[at]
+            more = as_bytes[at] if self.bytes else ~unknown[before]
+            best[end[at]], unknown[end[at]] = top, odd
+            count[end[at]] = count[before] + np.where(odd, more, 1)
+        return count[first + np.arange(len(words)) + sizes].tolist()
+
+    def counts(self, words: list[str]) -> list[int]:
+        """Pieces of words, each after its mark."""
+        known = self.known
+        found = list(map(known.get, words))
+        new = [k for k, n in enumerate(found) if n is None]
+        short = [k for k in new if len(words[k]) <= LONGEST_KNOWN]
+        for start in range(0, len(short), AT_ONCE):
+            some = short[start : start + AT_ONCE]
+            for k, n in zip(some, self.short_words([words[k] for k in some])):
+                found[k] = known[words[k]] = n
+                self.kept += len(words[k]) + ENTRY_BYTES
+        for k in new:
+            if found[k] is None:
+                found[k] = self.word(SPACE + words[k])
+        if self.kept > KNOWN_BYTES:
+            known.clear()
+            self.kept = 0
+        return found
 
     def text(self, text: str) -> int:
         """Pieces of a text."""
-        total, known = 0, self.known
-        for key in words(text):
-            value = known.get(key)
-            if value is None:
-                if len(known) >= KNOWN_WORDS:
-                    known.clear()
-                value = known[key] = self.word(SPACE + key)
-            total += value
-        return total
+        return sum(self.counts(words(text)))
+
+    def column(self, texts: pa.Array) -> np.ndarray:
+        """Pieces of each text; a null text has none."""
+        which, distinct, bounds = distinct_words(texts)
+        upto = np.concatenate([[0], np.cumsum(np.array(self.counts(distinct), np.int64)[which])])
+        return np.diff(upto[bounds])
+
+
+def distinct_words(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """The ``words`` of texts, end to end, as numbers of distinct ones, and where each text's start."""
+    texts = pc.fill_null(texts, "")
+    # Where no marks follow one another and none comes first, words are what spaces part.
+    odd = pc.match_substring_regex(texts, pattern=f"\\A\\z|\\A |  |{SPACE}")
+    parts = pc.split_pattern(texts, " ")
+    if pc.any(odd).as_py():
+        apart = [words(t) for t in texts.filter(odd).to_pylist()]
+        rows, marked = np.arange(len(texts)), odd.to_numpy(zero_copy_only=False)
+        rows[marked] = len(texts) + np.arange(len(apart))
+        parts = pa.chunked_array([parts, pa.array(apart, parts.type)]).combine_chunks().take(pa.array(rows))
+    coded = parts.flatten().dictionary_encode()
+    sizes = pc.list_value_length(parts).to_numpy()
+    bounds = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    return coded.indices.to_numpy(), coded.dictionary.to_pylist(), bounds
 
 
 # --- Estimation.
@@ -147,23 +243,31 @@ def _chunks(pieces: Sequence[str]):
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: collections.Counter[str] = collections.Counter()
+        kept = 0
 
-        def counted() -> pa.RecordBatch:
+        def counted(numbers: Iterable[tuple[str, int]]) -> pa.RecordBatch:
             found: collections.Counter[str] = collections.Counter()
-            for word, n in seen.items():
+            for word, n in numbers:
                 for part in cut(SPACE + word):
                     found[part] += n
-            seen.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], names=["chunk", "n"]
             )
 
         for batch in sliced(batches):
-            for text in as_bytes(batch.column("text")):
-                seen.update(words(text.decode()))
-            if len(seen) >= KNOWN_WORDS:
-                yield counted()
-        yield counted()
+            which, distinct, _ = distinct_words(batch.column("text"))
+            numbers = dict(zip(distinct, np.bincount(which, minlength=len(distinct)).tolist()))
+            long = [(w, numbers.pop(w)) for w in distinct if len(w) > LONGEST_KNOWN]
+            if long:
+                yield counted(long)
+            before = len(seen)
+            seen.update(numbers)
+            kept += (len(seen) - before) * (LONGEST_KNOWN // 4 + ENTRY_BYTES)
+            if kept > KNOWN_BYTES:
+                yield counted(seen.items())
+                seen.clear()
+                kept = 0
+        yield counted(seen.items())
 
     return chunks
 
@@ -309,14 +413,14 @@ def count_tokens(documents: DataFrame, pieces: Sequence[tuple[str, float]], out:
     """
     given = documents.sparkSession.sparkContext.broadcast(list(pieces))  # of the vocabulary's size
 
-    @F.pandas_udf("long")
-    def counts(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    fields = [f for f in documents.schema.fields if f.name != out]
+    schema = T.StructType([*fields, T.StructField(out, T.LongType())])
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(given.value)
-        for texts in parts:
-            batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
-            found = [
-                counter.text(t.decode()) for part in sliced([batch]) for t in as_bytes(part.column("text"))
-            ]
-            yield pd.Series(np.array(found, np.int64), index=texts.index)
-
-    return documents.withColumn(out, counts("text"))
+        for batch in sliced(batches):
+            n = pa.array(counter.column(batch.column("text")), pa.int64())
+            kept = [batch.column(f.name) for f in fields]
+            yield pa.RecordBatch.from_arrays([*kept, n], names=schema.fieldNames())
+
+    return documents.mapInArrow(counts, schema)

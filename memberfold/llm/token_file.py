@@ -10,16 +10,19 @@ at which every STRIDE-th code of the block starts, from where decoding can begin
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from memberfold.llm.common import as_bytes, sliced, small, written
+from memberfold.llm.common import sliced, small, written
 from memberfold.session import shared_folder
 
 # The longest code, in bits; decoding looks up so many bits at once.
@@ -41,18 +44,63 @@ ENCODED_BYTES = 1 << 20
 _LINES = re.compile(r"(?<=\S)\n(?=\S)")
 _WORDS = re.compile(r"(?<=\S) (?=\S)")
 _PARTS = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,])")
-# White space that is not of this kind; a text without it can be cut without patterns.
-_ODD = re.compile(r"[^\S \n]|\s\s|\A\s|\s\Z")
+# Nothing but letters, after one space at most, is a piece that only needs merging.
+_LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+# White space that is not of this kind, or the sign that pieces are cut at; a text
+# without them can be cut without patterns. Written for Arrow's pattern language.
+_CUT = "\0"
+_ODD = (
+    r"[\x00\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    r"|[ \n][ \n]|\A[ \n]|[ \n]\z"
+)
+
+
+def _byte_signs() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level vocabulary: its own if that
+    can be printed, else the next one from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {**{b: b for b in shown}, **{b: 256 + k for k, b in enumerate(hidden)}}
+
+
+_SIGNS = _byte_signs()
+
+
+def cuts_are_safe(tokenizer: str) -> bool:
+    """Whether a tokenizer's pieces are those of this module, told from its file.
+
+    They are for a byte-level BPE that splits by the usual pattern, changes no text before
+    and has no added token that could lie across a cut.
+    """
+    file = json.loads(tokenizer)
+    model, split = file["model"], file["pre_tokenizer"] or {}
+    plain = not any(
+        (
+            file["normalizer"],
+            file["truncation"],
+            file["padding"],
+            *(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")),
+        )
+    )
+    by_pattern = split.get("type") == "ByteLevel" and split["use_regex"] and not split["add_prefix_space"]
+    added = [t["content"] for t in file["added_tokens"] or []]
+    within = all(not re.search(r"\s|\A[.,]|[^\W\d_][.,]", t) and not _LETTERS.fullmatch(t) for t in added)
+    bare = not any(t[k] for t in file["added_tokens"] or [] for k in ("lstrip", "rstrip", "single_word", "normalized"))
+    return plain and model["type"] == "BPE" and by_pattern and within and bare
 
 
 class Encoder:
     """Encodes whole texts piece by piece and remembers the ids of pieces it has met.
 
-    Two generations are kept: when the younger one is full it becomes the older one, and
-    what is met again moves on, so that memory is bounded and frequent pieces stay.
+    Two generations are kept, each of a bounded number of bytes: when the younger one is
+    full it becomes the older one, and what is met again moves on, so that frequent pieces
+    stay. Long pieces are not kept. A tokenizer whose pieces are not known to be these
+    encodes whole texts.
     """
 
-    LIMIT = 300_000  # words of a generation
+    LIMIT = 100 << 20  # bytes of a generation
+    LONGEST = 64  # characters of a piece that is kept
+    ENTRY = 200  # bytes that an entry takes beside its text and ids
     AT_ONCE = 20_000  # parts the tokenizer is given at a time
 
     def __init__(self, path: str):
@@ -60,59 +108,122 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_pieces = cuts_are_safe(self.tokenizer.to_str())
         self.line_feed = self._ids("\n")
-        # First words of lines, later ones (after a space), and parts of words.
-        self.known: tuple[dict[str, bytes], ...] = ({}, {}, {})
-        self.older: tuple[dict[str, bytes], ...] = ({}, {}, {})
+        self.known: tuple[dict[str, bytes], ...] = ({},)
+        self.older: tuple[dict[str, bytes], ...] = ({},)
+        self.kept = 0
 
     def _ids(self, text: str) -> np.ndarray:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found[0].ids, "<u4")
 
-    def _unknown(self, kind: int, wanted: set[str]) -> set[str]:
-        """What is in neither generation; what is in the older one moves on."""
-        known, older = self.known[kind], self.older[kind]
-        new = wanted.difference(known)
-        again = new.intersection(older)
-        known.update((p, older[p]) for p in again)
-        return new - again
-
-    def _learn_words(self, kind: int, words: set[str], before: str) -> None:
-        new = [(w, _PARTS.split(before + w)) for w in self._unknown(kind, words)]
-        self._learn_parts({p for _, parts in new for p in parts})
-        get = self.known[2].__getitem__
-        self.known[kind].update((w, b"".join(map(get, parts))) for w, parts in new)
-
-    def _learn_parts(self, parts: set[str]) -> None:
-        new, known = self._unknown(2, parts), self.known[2]
-        plain = [p for p in new if _is_plain(p)]
+    def _letters(self, piece: str) -> bytes:
+        """Ids of a piece of letters, by the model's merges alone."""
+        if piece.isascii():
+            signs = "Ġ" + piece[1:] if piece[0] == " " else piece
+        else:
+            signs = piece.encode().decode("latin-1").translate(_SIGNS)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(signs)]).tobytes()
+
+    def _keep(self, piece: str, ids: bytes) -> bytes:
+        if len(piece) <= self.LONGEST:
+            self.known[0][piece] = ids
+            self.kept += len(piece) + len(ids) + self.ENTRY
+        return ids
+
+    def _looked_up(self, piece: str) -> bytes | None:
+        found = self.known[0].get(piece)
+        if found is None and (found := self.older[0].get(piece)) is not None:
+            self._keep(piece, found)
+        return found
+
+    def _values(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pieces."""
+        if self.kept > self.LIMIT:
+            self.known, self.older, self.kept = ({},), self.known, 0
+        known, older, letters = self.known[0], self.older[0].get, _LETTERS.fullmatch
+        found = list(map(known.get, pieces))
+        odd = []
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            piece = pieces[k]
+            ids = older(piece)
+            if ids is None and letters(piece):
+                ids = self._letters(piece)
+            if ids is None:
+                odd.append((k, _PARTS.split(piece)))
+            else:
+                found[k] = self._keep(piece, ids)
+        parts = self._parts({p for _, some in odd for p in some})
+        for k, some in odd:
+            found[k] = self._keep(pieces[k], b"".join(map(parts.__getitem__, some)))
+        return found
+
+    def _parts(self, wanted: set[str]) -> dict[str, bytes]:
+        found, plain = {}, []
+        for part in wanted:
+            ids = self._looked_up(part)
+            if ids is not None:
+                found[part] = ids
+            elif _LETTERS.fullmatch(part):
+                found[part] = self._keep(part, self._letters(part))
+            elif _is_plain(part):
+                plain.append(part)
+            else:
+                found[part] = self._ids(part).tobytes()
         for start in range(0, len(plain), self.AT_ONCE):
-            part = plain[start : start + self.AT_ONCE]
+            some = plain[start : start + self.AT_ONCE]
             # Line feeds keep the parts of one call apart, in the text and in its ids.
-            ids = self._ids("\n".join(part))
+            ids = self._ids("\n".join(some))
             ends = np.flatnonzero(ids == self.line_feed[0]) if len(self.line_feed) == 1 else ids[:0]
-            if len(ends) == len(part) - 1:
+            if len(ends) == len(some) - 1:
                 data, bounds = ids.tobytes(), [-1, *ends.tolist(), len(ids)]
-                known.update((p, data[4 * a + 4 : 4 * b]) for p, a, b in zip(part, bounds, bounds[1:]))
-        known.update((p, self._ids(p).tobytes()) for p in new if p not in known)
+                found.update((p, data[4 * a + 4 : 4 * b]) for p, a, b in zip(some, bounds, bounds[1:]))
+        for part in plain:
+            found[part] = self._keep(part, found[part] if part in found else self._ids(part).tobytes())
+        return found
+
+    def _pieces(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """All pieces, end to end, and how many each text has."""
+        odd = pc.match_substring_regex(texts, pattern=_ODD)
+        cut = pc.replace_substring(pc.replace_substring(texts, " ", _CUT + " "), "\n", f"{_CUT}\n{_CUT}")
+        pieces = pc.split_pattern(cut, _CUT)
+        if pc.any(odd).as_py():
+            apart = [_cut_by_patterns(t) for t in texts.filter(odd).to_pylist()]
+            rows = np.arange(len(texts))
+            marked = odd.to_numpy(zero_copy_only=False)
+            rows[marked] = len(texts) + np.arange(marked.sum())
+            pieces = pa.chunked_array([pieces, pa.array(apart, pieces.type)]).combine_chunks().take(pa.array(rows))
+        return pieces.flatten(), pc.list_value_length(pieces).to_numpy()
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that are not null, end to end, and the number of each text's ids."""
+        if not self.by_pieces:
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            return np.array([i for ids in found for i in ids], np.uint32), np.array([len(x) for x in found], np.int64)
+        pieces, per_text = self._pieces(texts)
+        coded = pieces.dictionary_encode()
+        values = self._values(coded.dictionary.to_pylist())
+        taken = pa.array(values, pa.large_binary()).take(coded.indices)
+        _, ends, data = taken.buffers()
+        ends = np.frombuffer(ends, np.int64)[taken.offset : taken.offset + len(taken) + 1] // 4
+        ids = np.frombuffer(data, "<u4") if data is not None and len(data) else np.zeros(0, "<u4")
+        bounds = np.concatenate([[0], np.cumsum(per_text, dtype=np.int64)])
+        return ids[ends[0] : ends[-1]], np.diff(ends[bounds])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        if max(map(len, self.known)) > self.LIMIT:
-            self.known, self.older = ({}, {}, {}), self.known
-        cut = [
-            [_WORDS.split(line) for line in _LINES.split(t)]
-            if _ODD.search(t)
-            else [line.split(" ") for line in t.split("\n")]
-            for t in texts
-        ]
-        self._learn_words(0, {line[0] for lines in cut for line in lines}, "")
-        self._learn_words(1, {w for lines in cut for line in lines for w in line[1:]}, " ")
-        first, later, line_feed = self.known[0], self.known[1].__getitem__, self.line_feed.tobytes()
-        return [
-            line_feed.join([first[line[0]] + b"".join(map(later, line[1:])) for line in lines])
-            for lines in cut
-        ]
+        ids, sizes = self.encode_column(pa.array(texts, pa.string()))
+        return [x.astype("<u4").tobytes() for x in np.split(ids, np.cumsum(sizes)[:-1])] if texts else []
+
+
+def _cut_by_patterns(text: str) -> list[str]:
+    found = []
+    for line in _LINES.split(text):
+        first, *later = _WORDS.split(line)
+        found += ["\n", first] if found else [first]
+        found += [" " + word for word in later]
+    return found
 
 
 def _is_plain(part: str) -> bool:
@@ -121,37 +232,32 @@ def _is_plain(part: str) -> bool:
     return bool(bare) and bare == bare.strip() and "\n" not in bare
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def _encoder(path: str) -> Encoder:
-    """One for all tasks of a Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
-
-
 def encode_documents(documents: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
     """``doc_id, n_tokens, ids`` of every row: whole texts (null: empty), then the end id.
 
     ``ids`` are little-endian unsigned integers of 16 bits if the vocabulary allows it,
-    of 32 bits otherwise.
+    of 32 bits otherwise. A text of any length is encoded whole; a task holds it and its
+    ids, and a bounded number of bytes of pieces that it has met.
     """
     from tokenizers import Tokenizer
 
     width = "<u2" if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else "<u4"
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer)
+        encoder = Encoder(tokenizer)  # what it remembers goes with the task
         for batch in sliced(batches, limit=ENCODED_BYTES):
-            texts = [x.decode() for x in as_bytes(batch.column("text"))]
-            ids = [np.frombuffer(x + end.to_bytes(4, "little"), "<u4") for x in encoder.encode(texts)]
+            texts = pc.fill_null(batch.column("text"), "")
+            ids, sizes = encoder.encode_column(texts)
+            upto = np.cumsum(sizes + 1)
+            out = np.full(int(upto[-1]), end, width)
+            text_id = np.ones(len(out), bool)
+            text_id[upto - 1] = False
+            out[text_id] = ids
+            offsets = np.concatenate([[0], upto * out.itemsize])
+            data = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(out)]
+            binary = pa.Array.from_buffers(pa.large_binary(), len(sizes), data).cast(pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([x.astype(width).tobytes() for x in ids], pa.binary()),
-                ],
+                [batch.column("doc_id"), pa.array(sizes + 1, pa.int64()), binary],
                 names=["doc_id", "n_tokens", "ids"],
             )
 

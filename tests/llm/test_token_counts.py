@@ -3,9 +3,11 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
+from memberfold.llm import token_counts
 from memberfold.llm.queries import tokenizer_path
 from memberfold.llm.token_counts import BYTES, UNKNOWN, Counter, Lattices, count_tokens, estimated, saved, vocabulary
 
@@ -113,3 +115,43 @@ def test_counts_are_those_of_the_saved_model(spark, documents):
 def test_a_model_of_no_documents(spark, documents):
     pieces = saved(spark, estimated(documents([]), ["▁a", "b"]))
     assert len(pieces) == 259 and len({score for _, score in pieces}) == 1
+
+
+def test_long_words_keep_few_places(monkeypatch):
+    monkeypatch.setattr(token_counts, "KEPT_PLACES", 10)
+    rng = random.Random(2)
+    pieces = [("▁", -1.0), ("a", -1.5), ("b", -1.5), ("ab", -2.0), ("ba" * 6, -9.0), ("aab", -2.5), ("▁a", -2.0)]
+    for k in range(60):
+        text = "".join(rng.choices("ab☃", [5, 5, 1], k=rng.choice([1, 50, 3000])))
+        assert Counter(pieces).text(text) == library_counts(pieces)(text)
+
+
+def test_a_very_long_text_without_spaces():
+    counter = Counter([("▁", -1.0), ("a", -1.0), ("b", -1.0), ("ab", -1.5)])
+    assert counter.text("ab" * 1_000_000) == 1_000_001
+    assert not counter.known
+
+
+def test_columns_of_texts_are_counted_as_single_texts():
+    texts = ["a b", None, "", " a", "a ", "a  b", "▁a b", "a▁ b", "   ", "\n", "b\nb a b", "a b"] * 2
+    pieces = [("▁a", -1.0), ("▁", -1.0), ("b", -1.0), ("▁▁", -1.5), ("a", -3.0)]
+    counter, library = Counter(pieces), library_counts(pieces)
+    got = counter.column(pa.array(texts, pa.string())).tolist()
+    assert got == [counter.text(t or "") for t in texts] == [library(t) if t else 0 for t in texts]
+    which, distinct, bounds = token_counts.distinct_words(pa.array(texts, pa.string()))
+    found = [[distinct[k] for k in which[a:b]] for a, b in zip(bounds, bounds[1:])]
+    assert found == [token_counts.words(t or "") for t in texts]
+
+
+def test_a_column_of_the_same_name_is_replaced(spark):
+    rows = spark.createDataFrame([("x", 1, "a b", 7.5)], "n_tokens string, doc_id long, text string, chunk double")
+    got = count_tokens(rows, [("▁a", -1.0), ("▁", -1.0), ("b", -1.0)])
+    assert got.first().asDict() == {"doc_id": 1, "text": "a b", "chunk": 7.5, "n_tokens": 3}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="ab☃𓀀é▁x", max_size=14), max_size=12), st.booleans())
+def test_words_at_once_are_counted_as_one_by_one(words, with_bytes):
+    pieces = [("a", -1.0), ("b", -1.0), ("ab", -2.0), ("aba", -3.0), ("▁", -1.0), ("▁a", -2.0), ("▁▁", -2.0), ("bab", -2.5), ("éa", -1.0), ("ab", -2.0)]
+    counter = Counter(pieces + [(b, -8.0) for b in BYTES] if with_bytes else pieces)
+    assert counter.counts(words) == [counter.word("▁" + w) for w in words]

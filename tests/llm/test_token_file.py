@@ -99,3 +99,51 @@ def test_dataset_round_trip(spark, documents, tokenizer, monkeypatch):
 def test_empty_dataset(spark, documents):
     folder = token_file.tokenized_dataset(documents([]), PATH)
     assert token_file.read_checksums(spark, folder).count() == 0
+
+
+def whole_ids(path, texts):
+    from tokenizers import Tokenizer
+
+    return [x.ids for x in Tokenizer.from_file(str(path)).encode_batch(texts, add_special_tokens=False)]
+
+
+def encoded_ids(path, texts):
+    return [np.frombuffer(x, "<u4").tolist() for x in token_file.Encoder(str(path)).encode(texts)]
+
+
+def test_tokenizers_whose_cuts_are_not_known_encode_whole_texts(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    texts = ["a b c", "a  b\nc, d", "", "The end. a", "x"]
+    unigram = Tokenizer(models.Unigram([("<unk>", 0.0), ("a b", -1.0), ("a", -2.0), (" b", -2.0), (" c", -3.0)], 0, False))
+    unigram.save(str(tmp_path / "unigram.json"))
+    assert not token_file.Encoder(str(tmp_path / "unigram.json")).by_pieces
+    changed = []
+    for name, change in [
+        ("prefix", lambda t: setattr(t, "pre_tokenizer", pre_tokenizers.ByteLevel(add_prefix_space=True))),
+        ("bare", lambda t: setattr(t, "pre_tokenizer", pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False))),
+        ("added", lambda t: t.add_tokens(["b\nc"])),
+        ("letters", lambda t: t.add_tokens(["end"])),
+    ]:
+        tokenizer = Tokenizer.from_file(PATH)
+        change(tokenizer)
+        tokenizer.save(str(tmp_path / f"{name}.json"))
+        changed.append(tmp_path / f"{name}.json")
+        assert not token_file.Encoder(str(changed[-1])).by_pieces, name
+    for path in [tmp_path / "unigram.json", tokenizer_path("word_bpe_49k.json"), *changed]:
+        assert encoded_ids(path, texts) == whole_ids(path, texts)
+    assert token_file.Encoder(PATH).by_pieces
+
+
+def test_bytes_that_stand_for_themselves_and_others(tokenizer, encoder):
+    words = ["é", " Éa", "ÀÖØöøÿ", " naïve", "ﬁ", "x×y", "日本", "a\0b c", "\0"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(words)]
+    assert got == [tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+    assert len(set(token_file._byte_signs().values())) == 256
+
+
+def test_a_very_long_text_without_spaces():
+    encoder = token_file.Encoder(PATH)
+    text = "ab" * 200_000 + "." + "é" * 1000
+    assert [np.frombuffer(encoder.encode([text])[0], "<u4").tolist()] == whole_ids(PATH, [text])
+    assert all(len(p) <= encoder.LONGEST for table in encoder.known + encoder.older for p in table)
