@@ -67,22 +67,57 @@ def as_bytes(column: pa.Array) -> list[bytes]:
 
 
 class WordHashes(dict):
-    """64-bit hashes of words, kept while they are few enough."""
+    """64-bit hashes of words, short ones kept while they take few enough bytes."""
 
-    LIMIT = 500_000
+    LIMIT = 16 << 20  # bytes
+    LONGEST, ENTRY = 64, 150  # bytes of a word that is kept, and of an entry beside its word
+    kept = 0
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= self.LONGEST:
+            if self.kept >= self.LIMIT:
+                self.clear()
+                self.kept = 0
+            self[word] = value
+            self.kept += len(word) + self.ENTRY
         return value
 
     def array(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def split_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """The words of texts, end to end, as numbers of distinct ones, and the bounds of each text's.
+
+    A null text has none. With ``lower`` A-Z are lowered first.
+    """
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    coded = parts.flatten().dictionary_encode()
+    words = coded.dictionary.cast(pa.binary()).to_pylist()
+    # White space at an end of a text leaves an empty word there.
+    empty = np.fromiter((not w for w in words), bool, len(words))
+    which = coded.indices.to_numpy()
+    is_word = ~empty[which]
+    upto = np.concatenate([[0], np.cumsum(is_word)])
+    sizes = pc.list_value_length(parts).to_numpy()
+    return which[is_word], words, upto[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])]
+
+
+def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of texts, end to end, and the bounds of each text's in them.
+
+    Only the distinct words of these texts are hashed, one by one; nothing is kept.
+    """
+    import xxhash
+
+    which, words, bounds = split_words(texts, lower)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))[which], bounds
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """Spread 64-bit values over all bits (the finalizer of splitmix64)."""
     x = values.astype(np.uint64)

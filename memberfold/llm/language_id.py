@@ -14,7 +14,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.broadcast import Broadcast
+from pyspark.sql import DataFrame, Window, functions as F
 
 from memberfold.llm.common import ascii_lower, as_bytes, sliced, small, written
 from memberfold.llm.url_reputation import domain_of, host_of, suffix_of
@@ -27,6 +28,12 @@ MAX_LANGUAGES = 200
 PRIOR_PAGES = 20.0
 # A document is kept if its language's posterior is at least this.
 SURE = 0.5
+# A text is of no known language if the mean log likelihood of its trigrams lies so many
+# standard deviations below that of its likeliest language's documents.
+STRANGE = 8.0
+# Documents of so many trigrams tell how far such means spread; the least spread, and the
+# part that sums are rounded to, so that their order has no effect.
+SPREAD_TRIGRAMS, LEAST_SPREAD, PART = 100, 0.2, 1 << 20
 # Multiplier that spreads trigrams over the cells.
 _TRIGRAM = np.uint32(0x9E3779B1)
 
@@ -70,8 +77,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def text_model(documents: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages in order, and log likelihoods of the cells, one column a language.
+def text_counts(documents: DataFrame) -> tuple[list[str], np.ndarray]:
+    """Languages in order, and counts of the cells, one column a language.
 
     Counts cover every document whose ``lang`` is neither null nor empty. At most
     MAX_LANGUAGES * CELLS numbers reach the driver.
@@ -88,8 +95,69 @@ def text_model(documents: DataFrame) -> tuple[list[str], np.ndarray]:
     rows = sums.toArrow()
     columns = [at[x] for x in rows["language"].to_pylist()]
     counts[rows["cell"].to_numpy(), columns] = rows["n"].to_numpy()
+    return languages, counts
+
+
+def _log_likelihoods(counts: np.ndarray) -> np.ndarray:
     smoothed = counts + 0.5
-    return languages, np.log(smoothed / smoothed.sum(axis=0))
+    return np.log(smoothed / smoothed.sum(axis=0))
+
+
+def text_model(documents: DataFrame) -> tuple[list[str], np.ndarray]:
+    """Languages in order, and log likelihoods of the cells, one column a language."""
+    languages, counts = text_counts(documents)
+    return languages, _log_likelihoods(counts)
+
+
+def text_sums(model: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Log likelihoods of texts under each language, and their numbers of trigrams."""
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    sums, sizes = [np.zeros((0, model.shape[1]))], [np.zeros(0, np.int64)]
+    for part in sliced([batch]):
+        cells, owner = _cells(as_bytes(part.column("text")))
+        n = part.num_rows
+        found = [np.bincount(owner, model[cells, k], minlength=n) for k in range(model.shape[1])]
+        sums.append(np.stack(found, axis=1))
+        sizes.append(np.bincount(owner, minlength=n))
+    return np.concatenate(sums), np.concatenate(sizes)
+
+
+def expectations(counts: np.ndarray, model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and variance of a trigram's log likelihood in each language's own documents."""
+    share = counts / np.maximum(counts.sum(axis=0), 1)
+    mean = (share * model).sum(axis=0)
+    return mean, (share * model**2).sum(axis=0) - mean**2
+
+
+def spreads(documents: DataFrame, languages: list[str], table: Broadcast, mean: np.ndarray) -> np.ndarray:
+    """How far the means of whole documents of a language lie from its own mean.
+
+    A standard deviation told from the mean distance, which a few odd documents sway little.
+    One row a language reaches the driver.
+    """
+    at = {language: k for k, language in enumerate(languages)}
+
+    def distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = np.zeros(len(languages), np.int64), np.zeros(len(languages), np.int64)
+        for batch in batches:
+            own = np.array([at[x] for x in batch.column("language").to_pylist()], np.int64)
+            sums, sizes = text_sums(table.value, batch.column("text"))
+            long = np.flatnonzero(sizes >= SPREAD_TRIGRAMS)
+            own, sizes, sums = own[long], sizes[long], sums[long, own[long]]
+            parts = np.rint(np.abs(sums / sizes - mean[own]) * PART).astype(np.int64)
+            np.add.at(total, own, parts)
+            np.add.at(n, own, 1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(len(languages)), pa.int32()), pa.array(total), pa.array(n)], names=["k", "total", "n"]
+        )
+
+    known = documents.select(F.col("lang").alias("language"), "text").where("language <> ''")
+    sums = known.mapInArrow(distances, "k int, total long, n long").groupBy("k").agg(F.sum("total"), F.sum("n"))
+    out = np.full(len(languages), LEAST_SPREAD)
+    for k, total, n in sums.collect():
+        if n:
+            out[k] = max(LEAST_SPREAD, total / PART / n * np.sqrt(np.pi / 2))
+    return out
 
 
 def declared_language(html):
@@ -176,37 +244,31 @@ def declared_likelihoods(labelled: DataFrame, languages: list[str], column: str)
     return values.select(column, heard.alias("heard"))
 
 
-def identify(documents: DataFrame, pages: DataFrame, sure: float = SURE) -> DataFrame:
-    """The documents, whole rows, with ``language``, ``posterior`` and ``accepted``.
+_FOUND = "__lid"
 
-    ``pages`` is ``page_id, url, html``; a document's page is the one whose page_id is its
-    doc_id. ``language`` is the likeliest one (ties: the first by name) and null where
-    the text has no letters; such a document is not accepted. One without a page has the
-    prior of all documents of known language. The result's columns replace columns of
-    the documents with these names. Without any document of known language nothing is
-    accepted.
-    """
-    languages, model = text_model(documents)
-    own = [c for c in documents.columns if c not in ("language", "posterior", "accepted")]
+
+def _identified(documents: DataFrame, pages: DataFrame, sure: float) -> DataFrame:
+    """The documents, all their columns, with what is found in one struct of a reserved name."""
+    languages, counts = text_counts(documents)
     if not languages:
-        return documents.select(
-            *own, F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("posterior"), F.lit(False).alias("accepted")
+        nothing = F.struct(
+            F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("posterior"), F.lit(False).alias("accepted")
         )
+        return documents.withColumn(_FOUND, nothing)
+    model = _log_likelihoods(counts)
+    mean, variance = expectations(counts, model)
     table = documents.sparkSession.sparkContext.broadcast(model.astype(np.float32))
-
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def likelihoods(texts: pd.Series) -> pd.Series:
-        column = pa.array(texts, pa.string())
-        batch = pa.RecordBatch.from_arrays([column], names=["text"])
-        found: list[np.ndarray | None] = []
-        for part in sliced([batch]):
-            cells, owner = _cells(as_bytes(part.column("text")))
-            sums = np.stack(
-                [np.bincount(owner, table.value[cells, k], minlength=part.num_rows) for k in range(len(languages))], axis=1
-            )
-            seen = np.bincount(owner, minlength=part.num_rows) > 0
-            found += [row if some else None for row, some in zip(sums, seen)]
-        return pd.Series(found, dtype=object)
+    spread = spreads(documents, languages, table, mean)
+
+    @F.pandas_udf("sums array<double>, strange array<boolean>")
+    def likelihoods(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            sums, sizes = text_sums(table.value, pa.array(texts, pa.string()))
+            some = np.maximum(sizes, 1)[:, None]
+            bound = mean - STRANGE * np.sqrt(spread**2 + variance / some)
+            strange = sums / some < bound
+            rows = [(s, x) if n else (None, None) for s, x, n in zip(sums, strange, sizes)]
+            yield pd.DataFrame(rows, columns=["sums", "strange"], dtype=object)
 
     evidence = written(page_evidence(pages), "pages")
     of = documents.select(F.col("doc_id").alias("page"), F.col("lang").alias("language"))
@@ -227,15 +289,38 @@ def identify(documents: DataFrame, pages: DataFrame, sure: float = SURE) -> Data
     # The text goes no further than the scan: what is joined is a row of numbers.
     scored = documents.select("*", likelihoods("text").alias("__lid_text"))
     joined = scored.join(small(fused), scored["doc_id"] == F.col("__lid_page"), "left")
-    both = F.zip_with("__lid_text", F.coalesce("__lid_more", even), lambda a, b: a + b)
+    both = F.zip_with("__lid_text.sums", F.coalesce("__lid_more", even), lambda a, b: a + b)
     best = F.array_max(both)
     posterior = 1 / F.aggregate(both, F.lit(0.0), lambda s, x: s + F.exp(x - best))
-    language = F.element_at(F.array(*map(F.lit, languages)), F.array_position(both, best).cast("int"))
-    language = F.when(both.isNotNull(), language)
+    first = F.array_position(both, best).cast("int")
+    language = F.element_at(F.array(*map(F.lit, languages)), first)
+    strange = F.coalesce(F.element_at("__lid_text.strange", first), F.lit(True))
     posterior = F.coalesce(posterior, F.lit(0.0))
-    return joined.select(
-        *[scored[c] for c in own],
-        language.alias("language"),
+    found = F.struct(
+        F.when(both.isNotNull(), language).alias("language"),
         posterior.alias("posterior"),
-        (posterior >= sure).alias("accepted"),
+        ((posterior >= sure) & ~strange).alias("accepted"),
     )
+    return joined.select(*[scored[c] for c in documents.columns], found.alias(_FOUND))
+
+
+def identify(documents: DataFrame, pages: DataFrame, sure: float = SURE) -> DataFrame:
+    """The documents, whole rows, with ``language``, ``posterior`` and ``accepted``.
+
+    ``pages`` is ``page_id, url, html``; a document's page is the one whose page_id is its
+    doc_id. ``language`` is the likeliest one (ties: the first by name) and null where
+    the text has no letters. Such a document is not accepted, and neither is one whose
+    trigrams are far less likely than those of that language's documents: text of a
+    language without labels, or no language. The posterior tells known languages apart and
+    does not count that. One without a page has the prior of all documents of known
+    language. The result's columns replace columns of the documents with these names.
+    Without any document of known language nothing is accepted. A text of any length is
+    handled whole; a task holds a few numbers a byte of one slice, or of one long text.
+    """
+    own = [c for c in documents.columns if c not in ("language", "posterior", "accepted")]
+    return _identified(documents, pages, sure).select(*own, f"{_FOUND}.*")
+
+
+def accepted_documents(documents: DataFrame, pages: DataFrame, sure: float = SURE) -> DataFrame:
+    """The documents that ``identify`` accepts, with the columns they came with."""
+    return _identified(documents, pages, sure).where(f"{_FOUND}.accepted").select(*documents.columns)

@@ -27,7 +27,7 @@ MAX_STEPS = 60
 # Parts an interval of thresholds is cut to, how often, and rounds over what is left.
 PARTS, LEVELS, ROUNDS = 1024, 3, 3
 
-_KEY, _SIZE, _PLAN = "__mix_key", "__mix_size", "__mix_plan"
+_KEY, _SIZE, _PLAN, _MIX = "__mix_key", "__mix_size", "__mix_plan", "__mix"
 
 
 def _named(source: Column) -> Column:
@@ -235,8 +235,13 @@ def mixture(
     own. Reruns agree: chances come from doc_id and size.
     """
     own = [c for c in documents.columns if c not in ("size", "source_size", "target", "copies")]
+    return _mixed(documents, weights, share, cap).select(*own, f"{_MIX}.*")
+
+
+def _mixed(documents: DataFrame, weights: Sequence[float], share: float, cap: float) -> DataFrame:
+    """The documents, all their columns, with what is found in one struct of a reserved name."""
     ranked = documents.select(
-        *own, word_count("text").alias(_SIZE), _named(F.col("source")).alias(_KEY)
+        "*", word_count("text").alias(_SIZE), _named(F.col("source")).alias(_KEY)
     )
     chance = _chance([F.col("doc_id"), F.col(_SIZE)])
     sized = written(
@@ -250,21 +255,26 @@ def mixture(
     size, of = F.col(_SIZE), F.col(_PLAN)
     whole, order = _copies(size, chance, of["mean"], of["tilt"], cap)
     more = F.coalesce(_taken(order, size, of["cuts"]) & (order < 1), F.lit(False))
-    return ranked.join(small(packed), _KEY).select(
-        *own,
+    found = F.struct(
         size.alias("size"),
         of["source_size"].alias("source_size"),
         of["target"].alias("target"),
         (whole + more.cast("long")).alias("copies"),
     )
+    return ranked.join(small(packed), _KEY).select(*documents.columns, found.alias(_MIX))
 
 
-def mixed_documents(documents: DataFrame, **options) -> DataFrame:
-    """The mix itself: every document as often as it has copies."""
-    copied = mixture(documents, **options)
-    times = F.sequence(F.lit(1), F.col("copies").cast("int"))
+def mixed_documents(
+    documents: DataFrame,
+    weights: Sequence[float] = WEIGHTS,
+    share: float = SHARE,
+    cap: float = CAP,
+) -> DataFrame:
+    """The mix itself: every document as often as it has copies, with the columns it came with."""
+    copied = _mixed(documents, weights, share, cap)
+    times = F.sequence(F.lit(1), F.col(f"{_MIX}.copies").cast("int"))
     return (
-        copied.where("copies > 0")
+        copied.where(f"{_MIX}.copies > 0")
         .withColumn("__mix_copy", F.explode(times))
         .select(*documents.columns)
     )

@@ -13,6 +13,7 @@ groups leave a block.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from memberfold.llm.common import WordHashes, as_bytes, run_hashes, sliced, small, written
+from memberfold.llm.common import run_hashes, sliced, small, word_hashes, written
 from memberfold.llm.components import components
 
 WORDS = 5
@@ -36,27 +37,23 @@ SALTS = 32
 _LOW = np.uint64(CELLS - 1)
 
 
-def _grams(texts: list[bytes], hashes: WordHashes, k: int = WORDS) -> list[np.ndarray]:
+def _grams(texts: pa.Array, k: int = WORDS) -> list[np.ndarray]:
     """Hashes of each text's k-word n-grams; with fewer words, of the whole sequence."""
-    words = [t.lower().split() for t in texts]
-    sizes = np.array([len(w) for w in words], np.int64)
-    coded = hashes.array([w for one in words for w in one])
-    ends = np.cumsum(sizes)
+    coded, bounds = word_hashes(texts, lower=True)
     runs = run_hashes(coded, k)  # those that reach over the end of a text are left out
     found = []
-    for size, end in zip(sizes.tolist(), ends.tolist()):
-        if size >= k:
-            found.append(runs[end - size : end - k + 1])
+    for start, end in itertools.pairwise(bounds.tolist()):
+        if end - start >= k:
+            found.append(runs[start : end - k + 1])
         else:
-            found.append(run_hashes(coded[end - size : end], size) if size else coded[:0])
+            found.append(run_hashes(coded[start:end], end - start) if end > start else coded[:0])
     return found
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Batches with the set of n-grams of each text, sorted by hash."""
-    hashes = WordHashes()
     for batch in sliced(batches):
-        yield batch, [np.unique(g) for g in _grams(as_bytes(batch.column("text")), hashes)]
+        yield batch, [np.unique(g) for g in _grams(batch.column("text"))]
 
 
 def _set_id(grams: np.ndarray) -> int | None:
@@ -74,9 +71,9 @@ def _set_id(grams: np.ndarray) -> int | None:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    total, hashes = np.zeros(CELLS, np.int64), WordHashes()
+    total = np.zeros(CELLS, np.int64)
     for batch in sliced(batches):
-        grams = np.concatenate([*_grams(as_bytes(batch.column("text")), hashes), np.zeros(0, np.uint64)])
+        grams = np.concatenate([*_grams(batch.column("text")), np.zeros(0, np.uint64)])
         total += np.bincount((grams & _LOW).astype(np.int64), minlength=CELLS)
     if total.any():
         n = CELLS // ROW

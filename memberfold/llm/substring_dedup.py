@@ -12,13 +12,14 @@ word by word.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from memberfold.llm.common import WordHashes, as_bytes, mixed, run_hashes, sliced, small, written
+from memberfold.llm.common import as_bytes, mixed, run_hashes, sliced, small, split_words, word_hashes, written
 
 WINDOW = 50
 # Length of the runs from which anchors are chosen, and of the automata's phrases. Any
@@ -29,7 +30,9 @@ ROUTE = 5
 # Words of recurring parts for a shard, and words streamed through one copy of its automaton.
 SHARD_WORDS, STREAM_WORDS = 100_000, 1_000_000
 _SYMBOLS = 1_100_000
-# Windows that are compared at a time.
+# Codes that stand between passages, and for words that no passage has: never equal.
+_NO_WORD, _UNKNOWN = -1, -2
+# Places of phrases that are compared at a time.
 COMPARED = 20_000
 
 
@@ -68,14 +71,12 @@ def _each_window(name: str, of: Callable[[np.ndarray], np.ndarray]):
     """A row for each window's value and document; equal neighbours in a text give one."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in sliced(batches):
-            texts = [t.split() for t in as_bytes(batch.column("text"))]
-            coded = hashes.array([w for words in texts for w in words])
+            coded, bounds = word_hashes(batch.column("text"))
             values, owners = np.zeros(0, np.int64), np.zeros(0, np.int64)
             if len(coded) >= WINDOW:
                 # All texts end to end: windows that reach over the end of one are left out.
-                text = np.repeat(np.arange(len(texts)), [len(words) for words in texts])
+                text = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
                 starts = text[: len(coded) - WINDOW + 1]
                 inside = starts == text[WINDOW - 1 :]
                 values, text = of(coded)[inside], starts[inside]
@@ -106,14 +107,19 @@ _SEGMENT = "doc_id long, text_id long, at long, n long, text string"
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The parts of a document whose windows have recurring anchors."""
-    hashes = WordHashes()
     for batch in sliced(batches):
         out = []
-        for doc_id, text, anchors in zip(
-            batch.column("doc_id").to_pylist(), as_bytes(batch.column("text")), batch.column("anchors")
+        coded, bounds = word_hashes(batch.column("text"))
+        for doc_id, text, anchors, (a, b) in zip(
+            batch.column("doc_id").to_pylist(),
+            as_bytes(batch.column("text")),
+            batch.column("anchors"),
+            itertools.pairwise(bounds.tolist()),
         ):
+            marked = np.isin(window_anchors(coded[a:b]), anchors.values.to_numpy())
+            if not marked.any():
+                continue
             words = text.split()
-            marked = np.isin(window_anchors(hashes.array(words)), anchors.values.to_numpy())
             out += [(doc_id, _text_id(text), s, e - s, b" ".join(words[s:e]).decode()) for s, e in _runs(marked)]
         yield _batch(out, _SEGMENT)
 
@@ -141,15 +147,18 @@ _PASSAGE = "shard long, owner long, text string"
 def _passages(shards: int):
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The runs of windows that a document is the first to hold and another holds too."""
-        hashes = WordHashes()
         for batch in sliced(batches):
             out = []
-            for owner, text, owned in zip(
-                batch.column("doc_id").to_pylist(), as_bytes(batch.column("text")), batch.column("windows")
+            hashes, bounds = word_hashes(batch.column("text"))
+            for owner, text, owned, (a, b) in zip(
+                batch.column("doc_id").to_pylist(),
+                as_bytes(batch.column("text")),
+                batch.column("windows"),
+                itertools.pairwise(bounds.tolist()),
             ):
-                words = text.split()
-                coded = hashes.array(words)
+                coded = hashes[a:b]
                 marked = np.isin(_window_hashes(coded), owned.values.to_numpy())
+                words = text.split() if marked.any() else []
                 for shard, start, end in _split(marked, window_shards(coded, shards)):
                     out.append((shard, owner, b" ".join(words[start:end]).decode()))
             yield _batch(out, _PASSAGE)
@@ -163,15 +172,16 @@ _STREAM = "shard long, doc_id long, text_id long, at long, n long, text string"
 def _streams(shards: int):
     def streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Segments, cut into what each shard has to look at."""
-        hashes = WordHashes()
         for batch in sliced(batches):
             out = []
-            for doc_id, text_id, at, text in zip(
+            hashes, bounds = word_hashes(batch.column("text"))
+            for doc_id, text_id, at, text, (a, b) in zip(
                 *(batch.column(c).to_pylist() for c in ("doc_id", "text_id", "at")),
                 as_bytes(batch.column("text")),
+                itertools.pairwise(bounds.tolist()),
             ):
                 words = text.split()
-                routed = window_shards(hashes.array(words), shards)
+                routed = window_shards(hashes[a:b], shards)
                 for shard, start, end in _split(np.ones(len(routed), bool), routed):
                     part = b" ".join(words[start:end]).decode()
                     out.append((shard, doc_id, text_id, at + start, end - start, part))
@@ -183,74 +193,90 @@ def _streams(shards: int):
 class Automaton:
     """Finds where windows of given passages occur.
 
-    The automaton's phrases point to the windows that can match; a window is then looked
-    up by its hash among the passages' and compared word by word, once for each place,
-    however many passages hold the phrase.
+    Passages are cut into phrases of PHRASE words; any window of a passage holds a whole
+    one. A phrase found in a text names the places in passages where it stands. From each of
+    them the match is extended word by word to both sides, by PHRASE words at most, which is
+    as far as a window around the phrase reaches.
     """
 
     def __init__(self, passages: list[tuple[int, bytes]]):
         import ahocorasick
 
         self.codes: dict[bytes, int] = {}
-        self.automaton = ahocorasick.Automaton()
-        words, hashes, owners, places, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [], [], 0
+        # Passages lie end to end, apart by a code that no word has.
+        words, at = [np.full(PHRASE, _NO_WORD)], PHRASE
+        places: dict[str, list[tuple[int, int]]] = {}
         for owner, text in passages:
-            coded = np.array([self.codes.setdefault(w, len(self.codes) + 1) for w in text.split()], np.uint64)
-            line = self._symbols(coded)
-            for at in range(0, len(coded) - PHRASE + 1, PHRASE):
-                self.automaton.add_word(line[at : at + PHRASE], PHRASE)
-            found = run_hashes(mixed(coded), WINDOW)
-            words.append(coded)
-            hashes.append(found)
-            owners += [owner] * len(found)
-            places += range(n, n + len(found))
-            n += len(coded)
+            coded = np.array([self.codes.setdefault(w, len(self.codes)) for w in text.split()], np.int64)
+            line = _symbols(coded)
+            for k in range(0, len(coded) - PHRASE + 1, PHRASE):
+                places.setdefault(line[k : k + PHRASE], []).append((at + k, owner))
+            words += [coded, np.full(1, _NO_WORD)]
+            at += len(coded) + 1
+        self.words = np.concatenate([*words, np.full(2 * PHRASE, _NO_WORD)])
+        self.automaton = ahocorasick.Automaton()
+        for k, phrase in enumerate(places):
+            self.automaton.add_word(phrase, k)
         self.automaton.make_automaton()
-        self.words = np.concatenate(words)
-        hashes = np.concatenate(hashes)
-        # Of equal windows the one of the smallest owner is found.
-        order = np.lexsort((np.array(owners, np.int64), hashes))
-        self.hashes = hashes[order]
-        self.owners, self.places = np.array(owners, np.int64)[order], np.array(places, np.int64)[order]
-
-    @staticmethod
-    def _symbols(coded: np.ndarray) -> str:
-        """A character a word; words that share one are told apart when compared."""
-        points = coded % np.uint64(_SYMBOLS)
-        points = np.where(points >= 0xD800, points + np.uint64(0x800), points)  # no surrogates
-        return points.astype("<u4").tobytes().decode("utf-32-le")
+        sizes = [len(p) for p in places.values()]
+        self.bounds = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        found = np.array([p for one in places.values() for p in one], np.int64).reshape(-1, 2)
+        self.places, self.owners = found.T
 
     def covered(self, doc_id: int, text: bytes) -> np.ndarray:
         """Marks the words in windows that a passage of a smaller owner holds."""
+        return self.marked(doc_id, self.coded(text.split()))
+
+    def coded(self, words: list[bytes]) -> np.ndarray:
+        """Codes of words; one that no passage has is like no word."""
         get = self.codes.get
-        coded = np.array([get(w, 0) for w in text.split()], np.uint64)
-        n = len(coded) - WINDOW + 1
-        if n <= 0 or not len(self.hashes):
-            return np.zeros(len(coded), bool)
-        ends = np.array([last for last, _ in self.automaton.iter(self._symbols(coded))], np.int64)
-        if not len(ends):
-            return np.zeros(len(coded), bool)
-        # A phrase that ends at a word lies in the windows from that word's last possible
-        # start back to where a window ends with it.
+        return np.fromiter((get(w, _UNKNOWN) for w in words), np.int64, len(words))
+
+    def marked(self, doc_id: int, coded: np.ndarray) -> np.ndarray:
+        n = len(coded)
+        if n < WINDOW or not len(self.places):
+            return np.zeros(n, bool)
+        hits = list(self.automaton.iter(_symbols(coded)))
+        if not hits:
+            return np.zeros(n, bool)
+        ends, phrases = np.array(hits, np.int64).T
+        times = np.diff(self.bounds)[phrases]
+        upto = np.cumsum(times)
+        padded = np.concatenate([np.full(PHRASE, _UNKNOWN), coded, np.full(PHRASE, _UNKNOWN)])
         turns = np.zeros(n + 1, np.int64)
-        np.add.at(turns, np.clip(ends - WINDOW + 1, 0, n), 1)
-        np.add.at(turns, np.clip(ends - PHRASE + 2, 0, n), -1)
-        starts = np.flatnonzero(np.cumsum(turns[:n]) > 0)
-        hashes = run_hashes(mixed(coded), WINDOW)[starts]
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        same = (self.hashes[at] == hashes) & (self.owners[at] < doc_id)
-        starts, at = starts[same], self.places[at[same]]
-        span = np.arange(WINDOW)
-        for k in range(0, len(starts), COMPARED):  # word by word
-            part = slice(k, k + COMPARED)
-            same = coded[starts[part, None] + span] == self.words[at[part, None] + span]
-            starts[part] = np.where(same.all(axis=1), starts[part], -1)
-        starts = starts[starts >= 0]
-        turns = np.zeros(len(coded) + 1, np.int64)
-        turns[starts] += 1
-        np.add.at(turns, starts + WINDOW, -1)
+        # A phrase that stands in very many passages is compared with some of them at a time.
+        for low in range(0, int(upto[-1]), COMPARED):
+            pair = np.arange(low, min(low + COMPARED, int(upto[-1])))
+            hit = np.searchsorted(upto, pair, "right")
+            which = self.bounds[phrases[hit]] + pair - (upto - times)[hit]
+            earlier = self.owners[which] < doc_id
+            start, place = ends[hit][earlier] - PHRASE + 1, self.places[which][earlier]
+            self._extend(padded, start, place, turns)
         return np.cumsum(turns[:-1]) > 0
 
+    def _extend(self, padded: np.ndarray, start: np.ndarray, place: np.ndarray, turns: np.ndarray) -> None:
+        """Adds to ``turns`` the word ranges that matches of at least a window cover."""
+        reach = np.arange(PHRASE)
+        same = self.words[place[:, None] + reach] == padded[start[:, None] + PHRASE + reach]
+        whole = same.all(axis=1)  # signs of different words may be equal
+        start, place = start[whole], place[whole]
+        if not len(start):
+            return
+        before = self.words[place[:, None] - 1 - reach] == padded[start[:, None] + PHRASE - 1 - reach]
+        after = self.words[place[:, None] + PHRASE + reach] == padded[start[:, None] + 2 * PHRASE + reach]
+        left = np.logical_and.accumulate(before, axis=1).sum(axis=1)
+        right = np.logical_and.accumulate(after, axis=1).sum(axis=1)
+        far = left + right + PHRASE >= WINDOW
+        np.add.at(turns, (start - left)[far], 1)
+        np.add.at(turns, (start + PHRASE + right)[far], -1)
+
+
+def _symbols(coded: np.ndarray) -> str:
+    """A character a word; words that share one are told apart when compared."""
+    points = np.where(coded < 0, _SYMBOLS, coded % _SYMBOLS)
+    points = np.where(points >= 0xD800, points + 0x800, points)  # no surrogates
+    return points.astype("<u4").tobytes().decode("utf-32-le")
+
 
 _SPAN = "doc_id long, text_id long, start long, stop long"
 
@@ -260,15 +286,23 @@ def _locate(passages: pa.Table, segments: pa.Table) -> pa.Table:
     if passages.num_rows and segments.num_rows:
         texts = as_bytes(passages.column("text").combine_chunks())
         automaton = Automaton(list(zip(passages.column("owner").to_pylist(), texts)))
-        for doc_id, text_id, at, text in zip(
-            *(segments.column(c).to_pylist() for c in ("doc_id", "text_id", "at")), as_bytes(segments.column("text").combine_chunks())
-        ):
-            marked = automaton.covered(doc_id, text)
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], marked.astype(np.int8), [0]])))
-            out += [(doc_id, text_id, at + int(s), at + int(e)) for s, e in zip(edges[::2], edges[1::2])]
+        for batch in (part for some in segments.to_batches() for part in sliced([some])):
+            out += _located(automaton, batch)
     return pa.Table.from_batches([_batch(out, _SPAN)])
 
 
+def _located(automaton: Automaton, batch: pa.RecordBatch) -> list[tuple[int, int, int, int]]:
+    out = []
+    which, words, bounds = split_words(batch.column("text"))
+    coded = automaton.coded(words)[which]
+    rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_id", "at")), itertools.pairwise(bounds.tolist()))
+    for doc_id, text_id, at, (a, b) in rows:
+        marked = automaton.marked(doc_id, coded[a:b])
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], marked.astype(np.int8), [0]])))
+        out += [(doc_id, text_id, at + int(s), at + int(e)) for s, e in zip(edges[::2], edges[1::2])]
+    return out
+
+
 def repeated_spans(documents: DataFrame) -> DataFrame:
     """``doc_id, text_id, start, stop``: word ranges to remove; ranges may overlap.
 

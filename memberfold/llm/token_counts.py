@@ -31,7 +31,7 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 # Bytes of words whose counts a task remembers, what an entry takes beside its text, and the
 # characters of the longest word that is remembered.
-KNOWN_BYTES, ENTRY_BYTES, LONGEST_KNOWN = 150 << 20, 130, 64
+KNOWN_BYTES, ENTRY_BYTES, LONGEST_KNOWN = 100 << 20, 130, 64
 # Words that are counted at once.
 AT_ONCE = 20_000
 # Places of a word whose scores are held beyond those that the longest piece reaches.

@@ -98,7 +98,7 @@ class Encoder:
     encodes whole texts.
     """
 
-    LIMIT = 100 << 20  # bytes of a generation
+    LIMIT = 64 << 20  # bytes of a generation
     LONGEST = 64  # characters of a piece that is kept
     ENTRY = 200  # bytes that an entry takes beside its text and ids
     AT_ONCE = 20_000  # parts the tokenizer is given at a time

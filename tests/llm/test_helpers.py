@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 
-from memberfold.llm.common import WORD, WordHashes, run_hashes, sliced
+from memberfold.llm.common import WORD, WordHashes, run_hashes, sliced, word_hashes
 
 
 @settings(max_examples=100, deadline=None)
@@ -38,3 +38,13 @@ def test_hash_cache_stays_bounded():
     words = [str(n).encode() for n in range(100)]
     assert np.array_equal(hashes.array(words), WordHashes().array(words))
     assert len(hashes) <= 10
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=" \t\n\x0b\x0c\r\x1c\x85\xa0 abcÄB")), max_size=6), st.booleans())
+def test_word_hashes_of_a_column(texts, lower):
+    hashes, bounds = word_hashes(pa.array(texts, pa.string()), lower)
+    for text, a, b in zip(texts, bounds, bounds[1:]):
+        data = (text or "").encode()
+        assert hashes[a:b].tolist() == WordHashes().array((data.lower() if lower else data).split()).tolist()
+    assert len(bounds) == len(texts) + 1 and bounds[-1] == len(hashes)

@@ -72,3 +72,46 @@ def test_words_that_share_a_symbol_are_told_apart(monkeypatch):
     assert automaton.covered(2, b" ".join(words)).all()
     assert not automaton.covered(1, b" ".join(words)).any()
     assert not automaton.covered(2, b" ".join(words[:30] + words[:30])).any()
+
+
+def test_without_hits_nothing_is_found_and_hits_alone_are_not_enough(monkeypatch):
+    """What goes is decided by the automaton's hits, extended word by word."""
+    words = [f"w{k}".encode() for k in range(200)]
+    text = b" ".join(words)
+    found = Automaton([(1, text)])
+    assert found.covered(2, b"x " + text + b" y").tolist() == [False, *[True] * 200, False]
+    # 25 + 24 words around a phrase are no window, 25 + 25 are.
+    for more, good in ((24, False), (25, True)):
+        part = b" ".join(words[25 : 50 + more])
+        assert found.covered(2, b"x " + part + b" y").any() == good
+
+    class Deaf:
+        def iter(self, text):
+            return iter(())
+
+    class Wild:
+        def iter(self, text):
+            return ((end, k % 8) for k, end in enumerate(range(24, len(text))))
+
+    found.automaton = Deaf()
+    assert not found.covered(2, text).any()
+    found.automaton = Wild()
+    assert not found.covered(2, b" ".join(words[::-1])).any()
+
+
+def test_a_phrase_of_very_many_passages(monkeypatch):
+    monkeypatch.setattr(substring_dedup, "COMPARED", 64)
+    license = [f"l{k}" for k in range(30)]
+    passages = [(k, " ".join([f"a{k}_{j}" for j in range(25)] + license + [f"b{k}_{j}" for j in range(25)]).encode()) for k in range(300)]
+    automaton = Automaton(passages)
+    one = passages[250][1]
+    assert automaton.covered(251, one).all() and not automaton.covered(250, one).any()
+    other = " ".join([f"q{j}" for j in range(25)] + license + [f"r{j}" for j in range(25)]).encode()
+    assert not automaton.covered(1000, other).any()
+
+
+def test_very_long_texts(documents):
+    line = " ".join(f"w{k % 977}" for k in range(400_000))
+    rows = [(1, line), (2, "start " + line), (3, "x" * 3_000_000)]
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in without_repeats(documents(rows)).collect()}
+    assert got == {1: (400_000, 0), 2: (400_001, 400_000), 3: (1, 0)}
