@@ -10,24 +10,34 @@ from memberfold.llm.queries import tokenizer_path
 from memberfold.session import shared_folder
 
 
+# For every stage: a null or empty text counts as a text without words, whatever its length a
+# text is handled whole, repeated rows are rows of their own, an empty table stays empty, and
+# further columns go along untouched, whatever their names.
+
+
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; the rest goes."""
-    judged = language_id.identify(docs, table(spark, sf_dir, "pages"))
-    return judged.where("accepted").select(*docs.columns)
+    """Documents of a known language; others go, and those without letters."""
+    return language_id.accepted_documents(docs, table(spark, sf_dir, "pages"))
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of the smallest doc_id, of each group of near duplicates."""
+    """One document, the one of the smallest doc_id, of each group of near duplicates.
+
+    Texts without words are in no group; rows without a doc_id stay.
+    """
     return ngram_join.representatives(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Documents that contain no benchmark item; rows without a doc_id stay."""
     return decontaminate.without_items(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of sources: documents as often as it takes them."""
+    """The mix of sources: documents as often as it takes them, none of them without words.
+
+    A null source is a source of its own.
+    """
     return mixture.mixed_documents(docs)
 
 
