@@ -1,7 +1,8 @@
 """Lempel-Ziv phrase fingerprints: likeness of documents as a compressor would see it.
 
 A text's UTF-8 bytes are parsed into dictionary phrases (each the longest phrase seen
-so far and one byte more); the set of phrases stands for the text. Its fingerprint
+so far and one byte more); the set of phrases stands for the text. The dictionary starts
+anew at places that the contents choose, by one rule for texts of any length. Its fingerprint
 holds the smallest hashes of the set, and the share of common phrases is estimated
 from two fingerprints alone.
 """
@@ -20,26 +21,53 @@ from memberfold.llm.common import as_bytes, mixed, sliced
 
 # Hashes kept of a phrase set; a smaller set is kept whole and compared exactly.
 KEPT = 128
-# Phrases after which the parser forgets its dictionary (not the hashes found), so that
-# memory stays bounded on texts of any length.
-DICTIONARY = 1 << 20
+# The dictionary starts anew (the hashes found stay) after every run of RUN bytes whose hash
+# begins with so many zero bits: some 256 KB apart on average, at the same places of the same
+# contents in texts of any length. A text without such runs repeats itself and has few phrases.
+RUN, ZERO_BITS = 8, 18
+# Bytes that are searched for such runs at a time.
+_BLOCK = 1 << 20
 _STEP, _WRAP = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 
+def _restarts(data: bytes) -> list[int]:
+    """Where a dictionary ends: the ends of the runs that are cuts."""
+    found = []
+    for start in range(0, len(data) - RUN + 1, _BLOCK):
+        n = min(_BLOCK, len(data) - RUN + 1 - start)
+        runs = np.ndarray(n, "<u8", data, start, (1,))
+        found += (np.flatnonzero(runs * np.uint64(_STEP) < np.uint64(1 << 64 - ZERO_BITS)) + start + RUN).tolist()
+    return found
+
+
 class Parser:
     """Parses bytes into phrases, part by part; a copy goes on from where it was made."""
 
     def __init__(self) -> None:
         self.found = np.zeros(0, np.uint32)
         self.hashes, self.children, self.node = [0], {}, 0
+        self.tail = b""
 
     def copy(self) -> Parser:
         twin = Parser()
-        twin.found, twin.node = self.found, self.node
+        twin.found, twin.node, twin.tail = self.found, self.node, self.tail
         twin.hashes, twin.children = self.hashes.copy(), self.children.copy()
         return twin
 
     def feed(self, part: bytes) -> Parser:
+        known = len(self.tail)  # bytes of the part before, so that a run may lie across
+        joined = self.tail + part
+        start = known
+        for end in _restarts(joined):
+            self._parse(joined[start:end])
+            self.found = self.smallest()
+            self.hashes, self.children, self.node = [0], {}, 0
+            start = end
+        self._parse(joined[start:])
+        self.tail = joined[-(RUN - 1) :]
+        return self
+
+    def _parse(self, part: bytes) -> None:
         hashes, children, node = self.hashes, self.children, self.node
         get = children.get
         for byte in part:
@@ -51,12 +79,7 @@ class Parser:
             children[key] = len(hashes)
             hashes.append(((hashes[node] + byte + 1) * _STEP) & _WRAP)
             node = 0
-            if len(hashes) > DICTIONARY:
-                self.found = _smallest(self.found, hashes)
-                del hashes[1:]
-                children.clear()
         self.node = node
-        return self
 
     def smallest(self) -> np.ndarray:
         return _smallest(self.found, self.hashes)

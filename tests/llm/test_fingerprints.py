@@ -34,10 +34,36 @@ def test_estimate_is_near_the_exact_share():
     assert abs(likeness(phrase_hashes(text), phrase_hashes(other)) - len(x & y) / len(x | y)) < 0.15
 
 
-def test_forgetting_the_dictionary_keeps_the_hashes(monkeypatch):
-    text = bytes(np.random.default_rng(2).integers(97, 123, 5000).astype(np.uint8))
-    monkeypatch.setattr(fingerprints, "DICTIONARY", 50)
-    assert fingerprint(text) == fingerprint(text) and len(unpacked(fingerprint(text))) == fingerprints.KEPT
+def pieces(data: bytes) -> list[bytes]:
+    ends = [
+        k for k in range(fingerprints.RUN, len(data) + 1)
+        if int.from_bytes(data[k - fingerprints.RUN : k], "little") * fingerprints._STEP % (1 << 64) >> 64 - fingerprints.ZERO_BITS == 0
+    ]
+    return [data[a:b] for a, b in zip([0, *ends], [*ends, len(data)])]
+
+
+def test_dictionaries_end_where_the_contents_say(monkeypatch):
+    monkeypatch.setattr(fingerprints, "ZERO_BITS", 6)
+    monkeypatch.setattr(fingerprints, "_BLOCK", 100)
+    text = bytes(np.random.default_rng(2).integers(97, 100, 5000).astype(np.uint8))
+    monkeypatch.setattr(fingerprints, "KEPT", 100_000)
+    assert len(pieces(text)) > 20
+    want = set().union(*map(phrases, pieces(text)))
+    assert len(phrase_hashes(text)) == len(want)
+    for cut in (0, 3, 700, 4999, *[4 + sum(map(len, pieces(text)[:k])) for k in (1, 2)]):
+        parser = fingerprints.Parser().feed(text[:cut])
+        parser.copy().feed(b"elsewhere")
+        assert np.array_equal(parser.feed(text[cut:]).smallest(), phrase_hashes(text))
+
+
+def test_long_texts_follow_the_rule_of_short_ones():
+    text = bytes(np.random.default_rng(5).integers(97, 123, 3_000_000).astype(np.uint8))
+    edited = text[:1000] + b"a word more" + text[1000:]
+    longer = text + bytes(np.random.default_rng(6).integers(97, 123, 600_000).astype(np.uint8))
+    hashes = phrase_hashes(text)
+    assert likeness(hashes, phrase_hashes(edited)) > 0.75
+    assert likeness(hashes, phrase_hashes(longer)) > 0.7
+    assert len(phrase_hashes(b"ab" * 5_000_000)) == fingerprints.KEPT
 
 
 def test_neighbours_match_a_plain_loop(spark, documents):
