@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, GroupedData, functions as F, types as T
 
 from memberfold.llm.common import run_hashes, sliced, small, word_hashes, written
 from memberfold.llm.components import components
@@ -239,6 +239,16 @@ def _first_links(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
     )
 
 
+def _by_cell(rows: DataFrame) -> GroupedData:
+    """Rows grouped by pair of blocks, in a stated number of parts.
+
+    A pair of blocks is few bytes and much work, so parts must not be put together by bytes.
+    """
+    cell = ["pivot", "kind", "i", "j"]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, *cell).groupBy(*cell)
+
+
 def _rest_cells(members: DataFrame, buckets: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of block pairs that may link what the first links leave in different groups.
 
@@ -277,10 +287,10 @@ def _rest_cells(members: DataFrame, buckets: DataFrame, labels: DataFrame) -> Da
     spots = F.explode(F.when(F.col("inside"), from_in).otherwise(from_out)).alias("c")
     rows = placed.select("pivot", "sid", "label", "n", "alone", "last", spots)
     rows = rows.select("pivot", "c.kind", "c.i", "c.j", "c.side", "sid", "label", "n", "alone", "last")
-    cells = written(rows.groupBy("pivot", "kind", "i", "j").applyInArrow(_screen, _CELL), "cells")
+    cells = written(_by_cell(rows).applyInArrow(_screen, _CELL), "cells")
     heads = buckets.join(small(cells.select("sid").distinct()), "sid").groupBy("sid")
     rows = cells.join(heads.agg(F.collect_list("gram").alias("head")), "sid")
-    return rows.groupBy("pivot", "kind", "i", "j").applyInArrow(_screen_exactly, _CELL)
+    return _by_cell(rows).applyInArrow(_screen_exactly, _CELL)
 
 
 def _members(buckets: DataFrame, sets: DataFrame) -> DataFrame:
@@ -404,7 +414,7 @@ def _labelled(documents: DataFrame) -> DataFrame:
     links = written(_first_links(pairs, fragments(ends)), "links")
     cells = written(_rest_cells(members, buckets, components(links)), "cells")
     rows = fragments(cells).select("sid", "grams").join(small(cells.drop("n", "last")), "sid")
-    rest = rows.groupBy("pivot", "kind", "i", "j").applyInArrow(_compare, "a long, b long")
+    rest = _by_cell(rows).applyInArrow(_compare, "a long, b long")
     rest = written(rest, "links")
     labels = components(links.unionAll(rest))
     label = F.coalesce("component", "sid")
