@@ -2,6 +2,10 @@
 
 Every line is labelled good or bad from its own features and its neighbours'; the
 chain's forward-backward marginals, weighted by line length, make the document's score.
+
+Only documents are labelled. Their lines' labels are latent: the chain is fitted so that the
+length-weighted marginals of a document meet its label, and, where a good and a bad document
+are put one after the other, the share of the good one. The latter teach where to switch.
 """
 
 from __future__ import annotations
@@ -12,17 +16,20 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from memberfold.llm.common import as_bytes, sliced
 
 # Labelled documents that the model is fitted on at most: those of the smallest hashes.
 SAMPLE = 3000
-# Lines of the sample that are used at most, in whole documents.
-SAMPLE_LINES = 150_000
+# Bytes that the sample's texts and line features may take; documents are taken whole, in the
+# order of their hashes, until they are reached, whatever the length of the next.
+SAMPLE_BYTES, LINE_BYTES = 64 << 20, 700
 STEPS, RATE, RIDGE = 150, 0.05, 1e-3
 THRESHOLD = 0.3
-# Lines longer than this weigh as much as one of this length in the chain's potentials.
+# A share is told from 0 and 1 by this much; lines' log odds are moved so far for a derivative.
+LEAST_SHARE, MOVE = 1e-3, 1e-4
+# Features of a line without its neighbours'.
 N_OWN = 14
 
 _UPPER = np.zeros(256, bool)
@@ -115,55 +122,78 @@ def marginals(unary: np.ndarray, pairs: np.ndarray, starts: np.ndarray) -> tuple
     return good, np.exp(joint).sum(axis=0)
 
 
-def document_scores(model: Model, texts: list[bytes]) -> np.ndarray:
-    """Marginals of good lines, weighted by the lines' lengths, on the calibrated scale."""
-    if not texts:
-        return np.zeros(0)
+def _chains(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Features and lengths of all lines end to end, their texts, and where chains start."""
     parts = [line_features(t) for t in texts]
     x = np.concatenate([p[0] for p in parts])
     sizes = np.concatenate([p[1] for p in parts]).astype(float) + 1
     owner = np.repeat(np.arange(len(texts)), [len(p[1]) for p in parts])
-    starts = np.concatenate([[True], owner[1:] != owner[:-1]])
+    return x, sizes, owner, np.concatenate([[True], owner[1:] != owner[:-1]])
+
+
+def line_marginals(model: Model, text: bytes) -> np.ndarray:
+    """Probability of each line that is not blank (of an empty text's one) to be good."""
+    x, _, _, starts = _chains([text])
+    return marginals(x @ model.weights, model.pairs, starts)[0]
+
+
+def document_scores(model: Model, texts: list[bytes]) -> np.ndarray:
+    """Marginals of good lines, weighted by the lines' lengths, on the calibrated scale."""
+    if not texts:
+        return np.zeros(0)
+    x, sizes, owner, starts = _chains(texts)
     good, _ = marginals(x @ model.weights, model.pairs, starts)
     share = np.bincount(owner, good * sizes) / np.bincount(owner, sizes)
     return 1 / (1 + np.exp(-np.clip(model.slope * (share - model.shift), -50, 50)))
 
 
+def _spliced(texts: list[bytes], labels: list[int]) -> tuple[list[bytes], list[float]]:
+    """Every second text of the more frequent label beside one of the other, in turns first
+    and last, and the share that the good one has of the whole."""
+    sides = [[t for t, label in zip(texts, labels) if label == of and t.strip()] for of in (0, 1)]
+    fewer, more = sorted((0, 1), key=lambda of: len(sides[of]))
+    made, shares = [], []
+    for k, text in enumerate(sides[more][::2] if sides[fewer] else []):
+        other = sides[fewer][k % len(sides[fewer])]
+        made.append(b"\n".join((text, other) if k % 2 else (other, text)))
+        weight = [sum(line_features(t)[1] + 1) for t in (text, other)]
+        shares.append(weight[0 if more else 1] / sum(weight))
+    return made, shares
+
+
 def fit(texts: list[bytes], labels: list[int]) -> Model:
-    """Maximum likelihood with a ridge, every line carrying its document's label."""
-    kept, lines = [], 0
-    for text, label in zip(texts, labels):
-        x, _ = line_features(text)
-        if lines + len(x) <= SAMPLE_LINES:
-            kept.append((x, label))
-            lines += len(x)
+    """Maximum likelihood with a ridge of shares of good lines, the lines' labels unknown.
+
+    The derivative of a chain's weighted marginals is the covariance of that sum with the
+    chain's statistics: what these change by if the log odds move along the weights.
+    """
     width = 3 * N_OWN
-    model = Model(np.zeros(width), np.zeros((2, 2)))
-    if not kept or len({label for _, label in kept}) < 2:
+    if len(set(labels)) < 2:
         # Nothing to tell apart: every document gets the only label there is, or 1.
-        return Model(np.zeros(width), np.zeros((2, 2)), shift=-1.0 if not kept or kept[0][1] else 2.0, slope=5.0)
-    x = np.concatenate([k[0] for k in kept])
-    y = np.concatenate([np.full(len(k[0]), k[1]) for k in kept])
-    starts = np.concatenate([np.arange(len(k[0])) == 0 for k in kept])
-    inner = np.flatnonzero(~starts)
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (y[inner - 1], y[inner]), 1)
-    first, second = np.zeros(width + 4), np.zeros(width + 4)
-    value = np.zeros(width + 4)
+        return Model(np.zeros(width), np.zeros((2, 2)), shift=-1.0 if not labels or labels[0] else 2.0, slope=5.0)
+    made, shares = _spliced(texts, labels)
+    x, sizes, owner, starts = _chains([*texts, *made])
+    target = np.array([*labels, *shares], float)
+    weights = sizes / np.bincount(owner, sizes)[owner]
+    value, first, second = (np.zeros(width + 4) for _ in range(3))
     for step in range(1, STEPS + 1):
-        good, expected = marginals(x @ value[:width], value[width:].reshape(2, 2), starts)
-        slope = np.concatenate([x.T @ (y - good), (seen - expected).ravel()]) / len(x) - RIDGE * value
+        odds, pairs = x @ value[:width], value[width:].reshape(2, 2)
+        good, inner = marginals(odds, pairs, starts)
+        share = np.clip(np.bincount(owner, good * weights), LEAST_SHARE, 1 - LEAST_SHARE)
+        along = ((target - share) / (share * (1 - share)))[owner] * weights
+        move = MOVE / max(np.abs(along).max(), MOVE)
+        moved, inner_moved = marginals(odds + move * along, pairs, starts)
+        slope = np.concatenate([x.T @ (moved - good), (inner_moved - inner).ravel()]) / move
+        slope = slope / len(target) - RIDGE * value
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope * slope
         value += RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    model = Model(value[:width], value[width:].reshape(2, 2))
-    return _calibrated(model, texts, labels)
+    return _calibrated(Model(value[:width], value[width:].reshape(2, 2)), texts, labels)
 
 
 def _calibrated(model: Model, texts: list[bytes], labels: list[int]) -> Model:
     """Put the share of good lines that divides the sample best at the threshold."""
-    good, _ = zip(*[(s, None) for s in _shares(model, texts)])
-    good, y = np.array(good), np.array(labels)
+    good, y = _shares(model, texts), np.array(labels)
     order = np.argsort(good, kind="stable")
     right = np.concatenate([[y.sum()], y.sum() + np.cumsum(np.where(y[order] == 1, -1, 1))])
     edges = np.concatenate([[0.0], (good[order][1:] + good[order][:-1]) / 2, [1.0]])
@@ -174,6 +204,7 @@ def _calibrated(model: Model, texts: list[bytes], labels: list[int]) -> Model:
 
 
 def _shares(model: Model, texts: list[bytes]) -> np.ndarray:
+    """Length-weighted marginals of texts, before any calibration."""
     plain = document_scores(Model(model.weights, model.pairs, 0.0, 1.0), texts)
     return np.log(plain / (1 - plain))
 
@@ -181,6 +212,7 @@ def _shares(model: Model, texts: list[bytes]) -> np.ndarray:
 def train(documents: DataFrame, labels: DataFrame) -> Model:
     """Fit on at most SAMPLE labelled documents, those of the smallest hashes of doc_id.
 
+    They end with the one that reaches SAMPLE_BYTES; no other is left out for its length.
     Rows with a null doc_id, or a quality other than 0 and 1, teach nothing.
     """
     known = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").select(
@@ -191,10 +223,15 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
         documents.select("doc_id", "text")
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
         .select("doc_id", "text", "label")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text", "label")
-        .limit(SAMPLE)
-        .collect()
     )
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text"), F.col("label")]
+    size = F.coalesce(F.octet_length("text") + LINE_BYTES * (1 + F.regexp_count("text", F.lit("\n"))), F.lit(LINE_BYTES))
+    # The window has at most SAMPLE rows, without their texts.
+    sized = rows.select("doc_id", F.xxhash64("text").alias("of"), "label", size.alias("size"))
+    sized = sized.orderBy(order[0], "doc_id", "of", "label").limit(SAMPLE)
+    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "of", "label").rowsBetween(Window.unboundedPreceding, -1)
+    n = sized.select(F.coalesce(F.sum("size").over(before), F.lit(0)).alias("taken")).where(F.col("taken") < SAMPLE_BYTES).count()
+    rows = rows.orderBy(*order).limit(n).collect()
     return fit([(r["text"] or "").encode() for r in rows], [r["label"] for r in rows])
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from memberfold.llm import quality_crf
-from memberfold.llm.quality_crf import Model, document_scores, fit, line_features, marginals, score, train
+from memberfold.llm.quality_crf import Model, document_scores, fit, line_features, line_marginals, marginals, score, train
 
 
 def by_enumeration(unary, pairs):
@@ -59,6 +59,40 @@ def test_learns_and_keeps_the_range(spark, documents):
     assert [r["score"] for r in found if r["doc_id"] == 900] == [r["score"] for r in found if r["doc_id"] == 901]
 
 
+def test_scores_match_enumeration():
+    model = fit([made(k, k % 2 == 0).encode() for k in range(40)], [int(k % 2 == 0) for k in range(40)])
+    texts = [made(51, True).encode(), made(52, False).encode(), b"", made(53, True).encode() + b"\n\n" + made(54, False).encode()]
+    for text, got in zip(texts, document_scores(model, texts)):
+        x, sizes = line_features(text)
+        good = by_enumeration(x @ model.weights, model.pairs)
+        share = (good * (sizes + 1)).sum() / (sizes + 1).sum()
+        assert got == pytest.approx(1 / (1 + np.exp(-model.slope * (share - model.shift))))
+
+
+def test_lines_of_spliced_documents_are_told_apart():
+    model = fit([made(k, k % 3 != 0).encode() for k in range(150)], [int(k % 3 != 0) for k in range(150)])
+    for k in range(200, 220):
+        halves = made(k, True), made(k + 100, False)
+        for first in (0, 1):
+            good = line_marginals(model, "\n".join((halves[first], halves[1 - first])).encode())
+            mine, theirs = (good[:5], good[5:]) if first == 0 else (good[5:], good[:5])
+            assert mine.min() > 0.5 > theirs.max()
+
+
+def test_sample_ends_by_bytes_whatever_the_lengths(spark, documents, monkeypatch):
+    rows = [(k, made(k, k % 4 != 0) * (1 + 9 * (k % 2))) for k in range(60)]
+    labels = spark.createDataFrame([(k, int(k % 4 != 0)) for k in range(60)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality_crf, "fit", lambda texts, labels: seen.append([len(t) for t in texts]))
+    train(documents(rows), labels)
+    monkeypatch.setattr(quality_crf, "SAMPLE_BYTES", 60_000)
+    train(documents(rows), labels)
+    assert len(seen[0]) == 60 and 0 < len(seen[1]) < 60 and seen[1] == seen[0][: len(seen[1])]
+    monkeypatch.setattr(quality_crf, "SAMPLE_BYTES", 1)
+    train(documents(rows), labels)
+    assert len(seen[2]) == 1
+
+
 def test_nothing_to_learn(spark, documents):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     model = train(documents([]), labels)
