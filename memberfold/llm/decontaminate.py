@@ -4,12 +4,13 @@ Items are partitioned by the size of their shingle sets. Each size partition has
 own sketch length: the smallest hashes of an item, as many as guarantee that a
 document which contains the wanted share of the item holds at least one of them. A
 document's shingles are looked up among these sketches, whatever the document's
-length; the pairs found are then verified by the exact share of the item's shingles.
+length; items shorter than a shingle are looked up among runs of their own length. The pairs
+found are then verified by the exact share of the item's shingles.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -37,28 +38,39 @@ def _starts(words: Column, k: int) -> Column:
     return F.sequence(F.lit(0), F.greatest(F.size(words) - k, F.lit(0)))
 
 
-def runs(text: Column, k: int = WORDS) -> Column:
+def runs(text: Column, k: int = WORDS, short: Sequence[int] = ()) -> Column:
     """The k-word shingles of a text as often as they come, lower-cased, as text.
 
     Fewer words: the whole sequence as one. No words or a null text: an empty array.
+    ``short`` lists lengths below k whose runs are wanted as well.
     """
 
     def of(words: Column) -> Column:
-        return F.transform(_starts(words, k), lambda i: F.array_join(F.slice(words, i + 1, k), " "))
+        def every(n: int) -> Column:
+            return F.transform(_starts(words, n), lambda i: F.array_join(F.slice(words, i + 1, n), " "))
+
+        return F.concat(*map(every, (k, *short)))
 
     return _with_words(text, of, "array<string>")
 
 
-def run_hashes(text: Column, k: int = WORDS) -> Column:
+def run_hashes(text: Column, k: int = WORDS, short: Sequence[int] = ()) -> Column:
     """A 64-bit hash for each of ``runs``, from hashes of the words."""
 
+    def whole(codes: Column) -> Column:
+        return F.xxhash64(F.size(codes), codes)
+
+    def cut(codes: Column, n: int) -> Column:
+        return F.transform(_starts(codes, n), lambda i: whole(F.slice(codes, i + 1, n)))
+
     def of(words: Column) -> Column:
         coded = F.transform(words, lambda w: F.xxhash64(w))
 
         def each(codes: Column) -> Column:
-            whole = F.array(F.xxhash64(F.size(codes), codes))
             run = F.transform(_starts(codes, k), lambda i: F.xxhash64(*[F.get(codes, i + j) for j in range(k)]))
-            return F.when(F.size(codes) >= k, run).otherwise(whole)
+            every = F.when(F.size(codes) >= k, run).otherwise(F.array(whole(codes)))
+            # Short runs are hashed as the items that are so long.
+            return F.concat(every, *[cut(codes, n) for n in short])
 
         return F.element_at(F.transform(F.array(coded), each), 1)
 
@@ -96,17 +108,21 @@ def contained_items(documents: DataFrame, items: DataFrame, percent: int = CONTA
     """``doc_id, item_id, item_size, n_found`` where a document contains an item.
 
     Contained: at least ``percent`` hundredths of the item's distinct five-word shingles
-    occur in the document, wherever they stand. Items without words match nothing;
-    items of fewer than five words match only documents of exactly these words. Rows
+    occur in the document, wherever they stand. Items without words match nothing; an item
+    of fewer than five words is one shingle, of its own length, and is looked for among the
+    documents' runs of that length. Rows
     that repeat a doc_id count as one document; rows with a null doc_id or item_id are
     left out, as no result could name them.
     """
     documents = documents.select("doc_id", "text").where("doc_id IS NOT NULL")
     items = items.select("item_id", "text").where("item_id IS NOT NULL")
     items = written(item_shingles(items, percent), "items")
+    # At most WORDS - 1 numbers: the lengths of the items that are shorter than a shingle.
+    length = F.size(F.split("shingle", " "))
+    short = sorted(r[0] for r in items.select(length.alias("n")).where(F.col("n") < WORDS).distinct().collect())
     sketches = items.where("sketched").select("item_id", F.col("hash").alias("sketch"))
     found = (
-        documents.select("doc_id", F.explode(run_hashes(F.col("text"))).alias("hash"))
+        documents.select("doc_id", F.explode(run_hashes(F.col("text"), short=short)).alias("hash"))
         .join(small(sketches), F.col("hash") == F.col("sketch"))
         .select("doc_id", "item_id")
         .distinct()
@@ -114,7 +130,7 @@ def contained_items(documents: DataFrame, items: DataFrame, percent: int = CONTA
     candidates = written(found, "candidates")
     wanted = small(candidates.select("doc_id").distinct())
     texts = documents.join(wanted, "doc_id", "left_semi")
-    held = texts.select("doc_id", F.explode(runs(F.col("text"))).alias("shingle"))
+    held = texts.select("doc_id", F.explode(runs(F.col("text"), short=short)).alias("shingle"))
     exact = (
         held.join(small(items.select("item_id", "size", "shingle")), "shingle")
         .groupBy("doc_id", "item_id")

@@ -12,12 +12,15 @@ _SHINGLES = """CASE WHEN len(w) >= 5
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END"""
 
 BENCHMARK_CONTAINMENT = f"""
-    WITH d AS (
-        SELECT DISTINCT doc_id, unnest({_SHINGLES}) AS s
-        FROM (SELECT doc_id, coalesce(regexp_extract_all(lower(text), '{WORD}'), []) AS w FROM documents)),
-    b AS (
-        SELECT DISTINCT item_id, unnest({_SHINGLES}) AS s
-        FROM (SELECT item_id, coalesce(regexp_extract_all(lower(text), '{WORD}'), []) AS w FROM benchmark)),
+    WITH dw AS (SELECT doc_id, coalesce(regexp_extract_all(lower(text), '{WORD}'), []) AS w FROM documents),
+    bw AS (SELECT item_id, coalesce(regexp_extract_all(lower(text), '{WORD}'), []) AS w FROM benchmark),
+    lengths AS (SELECT DISTINCT len(w) AS k FROM bw WHERE len(w) BETWEEN 1 AND 4),
+    d AS (
+        SELECT doc_id, unnest({_SHINGLES}) AS s FROM dw
+        UNION
+        SELECT doc_id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s
+        FROM dw JOIN lengths ON len(w) >= k),
+    b AS (SELECT DISTINCT item_id, unnest({_SHINGLES}) AS s FROM bw),
     sizes AS (SELECT item_id, count(*) AS n FROM b GROUP BY item_id)
     SELECT doc_id, item_id, CAST(any_value(n) AS INTEGER) AS item_size,
            CAST(count(*) AS BIGINT) AS n_found

@@ -14,10 +14,16 @@ def shingles(text):
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)} - {()}
 
 
+def short_runs(text, lengths):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + n]) for n in lengths for i in range(len(words) - n + 1)}
+
+
 def brute(rows, items):
     docs, named = {}, {}
+    lengths = {len((t or "").split()) for _, t in items} & {1, 2, 3, 4}
     for d, t in rows:
-        docs.setdefault(d, set()).update(shingles(t))
+        docs.setdefault(d, set()).update(shingles(t) | short_runs(t, lengths))
     for i, t in items:
         named.setdefault(i, set()).update(shingles(t))
     return {
@@ -55,6 +61,20 @@ def test_every_contained_item_is_found(fixture, sql):
     assert {tuple(r[c] for c in ("doc_id", "item_id", "item_size", "n_found")) for r in found} >= {w for w in want if w[0] != 3 and w[1] not in (5, 6)}
 
 
+def test_short_items_are_found_inside_documents(spark, documents, sql):
+    items = [(1, "Alpha"), (2, "beta\tgamma"), (3, "beta gamma delta"), (4, "one two three four"), (5, "one two three four five")]
+    rows = [(10, "x alpha. beta GAMMA  delta y"), (11, "zero one two three four six"), (12, "ALPHA"), (13, "gamma beta"), (14, None),
+            (15, "one two three four five"), (16, "beta gamma")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = [(10, 2), (10, 3), (11, 4), (12, 1), (15, 4), (15, 5), (16, 2)]
+    got = contained_items(documents(rows), benchmark).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == want
+    found = sql(oracles.BENCHMARK_CONTAINMENT, documents=documents(rows), benchmark=benchmark)
+    assert sorted(tuple(r.values()) for r in found) == sorted(tuple(r) for r in got)
+    kept = without_items(documents(rows), benchmark).collect()
+    assert sorted(r["doc_id"] for r in kept) == [13, 14]
+
+
 def test_large_benchmarks_are_not_broadcast(fixture, monkeypatch):
     rows, items, documents, benchmark = fixture
     monkeypatch.setattr(decontaminate, "small", lambda frame: frame)
