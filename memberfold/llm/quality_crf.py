@@ -46,14 +46,18 @@ _SIGN &= ~_STOP
 _CLASSES = [x.astype(np.uint8) for x in (_UPPER, _ALPHA, _DIGIT, _STOP, _SIGN)]
 
 
+def _lines(text: bytes) -> list[bytes]:
+    """The lines that are not blank; of a text without such lines, an empty one."""
+    lines = text.split(b"\n")
+    return lines if len(lines) == 1 else [x for x in lines if x.strip()] or [b""]
+
+
 def line_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Features of each line with its neighbours', and each line's length in bytes.
 
     A text without lines counts as one empty line.
     """
-    lines = text.split(b"\n")
-    if len(lines) > 1:
-        lines = [x for x in lines if x.strip()] or [b""]
+    lines = _lines(text)
     sizes = np.array([len(x) for x in lines], np.int64)
     data = np.frombuffer(b"".join(lines), np.uint8)
     ends = np.cumsum(sizes)
@@ -156,7 +160,7 @@ def _spliced(texts: list[bytes], labels: list[int]) -> tuple[list[bytes], list[f
     for k, text in enumerate(sides[more][::2] if sides[fewer] else []):
         other = sides[fewer][k % len(sides[fewer])]
         made.append(b"\n".join((text, other) if k % 2 else (other, text)))
-        weight = [sum(line_features(t)[1] + 1) for t in (text, other)]
+        weight = [sum(len(line) + 1 for line in _lines(t)) for t in (text, other)]
         shares.append(weight[0 if more else 1] / sum(weight))
     return made, shares
 
