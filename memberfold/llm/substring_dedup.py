@@ -4,9 +4,10 @@ A passage is at least WINDOW words long. Recurring passages are confirmed first:
 anchors (the least hash of the word runs in each window) point to the parts of documents
 that can recur at all, and the hashes of these parts' windows tell which do, and in
 which document first. The passages each document is first to hold are then compiled
-into Aho-Corasick automata, in shards of bounded size. A window's own words name its
+into Aho-Corasick automata, in shards. A window's own words name its route and thereby its
 shard, so each is streamed through one automaton; what its phrases point to is compared
-word by word.
+word by word. A route with more passages than an automaton should hold is divided by the
+hashes of whole windows, so that equal ones still meet.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from memberfold.llm.common import as_bytes, mixed, run_hashes, sliced, small, split_words, word_hashes, written
@@ -25,15 +27,21 @@ WINDOW = 50
 # Length of the runs from which anchors are chosen, and of the automata's phrases. Any
 # window holds a whole phrase of a passage cut every PHRASE words.
 PHRASE = 25
-# The least hash of the runs of so many words in a window names its shard.
+# The least hash of the runs of so many words in a window is its route.
 ROUTE = 5
 # Words of recurring parts for a shard, and words streamed through one copy of its automaton.
 SHARD_WORDS, STREAM_WORDS = 100_000, 1_000_000
+# Words of passages beyond which a route is divided, and for a part of it.
+ROUTE_WORDS, PART_WORDS = 500_000, 250_000
 _SYMBOLS = 1_100_000
 # Codes that stand between passages, and for words that no passage has: never equal.
 _NO_WORD, _UNKNOWN = -1, -2
+# Stands for the owner of what no passage holds; larger than any.
+NOBODY = np.iinfo(np.int64).max
 # Places of phrases that are compared at a time.
 COMPARED = 20_000
+# Bytes of text streamed through an automaton at a time, and words of parts cut at a time.
+STREAMED, CUT_WORDS = 4 << 20, 1 << 20
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -55,9 +63,9 @@ def window_anchors(words: np.ndarray) -> np.ndarray:
     return window_least(words, PHRASE).view(np.int64)
 
 
-def window_shards(words: np.ndarray, shards: int) -> np.ndarray:
-    """Equal windows are in the same shard; neighbouring ones mostly are."""
-    return (mixed(window_least(words, ROUTE)) % np.uint64(shards)).astype(np.int64)
+def window_routes(words: np.ndarray) -> np.ndarray:
+    """Equal windows have the same route; neighbouring ones mostly have."""
+    return (mixed(window_least(words, ROUTE)) >> np.uint64(1)).astype(np.int64)
 
 
 def _text_id(text: bytes) -> int:
@@ -95,11 +103,61 @@ def _window_hashes(words: np.ndarray) -> np.ndarray:
     return run_hashes(words, WINDOW).view(np.int64)
 
 
-def _runs(inside: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Word ranges of maximal runs of marked windows, which may overlap each other."""
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], inside.astype(np.int8), [0]])))
-    for start, stop in zip(edges[::2], edges[1::2]):
-        yield int(start), int(stop) - 1 + WINDOW
+def _hashed(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """What ``split_words`` gives, and the hash of each word."""
+    import xxhash
+
+    which, words, bounds = split_words(texts)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return which, words, bounds, hashes[which]
+
+
+def _inside(bounds: np.ndarray) -> np.ndarray:
+    """Marks the windows of texts put end to end that lie in one text."""
+    starts = np.zeros(max(int(bounds[-1]) - WINDOW + 1, 0), bool)
+    for a, b in itertools.pairwise(bounds.tolist()):
+        starts[a : max(a, b - WINDOW + 1)] = True
+    return starts
+
+
+def _among(values: np.ndarray, bounds: np.ndarray, listed: pa.Array) -> np.ndarray:
+    """Marks the windows whose value is in the list of their own text."""
+    marked = np.zeros(len(values), bool)
+    for (a, b), own in zip(itertools.pairwise(bounds.tolist()), listed):
+        if b - a >= WINDOW:
+            marked[a : b - WINDOW + 1] = np.isin(values[a : b - WINDOW + 1], own.values.to_numpy())
+    return marked
+
+
+def _ranges(marked: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word ranges of the runs of marked windows that have one key (0 or above); they may overlap."""
+    turns = np.flatnonzero(np.diff(np.where(marked, keys, -1), prepend=-1, append=-1))
+    starts = turns[:-1][marked[turns[:-1]]]
+    stops = turns[1:][marked[turns[:-1]]] - 1 + WINDOW
+    return starts, stops
+
+
+def _cut(
+    which: np.ndarray, words: list[bytes], bounds: np.ndarray, starts: np.ndarray, stops: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]]:
+    """Texts of word ranges, CUT_WORDS at a time or one long one.
+
+    Gives the ranges' starts, the numbers of their texts, their places in these, their lengths
+    and their words joined by one space.
+    """
+    known = pa.array(words, pa.binary()).cast(pa.string())
+    upto = np.concatenate([[0], np.cumsum(stops - starts)])
+    low = 0
+    while low < len(starts):
+        high = max(int(np.searchsorted(upto, upto[low] + CUT_WORDS, "right")) - 1, low + 1)
+        start, n = starts[low:high], (stops - starts)[low:high]
+        ends = upto[low : high + 1] - upto[low]
+        at = np.repeat(start - ends[:-1], n) + np.arange(ends[-1])
+        taken = known.take(pa.array(which[at]))
+        text = np.searchsorted(bounds, start, "right") - 1
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), taken), " ")
+        yield start, text, start - bounds[text], n, joined
+        low = high
 
 
 _SEGMENT = "doc_id long, text_id long, at long, n long, text string"
@@ -108,86 +166,83 @@ _SEGMENT = "doc_id long, text_id long, at long, n long, text string"
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The parts of a document whose windows have recurring anchors."""
     for batch in sliced(batches):
-        out = []
-        coded, bounds = word_hashes(batch.column("text"))
-        for doc_id, text, anchors, (a, b) in zip(
-            batch.column("doc_id").to_pylist(),
-            as_bytes(batch.column("text")),
-            batch.column("anchors"),
-            itertools.pairwise(bounds.tolist()),
-        ):
-            marked = np.isin(window_anchors(coded[a:b]), anchors.values.to_numpy())
-            if not marked.any():
-                continue
-            words = text.split()
-            out += [(doc_id, _text_id(text), s, e - s, b" ".join(words[s:e]).decode()) for s, e in _runs(marked)]
-        yield _batch(out, _SEGMENT)
-
-
-def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    kinds = {"long": pa.int64(), "string": pa.string(), "int": pa.int32(), "array<long>": pa.list_(pa.int64())}
+        which, words, bounds, hashes = _hashed(batch.column("text"))
+        marked = _among(window_anchors(hashes), bounds, batch.column("anchors"))
+        ranges = _ranges(marked, np.zeros(len(marked), np.int64))
+        texts = as_bytes(batch.column("text"))
+        ids = {k: _text_id(texts[k]) for k in set((np.searchsorted(bounds, ranges[0], "right") - 1).tolist())}
+        doc_ids = batch.column("doc_id").to_numpy()
+        for _, text, at, n, joined in _cut(which, words, bounds, *ranges):
+            text_ids = [ids[k] for k in text.tolist()]
+            yield _batch([doc_ids[text], text_ids, at, n, joined], _SEGMENT)
+
+
+def _batch(columns: list, schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "string": pa.string()}
     fields = [f.split(" ") for f in schema.split(", ")]
-    columns = list(zip(*rows)) if rows else [[]] * len(fields)
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, kinds[kind]) for c, (_, kind) in zip(columns, fields)], names=[name for name, _ in fields]
+        [c if isinstance(c, pa.Array) else pa.array(c, kinds[kind]) for c, (_, kind) in zip(columns, fields)],
+        names=[name for name, _ in fields],
     )
 
 
-def _split(marked: np.ndarray, shards: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """Shard and word range of each run of marked windows that go to one shard."""
-    turns = np.flatnonzero(np.diff(np.where(marked, shards, -1), prepend=-1, append=-1))
-    for start, stop in zip(turns, turns[1:]):
-        if marked[start]:
-            yield int(shards[start]), int(start), int(stop) - 1 + WINDOW
+_PASSAGE = "route long, owner long, n long, text string"
 
 
-_PASSAGE = "shard long, owner long, text string"
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs of windows that a document is the first to hold and another holds too."""
+    for batch in sliced(batches):
+        which, words, bounds, hashes = _hashed(batch.column("text"))
+        marked = _among(_window_hashes(hashes), bounds, batch.column("windows"))
+        routes = window_routes(hashes)
+        owners = batch.column("doc_id").to_numpy()
+        for start, text, _, n, joined in _cut(which, words, bounds, *_ranges(marked, routes)):
+            yield _batch([routes[start], owners[text], n, joined], _PASSAGE)
 
 
-def _passages(shards: int):
-    def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The runs of windows that a document is the first to hold and another holds too."""
-        for batch in sliced(batches):
-            out = []
-            hashes, bounds = word_hashes(batch.column("text"))
-            for owner, text, owned, (a, b) in zip(
-                batch.column("doc_id").to_pylist(),
-                as_bytes(batch.column("text")),
-                batch.column("windows"),
-                itertools.pairwise(bounds.tolist()),
-            ):
-                coded = hashes[a:b]
-                marked = np.isin(_window_hashes(coded), owned.values.to_numpy())
-                words = text.split() if marked.any() else []
-                for shard, start, end in _split(marked, window_shards(coded, shards)):
-                    out.append((shard, owner, b" ".join(words[start:end]).decode()))
-            yield _batch(out, _PASSAGE)
+_STREAM = "route long, doc_id long, text_id long, at long, n long, text string"
 
-    return passages
 
+def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segments, cut into what each route has to look at."""
+    for batch in sliced(batches):
+        which, words, bounds, hashes = _hashed(batch.column("text"))
+        routes = window_routes(hashes)
+        doc_ids, text_ids, ats = (batch.column(c).to_numpy() for c in ("doc_id", "text_id", "at"))
+        for start, text, at, n, joined in _cut(which, words, bounds, *_ranges(_inside(bounds), routes)):
+            yield _batch([routes[start], doc_ids[text], text_ids[text], ats[text] + at, n, joined], _STREAM)
 
-_STREAM = "shard long, doc_id long, text_id long, at long, n long, text string"
 
+def _divided(schema: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of heavy routes cut by their windows' hashes, modulo ``parts``, into column ``part``."""
+    names = [f.split(" ")[0] for f in schema.split(", ")]
 
-def _streams(shards: int):
-    def streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Segments, cut into what each shard has to look at."""
+    def divided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            out = []
-            hashes, bounds = word_hashes(batch.column("text"))
-            for doc_id, text_id, at, text, (a, b) in zip(
-                *(batch.column(c).to_pylist() for c in ("doc_id", "text_id", "at")),
-                as_bytes(batch.column("text")),
-                itertools.pairwise(bounds.tolist()),
-            ):
-                words = text.split()
-                routed = window_shards(hashes[a:b], shards)
-                for shard, start, end in _split(np.ones(len(routed), bool), routed):
-                    part = b" ".join(words[start:end]).decode()
-                    out.append((shard, doc_id, text_id, at + start, end - start, part))
-            yield _batch(out, _STREAM)
-
-    return streams
+            which, words, bounds, hashes = _hashed(batch.column("text"))
+            parts = np.repeat(batch.column("parts").to_numpy(), np.diff(bounds)).astype(np.uint64)
+            windows = run_hashes(hashes, WINDOW)
+            part = (windows % parts[: len(windows)]).astype(np.int64)
+            for start, text, at, n, joined in _cut(which, words, bounds, *_ranges(_inside(bounds), part)):
+                new = {"part": part[start], "n": n, "text": joined}
+                if "at" in names:
+                    new["at"] = batch.column("at").to_numpy()[text] + at
+                yield _batch([new[c] if c in new else batch.column(c).to_numpy()[text] for c in names], schema)
+
+    return divided
+
+
+def _dealt(rows: DataFrame, heavy: DataFrame | None, schema: str, shards: int) -> DataFrame:
+    """Adds ``shard`` and ``part`` (-1: the route is whole) in place of the route."""
+    shard = F.pmod("route", F.lit(shards)).alias("shard")
+    rest = [c for c in rows.columns if c != "route"]
+    if heavy is None:
+        return rows.select(shard, F.lit(-1).cast("long").alias("part"), *rest)
+    rows = rows.join(heavy, "route", "left")
+    whole = rows.where("parts IS NULL").select(shard, F.lit(-1).cast("long").alias("part"), *rest)
+    schema += ", part long"
+    cut = rows.where("parts IS NOT NULL").mapInArrow(_divided(schema), schema)
+    return whole.unionByName(cut.select(shard, "part", *rest))
 
 
 class Automaton:
@@ -202,73 +257,80 @@ class Automaton:
     def __init__(self, passages: list[tuple[int, bytes]]):
         import ahocorasick
 
-        self.codes: dict[bytes, int] = {}
+        of = np.array([owner for owner, _ in passages], np.int64)
+        which, words, bounds = split_words(pa.array([text for _, text in passages], pa.binary()))
+        self.codes = {word: k for k, word in enumerate(words)}
         # Passages lie end to end, apart by a code that no word has.
-        words, at = [np.full(PHRASE, _NO_WORD)], PHRASE
-        places: dict[str, list[tuple[int, int]]] = {}
-        for owner, text in passages:
-            coded = np.array([self.codes.setdefault(w, len(self.codes)) for w in text.split()], np.int64)
-            line = _symbols(coded)
-            for k in range(0, len(coded) - PHRASE + 1, PHRASE):
-                places.setdefault(line[k : k + PHRASE], []).append((at + k, owner))
-            words += [coded, np.full(1, _NO_WORD)]
-            at += len(coded) + 1
-        self.words = np.concatenate([*words, np.full(2 * PHRASE, _NO_WORD)])
+        sizes, each = np.diff(bounds), np.arange(len(of))
+        self.words = np.full(len(which) + len(of) + 3 * PHRASE, _NO_WORD)
+        self.words[np.arange(len(which)) + PHRASE + np.repeat(each, sizes)] = which
+        line = _symbols(self.words)
+        times = sizes // PHRASE
+        passage, upto = np.repeat(each, times), np.cumsum(times)
+        at = (PHRASE + bounds[:-1] + each)[passage]
+        at += PHRASE * (np.arange(len(passage)) - np.repeat(upto - times, times))
+        phrases: dict[str, int] = {}
+        phrase = [phrases.setdefault(line[k : k + PHRASE], len(phrases)) for k in at.tolist()]
         self.automaton = ahocorasick.Automaton()
-        for k, phrase in enumerate(places):
-            self.automaton.add_word(phrase, k)
+        for text, k in phrases.items():
+            self.automaton.add_word(text, k)
         self.automaton.make_automaton()
-        sizes = [len(p) for p in places.values()]
-        self.bounds = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-        found = np.array([p for one in places.values() for p in one], np.int64).reshape(-1, 2)
-        self.places, self.owners = found.T
+        phrase = np.array(phrase, np.int64)
+        self.bounds = np.concatenate([[0], np.cumsum(np.bincount(phrase, minlength=len(phrases)))])
+        order = np.argsort(phrase, kind="stable")
+        self.places, self.owners = at[order], of[passage][order]
 
     def covered(self, doc_id: int, text: bytes) -> np.ndarray:
         """Marks the words in windows that a passage of a smaller owner holds."""
-        return self.marked(doc_id, self.coded(text.split()))
+        line = self.coded(text.split())
+        return self.first_owners(line, np.full(len(line), doc_id)) < doc_id
 
     def coded(self, words: list[bytes]) -> np.ndarray:
         """Codes of words; one that no passage has is like no word."""
         get = self.codes.get
         return np.fromiter((get(w, _UNKNOWN) for w in words), np.int64, len(words))
 
-    def marked(self, doc_id: int, coded: np.ndarray) -> np.ndarray:
-        n = len(coded)
-        if n < WINDOW or not len(self.places):
-            return np.zeros(n, bool)
-        hits = list(self.automaton.iter(_symbols(coded)))
-        if not hits:
-            return np.zeros(n, bool)
-        ends, phrases = np.array(hits, np.int64).T
+    def first_owners(self, line: np.ndarray, latest: np.ndarray) -> np.ndarray:
+        """For each word, the least owner of a passage that holds a window around it.
+
+        ``line`` is the codes of texts put end to end, with an unknown word between two.
+        Owners that are not below ``latest``, of the same length, are not looked for; where there
+        is none, the word has NOBODY.
+        """
+        least = np.full(len(line), NOBODY)
+        if len(line) < WINDOW or not len(self.places):
+            return least
+        hits = itertools.chain.from_iterable(self.automaton.iter(_symbols(line)))
+        ends, phrases = np.fromiter(hits, np.int64).reshape(-1, 2).T
         times = np.diff(self.bounds)[phrases]
         upto = np.cumsum(times)
-        padded = np.concatenate([np.full(PHRASE, _UNKNOWN), coded, np.full(PHRASE, _UNKNOWN)])
-        turns = np.zeros(n + 1, np.int64)
+        padded = np.concatenate([np.full(PHRASE, _UNKNOWN), line, np.full(PHRASE, _UNKNOWN)])
         # A phrase that stands in very many passages is compared with some of them at a time.
-        for low in range(0, int(upto[-1]), COMPARED):
+        for low in range(0, int(upto[-1]) if len(upto) else 0, COMPARED):
             pair = np.arange(low, min(low + COMPARED, int(upto[-1])))
             hit = np.searchsorted(upto, pair, "right")
             which = self.bounds[phrases[hit]] + pair - (upto - times)[hit]
-            earlier = self.owners[which] < doc_id
-            start, place = ends[hit][earlier] - PHRASE + 1, self.places[which][earlier]
-            self._extend(padded, start, place, turns)
-        return np.cumsum(turns[:-1]) > 0
-
-    def _extend(self, padded: np.ndarray, start: np.ndarray, place: np.ndarray, turns: np.ndarray) -> None:
-        """Adds to ``turns`` the word ranges that matches of at least a window cover."""
+            end, owner = ends[hit], self.owners[which]
+            earlier = owner < latest[end]
+            self._extend(padded, end[earlier] - PHRASE + 1, self.places[which][earlier], owner[earlier], least)
+        return least
+
+    def _extend(
+        self, padded: np.ndarray, start: np.ndarray, place: np.ndarray, owner: np.ndarray, least: np.ndarray
+    ) -> None:
+        """Lowers ``least`` to the owner where a match of at least a window covers a word."""
         reach = np.arange(PHRASE)
         same = self.words[place[:, None] + reach] == padded[start[:, None] + PHRASE + reach]
         whole = same.all(axis=1)  # signs of different words may be equal
-        start, place = start[whole], place[whole]
-        if not len(start):
-            return
+        start, place, owner = start[whole], place[whole], owner[whole]
         before = self.words[place[:, None] - 1 - reach] == padded[start[:, None] + PHRASE - 1 - reach]
         after = self.words[place[:, None] + PHRASE + reach] == padded[start[:, None] + 2 * PHRASE + reach]
         left = np.logical_and.accumulate(before, axis=1).sum(axis=1)
         right = np.logical_and.accumulate(after, axis=1).sum(axis=1)
         far = left + right + PHRASE >= WINDOW
-        np.add.at(turns, (start - left)[far], 1)
-        np.add.at(turns, (start + PHRASE + right)[far], -1)
+        first, n, owner = (start - left)[far], (left + right + PHRASE)[far], owner[far]
+        at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        np.minimum.at(least, at, np.repeat(owner, n))
 
 
 def _symbols(coded: np.ndarray) -> str:
@@ -282,25 +344,36 @@ _SPAN = "doc_id long, text_id long, start long, stop long"
 
 
 def _locate(passages: pa.Table, segments: pa.Table) -> pa.Table:
-    out = []
+    out = [_batch([[]] * 4, _SPAN)]
     if passages.num_rows and segments.num_rows:
         texts = as_bytes(passages.column("text").combine_chunks())
         automaton = Automaton(list(zip(passages.column("owner").to_pylist(), texts)))
-        for batch in (part for some in segments.to_batches() for part in sliced([some])):
-            out += _located(automaton, batch)
-    return pa.Table.from_batches([_batch(out, _SPAN)])
-
-
-def _located(automaton: Automaton, batch: pa.RecordBatch) -> list[tuple[int, int, int, int]]:
-    out = []
-    which, words, bounds = split_words(batch.column("text"))
-    coded = automaton.coded(words)[which]
-    rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_id", "at")), itertools.pairwise(bounds.tolist()))
-    for doc_id, text_id, at, (a, b) in rows:
-        marked = automaton.marked(doc_id, coded[a:b])
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], marked.astype(np.int8), [0]])))
-        out += [(doc_id, text_id, at + int(s), at + int(e)) for s, e in zip(edges[::2], edges[1::2])]
-    return out
+        out += [_located(automaton, part) for part in sliced(segments.to_batches(), limit=STREAMED)]
+    return pa.Table.from_batches(out)
+
+
+def _located(automaton: Automaton, batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The word ranges to remove. Equal texts are streamed once, for the latest document that has them."""
+    doc_ids, text_ids, ats = (batch.column(c).to_numpy() for c in ("doc_id", "text_id", "at"))
+    texts = batch.column("text").dictionary_encode()
+    of = texts.indices.to_numpy()
+    latest = np.full(len(texts.dictionary), np.iinfo(np.int64).min)
+    np.maximum.at(latest, of, doc_ids)
+    which, words, bounds = split_words(texts.dictionary)
+    # Each text is followed by an unknown word, which is never covered.
+    sizes, each = np.diff(bounds), np.arange(len(latest))
+    line = np.full(len(which) + len(latest), _UNKNOWN)
+    line[np.arange(len(which)) + np.repeat(each, sizes)] = automaton.coded(words)[which]
+    least = automaton.first_owners(line, np.repeat(latest, sizes + 1))
+    n = (sizes + 1)[of]
+    upto = np.concatenate([[0], np.cumsum(n)])
+    at = np.repeat((bounds[:-1] + each)[of] - upto[:-1], n) + np.arange(upto[-1])
+    marked = least[at] < np.repeat(doc_ids, n)
+    edges = np.flatnonzero(np.diff(marked, prepend=False))
+    start, stop = edges[::2], edges[1::2]
+    row = np.searchsorted(upto, start, "right") - 1
+    moved = ats[row] - upto[row]
+    return _batch([doc_ids[row], text_ids[row], moved + start, moved + stop], _SPAN)
 
 
 def repeated_spans(documents: DataFrame) -> DataFrame:
@@ -323,20 +396,30 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     owned = owned.agg(F.collect_list("window").alias("windows"))
     shards = max(1, -(-(segments.agg(F.sum("n")).first()[0] or 0) // SHARD_WORDS))
     passages = segments.select("doc_id", "text").join(owned, "doc_id")
-    passages = written(passages.mapInArrow(_passages(shards), _PASSAGE).distinct(), "passages")
+    passages = written(passages.mapInArrow(_passages, _PASSAGE).distinct(), "passages")
+    streams = written(segments.mapInArrow(_streams, _STREAM), "streams")
+    # A divided route has a row of its own for each window.
+    cut = F.sum((F.col("n") - (WINDOW - 1)) * WINDOW)
+    heavy = passages.groupBy("route").agg(F.sum("n").alias("n"), F.ceil(cut / PART_WORDS).alias("parts"))
+    heavy = written(heavy.where(F.col("n") > ROUTE_WORDS).select("route", "parts"), "heavy")
+    heavy = None if heavy.isEmpty() else small(heavy)
+    passages = _dealt(passages, heavy, _PASSAGE, shards)
+    streams = _dealt(streams, heavy, _STREAM, shards)
+    if heavy is not None:
+        streams = written(streams, "dealt")
 
-    streams = written(segments.mapInArrow(_streams(shards), _STREAM), "streams")
     # A shard whose windows very many documents hold gets several copies of its automaton.
     copies = F.ceil(F.sum("n") / STREAM_WORDS).cast("int").alias("copies")
-    load = small(written(streams.groupBy("shard").agg(copies), "load"))
+    load = small(written(streams.groupBy("shard", "part").agg(copies), "load"))
     copy = F.pmod(F.xxhash64("doc_id"), F.col("copies")).cast("int")
-    streams = streams.join(load, "shard").withColumn("copy", copy)
+    streams = streams.join(load, ["shard", "part"]).withColumn("copy", copy)
     every = F.explode(F.sequence(F.lit(0), F.col("copies") - 1))
-    compiled = passages.join(load, "shard").withColumn("copy", every)
+    compiled = passages.join(load, ["shard", "part"]).withColumn("copy", every)
+    keys = ["shard", "part", "copy"]
     return (
-        compiled.select("shard", "copy", "owner", "text")
-        .groupBy("shard", "copy")
-        .cogroup(streams.select("shard", "copy", "doc_id", "text_id", "at", "text").groupBy("shard", "copy"))
+        compiled.select(*keys, "owner", "text")
+        .groupBy(*keys)
+        .cogroup(streams.select(*keys, "doc_id", "text_id", "at", "text").groupBy(*keys))
         .applyInArrow(_locate, _SPAN)
     )
 
@@ -363,7 +446,7 @@ def _kept(digest: bool):
                 rest = b" ".join(words)
                 value = hashlib.sha256(rest).hexdigest() if digest else rest.decode()
                 out.append((doc_id, n, n - len(words), value))
-            yield _batch(out, _KEPT)
+            yield _batch(list(zip(*out)) or [[]] * 4, _KEPT)
 
     return kept
 

@@ -115,3 +115,25 @@ def test_very_long_texts(documents):
     rows = [(1, line), (2, "start " + line), (3, "x" * 3_000_000)]
     got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in without_repeats(documents(rows)).collect()}
     assert got == {1: (400_000, 0), 2: (400_001, 400_000), 3: (1, 0)}
+
+
+def test_divided_routes_lose_nothing(documents, rows, monkeypatch):
+    """Routes of many passages go to several automata by the hashes of whole windows."""
+    monkeypatch.setattr(substring_dedup, "ROUTE_WORDS", 100)
+    monkeypatch.setattr(substring_dedup, "PART_WORDS", 1000)
+    # A line in every document, around which each pair of documents has words of its own.
+    line = " ".join(f"l{k}" for k in range(60))
+    edged = [
+        (1000 + 2 * g + c, " ".join([f"a{g}_{k}" for k in range(30)] + [line] + [f"b{g}_{k}" for k in range(30)]))
+        for g in range(40)
+        for c in range(2)
+    ]
+    got = without_repeats(documents(rows + edged)).collect()
+    assert sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept"]) for r in got) == brute(rows + edged)
+
+
+def test_equal_texts_are_streamed_once_for_all_documents(documents, monkeypatch):
+    passage = " ".join(f"p{k}" for k in range(70))
+    rows = [(k, passage) for k in range(30)] + [(31, "x " + passage), (-5, passage + " y")]
+    got = without_repeats(documents(rows)).collect()
+    assert sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept"]) for r in got) == brute(rows)
