@@ -35,24 +35,25 @@ BLOCK = 1 << 19
 MAX_IDS = 1 << 20
 END = 0
 # Bytes of text that are encoded at a time.
-ENCODED_BYTES = 1 << 20
+ENCODED_BYTES = 8 << 20
 
 # Where a single space or line feed stands between two characters that are not white
 # space, the tokenizer starts a new piece of text: a space goes with what follows it, a
-# line feed is a piece by itself. A full stop or comma after a letter starts one, too.
-# What lies between can be encoded by itself.
+# line feed is a piece by itself. What lies between can be encoded by itself.
 _LINES = re.compile(r"(?<=\S)\n(?=\S)")
 _WORDS = re.compile(r"(?<=\S) (?=\S)")
-_PARTS = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,])")
 # Nothing but letters, after one space at most, is a piece that only needs merging.
-_LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
+_LETTERS = re.compile(f" ?[{_LATIN}]+")
 # White space that is not of this kind, or the sign that pieces are cut at; a text
 # without them can be cut without patterns. Written for Arrow's pattern language.
 _CUT = "\0"
-_ODD = (
-    r"[\x00\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-    r"|[ \n][ \n]|\A[ \n]|[ \n]\z"
-)
+_WHITE = r"\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_ODD = rf"[\x00\t\x0b-\r\x1c-\x1f{_WHITE}]|[ \n][ \n]|\A[ \n]|[ \n]\z"
+# Letters, and what follows them in a piece without white space: the tokenizer starts a new
+# piece where a sign or digit (of ASCII or Latin-1) follows a letter.
+_SIGN = r"!-@\[-`{-~\x{a1}-\x{a9}\x{ab}-\x{ac}\x{ae}-\x{b4}\x{b6}-\x{b9}\x{bb}-\x{bf}\x{d7}\x{f7}"
+_HEAD_REST = rf"\A(?P<head> ?[{_LATIN}]+)(?P<rest>[{_SIGN}][^\x00-\x20{_WHITE}]*)\z"
 
 
 def _byte_signs() -> dict[int, int]:
@@ -84,7 +85,7 @@ def cuts_are_safe(tokenizer: str) -> bool:
     )
     by_pattern = split.get("type") == "ByteLevel" and split["use_regex"] and not split["add_prefix_space"]
     added = [t["content"] for t in file["added_tokens"] or []]
-    within = all(not re.search(r"\s|\A[.,]|[^\W\d_][.,]", t) and not _LETTERS.fullmatch(t) for t in added)
+    within = all(not re.search(r"\s|[^\W\d_][.,]|\A[.,]|\A[^\W\d_]", t) for t in added)
     bare = not any(t[k] for t in file["added_tokens"] or [] for k in ("lstrip", "rstrip", "single_word", "normalized"))
     return plain and model["type"] == "BPE" and by_pattern and within and bare
 
@@ -115,73 +116,72 @@ class Encoder:
         self.kept = 0
 
     def _ids(self, text: str) -> np.ndarray:
+        if not text:
+            return np.zeros(0, "<u4")
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found[0].ids, "<u4")
 
-    def _letters(self, piece: str) -> bytes:
-        """Ids of a piece of letters, by the model's merges alone."""
-        if piece.isascii():
-            signs = "Ġ" + piece[1:] if piece[0] == " " else piece
-        else:
-            signs = piece.encode().decode("latin-1").translate(_SIGNS)
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(signs)]).tobytes()
-
-    def _keep(self, piece: str, ids: bytes) -> bytes:
-        if len(piece) <= self.LONGEST:
-            self.known[0][piece] = ids
-            self.kept += len(piece) + len(ids) + self.ENTRY
-        return ids
-
-    def _looked_up(self, piece: str) -> bytes | None:
-        found = self.known[0].get(piece)
-        if found is None and (found := self.older[0].get(piece)) is not None:
-            self._keep(piece, found)
+    def _letters(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces of letters, by the model's merges alone."""
+        merged, found = self.tokenizer.model.tokenize, []
+        for piece in pieces:
+            if piece.isascii():
+                signs = "Ġ" + piece[1:] if piece[0] == " " else piece
+            else:
+                signs = piece.encode().decode("latin-1").translate(_SIGNS)
+            found.append(array("I", [t.id for t in merged(signs)]).tobytes())
         return found
 
+    def _keep(self, pieces: list[str], ids: list[bytes]) -> None:
+        for piece, own in zip(pieces, ids):
+            if len(piece) <= self.LONGEST:
+                self.known[0][piece] = own
+                self.kept += len(piece) + len(own) + self.ENTRY
+
     def _values(self, pieces: list[str]) -> list[bytes]:
         """Ids of different pieces."""
         if self.kept > self.LIMIT:
             self.known, self.older, self.kept = ({},), self.known, 0
-        known, older, letters = self.known[0], self.older[0].get, _LETTERS.fullmatch
-        found = list(map(known.get, pieces))
-        odd = []
-        for k in [k for k, ids in enumerate(found) if ids is None]:
-            piece = pieces[k]
-            ids = older(piece)
-            if ids is None and letters(piece):
-                ids = self._letters(piece)
-            if ids is None:
-                odd.append((k, _PARTS.split(piece)))
-            else:
-                found[k] = self._keep(piece, ids)
-        parts = self._parts({p for _, some in odd for p in some})
-        for k, some in odd:
-            found[k] = self._keep(pieces[k], b"".join(map(parts.__getitem__, some)))
-        return found
-
-    def _parts(self, wanted: set[str]) -> dict[str, bytes]:
-        found, plain = {}, []
-        for part in wanted:
-            ids = self._looked_up(part)
-            if ids is not None:
-                found[part] = ids
-            elif _LETTERS.fullmatch(part):
-                found[part] = self._keep(part, self._letters(part))
-            elif _is_plain(part):
-                plain.append(part)
-            else:
-                found[part] = self._ids(part).tobytes()
+        found = list(map(self.known[0].get, pieces))
+        if self.older[0]:
+            again = [k for k, ids in enumerate(found) if ids is None and pieces[k] in self.older[0]]
+            for k in again:
+                found[k] = self.older[0][pieces[k]]
+            self._keep([pieces[k] for k in again], [found[k] for k in again])
+        new = [p for p, ids in zip(pieces, found) if ids is None]
+        is_letters = list(map(_LETTERS.fullmatch, new))
+        letters = [p for p, yes in zip(new, is_letters) if yes]
+        merged = self._letters(letters)
+        others = [p for p, yes in zip(new, is_letters) if not yes]
+        encoded = self._others(others)
+        self._keep(letters, merged)
+        self._keep(others, encoded)
+        both = iter(merged), iter(encoded)
+        ids = (next(both[0] if yes else both[1]) for yes in is_letters)
+        return [next(ids) if x is None else x for x in found]
+
+    def _others(self, pieces: list[str]) -> list[bytes]:
+        found: dict[str, bytes] = {}
+        plain = [p for p in pieces if _is_plain(p)]
         for start in range(0, len(plain), self.AT_ONCE):
             some = plain[start : start + self.AT_ONCE]
-            # Line feeds keep the parts of one call apart, in the text and in its ids.
+            # Line feeds keep the pieces of one call apart, in the text and in its ids.
             ids = self._ids("\n".join(some))
             ends = np.flatnonzero(ids == self.line_feed[0]) if len(self.line_feed) == 1 else ids[:0]
             if len(ends) == len(some) - 1:
                 data, bounds = ids.tobytes(), [-1, *ends.tolist(), len(ids)]
                 found.update((p, data[4 * a + 4 : 4 * b]) for p, a, b in zip(some, bounds, bounds[1:]))
-        for part in plain:
-            found[part] = self._keep(part, found[part] if part in found else self._ids(part).tobytes())
-        return found
+        return [found[p] if p in found else self._ids(p).tobytes() for p in pieces]
+
+    def _whole(self, pieces: pa.Array) -> pa.Array:
+        """Ids of different pieces; letters and what follows them are encoded apart."""
+        two = pc.extract_regex(pieces, pattern=_HEAD_REST)
+        heads = pc.if_else(two.is_valid(), pc.struct_field(two, "head"), pieces)
+        rests = pc.fill_null(pc.struct_field(two, "rest"), "")
+        parts = pa.concat_arrays([heads, rests]).dictionary_encode()
+        values = pa.array(self._values(parts.dictionary.to_pylist()), pa.large_binary()).take(parts.indices)
+        n = len(pieces)
+        return pc.binary_join_element_wise(values[:n], values[n:], pa.scalar(b"", pa.large_binary()))
 
     def _pieces(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """All pieces, end to end, and how many each text has."""
@@ -203,8 +203,7 @@ class Encoder:
             return np.array([i for ids in found for i in ids], np.uint32), np.array([len(x) for x in found], np.int64)
         pieces, per_text = self._pieces(texts)
         coded = pieces.dictionary_encode()
-        values = self._values(coded.dictionary.to_pylist())
-        taken = pa.array(values, pa.large_binary()).take(coded.indices)
+        taken = self._whole(coded.dictionary).take(coded.indices)
         _, ends, data = taken.buffers()
         ends = np.frombuffer(ends, np.int64)[taken.offset : taken.offset + len(taken) + 1] // 4
         ids = np.frombuffer(data, "<u4") if data is not None and len(data) else np.zeros(0, "<u4")

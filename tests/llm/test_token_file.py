@@ -147,3 +147,11 @@ def test_a_very_long_text_without_spaces():
     text = "ab" * 200_000 + "." + "é" * 1000
     assert [np.frombuffer(encoder.encode([text])[0], "<u4").tolist()] == whole_ids(PATH, [text])
     assert all(len(p) <= encoder.LONGEST for table in encoder.known + encoder.older for p in table)
+
+
+def test_letters_and_what_follows_them_are_encoded_apart(tokenizer, encoder):
+    words = [f"{space}{head}{rest}" for space in ("", " ") for head in ("word", "été", "ß") for rest in (
+        ".", "'s", "'ve!!", "123abc", "###", "µ", "ªb", "º", "×y", "日", "́", "ʰx", "Ж.", "<|endoftext|>z", "¼½", "’s", "...x'll"
+    )]
+    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode([" ".join(words), *words])]
+    assert got == [tokenizer.encode(w, add_special_tokens=False).ids for w in [" ".join(words), *words]]
