@@ -32,9 +32,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def is_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
+    """Whether a count shows that the table keeps to the limit of a broadcast."""
+    return df.limit(limit + 1).count() <= limit
+
+
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint, if a count shows that the table keeps to the limit."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    return F.broadcast(df) if is_small(df, limit) else df
 
 
 def ascii_lower(column: Column | str) -> Column:

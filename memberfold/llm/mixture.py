@@ -14,9 +14,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
-from memberfold.llm.common import small, word_count, written
+from memberfold.llm.common import is_small, small, word_count, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -35,6 +35,11 @@ def _named(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("null"))
 
 
+def _hinted(df: DataFrame, few: bool) -> DataFrame:
+    """A broadcast hint for a table of at most a row a source, if there are few sources."""
+    return F.broadcast(df) if few else df
+
+
 def source_targets(
     sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, cap: float = CAP
 ) -> DataFrame:
@@ -50,16 +55,18 @@ def source_targets(
     weight = F.element_at(F.array(*map(F.lit, map(float, weights))), (at + 1).cast("int"))
     ranked = written(sizes.withColumn("weight", weight), "sources")
     most = F.col("source_size") * cap
-    total = ranked.agg(F.sum("source_size")).first()[0] or 0
     level, full = 0.0, -1
     while True:
         closed = F.col("weight") * level >= most
-        n, taken, free = ranked.agg(
-            F.sum(closed.cast("long")), F.sum(F.when(closed, most)), F.sum(F.when(~closed, F.col("weight")))
+        total, n, taken, free = ranked.agg(
+            F.sum("source_size"),
+            F.sum(closed.cast("long")),
+            F.sum(F.when(closed, most)),
+            F.sum(F.when(~closed, F.col("weight"))),
         ).first()
         if n == full or not free:
             break
-        full, level = n, (share * total - (taken or 0.0)) / free
+        full, level = n, (share * (total or 0) - (taken or 0.0)) / free
     target = F.when(closed, most).otherwise(F.col("weight") * level)
     return ranked.select("source", "source_size", target.cast("double").alias("target"))
 
@@ -68,11 +75,13 @@ def _rate(tilt: Column, x: Column, cap: float) -> Column:
     return F.least(F.lit(cap), F.exp(F.least(tilt * x, F.lit(math.log(cap)))))
 
 
-def tilts(histogram: DataFrame, targets: DataFrame, cap: float = CAP) -> DataFrame:
+def tilts(histogram: DataFrame, targets: DataFrame, cap: float = CAP, few: bool = False) -> DataFrame:
     """``key, source_size, target, mean, tilt`` of every source that has words.
 
     ``histogram`` is ``key, size, n``: documents of a source by size, sizes above 0. The
     tilt is null where the target is all that the cap allows: every rate is the cap.
+    ``few`` says that the targets may be broadcast. A step is one query, whose write also
+    tells how many sources are still off their targets.
     """
     sums = histogram.groupBy("key").agg(
         (F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("mean"), F.min("size").alias("least")
@@ -89,38 +98,42 @@ def tilts(histogram: DataFrame, targets: DataFrame, cap: float = CAP) -> DataFra
     )
     state = written(state.where("target > 0"), "tilts")
     for _ in range(MAX_STEPS):
-        x = F.col("size") / F.col("mean")
-        rate = _rate(F.col("tilt"), x, cap)
-        words = F.col("size") * F.col("n") * rate
-        moving = F.col("tilt") * x < math.log(cap)
-        sums = (
-            histogram.join(small(state.select("key", "mean", "tilt")), "key")
-            .groupBy("key")
-            .agg(F.sum(words).alias("took"), F.sum(F.when(moving, words * x)).alias("slope"))
-        )
-        over = F.col("took") > F.col("target")
-        low = F.when(over, F.col("low")).otherwise(F.col("tilt"))
-        high = F.when(over, F.col("tilt")).otherwise(F.col("high"))
-        gap = F.abs(F.col("took") / F.col("target") - 1)
-        newton = F.col("tilt") - F.log(F.col("took") / F.col("target")) * F.col("took") / F.col("slope")
-        inside = (newton > low) & (newton < high)
-        better = F.when(inside, newton).otherwise((low + high) / 2)
-        done = F.col("full") | (gap <= CLOSE)
-        state = written(
-            state.join(sums, "key").select(
-                "key", "source_size", "target", "mean", "full",
-                F.when(done, F.col("tilt")).otherwise(better).alias("tilt"),
-                low.alias("low"), high.alias("high"),
-                F.when(done, F.lit(0.0)).otherwise(gap).alias("gap"),
-            ),
-            "tilts",
-        )
-        if not state.where("gap > 0").limit(1).count():
+        off = Observation()
+        step = _stepped(histogram, state.drop("gap"), cap, few)
+        state = written(step.observe(off, F.count(F.when(F.col("gap") > 0, 1)).alias("n")), "tilts")
+        if not off.get["n"]:
             break
     tilt = F.when(~F.col("full"), F.col("tilt"))
     return state.select("key", "source_size", "target", "mean", tilt.alias("tilt"))
 
 
+def _stepped(histogram: DataFrame, state: DataFrame, cap: float, few: bool) -> DataFrame:
+    """The state of each source after a Newton step, or halving where that leaves the bracket."""
+    x = F.col("size") / F.col("mean")
+    words = F.col("size") * F.col("n") * _rate(F.col("tilt"), x, cap)
+    moving = F.col("tilt") * x < math.log(cap)
+    # A source's state goes along as keys of the group, so that it need not be joined again.
+    sums = (
+        histogram.join(_hinted(state, few), "key")
+        .groupBy(*state.columns)
+        .agg(F.sum(words).alias("took"), F.sum(F.when(moving, words * x)).alias("slope"))
+    )
+    over = F.col("took") > F.col("target")
+    low = F.when(over, F.col("low")).otherwise(F.col("tilt"))
+    high = F.when(over, F.col("tilt")).otherwise(F.col("high"))
+    gap = F.abs(F.col("took") / F.col("target") - 1)
+    newton = F.col("tilt") - F.log(F.col("took") / F.col("target")) * F.col("took") / F.col("slope")
+    inside = (newton > low) & (newton < high)
+    better = F.when(inside, newton).otherwise((low + high) / 2)
+    done = F.col("full") | (gap <= CLOSE)
+    return sums.select(
+        "key", "source_size", "target", "mean", "full",
+        F.when(done, F.col("tilt")).otherwise(better).alias("tilt"),
+        low.alias("low"), high.alias("high"),
+        F.when(done, F.lit(0.0)).otherwise(gap).alias("gap"),
+    )
+
+
 def _chance(identity: Sequence[Column]) -> Column:
     """A number from 0 to 1 (not 0) that depends only on the document."""
     bits = F.shiftrightunsigned(F.xxhash64(F.lit(17), *identity), 11)
@@ -154,12 +167,13 @@ def plan_mixture(
     sizes = sized.groupBy("key", "source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes.select("source", "source_size"), weights, share, cap)
     targets = targets.withColumn("key", _named(F.col("source"))).drop("source")
+    few = is_small(targets)
     histogram = written(
         sized.where("size > 0").groupBy("key", "size").agg(F.count("*").alias("n")), "histogram"
     )
-    tilted = tilts(histogram, targets, cap)
+    tilted = tilts(histogram, targets, cap, few)
     plan = targets.join(tilted.select("key", "mean", "tilt"), "key", "left")
-    joined = sized.select("key", "size", "rank").join(small(plan), "key")
+    joined = sized.select("key", "size", "rank").join(_hinted(plan, few), "key")
     whole, order = _copies(F.col("size"), F.col("rank"), F.col("mean"), F.col("tilt"), cap)
     ordered = written(
         joined.select("key", "size", whole.alias("whole"), order.alias("order")), "orders"
@@ -177,7 +191,7 @@ def plan_mixture(
             {"largest": F.col("need").cast("double"), "low": F.lit(0.0), "width": F.lit(1.0)}
         )
         for _ in range(LEVELS):
-            state = written(_narrowed(loose, state), "mix")
+            state = written(_narrowed(loose, state, few), "mix")
         cut = F.struct(F.col("low").alias("below"), "largest")
         state = state.withColumn("cuts", F.concat("cuts", F.array(cut)))
         state = state.drop("largest", "low", "width")
@@ -188,27 +202,25 @@ def _taken(order: Column, size: Column, cuts: Column) -> Column:
     return F.exists(cuts, lambda c: (order < c["below"]) & (size <= c["largest"]))
 
 
-def _narrowed(loose: DataFrame, state: DataFrame) -> DataFrame:
+def _narrowed(loose: DataFrame, state: DataFrame, few: bool) -> DataFrame:
     """Move each source's interval to the part in which what it needs is exceeded."""
     part = F.floor((F.col("order") - F.col("low")) / F.col("width") * PARTS).cast("int")
     inside = (F.col("order") >= F.col("low")) & (F.col("order") < F.col("low") + F.col("width"))
     parts = (
-        loose.join(small(state.select("key", "low", "width", "largest", "cuts")), "key")
+        loose.join(_hinted(state.select("key", "need", "low", "width", "largest", "cuts"), few), "key")
         .where(inside & (F.col("size") <= F.col("largest")))
         .where(~_taken(F.col("order"), F.col("size"), F.col("cuts")))
-        .groupBy("key", part.alias("part"))
+        .groupBy("key", "need", part.alias("part"))
         .agg(F.sum("size").alias("words"))
     )
     upto = Window.partitionBy("key").orderBy("part")  # at most PARTS rows a source
-    running = parts.withColumn("upto", F.sum("words").over(upto)).join(
-        small(state.select("key", "need")), "key"
-    )
+    running = parts.withColumn("upto", F.sum("words").over(upto))
     fits = F.col("upto") <= F.col("need")
     passed = running.groupBy("key").agg(
         F.min(F.when(~fits, F.col("part"))).alias("at"),
         F.coalesce(F.max(F.when(fits, F.col("upto"))), F.lit(0)).alias("used"),
     )
-    moved = state.join(passed, "key", "left")
+    moved = state.join(_hinted(passed, few), "key", "left")
     low = F.col("low") + F.col("width") * F.coalesce(F.col("at"), F.lit(0)) / PARTS
     # Without a part that exceeds the need everything in the interval is taken.
     low = F.when(F.col("used").isNotNull() & F.col("at").isNull(), F.col("low") + F.col("width")).otherwise(low)
@@ -250,7 +262,7 @@ def _mixed(documents: DataFrame, weights: Sequence[float], share: float, cap: fl
         ),
         "sizes",
     )
-    plan = written(plan_mixture(sized, weights, share, cap), "plan")
+    plan = plan_mixture(sized, weights, share, cap)
     packed = plan.select(F.col("key").alias(_KEY), F.struct("*").alias(_PLAN))
     size, of = F.col(_SIZE), F.col(_PLAN)
     whole, order = _copies(size, chance, of["mean"], of["tilt"], cap)

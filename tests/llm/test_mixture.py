@@ -84,3 +84,14 @@ def test_without_words(documents):
     assert mixture(documents([])).count() == 0
     rows = mixture(documents([(1, None), (2, "")])).collect()
     assert [(r["size"], r["copies"], r["target"]) for r in rows] == [(0, 0, 0.0)] * 2
+
+
+def test_a_mix_is_planned_in_a_bounded_number_of_jobs(spark, many):
+    """Each query stays in the driver's memory for a while; the mix of this table took 180 jobs."""
+    spark.sparkContext.setJobGroup("mix", "jobs of one mix")
+    try:
+        mixture(many).collect()
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("mix")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) < 130
