@@ -32,6 +32,8 @@ UNKNOWN_PENALTY = 10.0
 # Bytes of words whose counts a task remembers, what an entry takes beside its text, and the
 # characters of the longest word that is remembered.
 KNOWN_BYTES, ENTRY_BYTES, LONGEST_KNOWN = 100 << 20, 130, 64
+# Bytes of text whose words are told apart at once.
+COUNTED_BYTES = 8 << 20
 # Words that are counted at once.
 AT_ONCE = 20_000
 # Places of a word whose scores are held beyond those that the longest piece reaches.
@@ -77,6 +79,67 @@ def words(text: str) -> list[str]:
     return found
 
 
+class Trie:
+    """Finds all pieces at all places of many words, a character further at a time.
+
+    The commonest characters of the pieces have a column each in a table of steps, as many
+    as a number of bytes allows; steps by the others are looked up in a sorted list.
+    """
+
+    COLUMNS, TABLE_BYTES = 128, 64 << 20
+
+    def __init__(self, pieces: Iterable[str]):
+        children: dict[tuple[int, int], int] = {}
+        final = {}
+        for k, piece in enumerate(pieces):
+            node = 0
+            for c in piece:
+                node = children.setdefault((node, ord(c)), len(children) + 1)
+            final[node] = k
+        self.piece = np.full(len(children) + 1, -1, np.int64)
+        self.piece[list(final)] = list(final.values())
+        node, code = np.array(list(children), np.int64).reshape(-1, 2).T
+        to = np.array(list(children.values()), np.int64)
+        codes, n = np.unique(code, return_counts=True)
+        self.width = max(1, min(self.COLUMNS, self.TABLE_BYTES // (4 * len(self.piece))))
+        common = codes[np.argsort(-n, kind="stable")][: self.width - 1]
+        self.column = np.zeros(0x110000, np.int64)  # 0: in the list, or in no piece
+        self.column[common] = 1 + np.arange(len(common))
+        self.table = np.zeros(len(self.piece) * self.width, np.int32)  # 0: no step
+        column = self.column[code]
+        self.table[(node * self.width + column)[column > 0]] = to[column > 0]
+        key, to = (node << 21 | code)[column == 0], to[column == 0]
+        order = np.argsort(key)
+        self.listed, self.listed_to = key[order], to[order]
+
+    def matches(self, codes: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, length and piece of every match; ``left`` is what a word has from each place on."""
+        columns = self.column[codes]
+        at, node, length = np.arange(len(codes)), np.zeros(len(codes), np.int64), 0
+        found = [(at[:0], at[:0], at[:0])]
+        while len(at):
+            column = columns[at + length]
+            to = self.table[node * self.width + column]
+            rare = np.flatnonzero(column == 0)
+            if len(rare) and len(self.listed):
+                key = node[rare] << 21 | codes[at[rare] + length]
+                step = np.minimum(np.searchsorted(self.listed, key), len(self.listed) - 1)
+                to[rare] = np.where(self.listed[step] == key, self.listed_to[step], 0)
+            alive = np.flatnonzero(to)
+            at, node, length = at[alive], to[alive].astype(np.int64), length + 1
+            piece = self.piece[node]
+            ends = np.flatnonzero(piece >= 0)
+            found.append((at[ends], np.full(len(ends), length), piece[ends]))
+            more = np.flatnonzero(left[at] > length)
+            at, node = at[more], node[more]
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _codes(text: str) -> np.ndarray:
+    """The code points of a text."""
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+
+
 class Counter:
     """Counts pieces of words; ``pieces`` must not have a space mark after another character.
 
@@ -96,9 +159,9 @@ class Counter:
         for k, piece in enumerate(last):
             self.automaton.add_word(piece, k)
         self.automaton.make_automaton()
-        self.lengths = np.array([len(p) for p in last], np.int64)
+        self.trie = Trie(last)
         self.scores = np.array(list(last.values()), np.float64)
-        self.matches = list(zip(self.lengths.tolist(), self.scores.tolist()))
+        self.matches = [(len(p), score) for p, score in last.items()]
         self.unknown = min((s for _, s in pieces), default=0.0) - UNKNOWN_PENALTY
         self.longest = max((len(p) for p, _ in pieces), default=1)
         self.known: dict[str, int] = {}
@@ -145,18 +208,16 @@ class Counter:
         sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
         first = np.cumsum(sizes) - sizes
         owner = np.repeat(np.arange(len(words)), sizes)
-        found = itertools.chain.from_iterable(self.automaton.iter(text))
-        last, piece = np.fromiter(found, np.int64).reshape(-1, 2).T
-        length = self.lengths[piece]
-        inside = last + 1 - length >= first[owner[last]]
-        last, piece, length = last[inside], piece[inside], length[inside]
+        codes = _codes(text)
+        start, length, piece = self.trie.matches(codes, (first + sizes)[owner] - np.arange(len(codes)))
+        last = start + length - 1
         alone = np.ones(len(text), bool)
         alone[last[length == 1]] = False
         alone = np.flatnonzero(alone)  # no piece is this character: it may stand as unknown
         last, length = np.concatenate([last, alone]), np.concatenate([length, np.ones_like(alone)])
         score = np.concatenate([self.scores[piece], np.full(len(alone), self.unknown)])
         strange = np.arange(len(last)) >= len(piece)
-        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)[last]
+        codes = codes[last]
         as_bytes = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
         own = owner[last]
         place = last + 1 - first[own]
@@ -231,6 +292,18 @@ def distinct_words(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
 
 def _chunks(pieces: Sequence[str]):
     pairs = {p[k : k + 2] for p in pieces for k in range(len(p) - 1)}
+    # The last entry is above all pairs, so that every search ends at an entry.
+    sorted_pairs = np.array([*sorted((ord(a) << 21) | ord(b) for a, b in pairs), 1 << 62], np.int64)
+
+    def is_cut(words: list[str]) -> np.ndarray:
+        """Whether a word, after its mark, has more than one part."""
+        codes = _codes(SPACE + SPACE.join(words))
+        owner = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        pair = codes[:-1] << 21 | codes[1:]
+        apart = (sorted_pairs[np.searchsorted(sorted_pairs, pair)] != pair) & (owner[:-1] == owner[1:])
+        found = np.zeros(len(words), bool)
+        found[owner[:-1][apart]] = True
+        return found
 
     def cut(word: str) -> Iterator[str]:
         """Parts that every segmentation has bounds between: no piece holds these two characters."""
@@ -245,29 +318,36 @@ def _chunks(pieces: Sequence[str]):
         seen: collections.Counter[str] = collections.Counter()
         kept = 0
 
-        def counted(numbers: Iterable[tuple[str, int]]) -> pa.RecordBatch:
-            found: collections.Counter[str] = collections.Counter()
-            for word, n in numbers:
-                for part in cut(SPACE + word):
-                    found[part] += n
-            return pa.RecordBatch.from_arrays(
-                [pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], names=["chunk", "n"]
-            )
-
-        for batch in sliced(batches):
+        def batch_of(parts: list[str], n: list[int]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(parts, pa.string()), pa.array(n, pa.int64())], names=["chunk", "n"])
+
+        def counted(numbers: Iterable[tuple[str, int]]) -> Iterator[pa.RecordBatch]:
+            numbers, found = iter(numbers), collections.Counter()
+            while some := list(itertools.islice(numbers, AT_ONCE)):
+                short = all(len(word) <= LONGEST_KNOWN for word, _ in some)
+                cuts = is_cut([word for word, _ in some]).tolist() if short else [True] * len(some)
+                whole = [pair for pair, yes in zip(some, cuts) if not yes]
+                for (word, n), yes in zip(some, cuts):
+                    if yes:
+                        for part in cut(SPACE + word):
+                            found[part] += n
+                yield batch_of([SPACE + word for word, _ in whole], [n for _, n in whole])
+            yield batch_of(list(found), list(found.values()))
+
+        for batch in sliced(batches, limit=COUNTED_BYTES):
             which, distinct, _ = distinct_words(batch.column("text"))
             numbers = dict(zip(distinct, np.bincount(which, minlength=len(distinct)).tolist()))
             long = [(w, numbers.pop(w)) for w in distinct if len(w) > LONGEST_KNOWN]
             if long:
-                yield counted(long)
+                yield from counted(long)
             before = len(seen)
             seen.update(numbers)
             kept += (len(seen) - before) * (LONGEST_KNOWN // 4 + ENTRY_BYTES)
             if kept > KNOWN_BYTES:
-                yield counted(seen.items())
+                yield from counted(seen.items())
                 seen.clear()
                 kept = 0
-        yield counted(seen.items())
+        yield from counted(seen.items())
 
     return chunks
 
@@ -276,45 +356,23 @@ class Lattices:
     """Expected counts of pieces over all segmentations of many chunks at once."""
 
     def __init__(self, pieces: Sequence[str], scores: np.ndarray):
-        children: dict[tuple[int, int], int] = {}
-        final = {}
-        for k, piece in enumerate(pieces):
-            node = 0
-            for c in piece:
-                node = children.setdefault((node, ord(c)), len(children) + 1)
-            final[node] = k
-        steps = sorted(((node << 21) | c, to) for (node, c), to in children.items())
-        self.steps, self.to = np.array(steps, np.int64).reshape(-1, 2).T.copy()
-        self.piece = np.full(len(children) + 1, -1, np.int64)
-        self.piece[list(final)] = list(final.values())
+        self.trie = Trie(pieces)
         self.scores = np.append(scores, scores.min() - UNKNOWN_PENALTY)  # the last: unknown
 
     def edges(self, codes: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start, length and piece of every match; ``left`` is what a chunk has from each place on."""
-        at, node, length = np.arange(len(codes)), np.zeros(len(codes), np.int64), 0
+        start, length, piece = self.trie.matches(codes, left)
         single = np.zeros(len(codes), bool)
-        found = []
-        while len(at):
-            key = (node << 21) | codes[at + length]
-            step = np.minimum(np.searchsorted(self.steps, key), len(self.steps) - 1)
-            alive = self.steps[step] == key
-            at, node, length = at[alive], self.to[step[alive]], length + 1
-            piece = self.piece[node]
-            ends = piece >= 0
-            found.append((at[ends], np.full(ends.sum(), length), piece[ends]))
-            if length == 1:
-                single[at[ends]] = True
-            more = left[at] > length
-            at, node = at[more], node[more]
+        single[start[length == 1]] = True
         at = np.flatnonzero(~single)
-        found.append((at, np.ones(len(at), np.int64), np.full(len(at), len(self.scores) - 1)))
-        return tuple(np.concatenate(x) for x in zip(*found))
+        unknown = np.full(len(at), len(self.scores) - 1)
+        return np.append(start, at), np.append(length, np.ones_like(at)), np.append(piece, unknown)
 
     def expected(self, chunks: list[str], n: np.ndarray) -> tuple[np.ndarray, int]:
         """Expected counts, in parts, of the pieces (an unknown character's go to its bytes,
         the first 256 after piece 0), and the log likelihood, in parts."""
         sizes = np.array([len(c) for c in chunks], np.int64)
-        codes = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32).astype(np.int64)
+        codes = _codes("".join(chunks))
         first = np.cumsum(sizes) - sizes
         owner = np.repeat(np.arange(len(chunks)), sizes)
         place = np.arange(len(codes)) - first[owner]
@@ -418,7 +476,7 @@ def count_tokens(documents: DataFrame, pieces: Sequence[tuple[str, float]], out:
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(given.value)
-        for batch in sliced(batches):
+        for batch in sliced(batches, limit=COUNTED_BYTES):
             n = pa.array(counter.column(batch.column("text")), pa.int64())
             kept = [batch.column(f.name) for f in fields]
             yield pa.RecordBatch.from_arrays([*kept, n], names=schema.fieldNames())

@@ -155,3 +155,20 @@ def test_words_at_once_are_counted_as_one_by_one(words, with_bytes):
     pieces = [("a", -1.0), ("b", -1.0), ("ab", -2.0), ("aba", -3.0), ("▁", -1.0), ("▁a", -2.0), ("▁▁", -2.0), ("bab", -2.5), ("éa", -1.0), ("ab", -2.0)]
     counter = Counter(pieces + [(b, -8.0) for b in BYTES] if with_bytes else pieces)
     assert counter.counts(words) == [counter.word("▁" + w) for w in words]
+
+
+@pytest.mark.parametrize("columns", [1, 3, 128])
+def test_matches_of_many_words_need_no_step_a_match(columns, monkeypatch):
+    monkeypatch.setattr(token_counts.Trie, "COLUMNS", columns)
+    pieces = [("▁", -1.0), ("▁a", -2.0), ("a", -1.5), ("ab", -1.2), ("abc", -4.0), ("é", -2.0), ("bé", -1.0), ("𝄞", -3.0)]
+    texts = ["abc", "", "a", "bébé", "𝄞ab", "xyz", "cab" * 9]
+    trie = token_counts.Trie(p for p, _ in pieces)
+    for text in texts:
+        codes = np.array([ord(c) for c in text], np.int64)
+        found = zip(*(x.tolist() for x in trie.matches(codes, len(text) - np.arange(len(text)))))
+        want = {(i, len(p), k) for k, (p, _) in enumerate(pieces) for i in range(len(text)) if text.startswith(p, i)}
+        assert sorted(found) == sorted(want)
+    counter = token_counts.Counter(pieces)
+    one_by_one = [counter.word("▁" + text) for text in texts]
+    counter.automaton = None  # one Python step for each match: only long words go through it
+    assert counter.counts(texts) == one_by_one
