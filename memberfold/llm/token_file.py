@@ -349,20 +349,20 @@ def pack(ids: np.ndarray, ends: np.ndarray, codes: np.ndarray, sizes: np.ndarray
 def unpack(bits: bytes, offsets: np.ndarray, n: int, table: tuple[np.ndarray, np.ndarray, int], ends: np.ndarray) -> np.ndarray:
     """The ids of a block: all runs of STRIDE codes are decoded side by side."""
     ids, sizes, look = table
-    data = np.frombuffer(bits + bytes(16), np.uint8)
+    # The 64 bits from each byte on. A run goes on past its last code, by at most STRIDE codes
+    # and as many documents' ends, whose bits are read from what is put after the block.
+    data = bits + bytes(STRIDE * (MAX_BITS // 8 + 2) + 8)
+    words = np.ndarray(len(data) - 7, ">u8", data, strides=(1,))
     at = offsets.astype(np.int64).copy()
     out = np.zeros((STRIDE, len(at)), np.uint32)
     # A document's last code is followed by the bits up to the next whole byte.
     last = np.zeros(len(at) * STRIDE, bool)
     last[ends - 1] = True
     last = last.reshape(len(at), STRIDE).T
-    shift = 40 - look
+    shift, mask = 64 - look, np.uint64((1 << look) - 1)
     for k in range(STRIDE):
-        byte = at >> 3
-        window = np.zeros(len(at), np.int64)
-        for j in range(5):
-            window = window << 8 | data[np.minimum(byte + j, len(data) - 1)]
-        index = (window >> (shift - (at & 7))) & ((1 << look) - 1)
+        window = words[at >> 3].astype(np.uint64)
+        index = (window >> (shift - (at & 7)).astype(np.uint64)) & mask
         out[k] = ids[index]
         at += sizes[index]
         at = np.where(last[k], (at + 7) >> 3 << 3, at)
@@ -386,13 +386,7 @@ def write_dataset(encoded: DataFrame, folder: str) -> None:
         return np.frombuffer(data, "<u2" if len(data) == 2 * n else "<u4")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in sliced(batches, "ids"):
-            for n, data in zip(batch.column("n_tokens").to_pylist(), batch.column("ids").to_pylist()):
-                new = np.bincount(of(n, data))
-                if len(new) > len(total):
-                    total = np.concatenate([total, np.zeros(len(new) - len(total), np.int64)])
-                total[: len(new)] += new
+        total = _id_counts(batches, of)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
 
@@ -431,6 +425,19 @@ def write_dataset(encoded: DataFrame, folder: str) -> None:
     ordered.mapInArrow(blocks, _BLOCKS).write.option("compression", "zstd").parquet(f"{folder}/blocks")
 
 
+def _id_counts(batches: Iterator[pa.RecordBatch], of: Callable) -> np.ndarray:
+    """How often each id occurs, up to the largest one."""
+    total = np.zeros(0, np.int64)
+    for batch in sliced(batches, "ids"):
+        pairs = zip(batch.column("n_tokens").to_pylist(), batch.column("ids").to_pylist())
+        # All documents of a slice at once: a count has as many numbers as the largest id.
+        new = np.bincount(np.concatenate([of(n, data) for n, data in pairs]))
+        if len(new) > len(total):
+            total = np.concatenate([total, np.zeros(len(new) - len(total), np.int64)])
+        total[: len(new)] += new
+    return total
+
+
 _NAMES = ["part", "block", "doc_ids", "n_tokens", "n", "bits", "offsets"]
 
 

@@ -155,3 +155,31 @@ def test_letters_and_what_follows_them_are_encoded_apart(tokenizer, encoder):
     )]
     got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode([" ".join(words), *words])]
     assert got == [tokenizer.encode(w, add_special_tokens=False).ids for w in [" ".join(words), *words]]
+
+
+def test_ids_of_a_slice_are_counted_at_once(monkeypatch):
+    """A count of one document alone still has as many numbers as its largest id."""
+    import pyarrow as pa
+
+    documents = [np.array([k % 7, 50_000 + k % 3, 0], "<u2") for k in range(500)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([3] * 500), pa.array([x.tobytes() for x in documents])], names=["n_tokens", "ids"]
+    )
+    calls, bincount = [], np.bincount
+    monkeypatch.setattr(token_file.np, "bincount", lambda ids: calls.append(len(ids)) or bincount(ids))
+    total = token_file._id_counts(iter([batch, batch.slice(0, 1)]), lambda n, data: np.frombuffer(data, "<u2"))
+    assert calls == [1500, 3]
+    assert total.tolist() == bincount(np.concatenate([*documents, documents[0]])).tolist()
+
+
+def test_runs_that_end_at_the_last_bit_are_read_to_their_end():
+    """Codes of the greatest length, and a run that goes on far past its only code."""
+    counts = {k: 1 << min(k, 24) for k in range(26)}
+    lengths = token_file.code_lengths(counts)
+    assert max(lengths.values()) == token_file.MAX_BITS
+    codes, sizes = token_file.canonical_codes(lengths)
+    ids = np.array([25, 0] * 64 + [0, 1], np.int64)
+    ends = np.array([1, 128, 130])
+    bits, at = token_file.pack(ids, ends, codes, sizes)
+    out = token_file.unpack(bits, at[:: token_file.STRIDE], len(ids), token_file.decoding_table(lengths), ends)
+    assert out.tolist() == ids.tolist()
