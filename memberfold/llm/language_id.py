@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
@@ -34,6 +33,8 @@ STRANGE = 8.0
 # Documents of so many trigrams tell how far such means spread; the least spread, and the
 # part that sums are rounded to, so that their order has no effect.
 SPREAD_TRIGRAMS, LEAST_SPREAD, PART = 100, 0.2, 1 << 20
+# Bytes of text whose trigrams are looked at at once: they take some 40 bytes each.
+TRIGRAM_BYTES = 1 << 18
 # Multiplier that spreads trigrams over the cells.
 _TRIGRAM = np.uint32(0x9E3779B1)
 
@@ -62,7 +63,7 @@ def _cells(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial counts of one task: an array of all cells for each language it saw."""
     counts: dict[str, np.ndarray] = {}
-    for batch in sliced(batches):
+    for batch in sliced(batches, limit=TRIGRAM_BYTES):
         languages = np.array(batch.column("language").to_pylist(), object)
         cells, owner = _cells(as_bytes(batch.column("text")))
         for language in set(languages):
@@ -113,7 +114,7 @@ def text_sums(model: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.ndarra
     """Log likelihoods of texts under each language, and their numbers of trigrams."""
     batch = pa.RecordBatch.from_arrays([texts], names=["text"])
     sums, sizes = [np.zeros((0, model.shape[1]))], [np.zeros(0, np.int64)]
-    for part in sliced([batch]):
+    for part in sliced([batch], limit=TRIGRAM_BYTES):
         cells, owner = _cells(as_bytes(part.column("text")))
         n = part.num_rows
         found = [np.bincount(owner, model[cells, k], minlength=n) for k in range(model.shape[1])]
@@ -129,6 +130,20 @@ def expectations(counts: np.ndarray, model: np.ndarray) -> tuple[np.ndarray, np.
     return mean, (share * model**2).sum(axis=0) - mean**2
 
 
+def text_scores(model: np.ndarray, mean: np.ndarray, spread: np.ndarray, variance: np.ndarray, texts: pa.Array) -> pa.StructArray:
+    """``sums, strange`` of texts: log likelihoods, and whether they are too low, in each language.
+
+    Both are null for a text without trigrams.
+    """
+    sums, sizes = text_sums(model, texts)
+    has = sizes > 0
+    sums, some = sums[has], sizes[has][:, None]
+    strange = sums / some < mean - STRANGE * np.sqrt(spread**2 + variance / some)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(has) * model.shape[1]]), pa.int32())
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(x.ravel()), mask=pa.array(~has)) for x in (sums, strange)]
+    return pa.StructArray.from_arrays(lists, names=["sums", "strange"])
+
+
 def spreads(documents: DataFrame, languages: list[str], table: Broadcast, mean: np.ndarray) -> np.ndarray:
     """How far the means of whole documents of a language lie from its own mean.
 
@@ -260,15 +275,10 @@ def _identified(documents: DataFrame, pages: DataFrame, sure: float) -> DataFram
     table = documents.sparkSession.sparkContext.broadcast(model.astype(np.float32))
     spread = spreads(documents, languages, table, mean)
 
-    @F.pandas_udf("sums array<double>, strange array<boolean>")
-    def likelihoods(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("sums array<double>, strange array<boolean>")
+    def likelihoods(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            sums, sizes = text_sums(table.value, pa.array(texts, pa.string()))
-            some = np.maximum(sizes, 1)[:, None]
-            bound = mean - STRANGE * np.sqrt(spread**2 + variance / some)
-            strange = sums / some < bound
-            rows = [(s, x) if n else (None, None) for s, x, n in zip(sums, strange, sizes)]
-            yield pd.DataFrame(rows, columns=["sums", "strange"], dtype=object)
+            yield text_scores(table.value, mean, spread, variance, texts)
 
     evidence = written(page_evidence(pages), "pages")
     of = documents.select(F.col("doc_id").alias("page"), F.col("lang").alias("language"))

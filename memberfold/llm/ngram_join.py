@@ -17,7 +17,6 @@ import itertools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, GroupedData, functions as F, types as T
@@ -425,10 +424,10 @@ def _labelled(documents: DataFrame) -> DataFrame:
     return described.join(named, described["sid"] == F.col("of"), "left").select("doc_id", "sid", "n", "label", "name")
 
 
-@F.pandas_udf(T.LongType())
-def _identity(texts: pd.Series) -> pd.Series:
-    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
-    return pd.Series([_set_id(s) for _, sets in _sets([batch]) for s in sets], dtype="Int64")
+@F.arrow_udf(T.LongType())
+def _identity(texts: pa.Array) -> pa.Array:
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    return pa.array([_set_id(s) for _, sets in _sets([batch]) for s in sets], pa.int64())
 
 
 def representatives(documents: DataFrame) -> DataFrame:

@@ -1,7 +1,11 @@
 import math
 import random
+import subprocess
+import sys
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +111,30 @@ def test_rare_declared_values_keep_their_evidence(spark):
             for l in languages
         ]
         assert found[value] == pytest.approx(want)
+
+
+def test_scores_are_told_from_columns_in_little_memory():
+    """A worker holds a few numbers a byte of a small slice, whatever a batch has."""
+    rng = np.random.default_rng(2)
+    model = np.log(rng.random((language_id.CELLS, 2))).astype(np.float32)
+    mean, spread, variance = np.array([-1.0, -0.5]), np.array([0.2, 0.3]), np.array([0.5, 0.4])
+    texts = ["word " * 2000 + str(k) for k in range(400)] + [None, "", "123", "zzz"]
+    column = pa.array(texts, pa.string())
+    tracemalloc.start()
+    found = language_id.text_scores(model, mean, spread, variance, column).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20  # 48 MB at 1 MB a slice
+    for text, score in zip(texts, found):
+        sums, sizes = language_id.text_sums(model, pa.array([text], pa.string()))
+        if sizes[0]:
+            far = mean - language_id.STRANGE * np.sqrt(spread**2 + variance / sizes[0])
+            assert score == {"sums": sums[0].tolist(), "strange": (sums[0] / sizes[0] < far).tolist()}
+        else:
+            assert score == {"sums": None, "strange": None}
+
+
+def test_workers_load_no_pandas():
+    """Some 27 MB of every worker of the stages, kept until the job ends."""
+    code = "import sys, memberfold.llm.language_id, memberfold.llm.ngram_join; sys.exit('pandas' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], timeout=60).returncode == 0
