@@ -35,7 +35,7 @@ BLOCK = 1 << 19
 MAX_IDS = 1 << 20
 END = 0
 # Bytes of text that are encoded at a time.
-ENCODED_BYTES = 8 << 20
+ENCODED_BYTES = 4 << 20
 
 # Where a single space or line feed stands between two characters that are not white
 # space, the tokenizer starts a new piece of text: a space goes with what follows it, a
@@ -44,7 +44,7 @@ _LINES = re.compile(r"(?<=\S)\n(?=\S)")
 _WORDS = re.compile(r"(?<=\S) (?=\S)")
 # Nothing but letters, after one space at most, is a piece that only needs merging.
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
-_LETTERS = re.compile(f" ?[{_LATIN}]+")
+_LETTERS = rf"\A ?[{_LATIN}]+\z"
 # White space that is not of this kind, or the sign that pieces are cut at; a text
 # without them can be cut without patterns. Written for Arrow's pattern language.
 _CUT = "\0"
@@ -99,17 +99,18 @@ class Encoder:
     encodes whole texts.
     """
 
-    LIMIT = 64 << 20  # bytes of a generation
+    LIMIT = 32 << 20  # bytes of a generation
     LONGEST = 64  # characters of a piece that is kept
     ENTRY = 200  # bytes that an entry takes beside its text and ids
     AT_ONCE = 20_000  # parts the tokenizer is given at a time
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, by_pieces: bool | None = None):
+        """``by_pieces``: what ``cuts_are_safe`` says of the file, if known."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.by_pieces = cuts_are_safe(self.tokenizer.to_str())
+        self.by_pieces = cuts_are_safe(self.tokenizer.to_str()) if by_pieces is None else by_pieces
         self.line_feed = self._ids("\n")
         self.known: tuple[dict[str, bytes], ...] = ({},)
         self.older: tuple[dict[str, bytes], ...] = ({},)
@@ -138,27 +139,27 @@ class Encoder:
                 self.known[0][piece] = own
                 self.kept += len(piece) + len(own) + self.ENTRY
 
-    def _values(self, pieces: list[str]) -> list[bytes]:
+    def _values(self, column: pa.Array) -> list[bytes]:
         """Ids of different pieces."""
         if self.kept > self.LIMIT:
             self.known, self.older, self.kept = ({},), self.known, 0
+        pieces = _strings(column)
         found = list(map(self.known[0].get, pieces))
         if self.older[0]:
             again = [k for k, ids in enumerate(found) if ids is None and pieces[k] in self.older[0]]
             for k in again:
                 found[k] = self.older[0][pieces[k]]
             self._keep([pieces[k] for k in again], [found[k] for k in again])
-        new = [p for p, ids in zip(pieces, found) if ids is None]
-        is_letters = list(map(_LETTERS.fullmatch, new))
-        letters = [p for p, yes in zip(new, is_letters) if yes]
-        merged = self._letters(letters)
-        others = [p for p, yes in zip(new, is_letters) if not yes]
-        encoded = self._others(others)
-        self._keep(letters, merged)
-        self._keep(others, encoded)
-        both = iter(merged), iter(encoded)
-        ids = (next(both[0] if yes else both[1]) for yes in is_letters)
-        return [next(ids) if x is None else x for x in found]
+        new = pa.array([ids is None for ids in found], pa.bool_())
+        is_letters = pc.match_substring_regex(column, pattern=_LETTERS)
+        for encode, wanted in ((self._letters, is_letters), (self._others, pc.invert(is_letters))):
+            at = np.flatnonzero(pc.and_(new, wanted).to_numpy(zero_copy_only=False)).tolist()
+            some = [pieces[k] for k in at]
+            encoded = encode(some)
+            self._keep(some, encoded)
+            for k, ids in zip(at, encoded):
+                found[k] = ids
+        return found
 
     def _others(self, pieces: list[str]) -> list[bytes]:
         found: dict[str, bytes] = {}
@@ -175,11 +176,13 @@ class Encoder:
 
     def _whole(self, pieces: pa.Array) -> pa.Array:
         """Ids of different pieces; letters and what follows them are encoded apart."""
-        two = pc.extract_regex(pieces, pattern=_HEAD_REST)
-        heads = pc.if_else(two.is_valid(), pc.struct_field(two, "head"), pieces)
-        rests = pc.fill_null(pc.struct_field(two, "rest"), "")
+        # Whether a piece has two parts is far quicker told than where they meet.
+        double = pc.match_substring_regex(pieces, pattern=_HEAD_REST)
+        two = pc.extract_regex(pieces.filter(double), pattern=_HEAD_REST)
+        heads = pc.replace_with_mask(pieces, double, pc.struct_field(two, "head"))
+        rests = pc.replace_with_mask(pa.repeat(pa.scalar("", pieces.type), len(pieces)), double, pc.struct_field(two, "rest"))
         parts = pa.concat_arrays([heads, rests]).dictionary_encode()
-        values = pa.array(self._values(parts.dictionary.to_pylist()), pa.large_binary()).take(parts.indices)
+        values = pa.array(self._values(parts.dictionary), pa.large_binary()).take(parts.indices)
         n = len(pieces)
         return pc.binary_join_element_wise(values[:n], values[n:], pa.scalar(b"", pa.large_binary()))
 
@@ -216,6 +219,11 @@ class Encoder:
         return [x.astype("<u4").tobytes() for x in np.split(ids, np.cumsum(sizes)[:-1])] if texts else []
 
 
+def _strings(column: pa.Array) -> list[str]:
+    """The texts of a column; several times quicker than ``to_pylist``."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def _cut_by_patterns(text: str) -> list[str]:
     found = []
     for line in _LINES.split(text):
@@ -240,10 +248,12 @@ def encode_documents(documents: DataFrame, tokenizer: str, end: int = END) -> Da
     """
     from tokenizers import Tokenizer
 
-    width = "<u2" if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else "<u4"
+    loaded = Tokenizer.from_file(tokenizer)
+    width = "<u2" if loaded.get_vocab_size() <= 1 << 16 else "<u4"
+    by_pieces = cuts_are_safe(loaded.to_str())  # told once, not by every task
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)  # what it remembers goes with the task
+        encoder = Encoder(tokenizer, by_pieces)  # what it remembers goes with the task
         for batch in sliced(batches, limit=ENCODED_BYTES):
             texts = pc.fill_null(batch.column("text"), "")
             ids, sizes = encoder.encode_column(texts)

@@ -183,3 +183,20 @@ def test_runs_that_end_at_the_last_bit_are_read_to_their_end():
     bits, at = token_file.pack(ids, ends, codes, sizes)
     out = token_file.unpack(bits, at[:: token_file.STRIDE], len(ids), token_file.decoding_table(lengths), ends)
     assert out.tolist() == ids.tolist()
+
+
+def test_only_pieces_of_two_parts_are_cut(tokenizer, encoder, monkeypatch):
+    """Telling where all pieces are cut took a tenth of the encoding."""
+    texts, cut = ["one two, three four.\nfive 66 seven8 é9 a  b", "", "x, x, x"], []
+    extract = token_file.pc.extract_regex
+    monkeypatch.setattr(token_file.pc, "extract_regex", lambda x, pattern: cut.extend(x.to_pylist()) or extract(x, pattern=pattern))
+    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sorted(cut) == [" four.", " seven8", " two,", " x,", " é9", "x,"]
+
+
+def test_what_a_tokenizer_file_says_is_told_once(monkeypatch):
+    monkeypatch.setattr(token_file, "cuts_are_safe", lambda text: pytest.fail("told again"))
+    for known in (True, False):
+        assert token_file.Encoder(PATH, known).by_pieces == known
+        assert token_file.Encoder(PATH, known).encode(["a b, c"]) == token_file.Encoder(PATH, not known).encode(["a b, c"])
