@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from memberfold.session import shared_folder
 
@@ -32,6 +32,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """As ``written``, with the number of rows, told by the write itself."""
+    rows = Observation()
+    df = written(df.observe(rows, F.count(F.lit(1)).alias("n")), name)
+    return df, rows.get["n"]
+
+
 def is_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     """Whether a count shows that the table keeps to the limit of a broadcast."""
     return df.limit(limit + 1).count() <= limit
@@ -42,6 +49,17 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if is_small(df, limit) else df
 
 
+def small_written(df: DataFrame, name: str, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """As ``small(written(df, name))``, without a query for the count."""
+    df, n = counted(df, name)
+    return F.broadcast(df) if n <= limit else df
+
+
+def small_part(df: DataFrame, n: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """As ``small``, for rows out of a table of n: they are counted only if it is too long."""
+    return F.broadcast(df) if n <= limit else small(df, limit)
+
+
 def ascii_lower(column: Column | str) -> Column:
     return F.translate(column, UPPER, LOWER)
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
-from memberfold.llm.common import ascii_lower, as_bytes, sliced, small, written
+from memberfold.llm.common import ascii_lower, as_bytes, sliced, small_written, written
 from memberfold.llm.url_reputation import domain_of, host_of, suffix_of
 
 # Trigrams are counted by hash in so many cells.
@@ -285,7 +285,7 @@ def _identified(documents: DataFrame, pages: DataFrame, sure: float) -> DataFram
     # A document that comes more than once counts once; its least language stands.
     of = of.where("page IS NOT NULL").groupBy("page").agg(F.min("language").alias("language"))
     labelled = written(evidence.join(of, "page"), "labelled")
-    said = small(written(declared_likelihoods(labelled, languages, "declared"), "heard"))
+    said = small_written(declared_likelihoods(labelled, languages, "declared"), "heard")
     prior = host_priors(labelled, languages)
     fused = evidence.join(prior, "host").select("page", "declared", F.transform("prior", lambda p: F.log(p)).alias("prior"))
     heard = F.coalesce("heard", F.array(*[F.lit(0.0)] * len(languages)))
@@ -293,12 +293,13 @@ def _identified(documents: DataFrame, pages: DataFrame, sure: float) -> DataFram
     fused = fused.select(
         F.col("page").alias("__lid_page"), F.zip_with("prior", heard, lambda a, b: a + b).alias("__lid_more")
     )
+    fused = small_written(fused, "fused")
     sums = {r[0]: r[1] for r in documents.groupBy("lang").count().where(F.col("lang").isin(languages)).collect()}
     total = sum(sums.values())
     even = F.array(*[F.lit(float(np.log((sums.get(l, 0) + 1) / (total + len(languages))))) for l in languages])
     # The text goes no further than the scan: what is joined is a row of numbers.
     scored = documents.select("*", likelihoods("text").alias("__lid_text"))
-    joined = scored.join(small(fused), scored["doc_id"] == F.col("__lid_page"), "left")
+    joined = scored.join(fused, scored["doc_id"] == F.col("__lid_page"), "left")
     both = F.zip_with("__lid_text.sums", F.coalesce("__lid_more", even), lambda a, b: a + b)
     best = F.array_max(both)
     posterior = 1 / F.aggregate(both, F.lit(0.0), lambda s, x: s + F.exp(x - best))

@@ -19,10 +19,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame, GroupedData, functions as F, types as T
+from pyspark.sql import DataFrame, GroupedData, Observation, functions as F, types as T
 
-from memberfold.llm.common import run_hashes, sliced, small, word_hashes, written
-from memberfold.llm.components import components
+from memberfold.llm.common import counted, run_hashes, sliced, small_part, small_written, word_hashes, written
+from memberfold.llm.components import joined_nodes
 
 WORDS = 5
 PERCENT = 80
@@ -102,8 +102,9 @@ def global_order(documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     sums = documents.select("text").mapInArrow(_count, kind)
     sums = sums.groupBy("row", "salt").applyInArrow(_add, kind).groupBy("row").applyInArrow(_add, kind)
     counts = np.zeros((CELLS // ROW, ROW), np.int64)
-    for row in sums.collect():
-        counts[row["row"]] = row["counts"]
+    # As Arrow columns, as rows would make objects of all numbers.
+    for rows in sums.select("row", "counts").toArrow().to_batches():
+        counts[rows.column("row").to_numpy()] = rows.column("counts").flatten().to_numpy().reshape(-1, ROW)
     counts = counts.ravel()
     classes = np.minimum(np.log2(np.maximum(counts, 1)).astype(np.int64), 31).astype(np.uint8)
     mass = np.cumsum(np.bincount(classes, counts, minlength=32))
@@ -183,7 +184,7 @@ def _alike(overlap, n, m):
 
 
 def _compare(group: pa.Table) -> pa.Table:
-    """Links between two blocks, as many as join what is not joined yet."""
+    """Links of labels between two blocks, as many as join what is not joined yet."""
     sides: list[dict[int, list]] = [{}, {}]
     for side, sid, label, grams in zip(
         group.column("side").to_pylist(), group.column("sid").to_pylist(), group.column("label").to_pylist(), group.column("grams").combine_chunks()
@@ -210,7 +211,7 @@ def _compare(group: pa.Table) -> pa.Table:
             a, b = find(mine[i][1]), find(theirs[j][1])
             if a != b:
                 root[a] = b
-                found.append((mine[i][0], theirs[j][0]))
+                found.append((mine[i][1], theirs[j][1]))
     return pa.table({"a": pa.array([x[0] for x in found], pa.int64()), "b": pa.array([x[1] for x in found], pa.int64())})
 
 
@@ -223,11 +224,12 @@ def _incidence(side: list[tuple], columns: np.ndarray) -> np.ndarray:
     return out
 
 
-def _first_links(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
+def _first_links(pairs: DataFrame, n_pairs: int, fragments: DataFrame) -> DataFrame:
     """Links of documents with their pivots: partial overlaps by fragment, summed."""
-    pivots = fragments.join(small(pairs.select(F.col("pivot").alias("sid")).distinct()), "sid", "left_semi")
+    pivots = small_part(pairs.select(F.col("pivot").alias("sid")).distinct(), n_pairs)
+    pivots = fragments.join(pivots, "sid", "left_semi")
     right = pivots.select(F.col("sid").alias("pivot"), "fragment", F.col("grams").alias("pivot_grams"))
-    left = fragments.join(small(pairs), "sid")
+    left = fragments.join(small_part(pairs, n_pairs), "sid")
     shared = F.size(F.array_intersect("grams", "pivot_grams")).alias("shared")
     overlaps = left.join(right, ["pivot", "fragment"]).select("sid", "pivot", "n", "pivot_n", "fragment", shared)
     # A text that comes twice under one doc_id has its fragments twice.
@@ -252,7 +254,7 @@ def _rest_cells(members: DataFrame, buckets: DataFrame, labels: DataFrame) -> Da
     """Rows of block pairs that may link what the first links leave in different groups.
 
     The members of a pivot outside the pivot's own group are cut into blocks, and so is
-    the group; the former meet both, block by block.
+    the group; the former meet both, block by block. What ``labels`` leaves out is its own label.
     """
     labels = labels.select(F.col("node").alias("sid"), F.col("component").alias("label"))
     named = members.select("pivot", "sid", "size.*").join(labels, "sid", "left")
@@ -286,8 +288,8 @@ def _rest_cells(members: DataFrame, buckets: DataFrame, labels: DataFrame) -> Da
     spots = F.explode(F.when(F.col("inside"), from_in).otherwise(from_out)).alias("c")
     rows = placed.select("pivot", "sid", "label", "n", "alone", "last", spots)
     rows = rows.select("pivot", "c.kind", "c.i", "c.j", "c.side", "sid", "label", "n", "alone", "last")
-    cells = written(_by_cell(rows).applyInArrow(_screen, _CELL), "cells")
-    heads = buckets.join(small(cells.select("sid").distinct()), "sid").groupBy("sid")
+    cells, n_cells = counted(_by_cell(rows).applyInArrow(_screen, _CELL), "cells")
+    heads = buckets.join(small_part(cells.select("sid").distinct(), n_cells), "sid").groupBy("sid")
     rows = cells.join(heads.agg(F.collect_list("gram").alias("head")), "sid")
     return _by_cell(rows).applyInArrow(_screen_exactly, _CELL)
 
@@ -402,22 +404,27 @@ def _labelled(documents: DataFrame) -> DataFrame:
 
     def fragments(sids: DataFrame) -> DataFrame:
         wanted = sids.select("sid").distinct().join(sets.select("sid", F.col("doc_id").alias("of")), "sid")
-        wanted = small(written(wanted, "wanted"))
+        wanted = small_written(wanted, "wanted")
         texts = documents.join(wanted, documents["doc_id"].eqNullSafe(F.col("of"))).select("sid", "text")
         kind = "sid long, fragment int, grams array<long>"
         return written(texts.mapInArrow(_fragments(order), kind), "fragments")
 
     pairs = members.where((F.col("sid") != F.col("pivot")) & _possible(F.col("size"), F.col("pivot_size")))
     pairs = pairs.select("sid", "size.n", "pivot", F.col("pivot_size.n").alias("pivot_n"))
+    pairs, n_pairs = counted(pairs, "pairs")
     ends = pairs.select(F.explode(F.array("sid", "pivot")).alias("sid"))
-    links = written(_first_links(pairs, fragments(ends)), "links")
-    cells = written(_rest_cells(members, buckets, components(links)), "cells")
-    rows = fragments(cells).select("sid", "grams").join(small(cells.drop("n", "last")), "sid")
+    first = joined_nodes(written(_first_links(pairs, n_pairs, fragments(ends)), "links"))
+    cells, n_cells = counted(_rest_cells(members, buckets, first), "cells")
+    rows = fragments(cells).select("sid", "grams").join(small_part(cells.drop("n", "last"), n_cells), "sid")
     rest = _by_cell(rows).applyInArrow(_compare, "a long, b long")
-    rest = written(rest, "links")
-    labels = components(links.unionAll(rest))
-    label = F.coalesce("component", "sid")
-    joined = sets.join(labels, sets["sid"] == labels["node"], "left").select("sid", "doc_id", label.alias("label"))
+    # The rest joins the first links' labels, so that their links need not be gone through again.
+    rest = joined_nodes(written(rest, "links"))
+    labelled = sets.select("sid", "doc_id")
+    for labels in (first.toDF("sid", "first"), rest.toDF("first", "rest")):
+        labelled = labelled.join(labels, labels.columns[0], "left")
+        old, new = labels.columns
+        labelled = labelled.withColumn(new, F.coalesce(new, old))
+    joined = labelled.select("sid", "doc_id", F.col("rest").alias("label"))
     names = joined.groupBy("label").agg(F.min("doc_id").alias("name"))
     named = joined.join(names, "label").select(F.col("sid").alias("of"), "label", "name")
     described = described.select("doc_id", "sid", "n")
@@ -441,17 +448,22 @@ def representatives(documents: DataFrame) -> DataFrame:
     times = groups.groupBy(F.col("doc_id").alias("__kept")).agg(F.count("*").alias("times"))
     kept = groups.where(F.col("doc_id") == F.coalesce("name", "doc_id"))
     kept = kept.select(F.col("doc_id").alias("__kept"), F.col("sid").alias("__sid"), F.col("label").alias("__label"))
-    kept = written(kept.distinct().join(times, "__kept"), "kept")
+    kept = kept.distinct().join(times, "__kept")
+    repeated = Observation()
+    kept = written(kept.observe(repeated, F.count(F.when(F.col("times") > 1, 1)).alias("n")), "kept")
+    n_several = repeated.get["n"]
     own = documents.columns
     one = documents.join(kept.where("times = 1").select("__kept"), F.col("doc_id") == F.col("__kept"))
-    several = small(kept.where("times > 1").drop("times"))
+    found = one.select(*own).unionByName(documents.where("doc_id IS NULL"))
+    if not n_several:
+        return found
+    several = small_part(kept.where("times > 1").drop("times"), n_several)
     # What may share a doc_id with another text is told apart by its set of n-grams.
     ids = several.select("__kept").distinct()
-    rows = documents.join(small(ids), documents["doc_id"] == ids["__kept"], "left_semi")
+    rows = documents.join(small_part(ids, n_several), documents["doc_id"] == ids["__kept"], "left_semi")
     rows = rows.withColumn("__set", _identity("text"))
     rows = rows.join(several, (F.col("doc_id") == F.col("__kept")) & F.col("__set").eqNullSafe(F.col("__sid")))
     # A text without words has no label: its group is its doc_id.
     order = F.struct(F.col("text").isNotNull(), "text", F.xxhash64(*[c for c, kind in documents.dtypes if "map<" not in kind]))
     first = rows.groupBy("__label", "__kept").agg(F.min_by(F.struct(*own), order).alias("__row"))
-    found = one.select(*own).unionByName(first.select("__row.*"))
-    return found.unionByName(documents.where("doc_id IS NULL"))
+    return found.unionByName(first.select("__row.*"))

@@ -95,6 +95,19 @@ def test_unlike_texts_of_one_id_stay_for_each_group(documents):
         assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted(want, key=str)
 
 
+def test_one_of_each_group_is_found_in_a_bounded_number_of_jobs(spark, documents):
+    """Each query stays in the driver's memory for a while, with a thread an exchange; these rows took 104 jobs."""
+    near = " ".join(f"w{k}" for k in range(100))
+    rows = documents([(3, near), (2, near + " more"), (9, "something else entirely here now"), (4, None), (None, near)])
+    spark.sparkContext.setJobGroup("near", "jobs of one search")
+    try:
+        assert representatives(rows).count() == 4
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("near")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) < 80
+
+
 def test_components(spark):
     rng = random.Random(5)
     links = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 140)] + [(7, 7), (500, 500)]
