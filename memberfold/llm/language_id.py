@@ -78,17 +78,17 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def text_counts(documents: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages in order, and counts of the cells, one column a language.
+def text_counts(documents: DataFrame) -> tuple[dict[str, int], np.ndarray]:
+    """Languages in order with their documents, and counts of the cells, one column a language.
 
     Counts cover every document whose ``lang`` is neither null nor empty. At most
     MAX_LANGUAGES * CELLS numbers reach the driver.
     """
     known = documents.select(F.col("lang").alias("language"), "text").where("language <> ''")
-    languages = [r[0] for r in known.select("language").distinct().limit(MAX_LANGUAGES + 1).collect()]
-    if len(languages) > MAX_LANGUAGES:
+    found = known.groupBy("language").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(found) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    languages.sort()
+    languages = {language: n for language, n in sorted(map(tuple, found))}
     counted = known.mapInArrow(_count, "language string, cell int, n long")
     sums = counted.groupBy("language", "cell").agg(F.sum("n").alias("n"))
     counts = np.zeros((CELLS, len(languages)))
@@ -107,7 +107,7 @@ def _log_likelihoods(counts: np.ndarray) -> np.ndarray:
 def text_model(documents: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages in order, and log likelihoods of the cells, one column a language."""
     languages, counts = text_counts(documents)
-    return languages, _log_likelihoods(counts)
+    return list(languages), _log_likelihoods(counts)
 
 
 def text_sums(model: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -207,11 +207,19 @@ def _smoothed(counts: DataFrame, keys: list[str], parent: str, out: str) -> Data
     return counts.withColumn(out, (F.col("n") + PRIOR_PAGES * F.col(parent)) / (total + PRIOR_PAGES))
 
 
-def host_priors(labelled: DataFrame, languages: list[str]) -> DataFrame:
+def language_sums(labelled: DataFrame, languages: list[str]) -> dict[str, int]:
+    """Rows of each of the languages."""
+    known = labelled.where(F.col("language").isin(languages))
+    return {r[0]: r[1] for r in known.groupBy("language").count().collect()}
+
+
+def host_priors(labelled: DataFrame, languages: list[str], sums: dict[str, int] | None = None) -> DataFrame:
     """``host, prior``: the probability of each language, in order, on every host.
 
-    ``labelled`` is ``host, domain, suffix, language`` (null: unknown language).
+    ``labelled`` is ``host, domain, suffix, language`` (null: unknown language), ``sums`` what
+    ``language_sums`` finds in it.
     """
+    sums = language_sums(labelled, languages) if sums is None else sums
     listed = F.array(*map(F.lit, languages))
     counts = labelled.groupBy("host", "domain", "suffix", "language").agg(F.count("*").alias("n"))
     counts = written(counts, "hosts")
@@ -222,8 +230,7 @@ def host_priors(labelled: DataFrame, languages: list[str]) -> DataFrame:
         sums = known.groupBy(*keys, "language").agg(F.sum("n").alias("n"))
         return members.join(sums, [*keys, "language"], "left").na.fill(0, ["n"])
 
-    total = known.agg(F.sum("n")).first()[0] or 0
-    sums = {r[0]: r[1] for r in known.groupBy("language").agg(F.sum("n")).collect()}
+    total = sum(sums.values())
     even = F.create_map(
         *[F.lit(x) for l in languages for x in (l, (sums.get(l, 0) + 1.0) / (total + len(languages)))]
     )
@@ -236,15 +243,18 @@ def host_priors(labelled: DataFrame, languages: list[str]) -> DataFrame:
     return hosts.groupBy("host").agg(prior.alias("prior"))
 
 
-def declared_likelihoods(labelled: DataFrame, languages: list[str], column: str) -> DataFrame:
+def declared_likelihoods(
+    labelled: DataFrame, languages: list[str], column: str, sums: dict[str, int] | None = None
+) -> DataFrame:
     """``column, heard``: log probabilities of every declared value under each language, in
     order, shrunk to the value's rate.
 
-    A value without a document of known language has no row.
+    A value without a document of known language has no row. ``sums`` is what ``language_sums``
+    finds in the rows.
     """
     counts = labelled.where(F.col("language").isin(languages)).groupBy(column, "language").agg(F.count("*").alias("n"))
     counts = written(counts, "declared")
-    sums = {r[0]: r[1] for r in counts.groupBy("language").agg(F.sum("n")).collect()}
+    sums = language_sums(labelled, languages) if sums is None else sums
     every = max(sum(sums.values()), 1)
     listed = F.array(
         *[F.struct(F.lit(l).alias("language"), F.lit(sums.get(l, 0) + PRIOR_PAGES).alias("total")) for l in languages]
@@ -264,7 +274,8 @@ _FOUND = "__lid"
 
 def _identified(documents: DataFrame, pages: DataFrame, sure: float) -> DataFrame:
     """The documents, all their columns, with what is found in one struct of a reserved name."""
-    languages, counts = text_counts(documents)
+    sums, counts = text_counts(documents)
+    languages = list(sums)
     if not languages:
         nothing = F.struct(
             F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("posterior"), F.lit(False).alias("accepted")
@@ -285,8 +296,9 @@ def _identified(documents: DataFrame, pages: DataFrame, sure: float) -> DataFram
     # A document that comes more than once counts once; its least language stands.
     of = of.where("page IS NOT NULL").groupBy("page").agg(F.min("language").alias("language"))
     labelled = written(evidence.join(of, "page"), "labelled")
-    said = small_written(declared_likelihoods(labelled, languages, "declared"), "heard")
-    prior = host_priors(labelled, languages)
+    paged = language_sums(labelled, languages)
+    said = small_written(declared_likelihoods(labelled, languages, "declared", paged), "heard")
+    prior = host_priors(labelled, languages, paged)
     fused = evidence.join(prior, "host").select("page", "declared", F.transform("prior", lambda p: F.log(p)).alias("prior"))
     heard = F.coalesce("heard", F.array(*[F.lit(0.0)] * len(languages)))
     fused = fused.join(said, "declared", "left")
@@ -294,9 +306,8 @@ def _identified(documents: DataFrame, pages: DataFrame, sure: float) -> DataFram
         F.col("page").alias("__lid_page"), F.zip_with("prior", heard, lambda a, b: a + b).alias("__lid_more")
     )
     fused = small_written(fused, "fused")
-    sums = {r[0]: r[1] for r in documents.groupBy("lang").count().where(F.col("lang").isin(languages)).collect()}
     total = sum(sums.values())
-    even = F.array(*[F.lit(float(np.log((sums.get(l, 0) + 1) / (total + len(languages))))) for l in languages])
+    even = F.array(*[F.lit(float(np.log((sums[l] + 1) / (total + len(languages))))) for l in languages])
     # The text goes no further than the scan: what is joined is a row of numbers.
     scored = documents.select("*", likelihoods("text").alias("__lid_text"))
     joined = scored.join(fused, scored["doc_id"] == F.col("__lid_page"), "left")
