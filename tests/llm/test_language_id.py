@@ -138,3 +138,16 @@ def test_workers_load_no_pandas():
     """Some 27 MB of every worker of the stages, kept until the job ends."""
     code = "import sys, memberfold.llm.language_id, memberfold.llm.ngram_join; sys.exit('pandas' in sys.modules)"
     assert subprocess.run([sys.executable, "-c", code], timeout=60).returncode == 0
+
+
+def test_languages_are_found_in_a_bounded_number_of_jobs(spark, documents):
+    """Each query stays in the driver's memory for a while, with a thread an exchange; these rows took 53 jobs."""
+    rows = documents([(1, "the cat and the dog"), (2, "der Hund und die Katze", "a", "de")])
+    pages = spark.createDataFrame([(1, "http://a.org/", "<html lang=en>")], "page_id long, url string, html string")
+    spark.sparkContext.setJobGroup("languages", "jobs of one identification")
+    try:
+        identify(rows, pages).collect()
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("languages")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) < 45
